@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from .mixing import op9_mix_sources
+from .ngram_join import op7_ngram_jaccard_join
 from .substring_dedup import op2_substring_dedup
+from .url_filters import op3_url_filters
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op2_substring_dedup,)}
+    return {f.__name__: f for f in (op2_substring_dedup, op3_url_filters, op7_ngram_jaccard_join, op9_mix_sources)}
 
 
 def oracle_sql() -> dict[str, str]:
