@@ -91,7 +91,7 @@ def _pairs(tokens: np.ndarray, need: int, level: int) -> np.ndarray:
 def signatures(sets: Sets, percent: int) -> tuple[np.ndarray, np.ndarray]:
     """(row, signature) such that rows that link share one at least."""
     n = sets.count
-    need = n - -(-percent * n // 100) + 1  # a partner lacks fewer tokens than this
+    need = np.where(n > 0, n - -(-percent * n // 100) + 1, 0)  # a partner lacks fewer tokens than this
     place = np.arange(len(sets.row)) - sets.first[sets.row]
     alone = (place < need[sets.row]) & ~sets.frequent
     rows, found = [sets.row[alone]], [tx.mix(sets.token[alone], 11)]

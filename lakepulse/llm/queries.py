@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
+from .fingerprints import op8_document_fingerprints
 from .mixing import op9_mix_sources
 from .ngram_join import op7_ngram_jaccard_join
+from .packing import op4_best_fit_packing
+from .quality import op5_quality_classifier
 from .substring_dedup import op2_substring_dedup
 from .url_filters import op3_url_filters
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op2_substring_dedup, op3_url_filters, op7_ngram_jaccard_join, op9_mix_sources)}
+    return {f.__name__: f for f in (op2_substring_dedup, op3_url_filters, op4_best_fit_packing, op5_quality_classifier, op7_ngram_jaccard_join, op8_document_fingerprints, op9_mix_sources)}
 
 
 def oracle_sql() -> dict[str, str]:
