@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from . import text as tx
-from .common import n_partitions, save
+from .common import n_partitions, save, ship
 
 BLOCK_BYTES = 4 << 20
 
@@ -27,6 +27,7 @@ def make_blocks(docs: DataFrame, ordered: bool = True, block_bytes: int = BLOCK_
 
     ordered: blocks are numbered by doc_id (nulls first), and rows lie in a block by doc_id. Columns keep their names inside rows.
     """
+    ship(docs.sparkSession)
     schema = T.StructType([T.StructField("block", T.LongType()), T.StructField("n_words", T.LongType()), T.StructField("rows", T.ArrayType(docs.schema))])
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

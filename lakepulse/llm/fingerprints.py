@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import text as tx
-from .common import n_partitions, table
+from .common import n_partitions, ship, table
 
 U = np.uint64
 SHINGLE, BINS, BITS = 5, 512, 4
@@ -84,6 +84,7 @@ def fingerprint_documents(docs: DataFrame, **options) -> DataFrame:
                 value, empty = fingerprints(part.column("text"), **options)
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(_hex(value, empty))], names=["doc_id", "fingerprint"])
 
+    ship(docs.sparkSession)
     return docs.select("doc_id", "text").mapInArrow(work, "doc_id long, fingerprint string")
 
 
@@ -99,6 +100,7 @@ def with_next(docs: DataFrame, per_part: int = 2000) -> DataFrame:
     only their end ids go to the driver.
     """
     spark = docs.sparkSession
+    ship(spark)
     n = docs.count()
     parts = int(min(max(1, n // per_part, n_partitions(spark)), 10_000))
     ends = docs.agg(F.percentile_approx("doc_id", [k / parts for k in range(1, parts + 1)], 100 * parts), F.max("doc_id")).first()

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from . import text as tx
 from .blocks import SENT, bucket_of, buckets_for, to_batch
-from .common import discard, n_partitions, save, table
+from .common import discard, n_partitions, save, ship, table
 
 U = np.uint64
 #: Document frequencies are counted in a table of fixed size, by the first bits of a token's hash.
@@ -28,6 +28,10 @@ CELL_BITS, SLICE_BITS, TOKEN_BITS = 24, 16, 48
 CHUNK_ROWS, CHUNK_BYTES = 1 << 14, 4 << 20
 #: Sets smaller than this index every token alone.
 PAIRS_FROM = 8
+#: So many ids (16 bytes each) are broadcast at the most.
+BROADCAST_IDS = 400_000
+#: Candidates are first compared on the tokens whose first bits, so many, are 0.
+PART_BITS = 2
 
 
 def _chunks(batches):
@@ -180,9 +184,12 @@ def _index(docs: DataFrame, n: int, lower: bool, percent: int, frequent: np.ndar
         e = e[several]
         e = e[np.lexsort((e["doc"], e["set"], e["sig"]))]
         e = e[np.concatenate([[True], (e["sig"][1:] != e["sig"][:-1]) | (e["set"][1:] != e["set"][:-1])])[: len(e)]]
-        first = np.flatnonzero(np.concatenate([[True], e["sig"][1:] != e["sig"][:-1]])[: len(e)])
-        size = np.diff(np.append(first, len(e)))
-        e = e[np.repeat(size > 1, size)]
+        e = e[np.lexsort((e["doc"], e["n"], e["sig"]))]
+        near = np.zeros(len(e), bool)  # a member of similar size stands beside it
+        beside = (e["sig"][1:] == e["sig"][:-1]) & (100 * e["n"][:-1] >= percent * e["n"][1:])
+        near[1:] |= beside
+        near[:-1] |= beside
+        e = e[near]
         first = np.flatnonzero(np.concatenate([[True], e["sig"][1:] != e["sig"][:-1]])[: len(e)])
         size = np.diff(np.append(first, len(e)))
         out = {"sig": e["sig"].view(np.int64), "doc_id": e["doc"], "n": e["n"]}
@@ -196,23 +203,50 @@ def _index(docs: DataFrame, n: int, lower: bool, percent: int, frequent: np.ndar
     return save(sent.applyInArrow(meet, "sig long, doc_id long, n long, leader1 long, leader1_n long, leader2 long, leader2_n long"), "index")
 
 
-def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) whose sets are similar enough."""
+def _only(rows: DataFrame, ids: DataFrame) -> DataFrame:
+    """rows of these doc_ids: by broadcast while there are few, else by a shuffle."""
+    few = ids.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS
+    return rows.join(F.broadcast(ids) if few else ids, "doc_id", "left_semi")
+
+
+def _ends(pairs: DataFrame) -> DataFrame:
+    return pairs.select("a").union(pairs.select("b")).distinct().withColumnRenamed("a", "doc_id")
+
+
+def _sets(docs: DataFrame, n: int, lower: bool, part: int = 0) -> DataFrame:
+    """(doc_id, n, tokens): the set of each document, or of it the tokens whose first `part` bits are 0."""
+
+    def take(batches):
+        for chunk in _chunks(batches):
+            sets = Sets(chunk.column("text"), n, lower)
+            keep = sets.token < U(1 << (TOKEN_BITS - part))
+            packed = [_packed(sets.token[s:e][keep[s:e]]) for s, e in zip(sets.first[:-1], sets.first[1:])]
+            yield pa.RecordBatch.from_arrays([chunk.column("doc_id"), pa.array(sets.count, pa.int64()), pa.array(packed, pa.binary())], names=["doc_id", "n", "tokens"])
+
+    return docs.mapInArrow(take, "doc_id long, n long, tokens binary")
+
+
+def _similar(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) that can be linked, seen from these sets or equal parts of them; of whole sets, those that are."""
 
     def verify(batches):
         for batch in batches:
+            sizes = zip(batch.column("left_n").to_numpy(), batch.column("right_n").to_numpy())
             left, right, links = batch.column("left"), batch.column("right"), []
-            for i in range(batch.num_rows):
+            for i, (nx, ny) in enumerate(sizes):
                 x, y = _unpacked(left[i].as_py()), _unpacked(right[i].as_py())
                 both = np.concatenate([x, y])
                 both.sort()
                 common = int(np.count_nonzero(both[1:] == both[:-1]))
-                links.append(100 * common >= percent * (len(x) + len(y) - common))
+                least = -(-percent * int(nx + ny) // (100 + percent))  # common tokens that linked sets have
+                links.append(len(x) - common <= nx - least and len(y) - common <= ny - least)
             yield batch.select(["a", "b"]).filter(pa.array(links, pa.bool_()))
 
-    left = sets.select(F.col("doc_id").alias("a"), F.col("tokens").alias("left"))
-    right = sets.select(F.col("doc_id").alias("b"), F.col("tokens").alias("right"))
-    return pairs.select("a", "b").join(left, "a").join(right, "b").select("a", "b", "left", "right").mapInArrow(verify, "a long, b long")
+    sets = _only(sets, _ends(pairs))
+    left = sets.select(F.col("doc_id").alias("a"), F.col("tokens").alias("left"), F.col("n").alias("left_n"))
+    right = sets.select(F.col("doc_id").alias("b"), F.col("tokens").alias("right"), F.col("n").alias("right_n"))
+    joined = pairs.select("a", "b").join(left, "a").join(right, "b")
+    return joined.select("a", "b", "left", "left_n", "right", "right_n").mapInArrow(verify, "a long, b long").distinct()
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -242,6 +276,7 @@ def link_documents(docs: DataFrame, n: int = 4, percent: int = 85, lower: bool =
     doc_id are one node; a null doc_id links with nothing and its component is null. An empty table gives an empty result. Tokens
     in more than frequent_df documents (counted over all of them, in 2^24 cells; four times the mean cell is added) are the frequent class.
     """
+    ship(docs.sparkSession)
     docs = docs.select("doc_id", "text")
     census = _census(docs, n, lower)
     known = census.where("slice is null").select("doc_id", "n", "a", "b")
@@ -250,14 +285,12 @@ def link_documents(docs: DataFrame, n: int = 4, percent: int = 85, lower: bool =
     linked = docs.where("doc_id is not null")
     index = _index(linked, n, lower, percent, frequent, max(n_partitions(docs.sparkSession), buckets_for(total // 4)))
 
-    def take(batches):
-        for part in _chunks(batches):
-            sets = Sets(part.column("text"), n, lower)
-            packed = [_packed(sets.token[sets.first[r] : sets.first[r + 1]]) for r in range(part.num_rows)]
-            yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(packed, pa.binary())], names=["doc_id", "tokens"])
+    parts = save(_sets(_only(linked, index.select("doc_id").distinct()), n, lower, PART_BITS), "parts")
 
-    candidates = index.select("doc_id").distinct()
-    sets = save(linked.join(candidates, "doc_id", "left_semi").mapInArrow(take, "doc_id long, tokens binary"), "sets")
+    def verified(pairs: DataFrame) -> DataFrame:
+        likely = save(_similar(pairs, parts, percent), "likely")
+        whole = save(_sets(_only(linked, _ends(likely)), n, lower), "sets")
+        return save(_similar(likely, whole, percent), "links")
 
     similar = lambda x, y: (F.col(x) * 100 >= F.col(y) * percent) & (F.col(y) * 100 >= F.col(x) * percent)
     pair = lambda x, y: (F.least(x, y).alias("a"), F.greatest(x, y).alias("b"))
@@ -268,19 +301,19 @@ def link_documents(docs: DataFrame, n: int = 4, percent: int = 85, lower: bool =
         open_ = index if found is None else _unsettled(index, found)
         pairs = open_.where(F.col("doc_id") != F.col(f"leader{k}")).where(similar("n", f"leader{k}_n")).select(*pair("doc_id", f"leader{k}")).distinct()
         pairs = save(pairs if tried is None else pairs.join(tried, ["a", "b"], "left_anti"), "pairs")
-        new = save(_verified(pairs, sets, percent), "links")
+        new = verified(pairs)
         tried = pairs if tried is None else tried.union(pairs)
         links = new if links is None else links.union(new)
         found = save(components(links), "components")
     rest = _unsettled(index, found)
     x, y = (rest.select(*[F.col(c).alias(f"{c}_{s}") if c != "sig" else F.col(c) for c in ("sig", "doc_id", "n", "component")]) for s in "xy")
     pairs = x.join(y, "sig").where(F.col("component_x") < F.col("component_y")).where(similar("n_x", "n_y")).select(*pair("doc_id_x", "doc_id_y")).distinct()
-    more = save(_verified(pairs.join(tried, ["a", "b"], "left_anti"), sets, percent), "links")
+    more = verified(save(pairs.join(tried, ["a", "b"], "left_anti"), "pairs"))
     classes = known.where("doc_id is not null and n > 0").groupBy("n", "a", "b").agg(F.min("doc_id").alias("node"))
     repeated = known.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").select("doc_id")
     same_id = known.join(repeated, "doc_id", "left_semi").join(classes, ["n", "a", "b"]).select(F.col("doc_id").alias("a"), F.col("node").alias("b"))
     found = save(components(links.union(more).union(same_id)), "components")
-    discard(index, sets)
+    discard(index, parts)
 
     rows = known.join(classes, ["n", "a", "b"], "left")
     rows = rows.join(found, "node", "left").withColumn("component_id", F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "node", "doc_id")))

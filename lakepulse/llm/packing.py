@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from . import text as tx
-from .common import save, table
+from .common import save, ship, table
 
 CAPACITY, END = 2048, 0
 
@@ -48,6 +48,7 @@ def cut(n: int, capacity: int) -> list[tuple[int, int]]:
 
 def pieces(docs: DataFrame, capacity: int = CAPACITY, vocabulary: str | None = None, keep_ids: bool = False) -> DataFrame:
     """Saved (doc_id, piece, start, length, ids_crc32, part, place[, ids]): place is the rank among pieces of this length of the partition `part`."""
+    ship(docs.sparkSession)
     vocabulary = vocabulary or default_vocabulary()
 
     def tokenize(batches):

@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from . import text as tx
-from .common import table
+from .common import ship, table
 
 LETTER, DIGIT, UPPER, MARK, SYMBOL = range(5)
 KINDS = np.zeros((5, 256), bool)
@@ -71,6 +71,7 @@ def statistics(texts: pa.Array) -> np.ndarray:
 
 def with_statistics(docs: DataFrame, keep: list[str]) -> DataFrame:
     """(row, stats): the kept columns and the statistics of text, as structs."""
+    ship(docs.sparkSession)
     inner = T.StructType([docs.schema[c] for c in keep])
     schema = T.StructType([T.StructField("row", inner), T.StructField("stats", T.StructType([T.StructField(s, T.DoubleType()) for s in STATISTICS]))])
 
