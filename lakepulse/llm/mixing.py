@@ -2,14 +2,13 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import discard, save, table, words_of
 
-#: Rows of one source and key range that one window sorts, on average.
-RANGE_ROWS = 50_000
-
 
 def cyclic_weights(cycle: tuple[float, ...] = (1, 2, 3)) -> Column:
     """Weights by the sources' place in code point order, null last, repeating."""
@@ -46,8 +45,8 @@ def mix(docs: DataFrame, cycle: tuple[float, ...] = (1, 2, 3), most: float = 3.0
     """
     narrow = docs.select(F.struct(*[c for c in docs.columns if c != "text"]).alias("row"), words_of().alias("size"), F.xxhash64("text", "doc_id", F.lit(seed)).alias("key"))
     narrow = save(narrow, "sizes")
-    n_rows = narrow.count()
-    ranges = max(1, -(-n_rows // RANGE_ROWS))
+    # As many key ranges as rows in each: both levels of the prefix sum stay short.
+    ranges = max(1, math.isqrt(narrow.count()))
     # The key range is the upper part of a uniform key, so ranges are even whatever the source's size.
     narrow = narrow.select("*", F.col("row.source").alias("source")).withColumn("range", F.floor((F.shiftrightunsigned("key", 33) * F.lit(ranges)) / F.lit(2**31)).cast("int"))
     sums = save(narrow.groupBy("source", "range").agg(F.sum("size").alias("range_size")), "ranges")
