@@ -101,9 +101,15 @@ def hashes(words: Words, seed: int = 0) -> np.ndarray:
     length = words.ends - words.starts
     if not len(length):
         return np.zeros(0, U)
+    # In steps of about 1 MB, to keep the arrays small.
+    edges = np.unique([0, *np.searchsorted(words.starts, np.arange(0, len(words.data), 1 << 20)), len(length)])
+    return np.concatenate([_hashes(words.data, words.starts[s:e], length[s:e], seed) for s, e in zip(edges[:-1], edges[1:])])
+
+
+def _hashes(data: np.ndarray, starts: np.ndarray, length: np.ndarray, seed: int) -> np.ndarray:
     begin = np.cumsum(length) - length
     inside = np.arange(int(length.sum())) - np.repeat(begin, length)
-    value = BYTES[words.data[inside + np.repeat(words.starts, length)]] * powers(BYTE_BASE, int(length.max()))[inside]
+    value = BYTES[data[inside + np.repeat(starts, length)]] * powers(BYTE_BASE, int(length.max()))[inside]
     return mix(np.add.reduceat(value, begin) + length.astype(U), seed)
 
 
