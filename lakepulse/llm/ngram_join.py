@@ -103,7 +103,7 @@ def signatures(sets: Sets, percent: int) -> tuple[np.ndarray, np.ndarray]:
     for r in np.flatnonzero(rare < need):
         first, end = sets.first[r] + rare[r], sets.first[r + 1]
         top = int(n[r]).bit_length() - 1
-        for level in {top, top - 1} if percent * n[r] < 100 << top else {top}:
+        for level in {top, max(0, top - 1)} if percent * n[r] < 100 << top else {top}:
             if 1 << level < PAIRS_FROM:
                 more = tx.mix(sets.token[first : min(end, sets.first[r] + need[r])], 11)
             else:
