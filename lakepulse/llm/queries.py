@@ -3,17 +3,56 @@
 from __future__ import annotations
 
 from .fingerprints import op8_document_fingerprints
+from .lm_scoring import op10_lm_scoring
+from .media import op6_media_columns
 from .mixing import op9_mix_sources
 from .ngram_join import op7_ngram_jaccard_join
 from .packing import op4_best_fit_packing
 from .quality import op5_quality_classifier
 from .substring_dedup import op2_substring_dedup
 from .url_filters import op3_url_filters
+from .warc import op1_warc
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op2_substring_dedup, op3_url_filters, op4_best_fit_packing, op5_quality_classifier, op7_ngram_jaccard_join, op8_document_fingerprints, op9_mix_sources)}
+    every = (op1_warc, op2_substring_dedup, op3_url_filters, op4_best_fit_packing, op5_quality_classifier, op6_media_columns, op7_ngram_jaccard_join, op8_document_fingerprints, op9_mix_sources, op10_lm_scoring)
+    return {f.__name__: f for f in every}
+
+
+#: DuckDB takes the WARC plan from the table: what a round trip must give back.
+WARC = """
+WITH p AS (SELECT page_id, url, encode(coalesce(html, '')) AS body FROM pages),
+d AS (SELECT page_id, url, octet_length(body) AS n, sha1(body) AS digest FROM p),
+k AS (SELECT digest, n, max(page_id) AS kept FROM d WHERE n >= 1000 GROUP BY ALL)
+SELECT page_id, CAST(d.n AS BIGINT) AS payload_bytes, d.digest AS payload_digest,
+       CASE WHEN kept IS NOT NULL AND page_id IS DISTINCT FROM kept THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN kept IS NOT NULL AND page_id IS DISTINCT FROM kept THEN kept END AS refers_to, url
+FROM d LEFT JOIN k ON d.digest = k.digest AND d.n = k.n
+"""
+
+SUBSTRINGS = r"""
+WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+windows AS (SELECT doc_id, s, array_to_string(ws[s:s + 19], ' ') AS k FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - 18)) AS s FROM d)),
+late AS (SELECT doc_id, s FROM (SELECT doc_id, s, row_number() OVER (PARTITION BY k ORDER BY doc_id, s) AS r FROM windows) WHERE r > 1),
+gone AS (SELECT DISTINCT doc_id, i FROM (SELECT doc_id, unnest(range(s, s + 20)) AS i FROM late)),
+words AS (SELECT doc_id, unnest(ws) AS w, generate_subscripts(ws, 1) AS i FROM d),
+kept AS (SELECT doc_id, string_agg(w, ' ' ORDER BY i) AS t, count(*) AS n FROM words ANTI JOIN gone USING (doc_id, i) GROUP BY doc_id)
+SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(len(ws) - coalesce(n, 0) AS BIGINT) AS n_removed, sha256(coalesce(t, '')) AS kept_sha256
+FROM d LEFT JOIN kept USING (doc_id)
+"""
+
+LINKS = r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+g AS (SELECT DISTINCT doc_id, array_to_string(ws[s:s + 3], ' ') AS k FROM (SELECT doc_id, ws, unnest(range(1, greatest(len(ws) - 2, 2))) AS s FROM d WHERE len(ws) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM g GROUP BY doc_id),
+p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM g a JOIN g b ON a.k = b.k AND a.doc_id <> b.doc_id GROUP BY ALL),
+e AS (SELECT a, b FROM p JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * c >= 85 * (x.n + y.n - c)),
+r(doc_id, m) AS (SELECT doc_id, doc_id FROM d UNION SELECT r.doc_id, e.b FROM r JOIN e ON e.a = r.m)
+SELECT d.doc_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_shingles, min(r.m) AS component_id
+FROM d LEFT JOIN n USING (doc_id) JOIN r USING (doc_id) GROUP BY ALL
+"""
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op1_warc": WARC, "op2_substring_dedup": SUBSTRINGS, "op7_ngram_jaccard_join": LINKS}
