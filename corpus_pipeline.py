@@ -1,18 +1,68 @@
-"""From documents to packed training sequences."""
+"""From documents to packed training sequences: quality, near duplicates, repeated passages, source mix, packing.
+
+Each stage takes (spark, docs, sf_dir) and returns a DataFrame; all but the last return the columns of documents. Stages work on
+all that the one before kept, and are written as Parquet and read again.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from lakepulse.llm.common import save, table
+from lakepulse.llm.mixing import mixed_documents
+from lakepulse.llm.ngram_join import link_documents
+from lakepulse.llm.packing import pack
+from lakepulse.llm.quality import score_quality
+from lakepulse.llm.substring_dedup import repeated_windows
+
+#: Documents with a score below this go.
+QUALITY = 0.7
+#: Near duplicates: word n-grams, and per cent of Jaccard similarity.
+SHINGLE, SIMILAR = 5, 80
+#: Words of a passage that is kept only where it stands first.
+PASSAGE = 20
+
+
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality classifier, learned from the table of labels, doesn't reject."""
+    scored = score_quality(docs, table(spark, sf_dir, "labels"), docs.columns)
+    return scored.where(F.col("score") >= QUALITY).select("row.*")
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of linked documents: that of the smallest doc_id. Documents without words or without id all stay."""
+    linked = link_documents(docs, n=SHINGLE, percent=SIMILAR)
+    kept = linked.where(F.col("doc_id") == F.col("component_id")).select("doc_id").distinct()
+    return docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(docs.columns).union(docs.where("doc_id is null"))
+
+
+def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without the passages that stand earlier; texts that lose nothing stay as they are, those that lose all their words go."""
+    found = repeated_windows(docs, PASSAGE).where("n_removed = 0 or n_removed < n_words")
+    text = F.when(F.col("n_removed") > 0, F.col("kept")).otherwise(F.col("row.text"))
+    new = {"text": text, "n_chars": F.length(text).cast(docs.schema["n_chars"].dataType)}
+    return found.select(*[new.get(c, F.col("row")[c]).alias(c) for c in docs.columns])
+
+
+def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents as often as the mix of sources takes them."""
+    return mixed_documents(docs)
+
+
+def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token pieces and their places in sequences."""
+    return pack(docs)
+
 
-STAGES: list = []
+STAGES = [("quality", quality), ("near_duplicates", near_duplicates), ("repeated_passages", repeated_passages), ("source_mix", source_mix), ("packing", packing)]
 
-#: The model and the packing search can't be put into SQL; tests hold each stage against a brute-force version.
+#: Trained rules, component search and the packing search can't be put into SQL; tests hold each stage against a brute-force version.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The pieces that all stages together make of the table documents."""
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES:
         docs = save(stage(spark, docs, sf_dir), name)
