@@ -30,8 +30,10 @@ CHUNK_ROWS, CHUNK_BYTES = 1 << 14, 4 << 20
 PAIRS_FROM = 8
 #: So many ids (16 bytes each) are broadcast at the most.
 BROADCAST_IDS = 400_000
-#: Candidates are first compared on the tokens whose first bits, so many, are 0.
-PART_BITS = 2
+#: Sketches have so many bits at least; index entries are compared on sketches folded to that.
+SKETCH_BITS = 1024
+#: Members of one index entry that are compared in one place.
+BLOCK_ROWS = 1024
 
 
 def _chunks(batches):
@@ -213,42 +215,119 @@ def _ends(pairs: DataFrame) -> DataFrame:
     return pairs.select("a").union(pairs.select("b")).distinct().withColumnRenamed("a", "doc_id")
 
 
-def _sets(docs: DataFrame, n: int, lower: bool, part: int = 0) -> DataFrame:
-    """(doc_id, n, tokens): the set of each document, or of it the tokens whose first `part` bits are 0."""
+def _sets(docs: DataFrame, n: int, lower: bool) -> DataFrame:
+    """(doc_id, n, tokens): the whole set of each document."""
 
     def take(batches):
         for chunk in _chunks(batches):
             sets = Sets(chunk.column("text"), n, lower)
-            keep = sets.token < U(1 << (TOKEN_BITS - part))
-            packed = [_packed(sets.token[s:e][keep[s:e]]) for s, e in zip(sets.first[:-1], sets.first[1:])]
+            packed = [_packed(sets.token[s:e]) for s, e in zip(sets.first[:-1], sets.first[1:])]
             yield pa.RecordBatch.from_arrays([chunk.column("doc_id"), pa.array(sets.count, pa.int64()), pa.array(packed, pa.binary())], names=["doc_id", "n", "tokens"])
 
     return docs.mapInArrow(take, "doc_id long, n long, tokens binary")
 
 
-def _similar(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) that can be linked, seen from these sets or equal parts of them; of whole sets, those that are."""
+def sketch(token: np.ndarray) -> np.ndarray:
+    """A bit for each cell of tokens: whether their number is odd. Two sets differ in as many tokens at least as their sketches do in bits."""
+    bits = max(SKETCH_BITS, 1 << max(0, len(token) - 1).bit_length())
+    odd = np.bincount((tx.mix(token, 50) & U(bits - 1)).astype(np.int64), minlength=bits) & 1
+    return np.packbits(odd.reshape(-1, SKETCH_BITS).astype(np.uint8), axis=1)
+
+
+def fold(sketch_: np.ndarray, rows: int) -> np.ndarray:
+    """A sketch of fewer rows: cells that coincide in it are added up."""
+    return np.bitwise_xor.reduce(sketch_.reshape(-1, rows, sketch_.shape[1]), axis=0)
+
+
+def _sketches(docs: DataFrame, n: int, lower: bool) -> DataFrame:
+    """(doc_id, n, sketch, folded)"""
+
+    def take(batches):
+        for chunk in _chunks(batches):
+            sets = Sets(chunk.column("text"), n, lower)
+            found = [sketch(sets.token[s:e]) for s, e in zip(sets.first[:-1], sets.first[1:])]
+            columns = [chunk.column("doc_id"), pa.array(sets.count, pa.int64()), pa.array([x.tobytes() for x in found], pa.binary()), pa.array([fold(x, 1).tobytes() for x in found], pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "n", "sketch", "folded"])
+
+    return docs.mapInArrow(take, "doc_id long, n long, sketch binary, folded binary")
+
+
+def least_common(nx, ny, percent: int):
+    """How many tokens linked sets of these sizes have in common at least."""
+    return -(-percent * (nx + ny) // (100 + percent))
+
+
+def _differ(x: bytes, y: bytes) -> int:
+    """Bits in which two sketches differ, folded to the same size."""
+    x, y = (np.frombuffer(v, np.uint8).reshape(-1, SKETCH_BITS // 8) for v in (x, y))
+    rows = min(len(x), len(y))
+    return int(np.bitwise_count(fold(x, rows) ^ fold(y, rows)).sum())
+
+
+def _common(x: bytes, y: bytes) -> int:
+    both = np.concatenate([_unpacked(x), _unpacked(y)])
+    both.sort()
+    return int(np.count_nonzero(both[1:] == both[:-1]))
+
+
+def _holding(pairs: DataFrame, rows: DataFrame, column: str, can_link) -> DataFrame:
+    """The pairs (a, b) for which can_link(n of a, n of b, column of a, column of b)."""
 
     def verify(batches):
         for batch in batches:
-            sizes = zip(batch.column("left_n").to_numpy(), batch.column("right_n").to_numpy())
-            left, right, links = batch.column("left"), batch.column("right"), []
-            for i, (nx, ny) in enumerate(sizes):
-                x, y = _unpacked(left[i].as_py()), _unpacked(right[i].as_py())
-                both = np.concatenate([x, y])
-                both.sort()
-                common = int(np.count_nonzero(both[1:] == both[:-1]))
-                least = -(-percent * int(nx + ny) // (100 + percent))  # common tokens that linked sets have
-                links.append(len(x) - common <= nx - least and len(y) - common <= ny - least)
+            sizes = zip(batch.column("left_n").to_pylist(), batch.column("right_n").to_pylist())
+            left, right = batch.column("left"), batch.column("right")
+            links = [can_link(nx, ny, left[i].as_py(), right[i].as_py()) for i, (nx, ny) in enumerate(sizes)]
             yield batch.select(["a", "b"]).filter(pa.array(links, pa.bool_()))
 
-    sets = _only(sets, _ends(pairs))
-    left = sets.select(F.col("doc_id").alias("a"), F.col("tokens").alias("left"), F.col("n").alias("left_n"))
-    right = sets.select(F.col("doc_id").alias("b"), F.col("tokens").alias("right"), F.col("n").alias("right_n"))
+    rows = _only(rows, _ends(pairs))
+    left, right = (rows.select(F.col("doc_id").alias(k), F.col(column).alias(side), F.col("n").alias(f"{side}_n")) for k, side in (("a", "left"), ("b", "right")))
     joined = pairs.select("a", "b").join(left, "a").join(right, "b")
     return joined.select("a", "b", "left", "left_n", "right", "right_n").mapInArrow(verify, "a long, b long").distinct()
 
 
+def _cross_pairs(rest: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) of members of an index entry in different components whose sketches don't rule a link out.
+
+    Entries are compared where they meet, only such pairs leave. An entry of many members is cut into blocks, and each two blocks of
+    it meet in a place of their own, so no place holds more than two blocks of an entry.
+    """
+    spark = rest.sparkSession
+    parts = rest.groupBy("sig").agg(F.ceil(F.count("*") / BLOCK_ROWS).cast("int").alias("parts"))
+    cut = rest.join(parts, "sig").withColumn("part", F.pmod(F.xxhash64("doc_id"), F.col("parts")).cast("int"))
+    other = F.explode(F.sequence(F.lit(0), F.col("parts") - 1))
+    cut = cut.withColumn("other", other).select("sig", "doc_id", "n", "component", "part", F.least("part", "other").alias("low"), F.greatest("part", "other").alias("high"))
+    cut = cut.join(sketches.select("doc_id", "folded"), "doc_id")
+    n_buckets = max(n_partitions(spark), rest.count() // 50_000)
+    cut = cut.withColumn("bucket", F.pmod(F.xxhash64("sig", "low", "high"), F.lit(n_buckets)))
+
+    def compare(table_: pa.Table) -> pa.Table:
+        get = lambda c: table_.column(c).to_numpy()
+        sig, low, high = get("sig"), get("low"), get("high")
+        order = np.lexsort((get("doc_id"), high, low, sig))
+        sig, low, high = sig[order], low[order], high[order]
+        doc, n, component, part = (get(c)[order] for c in ("doc_id", "n", "component", "part"))
+        bits = np.frombuffer(b"".join(table_.column("folded").to_pylist()), np.uint64).reshape(len(doc), -1)[order]
+        group = np.cumsum(np.concatenate([[False], (sig[1:] != sig[:-1]) | (low[1:] != low[:-1]) | (high[1:] != high[:-1])])[: len(doc)])
+        a, b, first = [], [], np.arange(len(doc))
+        for step in range(1, len(doc)):  # each member with the one `step` after it, in all groups at once
+            first = first[first + step < len(doc)]
+            first = first[group[first] == group[first + step]]
+            if not len(first):
+                break
+            x, y = first, first + step
+            some = (component[x] != component[y]) & (100 * np.minimum(n[x], n[y]) >= percent * np.maximum(n[x], n[y]))
+            some &= (part[x] != part[y]) | (low[x] == high[x])  # members of one block meet where only that block does
+            x, y = x[some], y[some]
+            near = np.bitwise_count(bits[x] ^ bits[y]).sum(axis=1) <= n[x] + n[y] - 2 * least_common(n[x], n[y], percent)
+            a.append(np.minimum(doc[x][near], doc[y][near]))
+            b.append(np.maximum(doc[x][near], doc[y][near]))
+        found = np.unique(np.stack([np.concatenate(a), np.concatenate(b)], axis=1), axis=0) if a else np.zeros((0, 2), np.int64)
+        return pa.table({"a": pa.array(found[:, 0], pa.int64()), "b": pa.array(found[:, 1], pa.int64())})
+
+    return cut.groupBy("bucket").applyInArrow(compare, "a long, b long").distinct()
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(node, component) of all nodes with an edge; component is the least node reachable. Alternates large and small stars."""
     spark, before = edges.sparkSession, None
@@ -285,12 +364,14 @@ def link_documents(docs: DataFrame, n: int = 4, percent: int = 85, lower: bool =
     linked = docs.where("doc_id is not null")
     index = _index(linked, n, lower, percent, frequent, max(n_partitions(docs.sparkSession), buckets_for(total // 4)))
 
-    parts = save(_sets(_only(linked, index.select("doc_id").distinct()), n, lower, PART_BITS), "parts")
+    sketches = save(_sketches(_only(linked, index.select("doc_id").distinct()), n, lower), "sketches")
 
     def verified(pairs: DataFrame) -> DataFrame:
-        likely = save(_similar(pairs, parts, percent), "likely")
+        likely = save(_holding(pairs, sketches, "sketch", lambda nx, ny, x, y: _differ(x, y) <= nx + ny - 2 * least_common(nx, ny, percent)), "likely")
         whole = save(_sets(_only(linked, _ends(likely)), n, lower), "sets")
-        return save(_similar(likely, whole, percent), "links")
+        found = save(_holding(likely, whole, "tokens", lambda nx, ny, x, y: _common(x, y) >= least_common(nx, ny, percent)), "links")
+        discard(likely, whole)
+        return found
 
     similar = lambda x, y: (F.col(x) * 100 >= F.col(y) * percent) & (F.col(y) * 100 >= F.col(x) * percent)
     pair = lambda x, y: (F.least(x, y).alias("a"), F.greatest(x, y).alias("b"))
@@ -305,15 +386,14 @@ def link_documents(docs: DataFrame, n: int = 4, percent: int = 85, lower: bool =
         tried = pairs if tried is None else tried.union(pairs)
         links = new if links is None else links.union(new)
         found = save(components(links), "components")
-    rest = _unsettled(index, found)
-    x, y = (rest.select(*[F.col(c).alias(f"{c}_{s}") if c != "sig" else F.col(c) for c in ("sig", "doc_id", "n", "component")]) for s in "xy")
-    pairs = x.join(y, "sig").where(F.col("component_x") < F.col("component_y")).where(similar("n_x", "n_y")).select(*pair("doc_id_x", "doc_id_y")).distinct()
+    rest = save(_unsettled(index, found).select("sig", "doc_id", "n", "component"), "rest")
+    pairs = _cross_pairs(rest, sketches, percent)
     more = verified(save(pairs.join(tried, ["a", "b"], "left_anti"), "pairs"))
     classes = known.where("doc_id is not null and n > 0").groupBy("n", "a", "b").agg(F.min("doc_id").alias("node"))
     repeated = known.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").select("doc_id")
     same_id = known.join(repeated, "doc_id", "left_semi").join(classes, ["n", "a", "b"]).select(F.col("doc_id").alias("a"), F.col("node").alias("b"))
     found = save(components(links.union(more).union(same_id)), "components")
-    discard(index, parts)
+    discard(index, sketches, rest)
 
     rows = known.join(classes, ["n", "a", "b"], "left")
     rows = rows.join(found, "node", "left").withColumn("component_id", F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "node", "doc_id")))
