@@ -330,9 +330,9 @@ def _cross_pairs(rest: DataFrame, sketches: DataFrame, percent: int) -> DataFram
 
 def components(edges: DataFrame) -> DataFrame:
     """(node, component) of all nodes with an edge; component is the least node reachable. Alternates large and small stars."""
-    spark, before = edges.sparkSession, None
+    before = None
     edges = save(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v").distinct(), "edges")
-    while True:
+    while not edges.isEmpty():
         both = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
         large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
@@ -343,8 +343,9 @@ def components(edges: DataFrame) -> DataFrame:
         discard(edges)
         edges = new
         if after == before:
-            return edges.select(F.col("u").alias("node"), F.col("v").alias("component")).union(edges.select("v", "v").distinct())
+            break
         before = after
+    return edges.select(F.col("u").alias("node"), F.col("v").alias("component")).union(edges.select("v", "v").distinct())
 
 
 def link_documents(docs: DataFrame, n: int = 4, percent: int = 85, lower: bool = True, frequent_df: int = 32) -> DataFrame:
@@ -367,12 +368,18 @@ def link_documents(docs: DataFrame, n: int = 4, percent: int = 85, lower: bool =
     sketches = save(_sketches(_only(linked, index.select("doc_id").distinct()), n, lower), "sketches")
 
     def verified(pairs: DataFrame) -> DataFrame:
+        if pairs.isEmpty():
+            return pairs
         likely = save(_holding(pairs, sketches, "sketch", lambda nx, ny, x, y: _differ(x, y) <= nx + ny - 2 * least_common(nx, ny, percent)), "likely")
         whole = save(_sets(_only(linked, _ends(likely)), n, lower), "sets")
         found = save(_holding(likely, whole, "tokens", lambda nx, ny, x, y: _common(x, y) >= least_common(nx, ny, percent)), "links")
         discard(likely, whole)
         return found
 
+    def merged(links: DataFrame, before: DataFrame | None, new: DataFrame) -> DataFrame:
+        """The components of links; those of before if nothing new links."""
+        return before if before is not None and new.isEmpty() else save(components(links), "components")
+
     similar = lambda x, y: (F.col(x) * 100 >= F.col(y) * percent) & (F.col(y) * 100 >= F.col(x) * percent)
     pair = lambda x, y: (F.least(x, y).alias("a"), F.greatest(x, y).alias("b"))
     tried = None
@@ -385,7 +392,7 @@ def link_documents(docs: DataFrame, n: int = 4, percent: int = 85, lower: bool =
         new = verified(pairs)
         tried = pairs if tried is None else tried.union(pairs)
         links = new if links is None else links.union(new)
-        found = save(components(links), "components")
+        found = merged(links, found, new)
     rest = save(_unsettled(index, found).select("sig", "doc_id", "n", "component"), "rest")
     pairs = _cross_pairs(rest, sketches, percent)
     more = verified(save(pairs.join(tried, ["a", "b"], "left_anti"), "pairs"))
