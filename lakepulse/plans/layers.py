@@ -264,10 +264,10 @@ def wins_1(spark, d):
     return found.select("brand", F.round("cap", 4).alias("cap"), "n")
 
 
-@query("wins_2_clip", with_("players", "stakes") + ", c AS (SELECT brand, quantile_cont(stake_c, 0.995) AS cap FROM stakes JOIN players USING (player_id) WHERE stake_c > 0 GROUP BY ALL) SELECT order_id, round(least(stake_c, cap), 2) AS stake_c FROM stakes JOIN players USING (player_id) JOIN c USING (brand)")
+@query("wins_2_clip", with_("players", "stakes") + ", c AS (SELECT brand, quantile_cont(stake_c, 0.995) AS cap FROM stakes JOIN players USING (player_id) WHERE stake_c > 0 GROUP BY ALL) SELECT order_id, CAST(floor(least(stake_c, cap)) AS BIGINT) AS stake_c FROM stakes JOIN players USING (player_id) JOIN c USING (brand)")
 def wins_2(spark, d):
     rows = lens.stakes(spark, d).join(lens.players(spark, d), "player_id")
-    return rows.join(F.broadcast(profiles.caps(rows, "stake_c", ["brand"]).select("brand", "cap")), "brand").select("order_id", F.round(F.least("stake_c", "cap"), 2).alias("stake_c"))
+    return rows.join(F.broadcast(profiles.caps(rows, "stake_c", ["brand"]).select("brand", "cap")), "brand").select("order_id", F.floor(F.least("stake_c", "cap")).cast("long").alias("stake_c"))
 
 
 @query("chk_1_formula", with_("gaming") + """, e AS (SELECT provider, payout_c AS t, stake_c * 0.95::DOUBLE AS e FROM gaming), q AS (SELECT provider, count(*) AS n, count(*) FILTER (abs(t - e) <= 1 + 0.02::DOUBLE * abs(e)) AS ok, count(*) FILTER (t - e > 1 + 0.02::DOUBLE * abs(e)) AS higher, count(*) FILTER (e - t > 1 + 0.02::DOUBLE * abs(e)) AS lower FROM e GROUP BY ALL)
