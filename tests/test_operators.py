@@ -90,3 +90,12 @@ def test_shifted_is_not_lost(spark):
     right = spark.createDataFrame([(1, d), (2, d + dt.timedelta(days=1))], "k int, day date")
     got = keys.shifted_keys(left, right, ["k"], "day").first()
     assert (got.missing, got.lost) == (2, 1)
+
+
+def test_level_shift_sets_the_mean(spark):
+    from lakepulse.operators import models
+
+    rows = spark.createDataFrame([("a", p / 100, 0.5) for p in range(10, 60)], "g string, p double, rate double")
+    s = models.level_shift(rows, "p", ["g"], "rate").first()["shift"]
+    moved = rows.select(F.avg(1 / (1 + F.exp(-(F.log(F.col("p") / (1 - F.col("p"))) + s))))).first()[0]
+    assert moved == pytest.approx(0.5, abs=1e-3)
