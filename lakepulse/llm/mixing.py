@@ -7,7 +7,7 @@ import math
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import discard, save, table, words_of
+from .common import save, table, words_of
 
 
 def cyclic_weights(cycle: tuple[float, ...] = (1, 2, 3)) -> Column:

@@ -16,7 +16,6 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import text as tx
 from .common import fresh_path, save, ship, table
 from .files import open_uri, written
 
