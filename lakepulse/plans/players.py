@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from lakepulse.operators import activity as act
 from lakepulse.operators import evaluate as ev
-from lakepulse.operators import keys, labels, profiles, sessions, signals
+from lakepulse.operators import labels, sessions, signals
 from lakepulse.sources import lens
 from lakepulse.sources.lens import with_
 
