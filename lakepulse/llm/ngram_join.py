@@ -195,8 +195,9 @@ def _index(docs: DataFrame, n: int, lower: bool, percent: int, frequent: np.ndar
         first = np.flatnonzero(np.concatenate([[True], e["sig"][1:] != e["sig"][:-1]])[: len(e)])
         size = np.diff(np.append(first, len(e)))
         out = {"sig": e["sig"].view(np.int64), "doc_id": e["doc"], "n": e["n"]}
-        for k in (1, 2):
-            order = np.lexsort((tx.mix(e["doc"].view(U), 30 + k), e["sig"]))
+        # The first leader is alike in all entries of a group, the second is one of 32.
+        for k, rank in ((1, tx.mix(e["doc"].view(U), 31)), (2, tx.mix(e["doc"].view(U) + tx.mix(e["sig"] & U(31), 33), 32))):
+            order = np.lexsort((rank, e["sig"]))
             at = np.repeat(order[first], size) if len(e) else order
             out |= {f"leader{k}": e["doc"][at], f"leader{k}_n": e["n"][at]}
         return pa.table(out)
