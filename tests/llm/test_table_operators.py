@@ -93,6 +93,18 @@ def test_packing(spark, sf):
     assert packing.pack(docs.limit(0)).count() == 0
 
 
+def test_packing_gives_added_tokens_their_ids(spark):
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    texts = ["a <|endoftext|> b", "<|endoftext|>", "x<|endoftext|><|endoftext|>  y", "a \n<|endoftext|>\n b", "it<|endoftext|>'s", "<|endoftext|", "<|ENDOFTEXT|>", "é <|endoftext|> 中  "]
+    ref = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    rows = packing.pack(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    want = [np.array([*ref.encode(t, add_special_tokens=False).ids, 0], "<u4") for t in texts]
+    assert sum(50256 in w for w in want) == 6
+    assert {r.doc_id: (r.length, r.ids_crc32) for r in rows} == {i: (len(w), zlib.crc32(w.tobytes())) for i, w in enumerate(want)}
+
+
 @pytest.mark.parametrize("sizes", [[6, 6, 5, 5, 4, 4], [7, 5, 5, 4, 3, 3, 3], [9, 8, 2, 1], [10] * 3, [1] * 7, [6, 5, 5, 4, 4, 3, 2, 1]])
 def test_bin_completion_is_optimal_on_small_cases(sizes):
     counts = np.bincount(sizes, minlength=11)
