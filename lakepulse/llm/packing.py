@@ -1,8 +1,8 @@
 """Best-fit packing of token pieces into sequences, by bin completion.
 
 Only the number of pieces of each size goes to the driver (as many counts as a sequence has tokens). Bin completion plans on them:
-around the largest piece left, undominated fillings are enumerated and used as often as their sizes last; branches that waste
-more than the best plan so far are cut, and the best-fit plan is the first of these. Pieces then take their places by their rank
+around the largest piece left, undominated fillings of any number of pieces are enumerated and used as often as their sizes last, or
+less often; branches that can't take fewer bins than the best plan so far are cut, and the best-fit plan is the first of these. Pieces then take their places by their rank
 among pieces of equal size, which is a distributed prefix sum.
 """
 
@@ -11,7 +11,11 @@ from __future__ import annotations
 import base64
 import json
 import zlib
-from collections import Counter
+from bisect import bisect_right
+from collections import Counter, deque
+from collections.abc import Iterator
+from hashlib import blake2b
+from itertools import islice
 from pathlib import Path
 
 import numpy as np
@@ -24,6 +28,8 @@ from . import text as tx
 from .common import save, ship, table
 
 CAPACITY, END = 2048, 0
+#: Where the search for a better plan ends: branches taken, steps of the enumeration of fillings.
+NODES, STEPS = 20_000, 200_000
 
 
 def encoder(vocabulary: str):
@@ -82,28 +88,6 @@ def pieces(docs: DataFrame, capacity: int = CAPACITY, vocabulary: str | None = N
     return save(docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(tokenize, schema), "pieces")
 
 
-def exact_fillings(total: int, counts: np.ndarray, sizes: np.ndarray, most: int) -> list[tuple[int, ...]]:
-    """Up to `most` multisets of one to three sizes that sum to total, those with larger sizes first. A single size dominates all others."""
-    if total <= 0:
-        return []
-    if counts[total]:
-        return [(total,)]
-    out = []
-    large = sizes[sizes < total]
-    for a in (0, *large[large >= total / 3][:8]):
-        rest = total - a
-        b = large[(large < rest) & (large <= a)] if a else large
-        c = rest - b
-        ok = (c <= b) & (counts[c] > 0) & ((c != b) | (counts[b] > 1))
-        for x, y in zip(b[ok][:most], c[ok][:most]):
-            filling = tuple(int(v) for v in (a, x, y) if v)
-            if all(counts[v] >= k for v, k in Counter(filling).items()):
-                out.append(filling)
-        if len(out) >= most:
-            break
-    return out[:most]
-
-
 def best_fit(gap: int, counts: np.ndarray, sizes: np.ndarray) -> tuple[int, ...]:
     """The largest size that fits, again and again."""
     out, left = [], Counter()
@@ -115,21 +99,71 @@ def best_fit(gap: int, counts: np.ndarray, sizes: np.ndarray) -> tuple[int, ...]
     return tuple(out)
 
 
-def fillings(gap: int, counts: np.ndarray, most: int = 3, slack: int = 64) -> list[tuple[int, ...]]:
-    """Undominated fillings of a gap, least waste first: the least waste that any has, then the best-fit one."""
-    sizes = np.flatnonzero(counts[: gap + 1])[::-1]
-    if not len(sizes):
-        return [()]
-    greedy = best_fit(gap, counts, sizes)
-    out = []
-    for waste in range(min(slack, gap - sum(greedy) + 1)):
-        if out := exact_fillings(gap - waste, counts, sizes, most):
-            break
-    if not out or sum(greedy) > sum(out[0]):
-        out = [greedy, *out]
-    elif greedy not in out:
-        out.append(greedy)
-    return out
+def _spread(bits: int, width: int) -> int:
+    """The bits and those up to `width` places above each."""
+    done = 0
+    while done < width:
+        step = min(done + 1, width - done)
+        bits |= bits << step
+        done += step
+    return bits
+
+
+def fillings(gap: int, counts: np.ndarray, spent: list[int] | None = None) -> Iterator[tuple[int, ...]]:
+    """All undominated multisets of sizes that fit a gap, least waste first, then those with larger sizes first.
+
+    A filling is dominated if a piece left can take the place of none, one or several of its pieces without being smaller than
+    them together: what it gives free fits where that piece was. Partial sums lead only to sums that can be reached, and a part whose
+    rest a single piece fills as well or better is not taken further. spent[0] counts the steps of the search.
+    """
+    spent = [0] if spent is None else spent
+    sizes = [int(v) for v in np.flatnonzero(counts[: gap + 1]) if v]
+    have = {v: min(int(counts[v]), gap // v + 1) for v in sizes}
+    every, within = sum(1 << v for v in sizes), (1 << (gap + 1)) - 1
+    reach = [1]  # sums of the first i sizes
+    for v in sizes:
+        sums, left, k = reach[-1], have[v], 1
+        while left:
+            k = min(k, left)
+            sums |= (sums << (k * v)) & within
+            left, k = left - k, 2 * k
+        reach.append(sums)
+
+    def undominated(own: tuple[int, ...], waste: int) -> bool:
+        left, one, more = every, 0, 0
+        for v, k in Counter(own).items():
+            if k >= have[v]:
+                left &= ~(1 << v)
+        for v in own:
+            more |= (one | more) << v
+            one |= 1 << v
+        return not (_spread(1 | more, waste) & left or waste and _spread(one << 1, waste - 1) & left)
+
+    def extend(rest: int, top: int, own: tuple[int, ...], left: int, waste: int):
+        """Fillings of exactly `rest` by sizes[:top] after `own`; `left` has the sizes of which pieces are left."""
+        spent[0] += 1
+        if not rest:
+            if undominated(own, waste):
+                yield own
+            return
+        better = left >> rest & ((2 << waste) - 1)
+        if better > 1:
+            return
+        if better:
+            if sizes[top - 1] >= rest and undominated((*own, rest), waste):
+                yield (*own, rest)
+            return
+        for i in range(bisect_right(sizes, rest, 0, top) - 1, -1, -1):
+            v, k = sizes[i], own.count(sizes[i])
+            if not reach[i + 1] >> rest & 1:
+                return
+            if k < have[v] and reach[i + 1] >> (rest - v) & 1:
+                yield from extend(rest - v, i + 1, (*own, v), left & ~(1 << v) if k + 1 == have[v] else left, waste)
+
+    most = min((v for v in sizes if have[v] > gap // v), default=gap + 1) - 1  # a size that no filling uses up fits into more waste
+    for waste in range(min(most, gap) + 1):
+        if reach[-1] >> (gap - waste) & 1:
+            yield from extend(gap - waste, len(sizes), (), every, waste)
 
 
 def bins(plan: list[tuple[tuple[int, ...], int]]) -> int:
@@ -156,37 +190,75 @@ def _use(counts: np.ndarray, pattern: tuple[int, ...]) -> int:
     return times
 
 
-def plan_bins(counts: np.ndarray, capacity: int = CAPACITY, nodes: int = 20_000) -> list[tuple[tuple[int, ...], int]]:
-    """Patterns of sizes and how often to use each, for counts[size] pieces. The search ends at the lower bound or after `nodes` fillings."""
-    total = int((np.arange(len(counts)) * counts).sum())
-    lower = -(-total // capacity)
+def least_bins(counts: np.ndarray, capacity: int) -> int:
+    """A lower bound: pieces over half a bin lie apart, and those of at least a size share what these leave (Martello and Toth)."""
+    size = np.arange(len(counts))
+    n, total = np.concatenate([[0], np.cumsum(counts)]), np.concatenate([[0], np.cumsum(counts * size)])
+    half = capacity // 2
+    low = np.arange(half + 1)
+    apart = n[-1] - n[half + 1]
+    sharing, their = n[capacity - low + 1] - n[half + 1], total[capacity - low + 1] - total[half + 1]
+    small = total[half + 1] - total[low]
+    return int((apart + np.maximum(0, -(-(small - (sharing * capacity - their)) // capacity))).max())
+
+
+def plan_bins(counts: np.ndarray, capacity: int = CAPACITY, nodes: int = NODES, steps: int = STEPS) -> list[tuple[tuple[int, ...], int]]:
+    """Patterns of sizes and how often to use each, for counts[size] pieces.
+
+    A branch takes an undominated filling around the largest piece left, as often as it lasts or, later, less often. The search ends
+    at the lower bound, when no branch is left (the plan then has the fewest bins), or after `nodes` branches or `steps` of enumeration.
+    """
     best = best_fit_plan(counts, capacity)
-    best_bins = bins(best)
-    # A branch: counts left, plan so far (a linked list), waste, fillings to try.
-    stack = [(counts.copy(), None, 0, None)]
-    while stack and nodes and best_bins > lower:
-        left, plan, waste, todo = stack.pop()
-        if todo is None:
-            if not left.any():
-                found = []
+    best_bins, lower, spent, seen = bins(best), least_bins(counts, capacity), [0], {}
+
+    def open_branch(left: np.ndarray, plan, used: int):
+        """Counts left, plan so far (a linked list), its bins, fillings to try with how often, how many were listed, whether all."""
+        return [left, plan, used, deque(), 0, False]
+
+    def list_more(branch: list) -> None:
+        """Lists as many fillings again as there were; enumerating anew takes less memory than what a paused search holds."""
+        left, given = branch[0].copy(), branch[4]
+        top = int(np.flatnonzero(left)[-1])
+        left[top] -= 1
+        new = []
+        for f in islice(fillings(capacity - top, left, spent), given, 2 * given + 2):
+            new.append((top, *f))
+            if spent[0] > steps:
+                break
+        branch[4], branch[5] = given + len(new), len(new) < given + 2
+        branch[3].extend((f, min(int(branch[0][v]) // k for v, k in Counter(f).items())) for f in new)
+
+    stack = [open_branch(counts.copy(), None, 0)]
+    while stack and nodes and spent[0] <= steps and best_bins > lower:
+        branch = stack[-1]
+        left, plan, used, todo = branch[:4]
+        if not left.any():
+            stack.pop()
+            if used < best_bins:
+                best, best_bins = [], used
                 while plan:
-                    (pattern, times), plan = plan
-                    found.append((pattern, times))
-                if bins(found) < best_bins:
-                    best, best_bins = found, bins(found)
+                    own, plan = plan
+                    best.append(own)
+            continue
+        if not branch[4]:
+            state = left.tobytes()
+            if used + least_bins(left, capacity) >= best_bins or seen.get(key := blake2b(state, digest_size=16).digest(), best_bins) <= used:
+                stack.pop()
                 continue
-            top = int(np.flatnonzero(left)[-1])
-            left[top] -= 1
-            todo = [(top, *f) for f in fillings(capacity - top, left)]
-            left[top] += 1
-        pattern, *rest = todo
-        if rest:
-            stack.append((left.copy(), plan, waste, rest))
+            seen[key] = used
+        if not branch[5] and (not branch[4] or len(todo) < 2):
+            list_more(branch)
+        if not todo or used + least_bins(left, capacity) >= best_bins:
+            stack.pop()
+            continue
+        pattern, times = todo.popleft()
+        if times > 1:
+            todo.append((pattern, times - 1))
         nodes -= 1
-        times = _use(left, pattern)
-        waste += times * (capacity - sum(pattern))
-        if waste <= (best_bins - 1) * capacity - total:  # else even a perfect rest is no better than the best plan
-            stack.append((left, (((pattern, times)), plan), waste, None))
+        rest = left.copy()
+        for v, k in Counter(pattern).items():
+            rest[v] -= times * k
+        stack.append(open_branch(rest, ((pattern, times), plan), used + times))
     return best
 
 

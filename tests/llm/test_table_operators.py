@@ -3,6 +3,8 @@
 import hashlib
 import io
 import zlib
+from collections import Counter
+from itertools import combinations
 
 import numpy as np
 import pytest
@@ -124,6 +126,36 @@ def test_bin_completion_is_optimal_on_small_cases(sizes):
     assert packing.bins(plan) == fewest(sorted(sizes, reverse=True), [])
 
 
+def test_bin_completion_with_few_sizes():
+    """Fillings of many pieces, with much waste, used less often than they last."""
+    counts = np.zeros(2049, np.int64)
+    counts[[420, 399]] = 600
+    plan = packing.plan_bins(counts)
+    used = Counter()
+    for pattern, times in plan:
+        assert sum(pattern) <= 2048
+        used.update({s: k * times for s, k in Counter(pattern).items()})
+    assert used == {420: 600, 399: 600} and packing.bins(plan) == 250
+
+
+@pytest.mark.parametrize("seed", range(60))
+def test_fillings_are_the_undominated_ones(seed):
+    rng = np.random.default_rng(seed)
+    gap, counts = 14, np.zeros(16, np.int64)
+    counts[rng.integers(1, 16, 4)] = rng.integers(1, 5, 4)
+    pieces = [s for s in range(16) for _ in range(counts[s])]
+    fit = {c for k in range(len(pieces) + 1) for c in combinations(pieces, k) if sum(c) <= gap}
+
+    def dominated(own):
+        left = list((Counter(pieces) - Counter(own)).elements())
+        parts = (c for k in range(len(own) + 1) for c in combinations(own, k))
+        return any(sum(c) <= y <= sum(c) + gap - sum(own) and (y,) != c for c in parts for y in left)
+
+    found = [tuple(sorted(f)) for f in packing.fillings(gap, counts)]
+    assert sorted(found) == sorted(c for c in fit if not dominated(c))
+    assert [sum(f) for f in found] == sorted((sum(f) for f in found), reverse=True)
+
+
 def test_quality(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text").withColumnRenamed("doc_id", "doc_id")
     labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet")
