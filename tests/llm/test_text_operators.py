@@ -167,3 +167,35 @@ def test_network_gradient():
         down = net.gradient(x, valid, share)[0]
         p[1, 2] += eps
         assert grad[name][1, 2] == pytest.approx((up - down) / (2 * eps), abs=1e-6)
+
+
+def test_network_learns_from_all_training_documents(spark, monkeypatch):
+    """Steps after the sample reach the subwords of every training document, and no other ones."""
+    docs = [(i, passage(i, 30 + i % 70)) for i in range(120)]
+    monkeypatch.setattr(lm_scoring, "SAMPLE_DOCS", 10)
+    reached, step = [], lm_scoring.Adam.step
+
+    def record(self, grad):
+        reached.append(set(np.flatnonzero(np.abs(grad["embed"]).sum(axis=1)).tolist()))
+        step(self, grad)
+
+    monkeypatch.setattr(lm_scoring.Adam, "step", record)
+    frame = spark.createDataFrame(docs, "doc_id long, text string").repartition(3)
+    assert lm_scoring.score_documents(frame).count() == len(docs)
+    encode = lm_scoring.encoder(lm_scoring.default_vocabulary()).encode_ordinary
+    want = {s for i, t in docs if not lm_scoring.held_out_id(i) for w in lowered(t) for s in encode(" " + w)}
+    found = set().union(*reached)
+    assert found <= want and len(found) > 0.99 * len(want)
+
+
+def test_shares_leave_out_the_own_text():
+    texts, topic = ["a b a", "b c", "c c a d"], np.array([0, 1, 0])
+    tokens = lm_scoring.Tokens(pa.array(texts))
+    counts = np.zeros((len(tokens.keys), lm_scoring.TOPICS))
+    np.add.at(counts, (tokens.of, topic[tokens.row]), 1)
+    got = lm_scoring.shares_of_others(tokens, counts, counts.sum(axis=0), len(tokens.keys), topic)
+    for r in range(3):
+        others = counts.copy()
+        np.subtract.at(others, (tokens.of[tokens.row == r], topic[r]), 1)
+        _, want = lm_scoring.shares(others, others.sum(axis=0), len(tokens.keys))
+        assert got[tokens.row == r] == pytest.approx(want[tokens.of[tokens.row == r]], rel=1e-5)
