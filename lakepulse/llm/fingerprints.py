@@ -105,13 +105,14 @@ def with_next(docs: DataFrame, per_part: int = 2000) -> DataFrame:
     parts = int(min(max(1, n // per_part, n_partitions(spark)), 10_000))
     ends = docs.agg(F.percentile_approx("doc_id", [k / parts for k in range(1, parts + 1)], 100 * parts), F.max("doc_id")).first()
     ends = sorted({*(ends[0] or []), *([ends[1]] if ends[1] is not None else [])})  # the largest id of each part
-    if not ends:
-        ends = [0]
+    known = bool(ends)
+    ends = ends or [0]
     # part k holds ids over ends[k-1] up to ends[k]; the id ends[k] also follows part k+1, and the largest follows part 0.
     edges = F.array(*[F.lit(int(e)) for e in ends])
     part = F.aggregate(edges, F.lit(0), lambda acc, e: acc + (F.coalesce(F.col("doc_id"), F.lit(ends[0])) > e).cast("int"))
     rows = docs.select("doc_id", "text", part.alias("part"))
-    extra = F.when(F.col("doc_id") == F.element_at(edges, F.col("part") + 1), (F.col("part") + 1) % len(ends))
+    ends_part = F.col("doc_id") == F.element_at(edges, F.col("part") + 1) if known else F.lit(True)  # without any id, the first text follows the last
+    extra = F.when(ends_part, (F.col("part") + 1) % len(ends))
     rows = rows.withColumn("to", F.explode(F.array_compact(F.array(F.struct(F.col("part"), F.lit(1).alias("own")), F.when(extra.isNotNull(), F.struct(extra.alias("part"), F.lit(0).alias("own")))))))
     rows = rows.select(F.col("to.part").alias("part"), F.col("to.own").alias("own"), "doc_id", "text")
     return rows.repartition(max(n_partitions(spark), parts), "part").sortWithinPartitions("part", F.desc("own"), F.desc_nulls_last("doc_id"), "text")

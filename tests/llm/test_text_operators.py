@@ -199,3 +199,11 @@ def test_shares_leave_out_the_own_text():
         np.subtract.at(others, (tokens.of[tokens.row == r], topic[r]), 1)
         _, want = lm_scoring.shares(others, others.sum(axis=0), len(tokens.keys))
         assert got[tokens.row == r] == pytest.approx(want[tokens.of[tokens.row == r]], rel=1e-5)
+
+
+@pytest.mark.parametrize("texts", [["only one"], ["b two", None, "a one", "c three"]])
+def test_fingerprints_of_rows_without_ids(spark, texts):
+    docs = spark.createDataFrame([(None, t) for t in texts], "doc_id long, text string")
+    order = sorted(t or "" for t in texts)
+    want = [hashlib.sha256(edited(t, o).encode()).hexdigest() for t, o in zip(order, order[1:] + order[:1])]
+    assert sorted(r.edited_sha256 for r in compare_with_edits(docs).collect()) == sorted(want)
