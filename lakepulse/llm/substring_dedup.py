@@ -1,9 +1,9 @@
-"""Removes word windows that already occurred earlier in the corpus, by level-wise doubling.
+"""Removes word windows that already occurred earlier in the corpus, by one doubling of window lengths.
 
 Windows of half the length come first. A long window that repeats holds equal halves, so of each long window one half-length
 window, chosen by content alone (the least hash among those inside it), is looked up over the whole corpus. Half-length windows
-that occur once end there; the windows around the others are extended to twice the length and looked up again. With
-`until=None` the doubling goes on until no candidate survives, which gives each document its longest repeated level.
+that occur once end there; the windows around the others are extended to twice the length and looked up again. That is one
+doubling, to the length asked for; there is no loop over further levels.
 """
 
 from __future__ import annotations
