@@ -2,9 +2,9 @@
 
 Tokens (n-gram hashes) are ordered rare class first, then by hash. A prefix is long enough that a linked partner must share with
 it one rare token, or two frequent tokens of one sub-class; rare tokens are indexed alone and frequent ones in pairs. Candidates
-are verified on whole sets. Equal sets are one class. Within an index entry members are first verified against two leaders; then
-every pair of members that these links have not put into one component is verified, so no link between different sets that
-matters for a component is lost, and no group is expanded into all its pairs.
+are verified on whole sets. Equal sets are one class. Signatures that the same documents share are one group. A group's members
+meet in blocks, which compare sketches, then whole sets, and return only links that join two components: fewer than they have
+members. Every pair that no link has put into one component is compared, so no link that matters for a component is lost.
 """
 
 from __future__ import annotations
@@ -30,10 +30,9 @@ CHUNK_ROWS, CHUNK_BYTES = 1 << 14, 4 << 20
 PAIRS_FROM = 8
 #: So many ids (16 bytes each) are broadcast at the most.
 BROADCAST_IDS = 400_000
-#: Sketches have so many bits at least; index entries are compared on sketches folded to that.
 SKETCH_BITS = 1024
-#: Members of one index entry that are compared in one place.
-BLOCK_ROWS = 1024
+#: Members of one group, and tokens of their sets, that a block has of each side.
+BLOCK_ROWS, BLOCK_TOKENS = 1024, 1 << 19
 
 
 def _chunks(batches):
@@ -154,8 +153,21 @@ def _frequent(census: DataFrame, least: float) -> np.ndarray:
 ENTRY = np.dtype([("sig", "<u8"), ("doc", "<i8"), ("set", "<u8"), ("n", "<i8")])
 
 
-def _index(docs: DataFrame, n: int, lower: bool, percent: int, frequent: np.ndarray, n_buckets: int) -> DataFrame:
-    """Index entries shared by several different sets: (sig, doc_id, n, and two leaders of the entry with their n)."""
+def _bounds(*keys: np.ndarray) -> np.ndarray:
+    """Where a new value begins in sorted keys, and the end."""
+    n = len(keys[0])
+    new = np.ones(n, bool)
+    if n:
+        new[1:] = np.logical_or.reduce([k[1:] != k[:-1] for k in keys])
+    return np.append(np.flatnonzero(new), n)
+
+
+def _groups(docs: DataFrame, n: int, lower: bool, percent: int, frequent: np.ndarray, n_buckets: int) -> DataFrame:
+    """Groups of different sets that share a signature and are of similar size: (first, second, doc_id, n).
+
+    A group has the name of its two leaders, the members of least hash. Signatures that the same documents share, as near copies do,
+    are thus one group, and what several groups of the same leaders hold is one group, too. Of equal sets the least doc_id stands for all.
+    """
 
     def sign(batches):
         flags, chunk = np.unpackbits(frequent).astype(bool), TaskContext.get().partitionId() << 32
@@ -173,84 +185,58 @@ def _index(docs: DataFrame, n: int, lower: bool, percent: int, frequent: np.ndar
             entries["sig"], entries["doc"], entries["set"], entries["n"] = sig, doc[row], a.view(U)[row], sets.count[row]
             bucket = bucket_of(sig, n_buckets)
             order = np.argsort(bucket, kind="stable")
-            edges = np.searchsorted(bucket[order], np.arange(n_buckets + 1))
-            yield to_batch([(b, chunk, entries[order[edges[b] : edges[b + 1]]].tobytes()) for b in range(n_buckets) if edges[b + 1] > edges[b]])
+            edges = _bounds(bucket[order])
+            yield to_batch([(int(bucket[order[s]]), chunk, entries[order[s:e]].tobytes()) for s, e in zip(edges[:-1], edges[1:])])
 
     def meet(part: pa.Table) -> pa.Table:
         e = np.concatenate([np.frombuffer(x.as_py(), ENTRY) for x in part.column("data")])
         e = e[np.argsort(e["sig"], kind="stable")]
-        same = e["sig"][1:] == e["sig"][:-1]
-        several = np.zeros(len(e), bool)
-        several[1:] |= same
-        several[:-1] |= same
-        e = e[several]
+        edges = _bounds(e["sig"])
+        e = e[np.repeat(np.diff(edges) > 1, np.diff(edges))]
         e = e[np.lexsort((e["doc"], e["set"], e["sig"]))]
-        e = e[np.concatenate([[True], (e["sig"][1:] != e["sig"][:-1]) | (e["set"][1:] != e["set"][:-1])])[: len(e)]]
-        e = e[np.lexsort((e["doc"], e["n"], e["sig"]))]
-        near = np.zeros(len(e), bool)  # a member of similar size stands beside it
-        beside = (e["sig"][1:] == e["sig"][:-1]) & (100 * e["n"][:-1] >= percent * e["n"][1:])
-        near[1:] |= beside
-        near[:-1] |= beside
-        e = e[near]
-        first = np.flatnonzero(np.concatenate([[True], e["sig"][1:] != e["sig"][:-1]])[: len(e)])
-        size = np.diff(np.append(first, len(e)))
-        out = {"sig": e["sig"].view(np.int64), "doc_id": e["doc"], "n": e["n"]}
-        # The first leader is alike in all entries of a group, the second is one of 32.
-        for k, rank in ((1, tx.mix(e["doc"].view(U), 31)), (2, tx.mix(e["doc"].view(U) + tx.mix(e["sig"] & U(31), 33), 32))):
-            order = np.lexsort((rank, e["sig"]))
-            at = np.repeat(order[first], size) if len(e) else order
-            out |= {f"leader{k}": e["doc"][at], f"leader{k}_n": e["n"][at]}
-        return pa.table(out)
-
-    sent = docs.mapInArrow(sign, SENT).groupBy("bucket")
-    return save(sent.applyInArrow(meet, "sig long, doc_id long, n long, leader1 long, leader1_n long, leader2 long, leader2_n long"), "index")
-
-
-def _only(rows: DataFrame, ids: DataFrame) -> DataFrame:
-    """rows of these doc_ids: by broadcast while there are few, else by a shuffle."""
-    few = ids.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS
-    return rows.join(F.broadcast(ids) if few else ids, "doc_id", "left_semi")
+        e = e[_bounds(e["sig"], e["set"])[:-1]]
+        e = e[np.lexsort((e["n"], e["sig"]))]
+        # Where sizes leap too far, no set before the leap can link with one after it: a signature falls into runs.
+        apart = np.ones(len(e), bool)
+        apart[1:] = (e["sig"][1:] != e["sig"][:-1]) | (100 * e["n"][:-1] < percent * e["n"][1:])
+        run = np.cumsum(apart)
+        e, run = (x[np.lexsort((tx.mix(e["doc"].view(U), 31), run))] for x in (e, run))
+        edges = _bounds(run)
+        size = np.diff(edges)
+        first = np.repeat(edges[:-1], size)
+        several = np.repeat(size > 1, size)
+        second = np.minimum(first + 1, max(0, len(e) - 1))
+        out = np.stack([e["doc"][first], e["doc"][second], e["doc"], e["n"]], axis=1)[several] if len(e) else np.zeros((0, 4), np.int64)
+        out = np.unique(out, axis=0)
+        return pa.table({c: pa.array(out[:, k], pa.int64()) for k, c in enumerate(("first", "second", "doc_id", "n"))})
+
+    met = docs.mapInArrow(sign, SENT).groupBy("bucket").applyInArrow(meet, "first long, second long, doc_id long, n long")
+    return save(met.distinct(), "groups")
 
 
-def _ends(pairs: DataFrame) -> DataFrame:
-    return pairs.select("a").union(pairs.select("b")).distinct().withColumnRenamed("a", "doc_id")
+def sketch(token: np.ndarray) -> np.ndarray:
+    """A bit for each cell of tokens: whether their number is odd. Two sets differ in as many tokens at least as their sketches do in bits."""
+    odd = np.bincount((tx.mix(token, 50) & U(SKETCH_BITS - 1)).astype(np.int64), minlength=SKETCH_BITS) & 1
+    return np.packbits(odd.astype(np.uint8))
 
 
 def _sets(docs: DataFrame, n: int, lower: bool) -> DataFrame:
-    """(doc_id, n, tokens): the whole set of each document."""
+    """(doc_id, n, tokens, sketch): the whole set of each document."""
 
     def take(batches):
         for chunk in _chunks(batches):
             sets = Sets(chunk.column("text"), n, lower)
-            packed = [_packed(sets.token[s:e]) for s, e in zip(sets.first[:-1], sets.first[1:])]
-            yield pa.RecordBatch.from_arrays([chunk.column("doc_id"), pa.array(sets.count, pa.int64()), pa.array(packed, pa.binary())], names=["doc_id", "n", "tokens"])
-
-    return docs.mapInArrow(take, "doc_id long, n long, tokens binary")
-
-
-def sketch(token: np.ndarray) -> np.ndarray:
-    """A bit for each cell of tokens: whether their number is odd. Two sets differ in as many tokens at least as their sketches do in bits."""
-    bits = max(SKETCH_BITS, 1 << max(0, len(token) - 1).bit_length())
-    odd = np.bincount((tx.mix(token, 50) & U(bits - 1)).astype(np.int64), minlength=bits) & 1
-    return np.packbits(odd.reshape(-1, SKETCH_BITS).astype(np.uint8), axis=1)
-
-
-def fold(sketch_: np.ndarray, rows: int) -> np.ndarray:
-    """A sketch of fewer rows: cells that coincide in it are added up."""
-    return np.bitwise_xor.reduce(sketch_.reshape(-1, rows, sketch_.shape[1]), axis=0)
+            of_rows = [sets.token[s:e] for s, e in zip(sets.first[:-1], sets.first[1:])]
+            columns = [chunk.column("doc_id"), pa.array(sets.count, pa.int64()), pa.array([_packed(t) for t in of_rows], pa.binary()), pa.array([sketch(t).tobytes() for t in of_rows], pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "n", "tokens", "sketch"])
 
+    return docs.mapInArrow(take, "doc_id long, n long, tokens binary, sketch binary")
 
-def _sketches(docs: DataFrame, n: int, lower: bool) -> DataFrame:
-    """(doc_id, n, sketch, folded)"""
 
-    def take(batches):
-        for chunk in _chunks(batches):
-            sets = Sets(chunk.column("text"), n, lower)
-            found = [sketch(sets.token[s:e]) for s, e in zip(sets.first[:-1], sets.first[1:])]
-            columns = [chunk.column("doc_id"), pa.array(sets.count, pa.int64()), pa.array([x.tobytes() for x in found], pa.binary()), pa.array([fold(x, 1).tobytes() for x in found], pa.binary())]
-            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "n", "sketch", "folded"])
-
-    return docs.mapInArrow(take, "doc_id long, n long, sketch binary, folded binary")
+def _only(rows: DataFrame, ids: DataFrame) -> DataFrame:
+    """rows of these doc_ids: by broadcast while there are few, else by a shuffle."""
+    few = ids.count() <= BROADCAST_IDS
+    return rows.join(F.broadcast(ids) if few else ids, "doc_id", "left_semi")
 
 
 def least_common(nx, ny, percent: int):
@@ -258,82 +244,129 @@ def least_common(nx, ny, percent: int):
     return -(-percent * (nx + ny) // (100 + percent))
 
 
-def _differ(x: bytes, y: bytes) -> int:
-    """Bits in which two sketches differ, folded to the same size."""
-    x, y = (np.frombuffer(v, np.uint8).reshape(-1, SKETCH_BITS // 8) for v in (x, y))
-    rows = min(len(x), len(y))
-    return int(np.bitwise_count(fold(x, rows) ^ fold(y, rows)).sum())
-
-
-def _common(x: bytes, y: bytes) -> int:
-    both = np.concatenate([_unpacked(x), _unpacked(y)])
-    both.sort()
-    return int(np.count_nonzero(both[1:] == both[:-1]))
+class _Block:
+    """The members of some blocks, ordered by block: arrays over members, and pairs to compare."""
 
-
-def _holding(pairs: DataFrame, rows: DataFrame, column: str, can_link) -> DataFrame:
-    """The pairs (a, b) for which can_link(n of a, n of b, column of a, column of b)."""
-
-    def verify(batches):
-        for batch in batches:
-            sizes = zip(batch.column("left_n").to_pylist(), batch.column("right_n").to_pylist())
-            left, right = batch.column("left"), batch.column("right")
-            links = [can_link(nx, ny, left[i].as_py(), right[i].as_py()) for i, (nx, ny) in enumerate(sizes)]
-            yield batch.select(["a", "b"]).filter(pa.array(links, pa.bool_()))
-
-    rows = _only(rows, _ends(pairs))
-    left, right = (rows.select(F.col("doc_id").alias(k), F.col(column).alias(side), F.col("n").alias(f"{side}_n")) for k, side in (("a", "left"), ("b", "right")))
-    joined = pairs.select("a", "b").join(left, "a").join(right, "b")
-    return joined.select("a", "b", "left", "left_n", "right", "right_n").mapInArrow(verify, "a long, b long").distinct()
-
-
-def _cross_pairs(rest: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b) of members of an index entry in different components whose sketches don't rule a link out.
-
-    Entries are compared where they meet, only such pairs leave. An entry of many members is cut into blocks, and each two blocks of
-    it meet in a place of their own, so no place holds more than two blocks of an entry.
-    """
-    spark = rest.sparkSession
-    parts = rest.groupBy("sig").agg(F.ceil(F.count("*") / BLOCK_ROWS).cast("int").alias("parts"))
-    cut = rest.join(parts, "sig").withColumn("part", F.pmod(F.xxhash64("doc_id"), F.col("parts")).cast("int"))
-    other = F.explode(F.sequence(F.lit(0), F.col("parts") - 1))
-    cut = cut.withColumn("other", other).select("sig", "doc_id", "n", "component", "part", F.least("part", "other").alias("low"), F.greatest("part", "other").alias("high"))
-    cut = cut.join(sketches.select("doc_id", "folded"), "doc_id")
-    n_buckets = max(n_partitions(spark), rest.count() // 50_000)
-    cut = cut.withColumn("bucket", F.pmod(F.xxhash64("sig", "low", "high"), F.lit(n_buckets)))
-
-    def compare(table_: pa.Table) -> pa.Table:
+    def __init__(self, table_: pa.Table, percent: int):
         get = lambda c: table_.column(c).to_numpy()
-        sig, low, high = get("sig"), get("low"), get("high")
-        order = np.lexsort((get("doc_id"), high, low, sig))
-        sig, low, high = sig[order], low[order], high[order]
-        doc, n, component, part = (get(c)[order] for c in ("doc_id", "n", "component", "part"))
-        bits = np.frombuffer(b"".join(table_.column("folded").to_pylist()), np.uint64).reshape(len(doc), -1)[order]
-        group = np.cumsum(np.concatenate([[False], (sig[1:] != sig[:-1]) | (low[1:] != low[:-1]) | (high[1:] != high[:-1])])[: len(doc)])
-        a, b, first = [], [], np.arange(len(doc))
-        for step in range(1, len(doc)):  # each member with the one `step` after it, in all groups at once
-            first = first[first + step < len(doc)]
-            first = first[group[first] == group[first + step]]
-            if not len(first):
+        order = np.lexsort((get("doc_id"), get("block")))
+        self.percent = percent
+        self.block, self.doc, self.n, self.component, self.query = (get(c)[order] for c in ("block", "doc_id", "n", "component", "query"))
+        self.sketch = np.frombuffer(b"".join(table_.column("sketch").to_pylist()), U).reshape(len(order), -1)[order]
+        self.order = order
+
+    def likely(self, x: np.ndarray, y: np.ndarray, component: np.ndarray) -> np.ndarray:
+        """Which pairs (x, y) are in different components, have a query, and aren't ruled out by sizes and sketches."""
+        can = (component[x] != component[y]) & (self.query[x] | self.query[y])
+        nx, ny = self.n[x], self.n[y]
+        can &= 100 * np.minimum(nx, ny) >= self.percent * np.maximum(nx, ny)
+        at = np.flatnonzero(can)
+        x, y, nx, ny = x[at], y[at], nx[at], ny[at]
+        can[at] = np.bitwise_count(self.sketch[x] ^ self.sketch[y]).sum(axis=1) <= nx + ny - 2 * least_common(nx, ny, self.percent)
+        return can
+
+    def candidates(self) -> np.ndarray:
+        """Members that a likely partner stands beside. A pair of two that are known already need not be looked at."""
+        known, x = np.zeros(len(self.doc), bool), np.arange(len(self.doc))
+        for step in range(1, len(x)):  # each member with the one `step` after it, in all blocks at once
+            x = x[x + step < len(self.doc)]
+            x = x[self.block[x] == self.block[x + step]]
+            if not len(x):
                 break
-            x, y = first, first + step
-            some = (component[x] != component[y]) & (100 * np.minimum(n[x], n[y]) >= percent * np.maximum(n[x], n[y]))
-            some &= (part[x] != part[y]) | (low[x] == high[x])  # members of one block meet where only that block does
-            x, y = x[some], y[some]
-            near = np.bitwise_count(bits[x] ^ bits[y]).sum(axis=1) <= n[x] + n[y] - 2 * least_common(n[x], n[y], percent)
-            a.append(np.minimum(doc[x][near], doc[y][near]))
-            b.append(np.maximum(doc[x][near], doc[y][near]))
-        found = np.unique(np.stack([np.concatenate(a), np.concatenate(b)], axis=1), axis=0) if a else np.zeros((0, 2), np.int64)
-        return pa.table({"a": pa.array(found[:, 0], pa.int64()), "b": pa.array(found[:, 1], pa.int64())})
-
-    return cut.groupBy("bucket").applyInArrow(compare, "a long, b long").distinct()
-
-
-def components(edges: DataFrame) -> DataFrame:
-    """(node, component) of all nodes with an edge; component is the least node reachable. Alternates large and small stars."""
-    before = None
+            own = x[~(known[x] & known[x + step])]
+            own = own[self.likely(own, own + step, self.component)]
+            known[own] = known[own + step] = True
+        return known
+
+    def links(self, tokens: list[bytes]) -> list[tuple[int, int]]:
+        """Verified links of whole sets, each of which joins two components that nothing before it joined: fewer than there are members."""
+        out, edges = [], _bounds(self.block)
+        for s, e in zip(edges[:-1], edges[1:]):
+            bits, label, x = None, self.component.copy(), np.arange(s, e)
+            for step in range(1, e - s):
+                x = x[: e - s - step]
+                own = x[self.likely(x, x + step, label)]
+                if not len(own):
+                    continue
+                if bits is None:
+                    bits = _shared_bits([_unpacked(tokens[self.order[i]]) for i in range(s, e)])
+                for part in np.array_split(own, -(-len(own) // 256)):
+                    common = np.bitwise_count(bits[part - s] & bits[part + step - s]).sum(axis=1)
+                    for i in part[common >= least_common(self.n[part], self.n[part + step], self.percent)]:
+                        a, b = label[i], label[i + step]
+                        if a != b:
+                            label[s:e][label[s:e] == b] = a
+                            out.append((int(self.doc[i]), int(self.doc[i + step])))
+        return out
+
+
+def _shared_bits(sets: list[np.ndarray]) -> np.ndarray:
+    """A row of bits for each set: which of the tokens that several of the sets have it has."""
+    row = np.repeat(np.arange(len(sets)), [len(x) for x in sets])
+    _, of, times = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    column = np.cumsum(times > 1) - 1
+    shared = times[of] > 1
+    row, column = row[shared], column[of[shared]]
+    bits = np.zeros((len(sets), int(column.max(initial=0)) // 64 + 1), U)
+    np.bitwise_or.at(bits, (row, column // 64), U(1) << (column % 64).astype(U))
+    return bits
+
+
+def _compare(groups: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b), verified on whole sets, that join the components of all linked members of groups (first, second, doc_id, n, component).
+
+    In each group all members but those of the largest component are queries: a pair without a query is in one component. Queries and
+    members are cut into parts of bounded rows and tokens, and each two of these meet in a block of its own. A block first finds by
+    sketches which members can link at all; the sets of these alone then meet in it, and it returns links that join components.
+    """
+    spark = groups.sparkSession
+    of_component = groups.groupBy("first", "second", "component").agg(F.count("*").alias("m"), F.sum("n").alias("t"))
+    main = F.max(F.struct("m", "t", "component"))
+    shape = of_component.groupBy("first", "second").agg(F.count("*").alias("components"), F.sum("m").alias("m"), F.sum("t").alias("t"), main.alias("main")).where("components > 1")
+    cut = lambda m, t: F.ceil(F.greatest(m / BLOCK_ROWS, t / BLOCK_TOKENS)).cast("int")
+    m, t = F.col("m"), F.col("t")
+    shape = shape.select("first", "second", F.col("main.component").alias("main"), cut(m, t).alias("parts"), cut(m - F.col("main.m"), t - F.col("main.t")).alias("queries"))
+    rows = groups.join(shape, ["first", "second"])
+    rows = rows.withColumn("query", F.col("component") != F.col("main")).withColumn("whole", (F.col("parts") == 1) & (F.col("queries") == 1))
+    part, asked = F.pmod(F.xxhash64("doc_id"), F.col("parts")).cast("int"), F.pmod(F.xxhash64("doc_id", F.lit(1)), F.col("queries")).cast("int")
+    members = rows.withColumn("p", part).withColumn("q", F.explode(F.sequence(F.lit(0), F.col("queries") - 1))).withColumn("query", F.col("query") & F.col("whole"))
+    asking = rows.where("query and not whole").withColumn("q", asked).withColumn("p", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    columns = [F.xxhash64("first", "second", "p", "q").alias("block"), "doc_id", "n", "component", "query"]
+    blocks = save(members.select(columns).union(asking.select(columns)), "blocks")
+
+    def meeting(rows: DataFrame, a_bucket: int, weight: str):
+        total = rows.agg(F.coalesce(F.sum(F.expr(weight)), F.lit(0))).first()[0]
+        return F.pmod("block", F.lit(max(n_partitions(spark), total // a_bucket))).alias("bucket")
+
+    def find(table_: pa.Table) -> pa.Table:
+        b = _Block(table_, percent)
+        known = b.candidates()
+        return pa.table({c: pa.array(x[known]) for c, x in (("block", b.block), ("doc_id", b.doc), ("n", b.n), ("component", b.component), ("query", b.query))})
+
+    def verify(table_: pa.Table) -> pa.Table:
+        links = _Block(table_, percent).links(table_.column("tokens").to_pylist())
+        return pa.table({c: pa.array([pair[k] for pair in links], pa.int64()) for k, c in enumerate(("a", "b"))})
+
+    at = meeting(blocks, 4 * BLOCK_ROWS * 16, "1")
+    sketched = blocks.join(sets.select("doc_id", "n", "sketch"), ["doc_id", "n"]).select("*", at)
+    likely = save(sketched.groupBy("bucket").applyInArrow(find, "block long, doc_id long, n long, component long, query boolean"), "likely")
+    discard(blocks)
+    at = meeting(likely, 4 * BLOCK_TOKENS, "n")
+    whole = likely.join(sets, ["doc_id", "n"]).select("*", at)
+    links = save(whole.groupBy("bucket").applyInArrow(verify, "a long, b long").distinct(), "links")
+    discard(likely)
+    return links
+
+
+def components(edges: DataFrame, rounds: int | None = None) -> DataFrame:
+    """(node, component) of all nodes with an edge; component is the least node reachable. Alternates large and small stars.
+
+    After `rounds` of them a component may still be in several parts: nodes of one part are connected, and the parts' edges connect the rest.
+    """
+    before, done = None, 0
     edges = save(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v").distinct(), "edges")
-    while not edges.isEmpty():
+    while done != rounds and not edges.isEmpty():
+        done += 1
         both = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
         large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
@@ -346,7 +379,9 @@ def components(edges: DataFrame) -> DataFrame:
         if after == before:
             break
         before = after
-    return edges.select(F.col("u").alias("node"), F.col("v").alias("component")).union(edges.select("v", "v").distinct())
+    found = save(edges.select(F.col("u").alias("node"), F.col("v").alias("component")).union(edges.select("v", "v").distinct()), "components")
+    discard(edges)
+    return found
 
 
 def link_documents(docs: DataFrame, n: int = 4, percent: int = 85, lower: bool = True, frequent_df: int = 32) -> DataFrame:
@@ -364,55 +399,45 @@ def link_documents(docs: DataFrame, n: int = 4, percent: int = 85, lower: bool =
     total = known.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     frequent = _frequent(census, frequent_df + 4 * total / (1 << CELL_BITS))
     linked = docs.where("doc_id is not null")
-    index = _index(linked, n, lower, percent, frequent, max(n_partitions(docs.sparkSession), buckets_for(total // 4)))
-
-    sketches = save(_sketches(_only(linked, index.select("doc_id").distinct()), n, lower), "sketches")
-
-    def verified(pairs: DataFrame) -> DataFrame:
-        if pairs.isEmpty():
-            return pairs
-        likely = save(_holding(pairs, sketches, "sketch", lambda nx, ny, x, y: _differ(x, y) <= nx + ny - 2 * least_common(nx, ny, percent)), "likely")
-        whole = save(_sets(_only(linked, _ends(likely)), n, lower), "sets")
-        found = save(_holding(likely, whole, "tokens", lambda nx, ny, x, y: _common(x, y) >= least_common(nx, ny, percent)), "links")
-        discard(likely, whole)
-        return found
-
-    def merged(links: DataFrame, before: DataFrame | None, new: DataFrame) -> DataFrame:
-        """The components of links; those of before if nothing new links."""
-        return before if before is not None and new.isEmpty() else save(components(links), "components")
-
-    similar = lambda x, y: (F.col(x) * 100 >= F.col(y) * percent) & (F.col(y) * 100 >= F.col(x) * percent)
-    pair = lambda x, y: (F.least(x, y).alias("a"), F.greatest(x, y).alias("b"))
-    tried = None
-    links = None
-    found = None
-    for k in (1, 2):
-        open_ = index if found is None else _unsettled(index, found)
-        pairs = open_.where(F.col("doc_id") != F.col(f"leader{k}")).where(similar("n", f"leader{k}_n")).select(*pair("doc_id", f"leader{k}")).distinct()
-        pairs = save(pairs if tried is None else pairs.join(tried, ["a", "b"], "left_anti"), "pairs")
-        new = verified(pairs)
-        tried = pairs if tried is None else tried.union(pairs)
-        links = new if links is None else links.union(new)
-        found = merged(links, found, new)
-    rest = save(_unsettled(index, found).select("sig", "doc_id", "n", "component"), "rest")
-    pairs = _cross_pairs(rest, sketches, percent)
-    more = verified(save(pairs.join(tried, ["a", "b"], "left_anti"), "pairs"))
-    classes = known.where("doc_id is not null and n > 0").groupBy("n", "a", "b").agg(F.min("doc_id").alias("node"))
-    repeated = known.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").select("doc_id")
-    same_id = known.join(repeated, "doc_id", "left_semi").join(classes, ["n", "a", "b"]).select(F.col("doc_id").alias("a"), F.col("node").alias("b"))
-    found = save(components(links.union(more).union(same_id)), "components")
-    discard(index, sketches, rest)
-
-    rows = known.join(classes, ["n", "a", "b"], "left")
-    rows = rows.join(found, "node", "left").withColumn("component_id", F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "node", "doc_id")))
-    return rows.select("doc_id", F.col("n").alias("n_shingles"), "component_id")
-
-
-def _unsettled(index: DataFrame, found: DataFrame) -> DataFrame:
-    """Entries whose members lie in several components, with the component of each member."""
-    entries = index.join(found.withColumnRenamed("node", "doc_id"), "doc_id", "left").withColumn("component", F.coalesce("component", "doc_id"))
-    mixed = entries.groupBy("sig").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high")
-    return entries.join(mixed.select("sig"), "sig", "left_semi")
+    groups = _groups(linked, n, lower, percent, frequent, max(n_partitions(docs.sparkSession), buckets_for(total // 4)))
+    ids = save(groups.select("doc_id").distinct(), "ids")
+    known = save(known, "known")
+    discard(census)
+
+    # Rows of one doc_id with different sets are joined by its id.
+    different = known.where("doc_id is not null and n > 0").distinct()
+    repeated = save(different.groupBy("doc_id").agg(F.count("*").alias("sets")).where("sets > 1").select("doc_id"), "repeated")
+    sets = _sets(_only(linked, ids), n, lower)
+    rows_of_ids = known.join(ids, "doc_id", "left_semi").count()
+    if rows_of_ids > ids.count():
+        sets = sets.dropDuplicates(["doc_id", "n", "tokens"])
+    sets = save(sets, "sets")
+
+    # First each document in its largest group, then whatever is still in several components of a group.
+    size = groups.groupBy("first", "second").agg(F.count("*").alias("m"))
+    largest = groups.join(size, ["first", "second"]).groupBy("doc_id", "n").agg(F.max(F.struct("m", "first", "second")).alias("g"))
+    links = _compare(largest.select("g.first", "g.second", "doc_id", "n", F.col("doc_id").alias("component")), sets, percent)
+    found = components(links, rounds=2)
+    mixed = groups.join(found.groupBy(F.col("node").alias("doc_id")).agg(F.min("component").alias("component")), "doc_id", "left").withColumn("component", F.coalesce("component", "doc_id"))
+    more = _compare(mixed, sets, percent)
+    discard(groups, ids, sets, links)
+
+    classes = known.where("doc_id is not null and n > 0").groupBy("n", "a", "b").agg(F.min("doc_id").alias("node"), F.count("*").alias("m"))
+    same_id = different.join(repeated, "doc_id", "left_semi").join(classes, ["n", "a", "b"]).select(F.col("doc_id").alias("a"), F.col("node").alias("b"))
+    early = found.select(F.col("node").alias("a"), F.col("component").alias("b"))
+    found = components(early.union(more).union(same_id))
+    classes = save(classes.join(found, "node", "left").select("n", "a", "b", "m", F.coalesce("component", "node").alias("component_id")), "classes")
+    discard(more, repeated, found)
+
+    # A class of a thousandth of all rows or more is broadcast, at most 1,000 of them; the others meet their rows by a shuffle.
+    rows = known.count()
+    hot = F.broadcast(classes.where(F.col("m") * 1000 >= rows).select("n", "a", "b", "component_id"))
+    others = classes.where(F.col("m") * 1000 < rows).select("n", "a", "b", "component_id")
+    alone = F.col("doc_id").isNull() | (F.col("n") == 0)
+    plain = known.where(alone).withColumn("component_id", F.col("doc_id"))
+    own = known.where(~alone)
+    out = own.join(hot, ["n", "a", "b"]).union(own.join(hot, ["n", "a", "b"], "left_anti").join(others, ["n", "a", "b"]))
+    return out.select("doc_id", "n", "component_id").union(plain.select("doc_id", "n", "component_id")).withColumnRenamed("n", "n_shingles")
 
 
 def op7_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -11,7 +11,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
-from lakepulse.llm import lm_scoring, text
+from lakepulse.llm import lm_scoring, ngram_join, text
 from lakepulse.llm.fingerprints import compare_with_edits, edited, fingerprints, likeness
 from lakepulse.llm.ngram_join import link_documents
 from lakepulse.llm.substring_dedup import repeated_windows
@@ -106,6 +106,29 @@ def test_jaccard_join(spark, corpus, frequent_df):
     assert got == brute_components(corpus, 4, 85, lowered)
 
 
+@pytest.mark.parametrize("edits", [3, 4, 6])
+def test_jaccard_join_of_near_copies_around_the_threshold(spark, monkeypatch, edits):
+    """A large group whose members lie just above and below the threshold of each other, in blocks much smaller than it."""
+    monkeypatch.setattr(ngram_join, "BLOCK_ROWS", 16)
+    rng, base, rows = np.random.default_rng(edits), passage(21, 160).split(), []
+    for i in range(240):
+        own = list(base)
+        for k in rng.choice(160, edits, replace=False):
+            own[k] = f"edit{rng.integers(0, 3)}"
+        rows.append((i, " ".join(own)))
+    rows += [(1000 + i, passage(100 + i, 50)) for i in range(40)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in link_documents(docs).collect()}
+    assert got == brute_components(rows, 4, 85, lowered)
+
+
+def test_jaccard_join_of_one_id_with_several_texts(spark):
+    a, b = passage(31, 40), passage(32, 40)
+    rows = [(5, a), (5, b), (7, a), (3, b + " end"), (5, a), (9, None), (9, a + " x")]
+    got = {(r.doc_id, r.n_shingles, r.component_id) for r in link_documents(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {(5, 37, 3), (7, 37, 3), (3, 38, 3), (9, 0, 9), (9, 38, 3)}
+
+
 def test_jaccard_join_of_nothing(spark):
     assert link_documents(spark.createDataFrame([], SCHEMA)).count() == 0
 
