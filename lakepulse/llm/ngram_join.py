@@ -215,11 +215,18 @@ def _groups(docs: DataFrame, n: int, lower: bool, percent: int, frequent: np.nda
 
 
 def sketch(token: np.ndarray) -> np.ndarray:
-    """A bit for each cell of tokens: whether their number is odd. Two sets differ in as many tokens at least as their sketches do in bits."""
-    odd = np.bincount((tx.mix(token, 50) & U(SKETCH_BITS - 1)).astype(np.int64), minlength=SKETCH_BITS) & 1
+    """A bit for each cell of tokens: whether their number is odd. Two sets differ in as many tokens at least as their sketches do in
+    bits. There are as many cells as tokens or more, up to the next power of two, in rows of SKETCH_BITS."""
+    bits = max(SKETCH_BITS, 1 << max(0, len(token) - 1).bit_length())
+    odd = np.bincount((tx.mix(token, 50) & U(bits - 1)).astype(np.int64), minlength=bits) & 1
     return np.packbits(odd.astype(np.uint8))
 
 
+def fold(sketch_: np.ndarray, rows: int) -> np.ndarray:
+    """A sketch of fewer rows: cells that coincide in it are added up."""
+    return np.bitwise_xor.reduce(sketch_.reshape(-1, rows, SKETCH_BITS // 64), axis=0)
+
+
 def _sets(docs: DataFrame, n: int, lower: bool) -> DataFrame:
     """(doc_id, n, tokens, sketch): the whole set of each document."""
 
@@ -252,31 +259,51 @@ class _Block:
         order = np.lexsort((get("doc_id"), get("block")))
         self.percent = percent
         self.block, self.doc, self.n, self.component, self.query = (get(c)[order] for c in ("block", "doc_id", "n", "component", "query"))
-        self.sketch = np.frombuffer(b"".join(table_.column("sketch").to_pylist()), U).reshape(len(order), -1)[order]
         self.order = order
+        sketches = table_.column("sketch").to_pylist()
+        self.rows = np.array([len(x) for x in sketches], np.int64)[order] * 8 // SKETCH_BITS
+        #: By number of rows: the place of each member, and sketches of the members that have so many or more, folded to that.
+        self.folded = {}
+        for rows in np.unique(self.rows).tolist():
+            some = np.flatnonzero(self.rows >= rows)
+            place = np.full(len(order), -1)
+            place[some] = np.arange(len(some))
+            self.folded[rows] = place, np.stack([fold(np.frombuffer(sketches[order[i]], U), rows).ravel() for i in some])
 
     def likely(self, x: np.ndarray, y: np.ndarray, component: np.ndarray) -> np.ndarray:
         """Which pairs (x, y) are in different components, have a query, and aren't ruled out by sizes and sketches."""
         can = (component[x] != component[y]) & (self.query[x] | self.query[y])
         nx, ny = self.n[x], self.n[y]
         can &= 100 * np.minimum(nx, ny) >= self.percent * np.maximum(nx, ny)
-        at = np.flatnonzero(can)
-        x, y, nx, ny = x[at], y[at], nx[at], ny[at]
-        can[at] = np.bitwise_count(self.sketch[x] ^ self.sketch[y]).sum(axis=1) <= nx + ny - 2 * least_common(nx, ny, self.percent)
+        rows = np.minimum(self.rows[x], self.rows[y])
+        for r in np.unique(rows[can]).tolist():
+            at = np.flatnonzero(can & (rows == r))
+            place, bits = self.folded[r]
+            differ = np.bitwise_count(bits[place[x[at]]] ^ bits[place[y[at]]]).sum(axis=1)
+            can[at] = differ <= nx[at] + ny[at] - 2 * least_common(nx[at], ny[at], self.percent)
         return can
 
-    def candidates(self) -> np.ndarray:
-        """Members that a likely partner stands beside. A pair of two that are known already need not be looked at."""
-        known, x = np.zeros(len(self.doc), bool), np.arange(len(self.doc))
+    def clusters(self) -> np.ndarray:
+        """Members connected by likely pairs have one number, the place of one of them. A pair that is connected already need not be looked at."""
+        label, x = np.arange(len(self.doc)), np.arange(len(self.doc))
+
+        def root(i: int) -> int:
+            while label[i] != i:
+                i = label[i]
+            return i
+
         for step in range(1, len(x)):  # each member with the one `step` after it, in all blocks at once
             x = x[x + step < len(self.doc)]
             x = x[self.block[x] == self.block[x + step]]
             if not len(x):
                 break
-            own = x[~(known[x] & known[x + step])]
+            own = x[label[x] != label[x + step]]
             own = own[self.likely(own, own + step, self.component)]
-            known[own] = known[own + step] = True
-        return known
+            for i in own:
+                label[root(i + step)] = root(i)
+            while len(own) and (label[label] != label).any():
+                label = label[label]
+        return label
 
     def links(self, tokens: list[bytes]) -> list[tuple[int, int]]:
         """Verified links of whole sets, each of which joins two components that nothing before it joined: fewer than there are members."""
@@ -317,7 +344,7 @@ def _compare(groups: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
     In each group all members but those of the largest component are queries: a pair without a query is in one component. Queries and
     members are cut into parts of bounded rows and tokens, and each two of these meet in a block of its own. A block first finds by
-    sketches which members can link at all; the sets of these alone then meet in it, and it returns links that join components.
+    sketches which members can link at all; the sets of each cluster of these then meet, and give links that join components.
     """
     spark = groups.sparkSession
     of_component = groups.groupBy("first", "second", "component").agg(F.count("*").alias("m"), F.sum("n").alias("t"))
@@ -340,8 +367,13 @@ def _compare(groups: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
     def find(table_: pa.Table) -> pa.Table:
         b = _Block(table_, percent)
-        known = b.candidates()
-        return pa.table({c: pa.array(x[known]) for c, x in (("block", b.block), ("doc_id", b.doc), ("n", b.n), ("component", b.component), ("query", b.query))})
+        label = b.clusters()
+        known = np.bincount(label, minlength=len(label))[label] > 1
+        # A cluster has the name of its members: what several blocks find is verified once.
+        name = np.zeros(len(label), U)
+        np.add.at(name, label, tx.mix(b.doc.view(U) + tx.mix(b.n.view(U), 35), 36))
+        columns = (("block", name[label].view(np.int64)), ("doc_id", b.doc), ("n", b.n), ("component", b.component), ("query", b.query))
+        return pa.table({c: pa.array(x[known]) for c, x in columns})
 
     def verify(table_: pa.Table) -> pa.Table:
         links = _Block(table_, percent).links(table_.column("tokens").to_pylist())
@@ -349,7 +381,8 @@ def _compare(groups: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
     at = meeting(blocks, 4 * BLOCK_ROWS * 16, "1")
     sketched = blocks.join(sets.select("doc_id", "n", "sketch"), ["doc_id", "n"]).select("*", at)
-    likely = save(sketched.groupBy("bucket").applyInArrow(find, "block long, doc_id long, n long, component long, query boolean"), "likely")
+    likely = sketched.groupBy("bucket").applyInArrow(find, "block long, doc_id long, n long, component long, query boolean")
+    likely = save(likely.groupBy("block", "doc_id", "n", "component").agg(F.max("query").alias("query")), "likely")
     discard(blocks)
     at = meeting(likely, 4 * BLOCK_TOKENS, "n")
     whole = likely.join(sets, ["doc_id", "n"]).select("*", at)
