@@ -81,9 +81,9 @@ def exchange(sent: DataFrame, answer: Callable[[list[int], list[bytes]], list[by
 
 
 def sends(block: int, keys: np.ndarray, n: int, pack: Callable[[slice], bytes]) -> list[tuple[int, int, bytes]]:
-    """Rows to exchange for sorted keys: one per bucket that has any."""
-    edges = np.searchsorted(bucket_of(keys, n), np.arange(n + 1))
-    return [(b, block, pack(slice(edges[b], edges[b + 1]))) for b in range(n) if edges[b + 1] > edges[b]]
+    """Rows to exchange for sorted keys: one per bucket that has any, in time that grows with the keys."""
+    buckets, first = np.unique(bucket_of(keys, n), return_index=True)
+    return [(int(b), block, pack(slice(s, e))) for b, s, e in zip(buckets, first, np.append(first[1:], len(keys)))]
 
 
 def bits_in_order(answers: list[dict] | None, n_keys: int) -> np.ndarray:
