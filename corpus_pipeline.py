@@ -6,7 +6,7 @@ all that the one before kept, and are written as Parquet and read again.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lakepulse.llm.common import save, table
@@ -31,18 +31,29 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of linked documents: that of the smallest doc_id. Documents without words or without id all stay."""
+    """One document of each group of linked documents: that of the smallest doc_id. Documents without words or without id all stay.
+
+    Rows of one doc_id with different texts are one document and stay together; of those with one text the first by the other columns stays.
+    """
     linked = link_documents(docs, n=SHINGLE, percent=SIMILAR)
-    kept = linked.where(F.col("doc_id") == F.col("component_id")).select("doc_id").distinct()
-    return docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(docs.columns).union(docs.where("doc_id is null"))
+    kept = save(linked.where(F.col("doc_id") == F.col("component_id")).groupBy("doc_id").agg(F.count("*").alias("rows")), "kept")
+    ids = kept.select("doc_id")
+    once = docs.join(ids if kept.where("rows > 1").isEmpty() else kept.where("rows = 1").select("doc_id"), "doc_id", "left_semi")
+    several = docs.join(kept.where("rows > 1").select("doc_id"), "doc_id", "left_semi")
+    first = Window.partitionBy("doc_id", "text").orderBy(*[F.col(c).cast("string") for c in docs.columns if c not in ("doc_id", "text")], F.lit(0))
+    several = several.withColumn("place", F.row_number().over(first)).where("place = 1").drop("place")
+    every = once.select(docs.columns).union(docs.where("doc_id is null"))
+    return every if kept.where("rows > 1").isEmpty() else every.union(several.select(docs.columns))
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the passages that stand earlier; texts that lose nothing stay as they are, those that lose all their words go."""
-    found = repeated_windows(docs, PASSAGE).where("n_removed = 0 or n_removed < n_words")
-    text = F.when(F.col("n_removed") > 0, F.col("kept")).otherwise(F.col("row.text"))
+    lost = F.col("n_removed") > 0
+    text = F.when(~lost | (F.col("n_removed") < F.col("n_words")), F.when(lost, F.col("kept")).otherwise(F.col("row.text")))
     new = {"text": text, "n_chars": F.length(text).cast(docs.schema["n_chars"].dataType)}
-    return found.select(*[new.get(c, F.col("row")[c]).alias(c) for c in docs.columns])
+    columns = [new.get(c, F.col("row")[c]).alias(c) for c in docs.columns]
+    found = repeated_windows(docs, PASSAGE, PASSAGE, [*columns, (~lost | (F.col("n_removed") < F.col("n_words"))).alias("_stays")])
+    return found.where("_stays").select(docs.columns)
 
 
 def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
