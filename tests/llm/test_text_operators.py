@@ -78,6 +78,25 @@ def test_substring_dedup(spark, corpus):
     assert repeated_windows(spark.createDataFrame([], SCHEMA)).count() == 0
 
 
+@pytest.mark.parametrize("window, until", [(10, None), (20, None), (20, 80), (20, 20)])
+def test_substring_levels(spark, corpus, window, until):
+    """The greatest level at which a document has a window that occurs again anywhere."""
+    long = passage(8, 700)
+    rows = [*corpus, (50, long, 7, ""), (51, "x " + long, 7, ""), (52, " ".join(long.split()[100:430]), 7, ""), (53, "r " * 85, 7, ""), (50, None, 7, "null"), (None, long[:300], 7, "")]
+    texts = [words(r[1]) for r in rows]
+    want, n = [0] * len(texts), window
+    while until is None or n <= until:
+        count = Counter(tuple(w[s : s + n]) for w in texts for s in range(len(w) - n + 1))
+        own = [any(count[tuple(w[s : s + n])] > 1 for s in range(len(w) - n + 1)) for w in texts]
+        want = [n if o else x for o, x in zip(own, want)]
+        if not any(own):
+            break
+        n *= 2
+    got = repeated_windows(spark.createDataFrame(rows, SCHEMA), window, until).select("row.doc_id", "row.answers", "n_words", "longest").collect()
+    assert sorted(map(str, ((r.doc_id, r.answers, r.n_words, r.longest) for r in got))) == sorted(map(str, ((r[0], r[3], len(w), x) for r, w, x in zip(rows, texts, want))))
+    assert until is not None or max(want) >= 640 / (20 / window if window < 20 else 1)
+
+
 def brute_components(rows, n, percent, split):
     sets = {}
     for i, t, *_ in rows:
@@ -176,52 +195,101 @@ def test_base_scores_and_model(spark, sf):
 
 def test_network_gradient():
     rng = np.random.default_rng(0)
-    net = lm_scoring.Network.new(50, 3, 1)
+    net = lm_scoring.Network.new(rng.uniform(0.1, 1, lm_scoring.CLASSES))
     net.p = {k: v.astype(np.float64) for k, v in net.p.items()}
-    x = rng.standard_normal((2, 6, lm_scoring.SIZE))
-    valid = np.array([[True] * 6, [False] * 2 + [True] * 4])
-    share = rng.uniform(0.1, 1, (2, 6, 4))
-    _, grad, _ = net.gradient(x, valid, share)
-    for name in ("q", "k", "v", "o", "w1", "w2"):
-        p, eps = net.p[name], 1e-5
-        p[1, 2] += eps
-        up = net.gradient(x, valid, share)[0]
-        p[1, 2] -= 2 * eps
-        down = net.gradient(x, valid, share)[0]
-        p[1, 2] += eps
-        assert grad[name][1, 2] == pytest.approx((up - down) / (2 * eps), abs=1e-6)
-
-
-def test_network_learns_from_all_training_documents(spark, monkeypatch):
-    """Steps after the sample reach the subwords of every training document, and no other ones."""
-    docs = [(i, passage(i, 30 + i % 70)) for i in range(120)]
-    monkeypatch.setattr(lm_scoring, "SAMPLE_DOCS", 10)
-    reached, step = [], lm_scoring.Adam.step
-
-    def record(self, grad):
-        reached.append(set(np.flatnonzero(np.abs(grad["embed"]).sum(axis=1)).tolist()))
-        step(self, grad)
-
-    monkeypatch.setattr(lm_scoring.Adam, "step", record)
-    frame = spark.createDataFrame(docs, "doc_id long, text string").repartition(3)
-    assert lm_scoring.score_documents(frame).count() == len(docs)
+    n = lm_scoring.LENGTH
+    kind, target = rng.integers(0, lm_scoring.CLASSES, (2, 2, n))
+    vector = rng.standard_normal((2, n, lm_scoring.VECTOR))
+    valid = np.array([[True] * n, [False] * 20 + [True] * (n - 20)])
+    begins = np.zeros((2, n), bool)
+    begins[1, 20] = True
+    _, grad = net.gradient(kind, vector, begins, valid, target)
+    assert set(grad) == set(net.p)
+    for name, p in net.p.items():
+        for at in {np.unravel_index(np.abs(grad[name]).argmax(), p.shape), tuple(d // 2 for d in p.shape)}:
+            eps, before = 1e-5, p[at]
+            p[at] = before + eps
+            up = net.gradient(kind, vector, begins, valid, target)[0]
+            p[at] = before - eps
+            down = net.gradient(kind, vector, begins, valid, target)[0]
+            p[at] = before
+            assert grad[name][at] == pytest.approx((up - down) / (2 * eps), abs=1e-6), name
+
+
+def brute_class_scores(net, kind, vector):
+    """log10 of the probability of each token's class of one text: a loop over tokens, plain attention over the inputs of its window."""
+    p, out = {k: v.astype(float) for k, v in net.p.items()}, []
+    for t in range(len(kind)):
+        place = lm_scoring.LENGTH - lm_scoring.STRIDE + t % lm_scoring.STRIDE  # in the window
+        x = np.array([(p["start"] if j == 0 else p["kind"][kind[j - 1]] + vector[j - 1] @ p["vector"]) + p["place"][place - (t - j)] for j in range(max(0, t - place), t + 1)])
+        s = (x @ p["k"]) @ (x[-1] @ p["q"]) / np.sqrt(lm_scoring.SIZE)
+        a = np.exp(s - s.max())
+        h = x[-1] + (a / a.sum()) @ (x @ p["v"]) @ p["o"]
+        z = np.maximum(h @ p["w1"] + p["b1"], 0) @ p["w2"] + p["b2"]
+        out.append((z[kind[t]] - z.max() - np.log(np.exp(z - z.max()).sum())) / np.log(10))
+    return out
+
+
+def test_scores_against_brute_force(spark, monkeypatch):
+    """Every token is scored once, from the network's class and the word's share in its class, both computed by loops here."""
+    texts = [None, "", "one Word", *(passage(i, n) + " end of it" for i, n in enumerate([3, 46, 47, 48, 49, 95, 97, 200, 333] * 3))]
+    docs, seen, learn = list(enumerate(texts)), {}, lm_scoring.train
+
+    def record(windows, classes, network, **more):
+        seen["classes"], seen["network"] = classes, learn(windows, classes, network, rounds=1)
+        return seen["network"]
+
+    monkeypatch.setattr(lm_scoring, "train", record)
+    got = {r.doc_id: r for r in lm_scoring.score_documents(spark.createDataFrame([(*d, 1) for d in docs], "doc_id long, text string, score long").repartition(3), rate=2).collect()}
     encode = lm_scoring.encoder(lm_scoring.default_vocabulary()).encode_ordinary
-    want = {s for i, t in docs if not lm_scoring.held_out_id(i) for w in lowered(t) for s in encode(" " + w)}
-    found = set().union(*reached)
-    assert found <= want and len(found) > 0.99 * len(want)
-
-
-def test_shares_leave_out_the_own_text():
-    texts, topic = ["a b a", "b c", "c c a d"], np.array([0, 1, 0])
-    tokens = lm_scoring.Tokens(pa.array(texts))
-    counts = np.zeros((len(tokens.keys), lm_scoring.TOPICS))
-    np.add.at(counts, (tokens.of, topic[tokens.row]), 1)
-    got = lm_scoring.shares_of_others(tokens, counts, counts.sum(axis=0), len(tokens.keys), topic)
-    for r in range(3):
-        others = counts.copy()
-        np.subtract.at(others, (tokens.of[tokens.row == r], topic[r]), 1)
-        _, want = lm_scoring.shares(others, others.sum(axis=0), len(tokens.keys))
-        assert got[tokens.row == r] == pytest.approx(want[tokens.of[tokens.row == r]], rel=1e-5)
+    rows = {i: [encode(" " + w) for w in lowered(t)] + [[]] for i, t in docs}
+    flat = lambda ws: (np.array([i for w in ws for i in w], np.int64), np.array([len(w) for w in ws]))
+    kind = {i: seen["classes"].words(*flat(ws)) for i, ws in rows.items()}
+    count, of_class = Counter(), {}
+    for i, t in docs:
+        if not lm_scoring.held_out_id(i):
+            for w, k in zip([*lowered(t), None], kind[i][0].tolist()):
+                count[w] += 1
+                of_class.setdefault(k, []).append(w)
+    for i, t in docs:
+        want = sum(brute_class_scores(seen["network"], *kind[i]))
+        for w, k in zip([*lowered(t), None], kind[i][0].tolist()):
+            own = of_class.get(k, [])
+            want += math.log10((count[w] + 0.1) / (len(own) + 0.1 * (len(set(own)) + 1)))
+        assert got[i].score == pytest.approx(want, rel=1e-4), i
+
+
+def test_windows_score_each_token_once():
+    tokens = lm_scoring.Tokens(pa.array([None, "a", "b " * 47, "c " * 48, "d " * 500, ""]), lm_scoring.default_vocabulary())
+    at, valid = tokens.windows()
+    own = at[:, -lm_scoring.STRIDE :][valid[:, -lm_scoring.STRIDE :]]
+    assert sorted(own.tolist()) == list(range(len(tokens.of)))
+
+
+def test_what_is_learned_from_grows_with_the_input():
+    """Windows are taken at one rate from all training texts; statistics of subword ids are sums over all of them."""
+    column = pa.array([passage(i, 400) for i in range(60)])
+    tokens, trained = lm_scoring.Tokens(column, lm_scoring.default_vocabulary()), np.arange(60) % 3 > 0
+    every = lm_scoring.Windows.chosen(tokens, trained, 1)
+    some = lm_scoring.Windows.chosen(tokens, trained, 4)
+    assert len(every.size) == 40 * -(-401 // lm_scoring.STRIDE) and 0.15 * len(every.size) < len(some.size) < 0.35 * len(every.size)
+    again = lm_scoring.Windows.unpacked(some.packed(), len(some.size))
+    assert (again.ids == some.ids).all() and (again.size == some.size).all()
+    whole, parts = lm_scoring.Statistics(), lm_scoring.Statistics()
+    whole.add(tokens, trained)
+    for s in range(0, 60, 7):
+        parts.add(lm_scoring.Tokens(column[s : s + 7], lm_scoring.default_vocabulary()), trained[s : s + 7])
+    assert whole.sums[:, 0].sum() == sum(len(w) for i in range(60) if trained[i] for w in [tokens.ids[np.repeat(np.arange(len(tokens.size)), tokens.size) == k] for k in tokens.of[tokens.row == i]])
+    assert parts.sums == pytest.approx(whole.sums, abs=1e-3)
+    assert lm_scoring.Statistics.summed([d for _, d in whole.rows()]) == pytest.approx(whole.sums, rel=1e-5)
+
+
+def test_scores_of_an_empty_table_and_of_repeated_rows(spark):
+    schema = "doc_id long, text string, part double, n long"
+    assert lm_scoring.score_documents(spark.createDataFrame([], schema)).count() == 0
+    rows = [(1, "a b c", 0.0, 1), (1, "a b c", 0.0, 1), (2, "x " * 3000, 0.0, 1), (None, None, None, None)]
+    got = lm_scoring.score_documents(spark.createDataFrame(rows, schema)).collect()
+    assert len(got) == 4 and len({r.score for r in got if r.doc_id == 1}) == 1 and all(math.isfinite(r.score) for r in got)
 
 
 @pytest.mark.parametrize("texts", [["only one"], ["b two", None, "a one", "c three"]])
