@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 def player_days(stakes: DataFrame) -> DataFrame:
     """CACHE-1, LAB-1: sums per player-day; a day is active if any stake is real money or released bonus."""
     total = lambda e: F.sum(e).cast("long")
-    found = stakes.groupBy("player_id", "brand", "tenant", "day").agg(F.count("*").alias("bets"), total("stake_c").alias("turnover_c"), total(F.col("stake_c") - F.col("payout_c")).alias("ggr_c"), F.bool_or("real").alias("active"))
+    found = stakes.groupBy("player_id", "brand", "tenant", "day").agg(F.count("*").alias("bets"), total("stake_c").alias("turnover_c"), total(F.col("stake_c") - F.col("payout_c")).alias("ggr_c"), F.coalesce(total(F.when(~F.col("real"), F.col("stake_c"))), F.lit(0)).alias("bonus_c"), F.bool_or("real").alias("active"))
     return found.where("bets > 0")
 
 
@@ -42,6 +42,12 @@ def cutoffs(spark, first: str, last: str, months: int = 1) -> DataFrame:
     return spark.sql(f"SELECT explode(sequence(date'{first}', date'{last}', interval {months} month)) AS cutoff")
 
 
+def cutoffs_of(days: DataFrame, months: int = 1) -> DataFrame:
+    """Month starts after the first day of days and up to the last: a row each."""
+    ends = days.agg(F.min("day").alias("a"), F.max("day").alias("b"))
+    return ends.select(F.explode(F.sequence(F.trunc(F.add_months("a", 1), "month"), F.trunc("b", "month"), F.expr(f"interval {months} month"))).alias("cutoff"))
+
+
 def population(days: DataFrame, cutoff: DataFrame, look_back: int = 30) -> DataFrame:
     """FILT-1: (cutoff, player_id, brand) with an active day in (c - look_back, c]. A day is dealt to the month starts it can serve, an equi-join on month."""
     return _windowed(days.where("active"), cutoff, look_back).select("cutoff", "player_id", "brand").distinct()

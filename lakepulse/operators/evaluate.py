@@ -1,6 +1,6 @@
 """Evaluation of scores: ranks, calibration, survival, lift, replay of campaigns.
 
-Scores are rounded into values first where ranks need it: rank sums work on counts per distinct score, not on rows.
+Rank sums work on counts per distinct score, not on rows.
 """
 
 from __future__ import annotations
@@ -17,8 +17,8 @@ def auc(rows: DataFrame, score: str, label: str, by: list[str]) -> DataFrame:
     """EVAL-1: rank-sum AUC, ties count half; null without both classes."""
     below = Window.partitionBy(*by).orderBy("s").rowsBetween(Window.unboundedPreceding, -1)
     found = _by_score(rows, score, label, by).withColumn("lower", F.coalesce(F.sum("neg").over(below), F.lit(0)))
-    sums = found.groupBy(*by).agg(F.sum(F.col("pos") * (2 * F.col("lower") + F.col("neg"))).alias("twice"), F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
-    pairs = 2 * F.col("pos") * F.col("neg")
+    sums = found.groupBy(*by).agg(F.sum((F.col("pos") * (2 * F.col("lower") + F.col("neg"))).cast("decimal(38,0)")).cast("double").alias("twice"), F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
+    pairs = 2.0 * F.col("pos") * F.col("neg")
     return sums.select(*by, "pos", "neg", F.round(F.col("twice") / F.when(pairs > 0, pairs), 6).alias("auc"))
 
 
@@ -69,20 +69,22 @@ def kaplan_meier(rows: DataFrame, duration: str, event: str, by: list[str]) -> D
     return found.withColumn("survival", F.round(F.when(died, 0.0).otherwise(F.exp(F.sum(step).over(up_to))), 6)).where("d > 0").select(*by, "t", "d", "at_risk", "survival")
 
 
-def concordance(rows: DataFrame, duration: str, event: str, risk: str) -> DataFrame:
-    """EVAL-5: Harrell's c of (duration, event, risk): an event is compared with all who last longer. Counts meet, not rows; risk has few values."""
-    per = rows.groupBy(F.col(duration).alias("t"), F.col(risk).alias("r")).agg(F.sum(event).cast("long").alias("d"), F.count("*").alias("n"))
-    # For each risk value, how many last longer than t: over the times of all risks, from the union of both.
-    risks = per.select("r").distinct().agg(F.collect_set("r").alias("rs"))
-    grid = per.groupBy("t").agg(F.sum("d").alias("_")).where("_ > 0").select("t").join(F.broadcast(risks)).select("t", F.explode("rs").alias("r"))
-    both = grid.join(per, ["t", "r"], "full").select("t", "r", F.coalesce("d", F.lit(0)).alias("d"), F.coalesce("n", F.lit(0)).alias("n"))
-    longer = Window.partitionBy("r").orderBy(F.desc("t")).rowsBetween(Window.unboundedPreceding, -1)
+def concordance(rows: DataFrame, duration: str, event: str, risk: str, by: list[str]) -> DataFrame:
+    """EVAL-5: Harrell's c of (duration, event, risk) per group: an event is compared with all of its group who last longer.
+
+    Counts per (duration, risk) meet, not rows: durations are days and risks are counts of days, both bounded by the look-backs.
+    """
+    per = rows.groupBy(*by, F.col(duration).alias("t"), F.col(risk).alias("r")).agg(F.sum(event).cast("long").alias("d"), F.count("*").alias("n"))
+    times, risks = per.where("d > 0").select(*by, "t").distinct(), per.select(*by, "r").distinct()
+    both = times.join(risks, by).join(per, [*by, "t", "r"], "full").select(*by, "t", "r", F.coalesce("d", F.lit(0)).alias("d"), F.coalesce("n", F.lit(0)).alias("n"))
+    longer = Window.partitionBy(*by, "r").orderBy(F.desc("t")).rowsBetween(Window.unboundedPreceding, -1)
     both = both.withColumn("longer", F.coalesce(F.sum("n").over(longer), F.lit(0)))
-    lower = Window.partitionBy("t").orderBy("r").rowsBetween(Window.unboundedPreceding, -1)
-    every = Window.partitionBy("t")
+    lower = Window.partitionBy(*by, "t").orderBy("r").rowsBetween(Window.unboundedPreceding, -1)
+    every = Window.partitionBy(*by, "t")
     found = both.withColumn("less", F.coalesce(F.sum("longer").over(lower), F.lit(0))).withColumn("all", F.sum("longer").over(every))
-    sums = found.agg(F.sum(F.col("d") * (2 * F.col("less") + F.col("longer"))).alias("good"), F.sum(2 * F.col("d") * F.col("all")).alias("pairs"))
-    return sums.select((F.col("pairs") / 2).cast("long").alias("pairs"), F.round(F.col("good") / F.when(F.col("pairs") > 0, F.col("pairs")), 6).alias("c_index"))
+    big = lambda c: F.sum(c.cast("decimal(38,0)"))
+    sums = found.groupBy(*by).agg(big(F.col("d") * (2 * F.col("less") + F.col("longer"))).alias("good"), big(2 * F.col("d") * F.col("all")).alias("pairs"))
+    return sums.select(*by, (F.col("pairs") / 2).cast("long").alias("pairs"), F.round(F.col("good").cast("double") / F.when(F.col("pairs") > 0, F.col("pairs").cast("double")), 6).alias("c_index"))
 
 
 def lift_table(rows: DataFrame, signal: str, label: str, by: list[str]) -> DataFrame:
@@ -95,18 +97,24 @@ def lift_table(rows: DataFrame, signal: str, label: str, by: list[str]) -> DataF
     return q.select(*by, "a", "n1", "c", "n0", F.round("lift", 6).alias("lift"), F.round(F.col("lift") * F.exp(-1.96 * F.col("se")), 6).alias("low"), F.round(F.col("lift") * F.exp(1.96 * F.col("se")), 6).alias("high"))
 
 
-def replay(rows: DataFrame, rankings: dict[str, str], key: str, label: str, value: str, n: int) -> DataFrame:
-    """BT-3, TOPK-3: of the top n by each ranking, the churn and the value at risk they hold."""
-    total = rows.agg(F.sum(label).alias("all_events"), F.sum(F.col(label) * F.greatest(F.col(value), F.lit(0))).alias("all_value"))
-    parts = []
-    for name, score in rankings.items():
-        top = rows.orderBy(F.desc(score), key).limit(n)
-        sums = top.agg(F.lit(name).alias("ranking"), F.count("*").alias("contacts"), F.sum(label).alias("events"), F.sum(F.col(label) * F.greatest(F.col(value), F.lit(0))).alias("value"))
-        parts.append(sums)
+def first_rows(rows: DataFrame, by: list[str], order: list, n: int, parts: int = 64) -> DataFrame:
+    """TOPK-3: the first n rows of each group by a total order: first of each of `parts` parts of it, then of what these leave."""
+    part = F.pmod(F.xxhash64(*[F.col(c) for c in rows.columns]), F.lit(parts))
+    for keys in ([*by, "_part"], by):
+        rows = rows.withColumn("_part", part).withColumn("_place", F.row_number().over(Window.partitionBy(*keys).orderBy(*order))).where(F.col("_place") <= n).drop("_part", "_place")
+    return rows
+
+
+def replay(rows: DataFrame, rankings: dict[str, str], key: str, label: str, value: str, n: int, by: list[str]) -> DataFrame:
+    """BT-3: of the first n of each group by each ranking, the churn and the value at risk they hold."""
+    held = F.sum(F.col(label) * F.greatest(F.col(value), F.lit(0)))
+    total = rows.groupBy(*by).agg(F.sum(label).alias("all_events"), held.alias("all_value"))
+    parts = [first_rows(rows, by, [F.desc(score), key], n).groupBy(*by).agg(F.lit(name).alias("ranking"), F.count("*").alias("contacts"), F.sum(label).alias("events"), held.alias("value")) for name, score in rankings.items()]
     found = parts[0]
     for p in parts[1:]:
         found = found.unionByName(p)
-    return found.join(F.broadcast(total)).select("ranking", "contacts", "events", "value", F.round(F.col("events") / F.col("all_events"), 6).alias("event_share"), F.round(F.col("value") / F.col("all_value"), 6).alias("value_share"))
+    share = lambda a, b: F.round(F.col(a) / F.when(F.col(b) > 0, F.col(b)), 6)
+    return found.join(total, by).select(*by, "ranking", "contacts", "events", "value", share("events", "all_events").alias("event_share"), share("value", "all_value").alias("value_share"))
 
 
 def psi(expected: DataFrame, actual: DataFrame, x: str, bins: int = 10) -> DataFrame:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def latest_version(rows: DataFrame, key: list[str], version: list[Column]) -> DataFrame:
@@ -18,11 +19,6 @@ def repeats(rows: DataFrame, key: list[str], by: list[str]) -> DataFrame:
     return per_key.groupBy(*by).agg(F.sum("_n").alias("n_rows"), F.count("*").alias("n_keys"), F.sum(F.col("_n") - 1).alias("repeated"), F.count_if(F.col("_n") > 1).alias("keys_repeated"))
 
 
-def null_safe(left: DataFrame, right: DataFrame, key: list[str]) -> Column:
-    on = [left[k].eqNullSafe(right[k]) for k in key]
-    return on[0] if len(on) == 1 else on[0] & null_safe(left, right, key[1:])
-
-
 def same_keys(left: DataFrame, right: DataFrame, key: list[str], columns: list[str]) -> DataFrame:
     """JOIN-4, REC-3: only left, only right, both, and of those both have how many differ in each column."""
     x, y = left.withColumn("_l", F.lit(True)).alias("x"), right.withColumn("_r", F.lit(True)).alias("y")
@@ -80,9 +76,28 @@ def offset_holes(rows: DataFrame, partition: list[str], offset: str, step: int =
     )
 
 
-def status(share: Column, critical: float = 0.001) -> Column:
-    """REC-8"""
-    return F.when(share > critical, "critical").when(share > 0, "warn").otherwise("ok")
+def doubles(rows: DataFrame) -> DataFrame:
+    """PROJ-3: decimals as doubles, by name and in place."""
+    return rows.select(*[F.col(f.name).cast("double").alias(f.name) if isinstance(f.dataType, T.DecimalType) else F.col(f.name) for f in rows.schema.fields])
+
+
+def without_personal(rows: DataFrame, personal: set[str]) -> DataFrame:
+    """PROJ-5: columns that a contract calls personal are never selected."""
+    return rows.select(*[c for c in rows.columns if c not in personal])
+
+
+def finite(rows: DataFrame) -> DataFrame:
+    """FILT-5: infinite values of fractional columns become null."""
+    inf = F.lit(float("inf"))
+    return rows.select(*[F.when(F.abs(f.name) != inf, F.col(f.name)).alias(f.name) if isinstance(f.dataType, (T.DoubleType, T.FloatType)) else F.col(f.name) for f in rows.schema.fields])
+
+
+def file_steps(files: DataFrame) -> DataFrame:
+    """META-6: files (name topic+partition+firstOffset, n): distance of a file's first offset from the end of the one before."""
+    part = lambda i: F.split_part("name", F.lit("+"), F.lit(i))
+    rows = files.withColumn("_first", part(3).cast("long"))
+    before = F.lag(F.col("_first") + F.col("n")).over(Window.partitionBy(part(1), part(2)).orderBy("_first"))
+    return rows.select("name", "n", (F.col("_first") - before).alias("step"))
 
 
 def as_of(events: DataFrame, features: DataFrame, key: list[str], at: str, ts: str, ttl_days: int) -> DataFrame:

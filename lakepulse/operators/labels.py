@@ -8,33 +8,38 @@ from pyspark.sql import functions as F
 from .activity import _windowed, population
 
 
-def churn_labels(days: DataFrame, cutoff: DataFrame, data_end: str, horizon: int = 60, look_back: int = 30) -> DataFrame:
-    """LAB-2..5: event, duration_days, event_observed and churn within 7/14/30 days for each (cutoff, player).
+def churn_labels(days: DataFrame, cutoff: DataFrame, horizon: int = 60, look_back: int = 30) -> DataFrame:
+    """LAB-2..6: event, duration_days, event_observed and churn within 7/14/30 days for each (cutoff, player).
 
-    Days strictly after the cutoff count. A label whose window passes the end of the data is null, not 0.
+    Days strictly after the cutoff count. A label whose window passes the last day of the data is null, not 0. Cutoffs and active days
+    of a player lie in one window, latest first: each cutoff sees the next active day and the next one that a silence follows.
     """
     people = population(days, cutoff, look_back)
-    end = F.lit(data_end).cast("date")
     active = days.where("active").select("player_id", "day").distinct()
-    # Offsets of all later active days come from one join on the player; day 0 starts the first gap.
-    offsets = people.join(active, "player_id").where(F.col("day") > F.col("cutoff")).select("cutoff", "player_id", "brand", F.datediff("day", "cutoff").alias("t"))
-    offsets = offsets.where(F.date_add("cutoff", F.col("t")) <= end).union(people.select("cutoff", "player_id", "brand", F.lit(0)))
-    follow = Window.partitionBy("cutoff", "player_id", "brand").orderBy("t")
-    gaps = offsets.withColumn("next", F.lead("t").over(follow)).withColumn("last", F.datediff(end, "cutoff"))
-    silent = (F.coalesce(F.col("next"), F.lit(10**6)) > F.col("t") + horizon) & (F.col("t") + horizon <= F.col("last"))
-    found = gaps.groupBy("cutoff", "player_id", "brand").agg(
-        F.min(F.when(F.col("t") > 0, F.col("t"))).alias("first_day"), F.min(F.when(silent, F.col("t"))).alias("churn_day"), F.max("t").alias("last_active"), F.max("last").alias("known")
-    )
+    last = days.agg(F.max("day").alias("end"))
+    order = Window.partitionBy("player_id").orderBy("day")
+    gaps = active.withColumn("next", F.lead("day").over(order)).join(F.broadcast(last))
+    silent = (F.col("next").isNull() | (F.datediff("next", "day") > horizon)) & (F.date_add("day", horizon) <= F.col("end"))
+    none = F.lit(None).cast("date")
+    rows = gaps.select("player_id", "day", F.lit(1).alias("kind"), F.col("day").alias("active_day"), F.when(silent, F.col("day")).alias("silent_day"), F.lit(None).cast("string").alias("brand"))
+    rows = rows.union(people.select("player_id", F.col("cutoff").alias("day"), F.lit(0), none, none, "brand"))
+    # Latest first; an active day of the cutoff itself comes after it.
+    later = Window.partitionBy("player_id").orderBy(F.desc("day"), "kind").rowsBetween(Window.unboundedPreceding, -1)
+    found = rows.withColumn("next_active", F.min("active_day").over(later)).withColumn("next_silent", F.min("silent_day").over(later)).withColumn("last_active", F.max("active_day").over(later))
+    found = found.where("kind = 0").withColumnRenamed("day", "cutoff").join(F.broadcast(last))
+    known, first = F.datediff("end", "cutoff"), F.datediff("next_active", "cutoff")
+    now = (first.isNull() | (first > horizon)) & (known >= horizon)
+    found = found.withColumn("known", known).withColumn("first_day", first).withColumn("churn_day", F.when(now, 0).otherwise(F.datediff("next_silent", "cutoff")))
     event = F.when(F.col("known") >= horizon, (F.col("first_day").isNull() | (F.col("first_day") > horizon)).cast("int"))
     within = lambda h: F.when(F.col("known") >= h + horizon, F.coalesce(F.col("churn_day") <= h, F.lit(False)).cast("int"))
     return found.select(
-        "cutoff", "player_id", "brand", event.alias(f"event_{horizon}d"), F.coalesce("churn_day", "last_active").alias("duration_days"), F.col("churn_day").isNotNull().cast("int").alias("event_observed"),
+        "cutoff", "player_id", "brand", event.alias(f"event_{horizon}d"), F.coalesce("churn_day", F.datediff("last_active", "cutoff"), F.lit(0)).alias("duration_days"), F.col("churn_day").isNotNull().cast("int").alias("event_observed"),
         *[within(h).alias(f"churn_within_{h}d") for h in (7, 14, 30)],
     )
 
 
-def rfm_features(days: DataFrame, cutoff: DataFrame, windows: tuple[int, ...] = (30, 90, 180)) -> DataFrame:
-    """F01, F03..F07, F12..F16, F20..F25 in one pass over the longest window: look-backs (c - n, c] and prior ones (c - 2n, c - n]."""
+def rfm_features(days: DataFrame, cutoff: DataFrame, windows: tuple[int, ...] = (7, 30, 90, 180)) -> DataFrame:
+    """F01, F03..F07, F12..F16, F19..F23, F25, F31, F33, F45, F48, F49 in one pass over the longest window: look-backs (c - n, c] and prior ones (c - 2n, c - n]."""
     longest = 2 * max(windows)
     rows = _windowed(days, cutoff, longest).withColumn("age", F.datediff("cutoff", "day"))
     within = lambda n, m=0: (F.col("age") < n) & (F.col("age") >= m)
@@ -44,23 +49,26 @@ def rfm_features(days: DataFrame, cutoff: DataFrame, windows: tuple[int, ...] =
         measures += [
             F.count_if(F.col("active") & within(n)).alias(f"active_days_l{n}d"), F.count_if(F.col("active") & within(2 * n, n)).alias(f"prior_active_days_l{n}d"), total(F.col("bets"), within(n)).alias(f"bets_l{n}d"),
             total(F.col("turnover_c"), within(n)).alias(f"wagered_c_l{n}d"), total(F.col("turnover_c"), within(2 * n, n)).alias(f"prior_wagered_c_l{n}d"), total(F.col("ggr_c"), within(n)).alias(f"ggr_c_l{n}d"),
+            total(F.col("ggr_c"), within(2 * n, n)).alias(f"prior_ggr_c_l{n}d"), total(F.col("bonus_c"), within(n)).alias(f"bonus_c_l{n}d"),
         ]
     found = rows.groupBy("cutoff", "player_id", "brand").agg(*measures)
-    a, b = windows[0], windows[1]
     trend = lambda x, y: (F.col(x) + 1) / (F.col(y) + 1)
-    weekly = F.col(f"ggr_c_l{b}d") / F.lit(float(b)) * a
+    mean = lambda x, y: F.try_divide(F.col(x).cast("double"), F.col(y))
+    weekly = F.col("ggr_c_l90d") / F.lit(90.0) * 7
+    multiple = F.when(weekly > 0, F.col("ggr_c_l7d") / weekly)
     return found.select(
-        "*", trend(f"wagered_c_l{a}d", f"prior_wagered_c_l{a}d").alias("wagered_trend"), trend(f"active_days_l{a}d", f"prior_active_days_l{a}d").alias("active_days_trend"),
-        F.when(weekly > 0, F.col(f"ggr_c_l{a}d") / weekly).alias("heavy_loss_multiple"), F.try_divide(F.col(f"wagered_c_l{b}d").cast("double"), F.col(f"bets_l{b}d")).alias("avg_bet_c"),
+        "*", F.col("ggr_c_l7d").alias("net_loss_7d"), trend("wagered_c_l7d", "prior_wagered_c_l7d").alias("wagered_trend_7"), trend("active_days_l7d", "prior_active_days_l7d").alias("active_days_7_vs_prior7"),
+        multiple.alias("heavy_loss_multiple"), F.coalesce((F.col("ggr_c_l7d") > 0) & (multiple > 2), F.lit(False)).cast("int").alias("heavy_loss_flag"),
+        mean("wagered_c_l30d", "bets_l30d").alias("avg_bet_c_l30d"), mean("wagered_c_l90d", "bets_l90d").alias("avg_bet_c"), mean("bonus_c_l30d", "wagered_c_l30d").alias("bonus_stake_share_30d"),
     )
 
 
-def spells(days: DataFrame, data_end: str) -> DataFrame:
-    """SPELL-1: silent spells of players: start day, length and whether a return closes it; open ones run to the end of the data."""
+def spells(days: DataFrame) -> DataFrame:
+    """SPELL-1: silent spells of players: start day, length and whether a return closes it; open ones run to the last day of the data."""
     order = Window.partitionBy("player_id").orderBy("day")
     active = days.where("active").select("player_id", "day").distinct().withColumn("next", F.lead("day").over(order))
-    end = F.lit(data_end).cast("date")
-    return active.select("player_id", "day", F.datediff(F.coalesce("next", end), "day").alias("length"), F.col("next").isNotNull().alias("closed"), F.datediff(end, "day").alias("follow"))
+    active = active.join(F.broadcast(days.agg(F.max("day").alias("end"))))
+    return active.select("player_id", "day", F.datediff(F.coalesce("next", "end"), "day").alias("length"), F.col("next").isNotNull().alias("closed"), F.datediff("end", "day").alias("follow"))
 
 
 def return_curve(spell: DataFrame, longest: int = 120, window: int = 60) -> DataFrame:
@@ -80,10 +88,13 @@ def return_curve(spell: DataFrame, longest: int = 120, window: int = 60) -> Data
     return curve.where("spells > 0").select("d", "spells", "returned", (F.col("returned") / F.col("spells")).alias("return_rate"))
 
 
-def dormancy(days: DataFrame, cutoff: DataFrame, silent: int = 14, look_back: int = 180) -> DataFrame:
-    """returns after `silent` days without activity, and days since the last of them (look_back + 1 if none)."""
+def dormancy(days: DataFrame, cutoff: DataFrame, silent: tuple[int, ...] = (14, 30), look_back: int = 180) -> DataFrame:
+    """returns after so many days without activity, and days since the last of them (look_back + 1 if none)."""
     order = Window.partitionBy("player_id").orderBy("day")
     returns = days.where("active").select("player_id", "brand", "day").distinct().withColumn("gap", F.datediff("day", F.lag("day").over(order)))
     rows = _windowed(returns, cutoff, look_back)
-    back = F.coalesce(F.col("gap") > silent, F.lit(False)) & (F.datediff("cutoff", "day") + F.col("gap") < look_back)
-    return rows.groupBy("cutoff", "player_id").agg(F.count_if(back).alias("dormancy_spells"), F.coalesce(F.min(F.when(back, F.datediff("cutoff", "day"))), F.lit(look_back + 1)).alias("days_since_last_return"))
+    measures = []
+    for k in silent:
+        back = F.coalesce(F.col("gap") > k, F.lit(False)) & (F.datediff("cutoff", "day") + F.col("gap") < look_back)
+        measures += [F.count_if(back).alias(f"prior_dormancy_spells_{k}d"), F.coalesce(F.min(F.when(back, F.datediff("cutoff", "day"))), F.lit(look_back + 1)).alias(f"days_since_last_return_{k}d")]
+    return rows.groupBy("cutoff", "player_id").agg(*measures)

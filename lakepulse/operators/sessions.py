@@ -6,18 +6,23 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def sessions(events: DataFrame, who: str, ts: str, timeouts: tuple[int, ...] = (15, 30, 60)) -> DataFrame:
-    """SESS-1, WIN-2, WIN-3, STRM-1: sessions by inactivity for several timeouts (minutes) at once, dated by their start; midnight doesn't split them.
-
-    Returns (who, minutes, session, day, events, seconds).
-    """
+def numbered(events: DataFrame, who: str, ts: str, timeouts: tuple[int, ...] = (15, 30, 60)) -> DataFrame:
+    """WIN-2, WIN-3: each event with its session's number by inactivity, for several timeouts (minutes) at once."""
     order = Window.partitionBy(who).orderBy(ts, "event_id")
     gap = F.unix_micros(F.col(ts).cast("timestamp")) - F.unix_micros(F.lag(ts).over(order).cast("timestamp"))
     gaps = events.select(who, F.col(ts).alias("_ts"), "event_id", gap.alias("_gap"))
     each = gaps.select("*", F.explode(F.array(*[F.lit(m) for m in timeouts])).alias("minutes"))
     running = Window.partitionBy(who, "minutes").orderBy("_ts", "event_id").rowsBetween(Window.unboundedPreceding, 0)
     starts = F.col("_gap").isNull() | (F.col("_gap") > F.col("minutes").cast("long") * 60_000_000)
-    found = each.withColumn("session", F.sum(starts.cast("long")).over(running))
+    return each.withColumn("session", F.sum(starts.cast("long")).over(running))
+
+
+def sessions(events: DataFrame, who: str, ts: str, timeouts: tuple[int, ...] = (15, 30, 60)) -> DataFrame:
+    """SESS-1, STRM-1: sessions for several timeouts, dated by their start; midnight doesn't split them.
+
+    Returns (who, minutes, session, day, events, seconds).
+    """
+    found = numbered(events, who, ts, timeouts)
     seconds = F.floor((F.unix_micros(F.max("_ts").cast("timestamp")) - F.unix_micros(F.min("_ts").cast("timestamp"))) / 1_000_000)
     return found.groupBy(who, "minutes", "session").agg(F.to_date(F.min("_ts")).alias("day"), F.count("*").alias("events"), seconds.cast("long").alias("seconds"))
 
@@ -46,11 +51,12 @@ def islands(days: DataFrame, who: str) -> DataFrame:
     return days.select(who, "day").distinct().withColumn("_run", run).groupBy(who, "_run").agg(F.min("day").alias("first_day"), F.max("day").alias("last_day"), F.count("*").alias("days")).drop("_run")
 
 
-def losing_streak(days: DataFrame, who: str, gain: str) -> DataFrame:
+def losing_streak(days: DataFrame, who: str | list[str], gain: str) -> DataFrame:
     """F32, WIN-7: latest days in a row on which the house gained (gain > 0), newest first."""
-    newest = Window.partitionBy(who).orderBy(F.desc("day")).rowsBetween(Window.unboundedPreceding, 0)
+    keys = [who] if isinstance(who, str) else who
+    newest = Window.partitionBy(*keys).orderBy(F.desc("day")).rowsBetween(Window.unboundedPreceding, 0)
     flagged = days.withColumn("_other", F.sum((F.col(gain) <= 0).cast("int")).over(newest))
-    return flagged.groupBy(who).agg(F.count_if(F.col("_other") == 0).alias("streak"), F.count("*").alias("days"))
+    return flagged.groupBy(*keys).agg(F.count_if(F.col("_other") == 0).alias("streak"), F.count("*").alias("days"))
 
 
 def dense_days(daily: DataFrame, by: list[str], values: list[str], start: str, end: str) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -10,12 +10,13 @@ def clamp(x: Column, low: float = 0.0, high: float = 100.0) -> Column:
     return F.greatest(F.lit(low), F.least(F.lit(high), x))
 
 
-def z_score(x: str, keys: list[str]) -> Column:
-    """WIN-12: (x - mean) / population deviation of the values over 0 in the group; 0 where x or the deviation isn't over 0."""
-    w = Window.partitionBy(*keys)
+def with_z_score(rows: DataFrame, x: str, keys: list[str], name: str) -> DataFrame:
+    """WIN-12: (x - mean) / population deviation of the values over 0 in the group; 0 where x or the deviation isn't over 0. Groups are
+    aggregated and joined back, so none has to fit into one task."""
     positive = F.when(F.col(x) > 0, F.col(x).cast("double"))
-    mean, sd = F.avg(positive).over(w), F.stddev_pop(positive).over(w)
-    return F.when((F.col(x) > 0) & (sd > 0), (F.col(x) - mean) / F.when(sd > 0, sd)).otherwise(0.0)
+    groups = rows.groupBy(*keys).agg(F.avg(positive).alias("_mean"), F.stddev_pop(positive).alias("_sd"))
+    z = F.when((F.col(x) > 0) & (F.col("_sd") > 0), (F.col(x) - F.col("_mean")) / F.when(F.col("_sd") > 0, F.col("_sd"))).otherwise(0.0)
+    return rows.join(groups, keys).withColumn(name, z).drop("_mean", "_sd")
 
 
 def value_decline(short: str, long: str, a: float, b: float) -> Column:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import layers, models, monitoring, more, players  # noqa: F401
+from . import alerts, checks, extra, features, layers, models, monitoring, more, players, survival  # noqa: F401
 from .registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]

@@ -277,14 +277,6 @@ def chk_1(spark, d):
     return profiles.check_formula(lens.gaming(spark, d), F.col("payout_c"), F.col("stake_c") * 0.95, ["provider"], 1.0, 0.02)
 
 
-@query("win_4_session_gap", "WITH g AS (SELECT user_id, (epoch_us(ts) - epoch_us(lag(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id))) / 3600000000 AS h FROM events) SELECT user_id, count(h) AS n, round(max(h), 4) AS longest, round(avg(h), 4) AS mean FROM g GROUP BY ALL")
-def win_4(spark, d):
-    w = Window.partitionBy("user_id").orderBy("ts", "event_id")
-    micros = lambda c: F.unix_micros(c.cast("timestamp"))
-    g = lens.table(spark, d, "events").withColumn("h", (micros(F.col("ts")) - micros(F.lag("ts").over(w))) / 3_600_000_000)
-    return g.groupBy("user_id").agg(F.count("h").alias("n"), F.round(F.max("h"), 4).alias("longest"), F.round(F.avg("h"), 4).alias("mean"))
-
-
 @query("win_15_share_of_total", "SELECT o_orderstatus, o_orderpriority, count(*) AS n, round(count(*) / sum(count(*)) OVER (PARTITION BY o_orderstatus), 6) AS share FROM orders GROUP BY o_orderstatus, o_orderpriority")
 def win_15(spark, d):
     per = lens.table(spark, d, "orders").groupBy("o_orderstatus", "o_orderpriority").agg(F.count("*").alias("n"))

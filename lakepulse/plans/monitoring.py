@@ -52,12 +52,6 @@ def win_6(spark, d):
     return lens.activity(spark, d).where("active").select("player_id", "day", F.lead("day").over(Window.partitionBy("player_id").orderBy("day")).alias("next_day"))
 
 
-@query("win_14_quartiles", with_("players", "stakes") + ", p AS (SELECT brand, player_id, CAST(sum(stake_c) AS BIGINT) AS stake_c FROM stakes JOIN players USING (player_id) GROUP BY ALL) SELECT brand, player_id, 'Q' || ntile(4) OVER (PARTITION BY brand ORDER BY stake_c, player_id) AS quartile FROM p")
-def win_14(spark, d):
-    per = lens.stakes(spark, d).join(lens.players(spark, d), "player_id").groupBy("brand", "player_id").agg(F.sum("stake_c").alias("stake_c"))
-    return per.select("brand", "player_id", F.concat(F.lit("Q"), F.ntile(4).over(Window.partitionBy("brand").orderBy("stake_c", "player_id"))).alias("quartile"))
-
-
 @query("chk_3_window", with_("activity") + f""", {pl.CUT}, {pl.FEATURES}, s AS (SELECT cutoff, player_id, bets_l90d + CASE WHEN player_id % 50 = 0 THEN 1 ELSE 0 END AS stored FROM features),
 e AS (SELECT cutoff, player_id, sum(bets) AS expected FROM cut JOIN activity ON day > cutoff - 90 AND day <= cutoff GROUP BY ALL)
 SELECT cutoff, count(*) AS n, count(*) FILTER (stored = coalesce(expected, 0)) AS equal, count(*) FILTER (stored > coalesce(expected, 0)) AS higher, count(*) FILTER (stored < coalesce(expected, 0)) AS lower FROM s LEFT JOIN e USING (cutoff, player_id) GROUP BY cutoff""")
@@ -74,7 +68,7 @@ SELECT shift, count(last) AS n, count(*) FILTER (cutoff + shift - last = stored)
 def leak_2(spark, d):
     """LEAK-2: a recency built seven days ahead is found out by the shift that matches best."""
     active = lens.activity(spark, d).where("active").select("player_id", "day").distinct()
-    rows = labels._windowed(active, pl.cut(spark), 180, 7)
+    rows = labels._windowed(active, pl.cut(spark, d), 180, 7)
     stored = rows.groupBy("player_id", "cutoff").agg(F.datediff(F.date_add("cutoff", 7), F.max("day")).alias("stored"))
     return monitor.shift_sweep(stored, active, "player_id", "cutoff", "stored", (-3, 10))
 

@@ -22,7 +22,7 @@ def join_2(spark, d):
     """JOIN-2, CACHE-6: players active around a snapshot."""
     from lakepulse.operators import labels
 
-    return labels._windowed(lens.activity(spark, d).where("active"), pl.cut(spark), 30, 30).select("cutoff", "player_id").distinct()
+    return labels._windowed(lens.activity(spark, d).where("active"), pl.cut(spark, d), 30, 30).select("cutoff", "player_id").distinct()
 
 
 @query("join_8_star", with_("activity") + f""", {pl.CUT}, {pl.FEATURES} SELECT f.cutoff, f.player_id, f.bets_l90d, coalesce(p.bets_l90d, 0) AS bets_l90d_p, (f.bets_l90d + 1) / (coalesce(p.bets_l90d, 0) + 1) AS ratio
@@ -155,38 +155,13 @@ def alrt_1(spark, d):
     return b.select("month", "n", F.round("benchmark", 6).alias("benchmark"), F.when(F.col("benchmark").isNull(), "info").when((F.col("n") == 0) | (off > 0.5), "critical").when(off > 0.2, "warn").otherwise("ok").alias("severity"))
 
 
-PAY = "c AS (SELECT CAST(unnest(generate_series(DATE '2024-01-08', DATE '2024-01-29', INTERVAL 7 DAY)) AS DATE) AS cutoff)"
-
-
-@query("feat_payments", with_("payments") + f""", {PAY} SELECT cutoff, player_id, CAST(least(coalesce(cutoff - max(day) FILTER (deposits > 0), 31), 31) AS INT) AS days_since_last_deposit, count(*) FILTER (deposits > 0 AND cutoff - day < 7) AS n_deposit_days_7d, count(*) FILTER (deposits > 0) AS n_deposit_days_30d,
-CAST(coalesce(sum(failed) FILTER (cutoff - day < 14), 0) AS BIGINT) AS failed_deposits_14d, sum(withdraw_c) / nullif(sum(deposit_c), 0) AS withdrawals_30d_share,
-CAST(coalesce(max(day) FILTER (withdrawals > 0 AND cutoff - day < 14) > coalesce(max(day) FILTER (deposits > 0), DATE '1900-01-01'), false) AS INT) AS withdrawal_no_redeposit
-FROM c JOIN payments ON day > cutoff - 30 AND day <= cutoff GROUP BY cutoff, player_id""")
-def feat_payments(spark, d):
-    """F02, F10, F11, F18, F35..F37 (from F02), F39, F43 at weekly cutoffs: each day is dealt to the weeks it can serve."""
-    p = lens.payments(spark, d)
-    first = F.lit("2024-01-08").cast("date")
-    k = F.explode(F.sequence(F.lit(0), F.lit(3)))
-    rows = p.select("*", k.alias("_k")).withColumn("cutoff", F.date_add(first, F.col("_k") * 7))
-    age = F.datediff("cutoff", "day")
-    rows = rows.where((age >= 0) & (age < 30))
-    deposit = F.col("deposits") > 0
-    last = F.max(F.when(deposit, F.col("day")))
-    out = F.max(F.when((F.col("withdrawals") > 0) & (age < 14), F.col("day")))
-    return rows.groupBy("cutoff", "player_id").agg(
-        F.least(F.coalesce(F.datediff(F.col("cutoff"), last), F.lit(31)), F.lit(31)).alias("days_since_last_deposit"), F.count_if(deposit & (age < 7)).alias("n_deposit_days_7d"), F.count_if(deposit).alias("n_deposit_days_30d"),
-        F.coalesce(F.sum(F.when(age < 14, F.col("failed"))), F.lit(0)).alias("failed_deposits_14d"), F.try_divide(F.sum("withdraw_c").cast("double"), F.sum("deposit_c").cast("double")).alias("withdrawals_30d_share"),
-        F.coalesce(out > F.coalesce(last, F.lit("1900-01-01").cast("date")), F.lit(False)).cast("int").alias("withdrawal_no_redeposit"),
-    )
-
-
-@query("feat_games", with_("gaming") + f""", {pl.CUT} SELECT cutoff, player_id, count(DISTINCT game_id) FILTER (cutoff - day < 30) AS games_breadth_30d, count(DISTINCT game_id) FILTER (cutoff - day >= 30) AS games_breadth_before, (count(DISTINCT game_id) FILTER (cutoff - day < 30) + 1) / (count(DISTINCT game_id) FILTER (cutoff - day >= 30) + 1) AS games_breadth_ratio
+@query("feat_games", with_("gaming", "activity") + f""", {pl.CUT} SELECT cutoff, player_id, count(DISTINCT game_id) FILTER (cutoff - day < 30) AS games_breadth_30d, count(DISTINCT game_id) FILTER (cutoff - day >= 30) AS games_breadth_before, (count(DISTINCT game_id) FILTER (cutoff - day < 30) + 1) / (count(DISTINCT game_id) FILTER (cutoff - day >= 30) + 1) AS games_breadth_ratio
 FROM cut JOIN gaming ON day > cutoff - 60 AND day <= cutoff GROUP BY cutoff, player_id""")
 def feat_games(spark, d):
     """F29, F30"""
     from lakepulse.operators import labels
 
-    rows = labels._windowed(lens.gaming(spark, d), pl.cut(spark), 60)
+    rows = labels._windowed(lens.gaming(spark, d), pl.cut(spark, d), 60)
     now = F.datediff("cutoff", "day") < 30
     found = rows.groupBy("cutoff", "player_id").agg(F.countDistinct(F.when(now, F.col("game_id"))).alias("games_breadth_30d"), F.countDistinct(F.when(~now, F.col("game_id"))).alias("games_breadth_before"))
     return found.withColumn("games_breadth_ratio", (F.col("games_breadth_30d") + 1) / (F.col("games_breadth_before") + 1))

@@ -12,14 +12,16 @@ from lakepulse.sources.lens import with_
 
 from .registry import query
 
-FIRST, LAST, END, STEP = "1997-01-01", "2000-10-01", "2001-08-01", 3
-CUT = f"cut AS (SELECT CAST(unnest(generate_series(DATE '{FIRST}', DATE '{LAST}', INTERVAL {STEP} MONTH)) AS DATE) AS cutoff)"
+#: Month starts over all days that there are, and the last day.
+CUT = "cut AS (SELECT CAST(unnest(generate_series(date_trunc('month', min(day)) + INTERVAL 1 MONTH, date_trunc('month', max(day)), INTERVAL 1 MONTH)) AS DATE) AS cutoff FROM activity)"
+END_DAY = "(SELECT max(day) FROM activity)"
+WINDOWS = (7, 30, 90, 180)
 ACTIVE = "a AS (SELECT DISTINCT player_id, brand, day FROM activity WHERE active)"
 POP = "pop AS (SELECT DISTINCT cutoff, player_id, brand FROM cut JOIN a ON day > cutoff - 180 AND day <= cutoff)"
 
 
-def cut(spark):
-    return act.cutoffs(spark, FIRST, LAST, STEP)
+def cut(spark, d):
+    return act.cutoffs_of(lens.stakes(spark, d))
 
 
 @query("cache_1_activity", with_("activity") + " SELECT * FROM activity")
@@ -57,11 +59,11 @@ def scan_5(spark, d):
 
 @query("filt_1_population", with_("activity") + f", {CUT}, {ACTIVE}, {POP} SELECT * FROM pop")
 def filt_1(spark, d):
-    return act.population(lens.activity(spark, d), cut(spark), 180)
+    return act.population(lens.activity(spark, d), cut(spark, d), 180)
 
 
-LABELS = f"""off AS (SELECT cutoff, player_id, brand, 0 AS t FROM pop UNION ALL SELECT cutoff, pop.player_id, pop.brand, day - cutoff FROM pop JOIN (SELECT DISTINCT player_id, day FROM a) USING (player_id) WHERE day > cutoff AND day <= DATE '{END}'),
-g AS (SELECT *, lead(t) OVER (PARTITION BY cutoff, player_id, brand ORDER BY t) AS nx, DATE '{END}' - cutoff AS known FROM off),
+LABELS = f"""off AS (SELECT cutoff, player_id, brand, 0 AS t FROM pop UNION ALL SELECT cutoff, pop.player_id, pop.brand, day - cutoff FROM pop JOIN (SELECT DISTINCT player_id, day FROM a) USING (player_id) WHERE day > cutoff AND day <= {END_DAY}),
+g AS (SELECT *, lead(t) OVER (PARTITION BY cutoff, player_id, brand ORDER BY t) AS nx, {END_DAY} - cutoff AS known FROM off),
 h AS (SELECT cutoff, player_id, brand, min(t) FILTER (t > 0) AS first_day, min(t) FILTER (coalesce(nx, 1000000) > t + 60 AND t + 60 <= known) AS churn_day, max(t) AS last_active, max(known) AS known FROM g GROUP BY ALL),
 labels AS (SELECT cutoff, player_id, brand, CASE WHEN known >= 60 THEN CAST(first_day IS NULL OR first_day > 60 AS INT) END AS event_60d, CAST(coalesce(churn_day, last_active) AS INT) AS duration_days, CAST(churn_day IS NOT NULL AS INT) AS event_observed,
 {", ".join(f"CASE WHEN known >= {h} + 60 THEN CAST(coalesce(churn_day <= {h}, false) AS INT) END AS churn_within_{h}d" for h in (7, 14, 30))} FROM h)"""
@@ -69,20 +71,21 @@ labels AS (SELECT cutoff, player_id, brand, CASE WHEN known >= 60 THEN CAST(firs
 
 @query("lab_2_5_churn_labels", with_("activity") + f", {CUT}, {ACTIVE}, {POP}, {LABELS} SELECT * FROM labels")
 def lab(spark, d):
-    return labels.churn_labels(lens.activity(spark, d), cut(spark), END, 60, 180)
+    return labels.churn_labels(lens.activity(spark, d), cut(spark, d), 60, 180)
 
 
 def _features_sql() -> str:
     parts = []
-    for n in (30, 90, 180):
+    for n in WINDOWS:
         near, far = f"age < {n}", f"age >= {n} AND age < {2 * n}"
         parts += [f"count(*) FILTER (active AND {near}) AS active_days_l{n}d", f"count(*) FILTER (active AND {far}) AS prior_active_days_l{n}d"]
-        for name, e, w in ((f"bets_l{n}d", "bets", near), (f"wagered_c_l{n}d", "turnover_c", near), (f"prior_wagered_c_l{n}d", "turnover_c", far), (f"ggr_c_l{n}d", "ggr_c", near)):
+        for name, e, w in ((f"bets_l{n}d", "bets", near), (f"wagered_c_l{n}d", "turnover_c", near), (f"prior_wagered_c_l{n}d", "turnover_c", far), (f"ggr_c_l{n}d", "ggr_c", near), (f"prior_ggr_c_l{n}d", "ggr_c", far), (f"bonus_c_l{n}d", "bonus_c", near)):
             parts.append(f"CAST(coalesce(sum({e}) FILTER ({w}), 0) AS BIGINT) AS {name}")
     return f"""rows_ AS (SELECT cutoff, activity.*, cutoff - day AS age FROM cut JOIN activity ON day > cutoff - 360 AND day <= cutoff),
     f AS (SELECT cutoff, player_id, brand, CAST(min(age) FILTER (active) AS INT) AS days_since_last_bet, CAST(least(max(age) FILTER (active), 150) AS INT) AS days_since_first_bet, {", ".join(parts)} FROM rows_ GROUP BY ALL),
-    features AS (SELECT *, (wagered_c_l30d + 1) / (prior_wagered_c_l30d + 1) AS wagered_trend, (active_days_l30d + 1) / (prior_active_days_l30d + 1) AS active_days_trend,
-    CASE WHEN ggr_c_l90d / 90.0::DOUBLE * 30 > 0 THEN ggr_c_l30d / (ggr_c_l90d / 90.0::DOUBLE * 30) END AS heavy_loss_multiple, CASE WHEN bets_l90d > 0 THEN wagered_c_l90d / bets_l90d END AS avg_bet_c FROM f)"""
+    features AS (SELECT *, ggr_c_l7d AS net_loss_7d, (wagered_c_l7d + 1) / (prior_wagered_c_l7d + 1) AS wagered_trend_7, (active_days_l7d + 1) / (prior_active_days_l7d + 1) AS active_days_7_vs_prior7,
+    CASE WHEN ggr_c_l90d / 90.0::DOUBLE * 7 > 0 THEN ggr_c_l7d / (ggr_c_l90d / 90.0::DOUBLE * 7) END AS heavy_loss_multiple, CAST(coalesce(ggr_c_l7d > 0 AND ggr_c_l90d > 0 AND ggr_c_l7d / (ggr_c_l90d / 90.0::DOUBLE * 7) > 2, false) AS INT) AS heavy_loss_flag,
+    CASE WHEN bets_l30d > 0 THEN wagered_c_l30d / bets_l30d END AS avg_bet_c_l30d, CASE WHEN bets_l90d > 0 THEN wagered_c_l90d / bets_l90d END AS avg_bet_c, CASE WHEN wagered_c_l30d > 0 THEN bonus_c_l30d / wagered_c_l30d END AS bonus_stake_share_30d FROM f)"""
 
 
 FEATURES = _features_sql()
@@ -90,29 +93,34 @@ FEATURES = _features_sql()
 
 @query("feat_rfm", with_("activity") + f", {CUT}, {FEATURES} SELECT * FROM features")
 def feat(spark, d):
-    return labels.rfm_features(lens.activity(spark, d), cut(spark))
+    return labels.rfm_features(lens.activity(spark, d), cut(spark, d), WINDOWS)
 
 
 @query("slice_churn_rfm", with_("activity") + f", {CUT}, {ACTIVE}, {POP}, {LABELS}, {FEATURES} SELECT * FROM labels JOIN features USING (cutoff, player_id, brand)")
 def slice_(spark, d):
-    """The flagship: churn labels and recency, frequency and value features at quarterly cutoffs."""
+    """The flagship: churn labels and recency, frequency and value features at monthly cutoffs."""
     return lab(spark, d).join(feat(spark, d), ["cutoff", "player_id", "brand"])
 
 
+def _dormancy_sql(k: int) -> str:
+    back = f"gap > {k} AND cutoff - day + gap < 180"
+    return f"count(*) FILTER ({back}) AS prior_dormancy_spells_{k}d, CAST(coalesce(min(cutoff - day) FILTER ({back}), 181) AS INT) AS days_since_last_return_{k}d"
+
+
 @query("feat_dormancy", with_("activity") + f""", {CUT}, a AS (SELECT player_id, brand, day, day - lag(day) OVER (PARTITION BY player_id ORDER BY day) AS gap FROM (SELECT DISTINCT player_id, brand, day FROM activity WHERE active))
-SELECT cutoff, player_id, count(*) FILTER (gap > 14 AND cutoff - day + gap < 180) AS dormancy_spells, CAST(coalesce(min(cutoff - day) FILTER (gap > 14 AND cutoff - day + gap < 180), 181) AS INT) AS days_since_last_return
-FROM cut JOIN a ON day > cutoff - 180 AND day <= cutoff GROUP BY ALL""")
+SELECT cutoff, player_id, {_dormancy_sql(14)}, {_dormancy_sql(30)} FROM cut JOIN a ON day > cutoff - 180 AND day <= cutoff GROUP BY ALL""")
 def feat_dormancy(spark, d):
-    return labels.dormancy(lens.activity(spark, d), cut(spark))
+    """F26, F27, F44"""
+    return labels.dormancy(lens.activity(spark, d), cut(spark, d))
 
 
-SPELL = f"""sp AS (SELECT player_id, day, coalesce(nx, DATE '{END}') - day AS length, nx IS NOT NULL AS closed, DATE '{END}' - day AS follow
+SPELL = f"""sp AS (SELECT player_id, day, coalesce(nx, {END_DAY}) - day AS length, nx IS NOT NULL AS closed, {END_DAY} - day AS follow
 FROM (SELECT player_id, day, lead(day) OVER (PARTITION BY player_id ORDER BY day) AS nx FROM (SELECT DISTINCT player_id, day FROM activity WHERE active)))"""
 
 
 @query("spell_1_silent_spells", with_("activity") + f", {SPELL} SELECT player_id, day, CAST(length AS INT) AS length, closed, CAST(follow AS INT) AS follow FROM sp")
 def spell_1(spark, d):
-    return labels.spells(lens.activity(spark, d), END)
+    return labels.spells(lens.activity(spark, d))
 
 
 @query("spell_2_return_curve", with_("activity") + f""", {SPELL} SELECT CAST(d AS INT) AS d, count(*) AS spells, count(*) FILTER (closed AND length <= d + 60) AS returned, count(*) FILTER (closed AND length <= d + 60) / count(*) AS return_rate
@@ -174,31 +182,31 @@ def agg_43(spark, d):
 @query("sig_catalogue", with_("activity") + f""", {CUT}, {FEATURES},
 z AS (SELECT *, avg(CASE WHEN avg_bet_c > 0 THEN avg_bet_c END) OVER (PARTITION BY cutoff, brand) AS m, stddev_pop(CASE WHEN avg_bet_c > 0 THEN avg_bet_c END) OVER (PARTITION BY cutoff, brand) AS sd FROM features),
 s AS (SELECT *, CASE WHEN avg_bet_c > 0 AND sd > 0 THEN (avg_bet_c - m) / sd ELSE 0 END AS z,
- CASE WHEN bets_l90d > 0 AND bets_l30d > 0 THEN (wagered_c_l30d / bets_l30d - avg_bet_c) / avg_bet_c ELSE 0 END AS rise,
+ CASE WHEN bets_l7d > 0 AND bets_l30d > 0 THEN (wagered_c_l7d / bets_l7d - avg_bet_c_l30d) / avg_bet_c_l30d ELSE 0 END AS rise,
  CASE WHEN days_since_last_bet = 0 THEN 100 ELSE 100 * (1 - least(1.0, days_since_last_bet / 30.0::DOUBLE)) END AS recency,
- CASE WHEN active_days_l180d > 0 THEN 100 * greatest(0, 1 - (active_days_l30d / 30.0::DOUBLE) / (active_days_l180d / 180.0::DOUBLE)) ELSE 0 END AS frequency,
- CASE WHEN ggr_c_l180d > 0 THEN 100 * greatest(0, 1 - (ggr_c_l30d / 30.0::DOUBLE) / (ggr_c_l180d / 180.0::DOUBLE)) ELSE 0 END AS value FROM z),
+ CASE WHEN active_days_l30d > 0 THEN 100 * greatest(0, 1 - (active_days_l7d / 7.0::DOUBLE) / (active_days_l30d / 30.0::DOUBLE)) ELSE 0 END AS frequency,
+ CASE WHEN ggr_c_l90d > 0 THEN 100 * greatest(0, 1 - (ggr_c_l7d / 7.0::DOUBLE) / (ggr_c_l90d / 90.0::DOUBLE)) ELSE 0 END AS value FROM z),
 c AS (SELECT *, greatest(0, least(100, 0.5::DOUBLE * (100 - recency) + 0.3::DOUBLE * frequency + 0.2::DOUBLE * value)) AS churn FROM s)
 SELECT cutoff, player_id, brand, round(z, 4) AS bet_z, round(rise, 4) AS escalation, round(greatest(0, least(100, 50 + 50 * greatest(-1, least(1, z)))), 4) AS risk_appetite,
  round(greatest(0, least(100, 50 + 25 * greatest(-2, least(2, z)) + 25 * greatest(-1, least(1, rise)))), 4) AS aggression, round(recency, 4) AS recency, round(frequency, 4) AS frequency_decline, round(value, 4) AS value_decline,
  round(churn, 4) AS churn_score, CASE WHEN churn < 25 THEN 'low' WHEN churn < 50 THEN 'medium' WHEN churn < 75 THEN 'high' ELSE 'critical' END AS churn_band,
- round(least(1.0, days_since_last_bet / 90.0::DOUBLE), 4) AS propensity, round(CASE WHEN ggr_c_l90d < 0 AND wagered_c_l90d > 0 THEN least(1.0, -ggr_c_l90d / wagered_c_l90d) ELSE 0 END, 4) AS loss_chasing,
- round(greatest(0.0, ggr_c_l30d + 0.4::DOUBLE * (ggr_c_l90d - ggr_c_l30d) + 0.2::DOUBLE * (ggr_c_l180d - ggr_c_l90d)), 2) AS value_score
+ round(least(1.0, days_since_last_bet / 90.0::DOUBLE), 4) AS propensity, round(CASE WHEN ggr_c_l30d < 0 AND wagered_c_l30d > 0 THEN least(1.0, -ggr_c_l30d / wagered_c_l30d) ELSE 0 END, 4) AS loss_chasing,
+ round(greatest(0.0, ggr_c_l7d + 0.7::DOUBLE * (ggr_c_l30d - ggr_c_l7d) + 0.4::DOUBLE * (ggr_c_l90d - ggr_c_l30d) + 0.2::DOUBLE * (ggr_c_l180d - ggr_c_l90d)), 2) AS value_score
 FROM c""")
 def sig(spark, d):
-    """SIG-02, 03, 04, 06, 07, 09, 10, 15, 16, 17, 18, 19 on look-backs of 30/90/180 days."""
-    f = feat(spark, d).withColumn("z", signals.z_score("avg_bet_c", ["cutoff", "brand"]))
-    recent = F.try_divide(F.col("wagered_c_l30d").cast("double"), F.col("bets_l30d"))
-    f = f.withColumn("rise", F.coalesce(signals.escalation(recent, F.col("avg_bet_c")), F.lit(0.0)))
+    """SIG-02, 03, 04, 06, 07, 09, 10, 15, 16, 17, 18, 19 on look-backs of 7/30/90/180 days."""
+    f = signals.with_z_score(feat(spark, d), "avg_bet_c", ["cutoff", "brand"], "z")
+    recent = F.try_divide(F.col("wagered_c_l7d").cast("double"), F.col("bets_l7d"))
+    f = f.withColumn("rise", F.coalesce(signals.escalation(recent, F.col("avg_bet_c_l30d")), F.lit(0.0)))
     f = f.withColumn("recency_", signals.recency_score(F.col("days_since_last_bet"), F.col("days_since_last_bet") == 0))
-    f = f.withColumn("frequency", signals.value_decline("active_days_l30d", "active_days_l180d", 30.0, 180.0)).withColumn("value", signals.value_decline("ggr_c_l30d", "ggr_c_l180d", 30.0, 180.0))
+    f = f.withColumn("frequency", signals.value_decline("active_days_l7d", "active_days_l30d", 7.0, 30.0)).withColumn("value", signals.value_decline("ggr_c_l7d", "ggr_c_l90d", 7.0, 90.0))
     f = f.withColumn("churn", signals.churn_score(100 - F.col("recency_"), F.col("frequency"), F.col("value")))
     r = lambda c: F.round(c, 4)
     return f.select(
         "cutoff", "player_id", "brand", r("z").alias("bet_z"), r("rise").alias("escalation"), r(signals.risk_appetite(F.col("z"))).alias("risk_appetite"), r(signals.betting_aggression(F.col("z"), F.col("rise"))).alias("aggression"),
         r("recency_").alias("recency"), r("frequency").alias("frequency_decline"), r("value").alias("value_decline"), r("churn").alias("churn_score"), signals.band(F.col("churn")).alias("churn_band"),
-        r(signals.propensity(F.col("days_since_last_bet"))).alias("propensity"), r(signals.loss_chasing("ggr_c_l90d", "wagered_c_l90d")).alias("loss_chasing"),
-        F.round(signals.value_score("ggr_c_l30d", "ggr_c_l30d", "ggr_c_l90d", "ggr_c_l180d"), 2).alias("value_score"),
+        r(signals.propensity(F.col("days_since_last_bet"))).alias("propensity"), r(signals.loss_chasing("ggr_c_l30d", "wagered_c_l30d")).alias("loss_chasing"),
+        F.round(signals.value_score("ggr_c_l7d", "ggr_c_l30d", "ggr_c_l90d", "ggr_c_l180d"), 2).alias("value_score"),
     )
 
 
@@ -240,10 +248,10 @@ def eval_4(spark, d):
     return ev.top_share(scored(spark, d), "s", "y", "player_id", ["cutoff"])
 
 
-@query("eval_5_concordance", with_("activity") + f""", {SCORED}, q AS (SELECT * FROM sc WHERE cutoff = DATE '1999-01-01'), c AS (SELECT duration_days AS t, ad AS r, sum(event_observed) AS d, count(*) AS n FROM q GROUP BY ALL)
-SELECT CAST(sum(a.d * b.n) AS BIGINT) AS pairs, round(sum(a.d * b.n * CASE WHEN b.r < a.r THEN 1.0::DOUBLE WHEN b.r = a.r THEN 0.5 ELSE 0 END) / sum(a.d * b.n), 6) AS c_index FROM c a JOIN c b ON b.t > a.t""")
+@query("eval_5_concordance", with_("activity") + f""", {SCORED}, c AS (SELECT cutoff, duration_days AS t, ad AS r, sum(event_observed) AS d, count(*) AS n FROM sc GROUP BY ALL)
+SELECT a.cutoff, CAST(sum(a.d * b.n) AS BIGINT) AS pairs, round(sum(a.d * b.n * CASE WHEN b.r < a.r THEN 1.0::DOUBLE WHEN b.r = a.r THEN 0.5 ELSE 0 END) / sum(a.d * b.n), 6) AS c_index FROM c a JOIN c b ON b.t > a.t AND b.cutoff = a.cutoff WHERE a.d > 0 GROUP BY a.cutoff""")
 def eval_5(spark, d):
-    return ev.concordance(scored(spark, d).where("cutoff = date'1999-01-01'"), "duration_days", "event_observed", "ad")
+    return ev.concordance(scored(spark, d), "duration_days", "event_observed", "ad", ["cutoff"]).where("pairs > 0")
 
 
 @query("eval_6_kaplan_meier", with_("activity") + f""", {SCORED}, c AS (SELECT brand, duration_days AS t, CAST(sum(event_observed) AS BIGINT) AS d, count(*) AS n FROM sc GROUP BY ALL),
@@ -265,12 +273,14 @@ def win_13(spark, d):
     return ev.deciles(scored(spark, d), "p", "player_id", ["cutoff", "brand"]).select("cutoff", "brand", "player_id", "decile")
 
 
-@query("bt_3_replay", with_("activity") + f""", {SCORED}, q AS (SELECT *, y * greatest(v, 0) AS yv, p * greatest(v, 0) AS pv FROM sc WHERE cutoff = DATE '1999-07-01'),
-t AS (SELECT 'recency' AS ranking, * FROM (SELECT * FROM q ORDER BY s DESC, player_id LIMIT 100) UNION ALL SELECT 'value', * FROM (SELECT * FROM q ORDER BY pv DESC, player_id LIMIT 100))
-SELECT ranking, count(*) AS contacts, CAST(sum(y) AS BIGINT) AS events, CAST(sum(yv) AS BIGINT) AS value, round(sum(y) / (SELECT sum(y) FROM q), 6) AS event_share, round(sum(yv) / (SELECT sum(yv) FROM q), 6) AS value_share FROM t GROUP BY ranking""")
+@query("bt_3_replay", with_("activity") + f""", {SCORED}, q AS (SELECT *, y * greatest(v, 0) AS yv, p * greatest(v, 0) AS pv FROM sc),
+r AS (SELECT *, row_number() OVER (PARTITION BY cutoff ORDER BY s DESC, player_id) AS rs, row_number() OVER (PARTITION BY cutoff ORDER BY pv DESC, player_id) AS rv FROM q),
+t AS (SELECT 'recency' AS ranking, * FROM r WHERE rs <= 100 UNION ALL SELECT 'value', * FROM r WHERE rv <= 100), w AS (SELECT cutoff, sum(y) AS ye, sum(yv) AS yve FROM q GROUP BY cutoff)
+SELECT cutoff, ranking, count(*) AS contacts, CAST(sum(y) AS BIGINT) AS events, CAST(sum(yv) AS BIGINT) AS value, round(sum(y) / nullif(any_value(ye), 0), 6) AS event_share, round(sum(yv) / nullif(any_value(yve), 0), 6) AS value_share FROM t JOIN w USING (cutoff) GROUP BY cutoff, ranking""")
 def bt_3(spark, d):
-    rows = scored(spark, d).where("cutoff = date'1999-07-01'").withColumn("pv", F.col("p") * F.greatest(F.col("v"), F.lit(0)))
-    return ev.replay(rows, {"recency": "s", "value": "pv"}, "player_id", "y", "v", 100)
+    """BT-3, TOPK-3: the 100 first contacts of each cutoff by two rankings."""
+    rows = scored(spark, d).withColumn("pv", F.col("p") * F.greatest(F.col("v"), F.lit(0)))
+    return ev.replay(rows, {"recency": "s", "value": "pv"}, "player_id", "y", "v", 100, ["cutoff"])
 
 
 @query("alrt_4_psi", with_("activity") + f""", {SCORED}, e AS (SELECT list_distinct(quantile_cont(ad, [0.1,0.2,0.3,0.4,0.5,0.6,0.7,0.8,0.9])) AS edges FROM sc WHERE cutoff < DATE '1999-01-01'),

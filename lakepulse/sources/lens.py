@@ -30,7 +30,7 @@ def stakes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def activity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Player-days (player_id, brand, tenant, day, bets, turnover_c, ggr_c, active)."""
+    """Player-days (player_id, brand, tenant, day, bets, turnover_c, ggr_c, bonus_c, active)."""
     from lakepulse.operators.activity import player_days
 
     return player_days(stakes(spark, sf_dir).join(players(spark, sf_dir), "player_id"))
@@ -58,7 +58,7 @@ SQL = {
     "stakes": """stakes AS (SELECT o_custkey AS player_id, CAST(o_orderdate AS DATE) AS day, o_orderkey AS order_id, o_orderpriority AS product, c AS stake_c,
         CAST(floor(c * (o_orderkey % 7) / 4) AS BIGINT) AS payout_c, o_orderstatus <> 'F' AS real
         FROM (SELECT *, CAST(floor(o_totalprice * 100 + 0.5) AS BIGINT) AS c FROM orders))""",
-    "activity": """activity AS (SELECT player_id, brand, tenant, day, count(*) AS bets, CAST(sum(stake_c) AS BIGINT) AS turnover_c, CAST(sum(stake_c - payout_c) AS BIGINT) AS ggr_c, bool_or(real) AS active
+    "activity": """activity AS (SELECT player_id, brand, tenant, day, count(*) AS bets, CAST(sum(stake_c) AS BIGINT) AS turnover_c, CAST(sum(stake_c - payout_c) AS BIGINT) AS ggr_c, CAST(coalesce(sum(stake_c) FILTER (NOT real), 0) AS BIGINT) AS bonus_c, bool_or(real) AS active
         FROM stakes JOIN players USING (player_id) GROUP BY ALL)""",
     "payments": """payments AS (SELECT user_id AS player_id, CAST(ts AS DATE) AS day, count(*) FILTER (event_type = 'purchase') AS deposits, count(*) FILTER (event_type = 'error') AS failed,
         count(*) FILTER (event_type = 'click') AS withdrawals, CAST(coalesce(sum(c) FILTER (event_type = 'purchase'), 0) AS BIGINT) AS deposit_c, CAST(coalesce(sum(c) FILTER (event_type = 'click'), 0) AS BIGINT) AS withdraw_c
