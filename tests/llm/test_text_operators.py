@@ -266,6 +266,12 @@ def test_windows_score_each_token_once():
     assert sorted(own.tolist()) == list(range(len(tokens.of)))
 
 
+def test_tokens_are_packed_and_unpacked():
+    tokens = lm_scoring.Tokens(pa.array([None, "A b  b", "", "c é中 " * 9]), lm_scoring.default_vocabulary())
+    again = lm_scoring.Tokens.unpacked(tokens.packed())
+    assert again.n == tokens.n and all((getattr(again, k) == getattr(tokens, k)).all() for k in ("first", "of", "row", "size", "ids"))
+
+
 def test_what_is_learned_from_grows_with_the_input():
     """Windows are taken at one rate from all training texts; statistics of subword ids are sums over all of them."""
     column = pa.array([passage(i, 400) for i in range(60)])
