@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -15,14 +16,11 @@ from .common import n_partitions, ship, table
 
 U = np.uint64
 SHINGLE, BINS, BITS = 5, 512, 4
-#: Tries of a bin's probe sequence before it takes the nearest full bin on its right.
-PROBES = 256
 
 
-def probes(bins: int, tries: int = PROBES) -> np.ndarray:
-    """For each bin the bins it asks, in order: a hash of (bin, try), so all documents ask alike."""
-    place = np.arange(bins, dtype=U)[:, None] * U(1 << 20) + np.arange(tries, dtype=U)[None, :]
-    return (tx.mix(place, 41) % U(bins)).astype(np.int64)
+def probe(column: np.ndarray, k: int, bins: int) -> np.ndarray:
+    """The bin that each bin asks at its k-th try: a hash of (bin, try), so all documents ask alike."""
+    return (tx.mix(column.astype(U) * U(1 << 20) + U(k), 41) % U(bins)).astype(np.int64)
 
 
 def minima(rows: np.ndarray, tokens: np.ndarray, n: int, bins: int) -> tuple[np.ndarray, np.ndarray]:
@@ -36,20 +34,18 @@ def minima(rows: np.ndarray, tokens: np.ndarray, n: int, bins: int) -> tuple[np.
     return out.reshape(n, bins), full.reshape(n, bins)
 
 
-def densify(values: np.ndarray, full: np.ndarray, asked: np.ndarray) -> np.ndarray:
-    """Each empty bin copies the first full bin of its probe sequence. Rows without any full bin stay as they are."""
-    out = values.copy()
-    row, column = np.nonzero(~full & full.any(axis=1)[:, None])
-    for k in range(asked.shape[1]):
-        if not len(row):
-            return out
-        source = asked[column, k]
+def densify(values: np.ndarray, full: np.ndarray) -> np.ndarray:
+    """Each empty bin copies the first full bin of its probe sequence, however long that is. Rows without any full bin stay as they are."""
+    out, some = values.copy(), full.sum(axis=1)
+    alone = np.flatnonzero(some == 1)  # every sequence ends at the one full bin
+    out[alone] = values[alone, full[alone].argmax(axis=1)][:, None]
+    row, column = np.nonzero(~full & (some > 1)[:, None])
+    k = 0
+    while len(row):
+        source = probe(column, k, full.shape[1])
         hit = full[row, source]
         out[row[hit], column[hit]] = values[row[hit], source[hit]]
-        row, column = row[~hit], column[~hit]
-    for r, c in zip(row, column):  # rows with very few full bins
-        near = np.flatnonzero(full[r])
-        out[r, c] = values[r, near[np.searchsorted(near, c) % len(near)]]
+        row, column, k = row[~hit], column[~hit], k + 1
     return out
 
 
@@ -58,7 +54,7 @@ def fingerprints(texts: pa.Array, shingle: int = SHINGLE, bins: int = BINS, bits
     words = tx.split(texts)
     rows, tokens = tx.shingles(words, tx.hashes(words, 9), shingle, 10)
     values, full = minima(rows, tokens, len(texts), bins)
-    low = tx.mix(densify(values, full, probes(bins)), 42) & U((1 << bits) - 1)
+    low = tx.mix(densify(values, full), 42) & U((1 << bits) - 1)
     spread = (low[:, :, None] >> np.arange(bits, dtype=U)) & U(1)
     return np.packbits(spread.reshape(len(texts), -1).astype(bool), axis=1), words.counts == 0
 
@@ -108,8 +104,12 @@ def with_next(docs: DataFrame, per_part: int = 2000) -> DataFrame:
     known = bool(ends)
     ends = ends or [0]
     # part k holds ids over ends[k-1] up to ends[k]; the id ends[k] also follows part k+1, and the largest follows part 0.
-    edges = F.array(*[F.lit(int(e)) for e in ends])
-    part = F.aggregate(edges, F.lit(0), lambda acc, e: acc + (F.coalesce(F.col("doc_id"), F.lit(ends[0])) > e).cast("int"))
+    edges, step = F.array(*[F.lit(int(e)) for e in ends]), math.isqrt(len(ends)) + 1
+    # Two short searches: among every step-th end, then among the ends that follow the last one below.
+    below = lambda ids: F.size(F.filter(ids, lambda e: F.coalesce(F.col("doc_id"), F.lit(ends[0])) > e))
+    coarse = ends[step - 1 :: step]
+    before = below(F.array(*[F.lit(int(e)) for e in coarse])) * step if coarse else F.lit(0)
+    part = before + below(F.slice(edges, before + 1, F.lit(step)))
     rows = docs.select("doc_id", "text", part.alias("part"))
     ends_part = F.col("doc_id") == F.element_at(edges, F.col("part") + 1) if known else F.lit(True)  # without any id, the first text follows the last
     extra = F.when(ends_part, (F.col("part") + 1) % len(ends))
