@@ -6,7 +6,7 @@ All of it is DataFrame expressions; the regression is trained by Spark ML from a
 from __future__ import annotations
 
 from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.functions import array_to_vector
+from pyspark.ml.feature import CountVectorizerModel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,16 +15,26 @@ from .common import table
 #: (host, path, verdict)
 RULES = (("com", "/", "allow"), ("example.com", "/en/", "block"), ("www.example.com", "/en/", "allow"), ("net", "/es/", "block"), ("net", "/fr/", "block"))
 
-#: The labelled table: hosts and paths as they stand for pages to allow (0) and to block (1).
-PATHS = ("en/1204", "de/77.html", "fr/3051?page=2&ref=x", "es/910/", "de/4432#top", "en/62?utm_source=feed")
-DOMAINS = ("example.org", "example.net", "example.com")
-GOOD_HOSTS = ("news", "library", "history", "science", "museum", "weather", "city-council", "ththble", "tionsh", "thering", "therhe", "ththor", "tionble", "thernt", "ererth", "leaux", "chkeit", "mente")
-BAD_HOSTS = ("cheap-pills", "casino-win", "free-casino", "pills-online", "win-money", "cheap-loans", "adult-cams", "adult-dating", "xxx-adult", "ads-click", "track-ads", "ads-track-pixel", "popup-ads", "buy-viagra", "poker-bonus")
+#: The labelled table: words of hosts to allow (0) and to block (1), in four languages; a row for each word, domain and path of its turn.
+ALLOWED = (
+    "news library archive museum weather recipes gardening university school science history poetry music-lessons bakery bicycle hiking astronomy chess-club parish city-hall railway "
+    "nachrichten wetter buecherei geschichte kochen garten sportverein schule rathaus zeitung wandern handwerk bibliotheque histoire cuisine jardin mairie ecole musee actualites randonnee "
+    "noticias biblioteca historia cocina escuela museo ayuntamiento tiempo poesia deportes senderismo"
+).split()
+BLOCKED = (
+    "casino poker-room slots jackpot betting-tips viagra cialis cheap-pills discount-pharmacy weight-loss-pills xxx-videos porn-tube adult-cams adult-chat escorts sex-dating payday-loans fast-cash win-money "
+    "free-prize lottery-winner crypto-profit replica-watches click-ads popunder-ads ad-server pixel-tracker banner-ads spin-and-win buy-followers miracle-cure free-casino-bonus "
+    "gratis-sex geld-gewinnen sofort-kredit casino-gratis billige-pillen erotik-kontakte casino-en-ligne argent-facile gagner-argent rencontres-sexe pilules-pas-cher "
+    "apuestas-gratis dinero-facil ganar-dinero sexo-gratis casino-bonos pastillas-baratas premios-gratis"
+).split()
+DOMAINS = ("org", "net", "info", "eu", "de", "fr", "es", "co.uk")
+PATHS = ("/", "/index.html", "/a/2041", "/page/7?ref=home", "/2023/05/title-of-it.html", "/en/810", "/item?id=55#top", "/feed/")
 LABELLED = [
-    *((f"https://{w}{h}.{d}/{p}", label) for label, hosts in ((0, GOOD_HOSTS), (1, BAD_HOSTS)) for k, h in enumerate(hosts) for w, d, p in ((("", "www.", "m.", "blog.")[(k + j) % 4], d, PATHS[(k + 2 * j) % 6]) for j, d in enumerate(DOMAINS))),
-    *((f"https://shop.{d}/{p}", 1) for d in DOMAINS for p in ("casino/bonus", "cheap-pills/order", "win-money-now", "adult/xxx")),
-    *((f"https://shop.{d}/{p}", 0) for d in DOMAINS for p in ("books/history", "garden/tools", "en/1204", "de/77.html")),
+    (f"https://{prefix}{word}.{DOMAINS[(k + j) % 8]}{PATHS[(3 * k + 5 * j) % 8]}", label)
+    for label, words in ((0, ALLOWED), (1, BLOCKED)) for k, word in enumerate(words) for j, prefix in enumerate(("", "www.", "the-", "my-"))
 ]
+#: A shop's path tells what its host doesn't.
+LABELLED += [(f"https://shop{k}.{d}/{w}/order", label) for label, words in ((0, ALLOWED[::3]), (1, BLOCKED[::3])) for k, (w, d) in enumerate(zip(words, DOMAINS * 9))]
 
 LENGTHS, FEATURES, THRESHOLD = (3, 4), 1 << 12, 0.5
 
@@ -51,8 +61,9 @@ def n_grams(host: Column, path: Column, lengths=LENGTHS) -> Column:
 
     def of(text: Column, mark: str, n: int) -> Column:
         padded = F.concat(F.lit("^"), text, F.lit("$"))
-        places = F.sequence(F.lit(1), F.greatest(F.lit(1), F.length(padded) - n + 1))
-        return F.transform(places, lambda i: F.concat(F.lit(mark), F.substring(padded, i, F.lit(n))))
+        # A look-ahead at every place: one walk over the text, however long.
+        found = F.regexp_extract_all(padded, F.lit(f"(?s)(?=(.{{{n}}}))"), F.lit(1))
+        return F.transform(F.when(F.size(found) > 0, found).otherwise(F.array(padded)), lambda g: F.concat(F.lit(mark), g))
 
     return F.concat(*[of(t, m, n) for n in lengths for t, m in ((host, "h"), (path, "p"))])
 
@@ -65,9 +76,11 @@ def places(host: Column, path: Column, lengths, features: int) -> Column:
 def train(labelled: DataFrame, lengths=LENGTHS, features: int = FEATURES) -> tuple[list[float], float]:
     """Weights and intercept from (url, label): label 1 is to be blocked."""
     host, path = host_and_path(F.col("url"))
-    rows = labelled.where("label is not null").select(F.col("label").cast("double"), places(host, path, lengths, features).alias("places"))
-    present = F.transform(F.sequence(F.lit(1), F.lit(features)), lambda i: F.array_contains("places", i).cast("double"))
-    rows = rows.select("label", array_to_vector(present).alias("features"))
+    found = F.transform(places(host, path, lengths, features), lambda i: i.cast("string"))
+    rows = labelled.where("label is not null").select(F.col("label").cast("double"), found.alias("places"))
+    # Sparse vectors, made in the JVM: place i of the table is term i of a fixed vocabulary.
+    terms = CountVectorizerModel.from_vocabulary([str(i + 1) for i in range(features)], inputCol="places", outputCol="features").setBinary(True)
+    rows = terms.transform(rows).select("label", "features")
     model = LogisticRegression(maxIter=60, regParam=0.01, standardization=False).fit(rows)
     return [float(w) for w in model.coefficients.toArray()], float(model.intercept)
 

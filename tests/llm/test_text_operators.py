@@ -11,6 +11,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
+from lakepulse.llm import fingerprints as fingerprint_module
 from lakepulse.llm import lm_scoring, ngram_join, text
 from lakepulse.llm.fingerprints import compare_with_edits, edited, fingerprints, likeness
 from lakepulse.llm.ngram_join import link_documents
@@ -164,6 +165,31 @@ def test_edits_and_fingerprints(spark, corpus):
     assert compare_with_edits(spark.createDataFrame([], SCHEMA)).count() == 0
 
 
+@pytest.mark.parametrize("filled", [1, 2, 3, 40, 512])
+def test_densification_probes_until_a_full_bin(filled):
+    rng = np.random.default_rng(filled)
+    full = np.zeros((3, 512), bool)
+    full[1, rng.choice(512, filled, replace=False)] = full[2, 7] = True
+    values = rng.integers(0, 2**63, (3, 512), dtype=np.uint64)
+    got = fingerprint_module.densify(values, full)
+    assert (got[0] == values[0]).all() and (got[2] == values[2, 7]).all()
+    for c in range(512):
+        k, at = 0, c
+        while not full[1, at]:
+            at, k = int(fingerprint_module.probe(np.array([c]), k, 512)[0]), k + 1
+        assert got[1, c] == values[1, at]
+
+
+def test_next_documents_over_many_ranges(spark):
+    rows = [(int(i), f"text {i}") for i in np.random.default_rng(1).permutation(400)] + [(7, "again"), (None, "none")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    order = sorted(rows, key=lambda r: (r[0] is None, -(r[0] or 0), r[1]))
+    want = {(i, hashlib.sha256(edited(t, order[(k + 1) % len(order)][1]).encode()).hexdigest()) for k, (i, t) in enumerate(order)}
+    dealt = fingerprint_module.with_next(docs, 20)
+    assert dealt.select("part").distinct().count() > 3
+    assert {(r.doc_id, r.edited_sha256) for r in compare_with_edits(docs).collect()} == want
+
+
 def test_likeness_follows_jaccard():
     base = passage(9, 600).split()
     error = []
