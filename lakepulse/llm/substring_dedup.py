@@ -214,7 +214,8 @@ def repeated_windows(docs: DataFrame, window: int = 20, until: int | None = 20,
                 a, b = a[order[new]], b[order[new]]
                 yield to_batch(sends(block, a, n_full, lambda s: a[s].tobytes() + b[s].tobytes()))
 
-    halved = blocks.select("block", texts).join(halves, "block", "left")
+    # Joined by merge at every size: a broadcast of the answers while they are small would only move the shuffle of the texts to larger inputs.
+    halved = blocks.select("block", texts).join(halves.hint("merge"), "block", "left")
     full = save(exchange(halved.mapInArrow(send_windows, SENT), _seen_before), "windows")
 
     def late_and_repeated(p: _Pass, batch: pa.RecordBatch, i: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -227,7 +228,7 @@ def repeated_windows(docs: DataFrame, window: int = 20, until: int | None = 20,
         again[order] = others[value] | (np.bincount(value)[value] > 1 if len(value) else others[value])
         return at, late, again
 
-    joined = blocks.join(halves.withColumnRenamed("answers", "halves"), "block", "left").join(full, "block", "left")
+    joined = blocks.join(halves.withColumnRenamed("answers", "halves").hint("merge"), "block", "left").join(full.hint("merge"), "block", "left")
     longest, levels = None, []
     if until is None or until > window:
 
