@@ -37,9 +37,9 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     """
     linked = link_documents(docs, n=SHINGLE, percent=SIMILAR)
     kept = save(linked.where(F.col("doc_id") == F.col("component_id")).groupBy("doc_id").agg(F.count("*").alias("rows")), "kept")
-    ids = kept.select("doc_id")
-    once = docs.join(ids if kept.where("rows > 1").isEmpty() else kept.where("rows = 1").select("doc_id"), "doc_id", "left_semi")
-    several = docs.join(kept.where("rows > 1").select("doc_id"), "doc_id", "left_semi")
+    # Ids grow with the corpus: they meet the texts by a merge join at every size.
+    of = lambda rows: docs.join(rows.select("doc_id").hint("merge"), "doc_id", "left_semi")
+    once, several = of(kept if kept.where("rows > 1").isEmpty() else kept.where("rows = 1")), of(kept.where("rows > 1"))
     first = Window.partitionBy("doc_id", "text").orderBy(*[F.col(c).cast("string") for c in docs.columns if c not in ("doc_id", "text")], F.lit(0))
     several = several.withColumn("place", F.row_number().over(first)).where("place = 1").drop("place")
     every = once.select(docs.columns).union(docs.where("doc_id is null"))
