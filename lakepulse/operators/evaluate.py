@@ -8,6 +8,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .ranks import placed, quantiles, running
+
 
 def _by_score(rows: DataFrame, score: str, label: str, by: list[str]) -> DataFrame:
     return rows.where(F.col(score).isNotNull() & F.col(label).isNotNull()).groupBy(*by, F.col(score).alias("s")).agg(F.sum(label).cast("long").alias("pos"), F.count_if(F.col(label) == 0).alias("neg"))
@@ -15,8 +17,7 @@ def _by_score(rows: DataFrame, score: str, label: str, by: list[str]) -> DataFra
 
 def auc(rows: DataFrame, score: str, label: str, by: list[str]) -> DataFrame:
     """EVAL-1: rank-sum AUC, ties count half; null without both classes."""
-    below = Window.partitionBy(*by).orderBy("s").rowsBetween(Window.unboundedPreceding, -1)
-    found = _by_score(rows, score, label, by).withColumn("lower", F.coalesce(F.sum("neg").over(below), F.lit(0)))
+    found = running(_by_score(rows, score, label, by), by, "s", {"lower": F.col("neg")})
     sums = found.groupBy(*by).agg(F.sum((F.col("pos") * (2 * F.col("lower") + F.col("neg"))).cast("decimal(38,0)")).cast("double").alias("twice"), F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
     pairs = 2.0 * F.col("pos") * F.col("neg")
     return sums.select(*by, "pos", "neg", F.round(F.col("twice") / F.when(pairs > 0, pairs), 6).alias("auc"))
@@ -24,9 +25,16 @@ def auc(rows: DataFrame, score: str, label: str, by: list[str]) -> DataFrame:
 
 def average_precision(rows: DataFrame, score: str, label: str, by: list[str]) -> DataFrame:
     """EVAL-2"""
-    w = Window.partitionBy(*by).orderBy(F.desc("s")).rowsBetween(Window.unboundedPreceding, 0)
-    found = _by_score(rows, score, label, by).withColumn("tp", F.sum("pos").over(w)).withColumn("all", F.sum(F.col("pos") + F.col("neg")).over(w))
-    return found.groupBy(*by).agg(F.round(F.sum(F.col("pos") * (F.col("tp") / F.col("all"))) / F.sum("pos"), 6).alias("average_precision"))
+    both = F.col("pos") + F.col("neg")
+    found = running(_by_score(rows, score, label, by), by, "s", {"tp": F.col("pos"), "above": both}, descending=True)
+    precision = (F.col("tp") + F.col("pos")) / (F.col("above") + both)
+    return found.groupBy(*by).agg(F.round(F.sum(F.col("pos") * precision) / F.sum("pos"), 6).alias("average_precision"))
+
+
+def roc(rows: DataFrame, score: str, label: str) -> DataFrame:
+    """EVAL-17: points of the ROC curve, one for each distinct score."""
+    found = running(_by_score(rows, score, label, []), [], "s", {"tp": F.col("pos"), "fp": F.col("neg")}, descending=True)
+    return found.select("s", F.round((F.col("tp") + F.col("pos")) / F.col("tp_all"), 6).alias("tpr"), F.round((F.col("fp") + F.col("neg")) / F.col("fp_all"), 6).alias("fpr"))
 
 
 def losses(rows: DataFrame, p: str, label: str, by: list[str], clip: float = 1e-6) -> DataFrame:
@@ -37,25 +45,23 @@ def losses(rows: DataFrame, p: str, label: str, by: list[str], clip: float = 1e-
 
 def calibration(rows: DataFrame, p: str, label: str, bins: int = 10) -> DataFrame:
     """EVAL-3, EVAL-14: reliability per quantile bin of p; equal edges make one bin. The weighted mean gap is the ECE."""
-    edges = rows.agg(F.array_distinct(F.percentile(p, F.array(*[F.lit(k / bins) for k in range(1, bins)]))).alias("edges"))
+    edges = quantiles(rows, p, [], [k / bins for k in range(1, bins)]).select(F.array_distinct("q").alias("edges"))
     found = rows.join(F.broadcast(edges)).withColumn("bin", F.size(F.filter("edges", lambda e: e < F.col(p))))
     return found.groupBy("bin").agg(F.count("*").alias("n"), F.round(F.avg(p), 6).alias("mean_p"), F.round(F.avg(label), 6).alias("rate"), F.round(F.abs(F.avg(p) - F.avg(label)), 6).alias("gap"))
 
 
 def top_share(rows: DataFrame, score: str, label: str, key: str, by: list[str], share: float = 0.1) -> DataFrame:
     """EVAL-4, TOPK-2: precision, recall and lift of the max(1, round(n*share)) highest scores."""
-    w = Window.partitionBy(*by)
-    ranked = rows.withColumn("_r", F.row_number().over(w.orderBy(F.desc(score), key))).withColumn("_n", F.count("*").over(w))
-    top = F.col("_r") <= F.greatest(F.lit(1), F.floor(F.col("_n") * share + 0.5))
+    ranked = placed(rows, by, score, [F.col(key)])
+    top = F.col("place") <= F.greatest(F.lit(1), F.floor(F.col("size") * share + 0.5))
     sums = ranked.groupBy(*by).agg(F.count_if(top).alias("k"), F.sum(F.when(top, F.col(label)).otherwise(0)).alias("hits"), F.sum(label).alias("pos"), F.count("*").alias("n"))
     return sums.select(*by, "k", "n", F.round(F.col("hits") / F.col("k"), 6).alias("precision"), F.round(F.col("hits") / F.when(F.col("pos") > 0, F.col("pos")), 6).alias("recall"), F.round(F.col("hits") / F.col("k") / F.when(F.col("pos") > 0, F.col("pos") / F.col("n")), 6).alias("lift"))
 
 
 def deciles(rows: DataFrame, score: str, key: str, by: list[str]) -> DataFrame:
     """WIN-13: ceil(position / size * 10) with a full tie-break."""
-    w = Window.partitionBy(*by)
-    place = F.row_number().over(w.orderBy(F.desc(score), key))
-    return rows.withColumn("decile", F.ceil(place * 10 / F.count("*").over(w)).cast("int"))
+    found = placed(rows, by, score, [F.col(key)])
+    return found.withColumn("decile", F.ceil(F.col("place") * 10 / F.col("size")).cast("int")).drop("place", "size")
 
 
 def kaplan_meier(rows: DataFrame, duration: str, event: str, by: list[str]) -> DataFrame:
@@ -119,7 +125,7 @@ def replay(rows: DataFrame, rankings: dict[str, str], key: str, label: str, valu
 
 def psi(expected: DataFrame, actual: DataFrame, x: str, bins: int = 10) -> DataFrame:
     """ALRT-4: population stability over quantile bins of the expected sample, shares at least 1e-4."""
-    edges = F.broadcast(expected.agg(F.array_distinct(F.percentile(x, F.array(*[F.lit(k / bins) for k in range(1, bins)]))).alias("edges")))
+    edges = F.broadcast(quantiles(expected, x, [], [k / bins for k in range(1, bins)]).select(F.array_distinct("q").alias("edges")))
     count = lambda d, name: d.join(edges).groupBy(F.size(F.filter("edges", lambda e: e < F.col(x))).alias("bin")).agg(F.count("*").alias(name))
     both = count(expected, "e").join(count(actual, "a"), "bin", "full").select(F.coalesce("e", F.lit(0)).alias("e"), F.coalesce("a", F.lit(0)).alias("a"))
     every = Window.partitionBy()

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .ranks import attach, quantiles
+
 NINE = (0.01, 0.05, 0.1, 0.25, 0.5, 0.75, 0.9, 0.95, 0.99)
 
 
@@ -19,14 +21,15 @@ def sample_kurtosis(x: str) -> Column:
 
 
 def profile(rows: DataFrame, x: str, by: list[str], low: float | None = None, high: float | None = None, digits: int = 4) -> DataFrame:
-    """AGG-7..9: counts, moments and nine exact quantiles of x per group, in one aggregation."""
+    """AGG-7..9: counts and moments of x per group in one aggregation, and nine exact quantiles from counts per value."""
     c, value = F.col(x), F.col(x).cast("double")
-    quantiles = F.percentile(value, F.array(*[F.lit(q) for q in NINE]))
-    found = rows.withColumn(x, value).groupBy(*by).agg(
+    rows = rows.withColumn(x, value)
+    found = rows.groupBy(*by).agg(
         F.count("*").alias("n_rows"), F.count(x).alias("n"), F.count_if(c == 0).alias("zeros"), F.count_if(c < 0).alias("negatives"),
         F.count_if(c < low if low is not None else F.lit(False)).alias("below"), F.count_if(c > high if high is not None else F.lit(False)).alias("above"),
-        F.min(x).alias("low"), F.max(x).alias("high"), F.avg(x).alias("mean"), F.stddev_samp(x).alias("sd"), sample_skewness(x).alias("skewness"), sample_kurtosis(x).alias("kurtosis"), quantiles.alias("q"),
+        F.min(x).alias("low"), F.max(x).alias("high"), F.avg(x).alias("mean"), F.stddev_samp(x).alias("sd"), sample_skewness(x).alias("skewness"), sample_kurtosis(x).alias("kurtosis"),
     )
+    found = attach(found, quantiles(rows, x, by, list(NINE)), by)
     rounded = [F.round(F.col(k), digits).alias(k) for k in ("low", "high", "mean", "sd", "skewness", "kurtosis")]
     return found.select(*by, "n_rows", "n", "zeros", "negatives", "below", "above", *rounded, *[F.round(F.col("q")[i], digits).alias(f"p{round(q * 100):02d}") for i, q in enumerate(NINE)])
 
@@ -67,8 +70,8 @@ def concentration(rows: DataFrame, who: str, value: str, tops: tuple[int, ...] =
 def lift(rows: DataFrame, bad: Column, value: str, most: int = 20) -> DataFrame:
     """AGG-27: share among bad rows over share among all rows, per value."""
     per = rows.groupBy(value).agg(F.count("*").alias("n"), F.count_if(bad).alias("bad"))
-    every = Window.partitionBy()
-    shares = per.withColumn("lift", (F.col("bad") / F.sum("bad").over(every)) / (F.col("n") / F.sum("n").over(every)))
+    total = rows.agg(F.count("*").alias("_n"), F.count_if(bad).alias("_bad"))
+    shares = attach(per, total, []).withColumn("lift", (F.col("bad") / F.col("_bad")) / (F.col("n") / F.col("_n"))).drop("_n", "_bad")
     return shares.where("bad > 0").orderBy(F.desc("bad"), value).limit(most).withColumn("lift", F.round("lift", 6))
 
 
@@ -106,19 +109,19 @@ def kind(stats: DataFrame) -> DataFrame:
 
 def iqr_outliers(rows: DataFrame, x: str, by: list[str], times: float = 1.5) -> DataFrame:
     """ANOM-1: rows outside the quartiles by `times` their distance, and the caps that WINS-1 would use."""
-    q = rows.groupBy(*by).agg(F.percentile(F.col(x), F.array(F.lit(0.25), F.lit(0.75))).alias("q"))
+    q = quantiles(rows, x, by, [0.25, 0.75])
     edge = q.select(*by, (F.col("q")[0] - times * (F.col("q")[1] - F.col("q")[0])).alias("low"), (F.col("q")[1] + times * (F.col("q")[1] - F.col("q")[0])).alias("high"))
-    joined = rows.join(F.broadcast(edge), by)
+    joined = attach(rows, edge, by)
     return joined.groupBy(*by).agg(F.count("*").alias("n"), F.count_if(F.col(x) < F.col("low")).alias("below"), F.count_if(F.col(x) > F.col("high")).alias("above"), F.round(F.first("low"), 4).alias("low"), F.round(F.first("high"), 4).alias("high"))
 
 
 def robust_outliers(rows: DataFrame, x: str, by: list[str], limit: float = 3.5) -> DataFrame:
     """ANOM-2: 0.6745 * (x - median) / MAD over the limit; not applicable where MAD is 0."""
-    middle = rows.groupBy(*by).agg(F.median(x).alias("med"))
-    with_dev = rows.join(F.broadcast(middle), by).withColumn("dev", F.abs(F.col(x) - F.col("med")))
-    mad = with_dev.groupBy(*by).agg(F.median("dev").alias("mad"))
+    middle = quantiles(rows, x, by, [0.5]).select(*by, F.col("q")[0].alias("med"))
+    with_dev = attach(rows, middle, by).withColumn("dev", F.abs(F.col(x) - F.col("med")))
+    mad = quantiles(with_dev, "dev", by, [0.5]).select(*by, F.col("q")[0].alias("mad"))
     z = 0.6745 * F.col("dev") / F.when(F.col("mad") > 0, F.col("mad"))
-    return with_dev.join(F.broadcast(mad), by).groupBy(*by).agg(F.count("*").alias("n"), F.count_if(z > limit).alias("outliers"), F.round(F.first("med"), 4).alias("median"), F.round(F.first("mad"), 4).alias("mad"))
+    return attach(with_dev, mad, by).groupBy(*by).agg(F.count("*").alias("n"), F.count_if(z > limit).alias("outliers"), F.round(F.first("med"), 4).alias("median"), F.round(F.first("mad"), 4).alias("mad"))
 
 
 def rolling_outliers(daily: DataFrame, by: list[str], x: str, window: int = 28, least: int = 14, times: float = 3.0) -> DataFrame:
@@ -132,7 +135,9 @@ def rolling_outliers(daily: DataFrame, by: list[str], x: str, window: int = 28,
 
 def caps(rows: DataFrame, x: str, by: list[str], share: float = 0.005) -> DataFrame:
     """WINS-1: caps per group from exact quantiles of the evaluated values."""
-    return rows.where(F.col(x) > 0).groupBy(*by).agg(F.percentile(F.col(x), 1 - share).alias("cap"), F.count("*").alias("n"))
+    some = rows.where(F.col(x) > 0)
+    found = some.groupBy(*by).agg(F.count("*").alias("n"))
+    return attach(found, quantiles(some, x, by, [1 - share]), by).select(*by, F.col("q")[0].alias("cap"), "n")
 
 
 def check_formula(rows: DataFrame, target: Column, expected: Column, by: list[str], atol: float, rtol: float) -> DataFrame:

@@ -9,11 +9,21 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
+def attach(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
+    """left with the columns of right, a row per key at most; null keys meet each other. Without keys right is one row."""
+    if not keys:
+        return left.join(F.broadcast(right))
+    renamed = right.select(*[F.col(k).alias(f"_key{i}") for i, k in enumerate(keys)], *[c for c in right.columns if c not in keys])
+    on = F.lit(True)
+    for i, k in enumerate(keys):
+        on = on & F.col(k).eqNullSafe(F.col(f"_key{i}"))
+    return left.join(renamed, on).drop(*[f"_key{i}" for i in range(len(keys))])
+
+
 def in_ranges(rows: DataFrame, by: list[str], x: str, parts: int = 32) -> DataFrame:
     """rows with _range: which of about equal ranges of its group's values x lies in. Equal values share a range."""
     edges = rows.groupBy(*by).agg(F.array_distinct(F.percentile_approx(x, [k / parts for k in range(1, parts)], 2000)).alias("_edges"))
-    joined = rows.join(edges, by) if by else rows.join(F.broadcast(edges))
-    return joined.withColumn("_range", F.size(F.filter("_edges", lambda e: e < F.col(x)))).drop("_edges")
+    return attach(rows, edges, by).withColumn("_range", F.size(F.filter("_edges", lambda e: e < F.col(x)))).drop("_edges")
 
 
 def running(rows: DataFrame, by: list[str], x: str, sums: dict[str, Column], order: list[Column] | None = None, descending: bool = False, parts: int = 32) -> DataFrame:
@@ -28,7 +38,7 @@ def running(rows: DataFrame, by: list[str], x: str, sums: dict[str, Column], ord
     zero = lambda c: F.coalesce(c, F.lit(0))
     per = per.select(*by, "_range", *[zero(F.sum(f"_in_{n}").over(before)).alias(f"_to_{n}") for n in sums], *[F.sum(f"_in_{n}").over(every).alias(f"{n}_all") for n in sums])
     inside = Window.partitionBy(*by, "_range").orderBy(turn(x), *(order or [])).rowsBetween(Window.unboundedPreceding, -1)
-    found = ranged.join(per, [*by, "_range"])
+    found = attach(ranged, per, [*by, "_range"])
     return found.select(*rows.columns, *[(F.col(f"_to_{n}") + zero(F.sum(c).over(inside))).alias(n) for n, c in sums.items()], *[f"{n}_all" for n in sums])
 
 

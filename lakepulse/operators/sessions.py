@@ -59,8 +59,9 @@ def losing_streak(days: DataFrame, who: str | list[str], gain: str) -> DataFrame
     return flagged.groupBy(*keys).agg(F.count_if(F.col("_other") == 0).alias("streak"), F.count("*").alias("days"))
 
 
-def dense_days(daily: DataFrame, by: list[str], values: list[str], start: str, end: str) -> DataFrame:
-    """WIN-21, SETS-3: every day of the period for every group; gaps are 0."""
-    days = F.explode(F.sequence(F.lit(start).cast("date"), F.lit(end).cast("date"), F.expr("interval 1 day")))
-    every = (daily.select(*by).distinct() if by else daily.sparkSession.range(1)).select(*by, days.alias("day"))
+def dense_days(daily: DataFrame, by: list[str], values: list[str]) -> DataFrame:
+    """WIN-21, SETS-3: every day from the first to the last of all, for every group; gaps are 0."""
+    ends = daily.agg(F.min("day").alias("_a"), F.max("day").alias("_b"))
+    groups = daily.select(*by).distinct() if by else daily.sparkSession.range(1)
+    every = groups.join(F.broadcast(ends)).select(*by, F.explode(F.sequence("_a", "_b", F.expr("interval 1 day"))).alias("day"))
     return every.join(daily, [*by, "day"], "left").select(*by, "day", *[F.coalesce(c, F.lit(0)).alias(c) for c in values])

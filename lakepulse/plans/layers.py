@@ -6,6 +6,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from lakepulse.operators import keys, profiles, sessions
+from lakepulse.operators.ranks import attach, quantiles
 from lakepulse.sources import lens
 from lakepulse.sources.lens import with_
 
@@ -114,8 +115,8 @@ def agg_28(spark, d):
 
 @query("agg_30_quantiles_bad_normal", "SELECT l_discount > 0.08 AS bad, count(*) AS n, round(quantile_cont(l_extendedprice, 0.25), 4) AS p25, round(quantile_cont(l_extendedprice, 0.5), 4) AS p50, round(quantile_cont(l_extendedprice, 0.75), 4) AS p75 FROM lineitem GROUP BY ALL")
 def agg_30(spark, d):
-    q = F.percentile("l_extendedprice", F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)))
-    found = lens.table(spark, d, "lineitem").groupBy((F.col("l_discount") > 0.08).alias("bad")).agg(F.count("*").alias("n"), q.alias("q"))
+    rows = lens.table(spark, d, "lineitem").withColumn("bad", F.col("l_discount") > 0.08)
+    found = attach(rows.groupBy("bad").agg(F.count("*").alias("n")), quantiles(rows, "l_extendedprice", ["bad"], [0.25, 0.5, 0.75]), ["bad"])
     return found.select("bad", "n", *[F.round(F.col("q")[i], 4).alias(p) for i, p in enumerate(("p25", "p50", "p75"))])
 
 
@@ -237,12 +238,12 @@ def anom_2(spark, d):
     return profiles.robust_outliers(lens.table(spark, d, "events"), "value", ["event_type"])
 
 
-DAILY = "daily AS (SELECT CAST(i AS DATE) AS day, coalesce(n, 0) AS n FROM generate_series(DATE '1996-01-01', DATE '1997-12-31', INTERVAL 1 DAY) t(i) LEFT JOIN (SELECT CAST(o_orderdate AS DATE) AS d, count(*) AS n FROM orders GROUP BY ALL) ON d = i)"
+DAILY = "daily AS (SELECT CAST(i AS DATE) AS day, coalesce(n, 0) AS n FROM (SELECT unnest(generate_series(min(CAST(o_orderdate AS DATE)), max(CAST(o_orderdate AS DATE)), INTERVAL 1 DAY)) AS i FROM orders) LEFT JOIN (SELECT CAST(o_orderdate AS DATE) AS d, count(*) AS n FROM orders GROUP BY ALL) ON d = i)"
 
 
 def daily(spark, d):
     rows = lens.stakes(spark, d).groupBy(F.lit("all").alias("g"), "day").agg(F.count("*").alias("n"))
-    return sessions.dense_days(rows, ["g"], ["n"], "1996-01-01", "1997-12-31")
+    return sessions.dense_days(rows, ["g"], ["n"])
 
 
 @query("win_21_dense_days", f"WITH {DAILY} SELECT 'all' AS g, day, n FROM daily")
@@ -267,7 +268,7 @@ def wins_1(spark, d):
 @query("wins_2_clip", with_("players", "stakes") + ", c AS (SELECT brand, quantile_cont(stake_c, 0.995) AS cap FROM stakes JOIN players USING (player_id) WHERE stake_c > 0 GROUP BY ALL) SELECT order_id, CAST(floor(least(stake_c, cap)) AS BIGINT) AS stake_c FROM stakes JOIN players USING (player_id) JOIN c USING (brand)")
 def wins_2(spark, d):
     rows = lens.stakes(spark, d).join(lens.players(spark, d), "player_id")
-    return rows.join(F.broadcast(profiles.caps(rows, "stake_c", ["brand"]).select("brand", "cap")), "brand").select("order_id", F.floor(F.least("stake_c", "cap")).cast("long").alias("stake_c"))
+    return attach(rows, profiles.caps(rows, "stake_c", ["brand"]).select("brand", "cap"), ["brand"]).select("order_id", F.floor(F.least("stake_c", "cap")).cast("long").alias("stake_c"))
 
 
 @query("chk_1_formula", with_("gaming") + """, e AS (SELECT provider, payout_c AS t, stake_c * 0.95::DOUBLE AS e FROM gaming), q AS (SELECT provider, count(*) AS n, count(*) FILTER (abs(t - e) <= 1 + 0.02::DOUBLE * abs(e)) AS ok, count(*) FILTER (t - e > 1 + 0.02::DOUBLE * abs(e)) AS higher, count(*) FILTER (e - t > 1 + 0.02::DOUBLE * abs(e)) AS lower FROM e GROUP BY ALL)
@@ -289,10 +290,11 @@ def topk_5(spark, d):
     return per.withColumn("place", F.row_number().over(Window.partitionBy("brand").orderBy(F.desc("n"), "tenant"))).where("place <= 3")
 
 
-@query("sets_3_missing_days", "SELECT CAST(i AS DATE) AS day FROM generate_series(DATE '1996-01-01', DATE '1999-12-31', INTERVAL 1 DAY) t(i) WHERE CAST(i AS DATE) NOT IN (SELECT CAST(o_orderdate AS DATE) FROM orders WHERE o_orderstatus = 'P')")
+@query("sets_3_missing_days", "SELECT CAST(i AS DATE) AS day FROM (SELECT unnest(generate_series(min(CAST(o_orderdate AS DATE)), max(CAST(o_orderdate AS DATE)), INTERVAL 1 DAY)) AS i FROM orders) WHERE CAST(i AS DATE) NOT IN (SELECT CAST(o_orderdate AS DATE) FROM orders WHERE o_orderstatus = 'P')")
 def sets_3(spark, d):
-    days = spark.sql("SELECT explode(sequence(date'1996-01-01', date'1999-12-31', interval 1 day)) AS day")
-    return days.join(lens.table(spark, d, "orders").where("o_orderstatus = 'P'").select(F.to_date("o_orderdate").alias("day")), "day", "left_anti")
+    orders = lens.table(spark, d, "orders").select(F.to_date("o_orderdate").alias("day"), "o_orderstatus")
+    days = orders.agg(F.min("day").alias("a"), F.max("day").alias("b")).select(F.explode(F.sequence("a", "b", F.expr("interval 1 day"))).alias("day"))
+    return days.join(orders.where("o_orderstatus = 'P'").select("day"), "day", "left_anti")
 
 
 @query("proj_6_pivot", "SELECT CAST(ts AS DATE) AS day, " + ", ".join(f"count(*) FILTER (event_type = '{k}') AS {k}" for k in ("click", "error", "purchase", "signup", "view")) + " FROM events GROUP BY ALL")

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from lakepulse.operators import evaluate as ev
 from lakepulse.sources import lens
 from lakepulse.sources.lens import with_
 
@@ -170,10 +171,8 @@ def feat_games(spark, d):
 @query("eval_17_roc", with_("activity") + f""", {pl.SCORED}, b AS (SELECT s, sum(y) AS pos, count(*) - sum(y) AS neg FROM sc GROUP BY s), w AS (SELECT s, sum(pos) OVER x AS tp, sum(neg) OVER x AS fp FROM b WINDOW x AS (ORDER BY s DESC))
 SELECT s, round(tp / (SELECT sum(pos) FROM b), 6) AS tpr, round(fp / (SELECT sum(neg) FROM b), 6) AS fpr FROM w""")
 def eval_17(spark, d):
-    """EVAL-17: points of the ROC curve, one for each distinct score."""
-    b = pl.scored(spark, d).groupBy("s").agg(F.sum("y").alias("pos"), F.count_if(F.col("y") == 0).alias("neg"))
-    w, every = Window.orderBy(F.desc("s")).rowsBetween(Window.unboundedPreceding, 0), Window.partitionBy()
-    return b.select("s", F.round(F.sum("pos").over(w) / F.sum("pos").over(every), 6).alias("tpr"), F.round(F.sum("neg").over(w) / F.sum("neg").over(every), 6).alias("fpr"))
+    """EVAL-17"""
+    return ev.roc(pl.scored(spark, d), "s", "y")
 
 
 @query("shape_2_dispersion", with_("activity") + ", m AS (SELECT brand, player_id, count(*) AS n FROM activity GROUP BY ALL) SELECT brand, count(*) AS players, round(avg(n), 6) AS mean, round(var_samp(n), 6) AS variance, round(var_samp(n) / avg(n), 6) AS dispersion FROM m GROUP BY brand")

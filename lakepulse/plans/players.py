@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from lakepulse.operators import activity as act
 from lakepulse.operators import evaluate as ev
 from lakepulse.operators import labels, sessions, signals
+from lakepulse.operators.ranks import attach, quantiles
 from lakepulse.sources import lens
 from lakepulse.sources.lens import with_
 
@@ -167,8 +168,9 @@ def sess_days(spark, d):
 
 @query("agg_54_timeout_sensitivity", f"WITH {SESSIONS} SELECT minutes, count(*) AS sessions, round(quantile_cont(seconds, 0.5), 4) AS median, round(quantile_cont(seconds, 0.99), 4) AS p99, round(count(*) FILTER (seconds > 14400) / count(*), 6) AS over_4h FROM x GROUP BY ALL")
 def agg_54(spark, d):
-    q = F.percentile("seconds", F.array(F.lit(0.5), F.lit(0.99)))
-    found = sess_1(spark, d).groupBy("minutes").agg(F.count("*").alias("sessions"), q.alias("q"), F.round(F.count_if(F.col("seconds") > 14400) / F.count("*"), 6).alias("over_4h"))
+    rows = sess_1(spark, d)
+    found = rows.groupBy("minutes").agg(F.count("*").alias("sessions"), F.round(F.count_if(F.col("seconds") > 14400) / F.count("*"), 6).alias("over_4h"))
+    found = attach(found, quantiles(rows, "seconds", ["minutes"], [0.5, 0.99]), ["minutes"])
     return found.select("minutes", "sessions", F.round(F.col("q")[0], 4).alias("median"), F.round(F.col("q")[1], 4).alias("p99"), "over_4h")
 
 

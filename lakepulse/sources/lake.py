@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import tempfile
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -9,6 +12,12 @@ from pyspark.sql import functions as F
 DAY_IN_PATH = r"/(?:\w+=)?(\d{4})[-/](\d{2})[-/](\d{2})/[^/]*$"
 
 
+def work_folder(spark: SparkSession, name: str) -> str:
+    """A new folder that all executors share: below spark.checkpoint.dir, or a temporary one where that is unset (tests)."""
+    top = spark.conf.get("spark.checkpoint.dir", None) or f"file://{tempfile.gettempdir()}/spark-lake"
+    return f"{top.rstrip('/')}/lake/{name}-{uuid.uuid4().hex}"
+
+
 def path_day(path: Column) -> Column:
     """SCAN-3: the day a file's folder stands for; null without one."""
     part = lambda i: F.regexp_extract(path, DAY_IN_PATH, i)
@@ -39,6 +48,20 @@ def days_to_build(source_days: DataFrame, built_days: DataFrame, restated: int =
     return missing.union(recent).distinct()
 
 
+def column_profile(rows: DataFrame, day: str, columns: list[str]) -> DataFrame:
+    """META-4: per day and column: type, rows, nulls, least and greatest value as text."""
+    kinds = {f.name: f.dataType.simpleString() for f in rows.schema.fields}
+    parts = [p.alias(f"{c}__{k}") for c in columns for k, p in (("nulls", F.count_if(F.col(c).isNull())), ("low", F.min(c).cast("string")), ("high", F.max(c).cast("string")))]
+    wide = rows.groupBy(F.col(day).alias("day")).agg(F.count("*").alias("n_rows"), *parts)
+    cells = F.array(*[F.struct(F.lit(c).alias("column"), F.lit(kinds[c]).alias("type"), *[F.col(f"{c}__{k}").alias(k) for k in ("nulls", "low", "high")]) for c in columns])
+    return wide.select("day", "n_rows", F.explode(cells).alias("c")).select("day", "n_rows", "c.*")
+
+
+def replace_rows(store: DataFrame, new: DataFrame, key: list[str]) -> DataFrame:
+    """SINK-2: a feature store in which rows of the same cutoffs as new are replaced."""
+    return store.join(new.select(*key).distinct(), key, "left_anti").unionByName(new)
+
+
 def overwrite_days(rows: DataFrame, path: str, by: tuple[str, ...] = ("day",)) -> None:
     """SINK-1, SINK-2, CACHE-4: replaces the partitions that rows has, and no others; a rerun gives the same lake."""
     rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*by).parquet(path)
