@@ -2,8 +2,14 @@
 
 from __future__ import annotations
 
+import json
+import math
+
+import numpy as np
+import pandas as pd
+import pyarrow as pa
 from pyspark.ml import Pipeline
-from pyspark.ml.classification import LogisticRegression
+from pyspark.ml.classification import GBTClassifier, LogisticRegression
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import StandardScaler, VectorAssembler
@@ -12,6 +18,9 @@ from pyspark.ml.regression import IsotonicRegression
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .evaluate import auc, calibration
+from .ranks import attach, placed, quantiles
+
 
 def logistic(train: DataFrame, rows: DataFrame, features: list[str], label: str, weight: str | None = None) -> DataFrame:
     """ML-4, ML-2: rows with p, from a logistic regression on standardised features; null features count as 0."""
@@ -60,3 +69,157 @@ def level_shift(rows: DataFrame, p: str, by: list[str], rate: str, steps: int =
     start = F.struct(F.lit(-2.0).alias("low"), F.lit(2.0).alias("high"))
     halve = lambda acc, _: F.when(mean((acc["low"] + acc["high"]) / 2) < F.col(rate), F.struct(((acc["low"] + acc["high"]) / 2).alias("low"), acc["high"].alias("high"))).otherwise(F.struct(acc["low"].alias("low"), ((acc["low"] + acc["high"]) / 2).alias("high")))
     return bins.select(*by, F.round(F.aggregate(F.sequence(F.lit(1), F.lit(steps)), start, halve)["low"], 4).alias("shift"))
+
+
+def boosted(train: DataFrame, rows: DataFrame, features: list[str], label: str, valid: str, trees: int = 20, seed: int = 11) -> DataFrame:
+    """ML-3, UDF-7: rows with p, from boosted trees that stop when the loss on the rows marked `valid` no longer falls. Null features are 0."""
+    fill = lambda d: VectorAssembler(inputCols=features, outputCol="_x").transform(d.na.fill(0, features))
+    model = GBTClassifier(featuresCol="_x", labelCol=label, maxIter=trees, maxDepth=4, stepSize=0.2, validationIndicatorCol=valid, seed=seed).fit(fill(train))
+    return model.transform(fill(rows)).withColumn("p", vector_to_array("probability")[1]).drop("_x", "rawPrediction", "probability", "prediction")
+
+
+def contributions(train: DataFrame, rows: DataFrame, features: list[str], label: str, top: int = 3) -> DataFrame:
+    """ML-16: per row the terms beta * (x - mean) of a logistic regression and its strongest drivers as text."""
+    fill = lambda d: VectorAssembler(inputCols=features, outputCol="_x").transform(d.na.fill(0, features))
+    fitted = LogisticRegression(featuresCol="_x", labelCol=label, maxIter=50, regParam=1e-4).fit(fill(train))
+    means = train.na.fill(0, features).agg(*[F.avg(c).alias(f"_mean_{c}") for c in features])
+    terms = [(float(b) * (F.col(c) - F.col(f"_mean_{c}"))).alias(f"part_{c}") for b, c in zip(fitted.coefficients.toArray(), features)]
+    found = attach(rows.na.fill(0, features), means, []).select(*rows.columns, *terms)
+    cells = F.array_sort(F.array(*[F.struct((-F.abs(F.col(f"part_{c}"))).alias("size"), F.lit(c).alias("name"), (F.col(f"part_{c}") > 0).alias("up")) for c in features]))
+    text = F.array_join(F.transform(F.slice(cells, 1, top), lambda e: F.concat(e["name"], F.when(e["up"], F.lit(" +")).otherwise(F.lit(" -")))), ", ")
+    return found.withColumn("drivers", text)
+
+
+def contribution_summary(found: DataFrame, features: list[str]) -> DataFrame:
+    """RPT-9: per feature the mean size of its part, and whether high values raise it."""
+    wide = found.agg(*[f for c in features for f in (F.avg(F.abs(f"part_{c}")).alias(f"{c}__m"), F.corr(F.col(c).cast("double"), F.col(f"part_{c}")).alias(f"{c}__r"))])
+    cells = F.array(*[F.struct(F.lit(c).alias("feature"), F.round(F.col(f"{c}__m"), 6).alias("mean_size"), F.when(F.col(f"{c}__r") > 0, "raises").otherwise("lowers").alias("direction")) for c in features])
+    return wide.select(F.explode(cells).alias("p")).select("p.*")
+
+
+def permuted(rows: DataFrame, feature: str, key: list[str], seed: int = 1) -> DataFrame:
+    """rows whose values of a feature come from the next row of a random order, the last one's from the first. Places are found without
+    ordering all rows in one task."""
+    hashed = rows.withColumn("_h", F.xxhash64(*key, F.lit(seed)))
+    order = placed(hashed, [], "_h", [F.col(k) for k in key], descending=False)
+    moved = order.select((F.col("place") % F.col("size") + 1).alias("place"), F.col(feature).alias("_moved"))
+    return order.join(moved, "place").withColumn(feature, F.col("_moved")).select(rows.columns)
+
+
+def permutation_importance(train: DataFrame, rows: DataFrame, features: list[str], label: str, key: list[str]) -> DataFrame:
+    """ML-14: fall of the AUC when a feature's values are permuted, for a logistic model fitted once per call; a row per feature."""
+    fill = lambda d: d.na.fill(0, features)
+    steps = [VectorAssembler(inputCols=features, outputCol="_raw"), StandardScaler(inputCol="_raw", outputCol="_x", withMean=True), LogisticRegression(featuresCol="_x", labelCol=label, maxIter=50, regParam=1e-4)]
+    fitted = Pipeline(stages=steps).fit(fill(train))
+    score = lambda d: fitted.transform(fill(d)).select(F.round(vector_to_array("probability")[1], 6).alias("p"), label)
+    every = score(rows).withColumn("feature", F.lit(""))
+    for c in features:
+        every = every.unionByName(score(permuted(rows, c, key)).withColumn("feature", F.lit(c)))
+    found = auc(every, "p", label, ["feature"]).select("feature", "auc")
+    base = found.where("feature = ''").select(F.col("auc").alias("_base"))
+    return attach(found.where("feature <> ''"), base, []).select("feature", F.round(F.col("_base") - F.col("auc"), 6).alias("fall"))
+
+
+def platt(train: DataFrame, rows: DataFrame, p: str, label: str, least: float = 0.005) -> DataFrame:
+    """ML-5: rows with a probability calibrated by a logistic regression on the log-odds."""
+    logit = F.log(F.greatest(F.lit(1e-6), F.col(p)) / F.greatest(F.lit(1e-6), 1 - F.col(p)))
+    prepare = lambda d: VectorAssembler(inputCols=["_z"], outputCol="_x").transform(d.withColumn("_z", logit))
+    fitted = LogisticRegression(featuresCol="_x", labelCol=label, maxIter=50).fit(prepare(train))
+    found = fitted.transform(prepare(rows)).withColumn("calibrated", F.greatest(F.lit(least), F.least(F.lit(1 - least), vector_to_array("probability")[1])))
+    return found.select(*rows.columns, "calibrated")
+
+
+def calibrator_choice(rows: DataFrame, p: str, label: str, who: str, folds: int = 3) -> DataFrame:
+    """ML-6: the calibration error of isotonic and Platt calibration, fitted on other folds of players; the lesser one is chosen."""
+    numbered = rows.withColumn("_fold", F.pmod(F.xxhash64(who), F.lit(folds)))
+    parts = []
+    for name, method in (("isotonic", isotonic), ("platt", platt)):
+        scored = [method(numbered.where(F.col("_fold") != k), numbered.where(F.col("_fold") == k), p, label).select("calibrated", label) for k in range(folds)]
+        every = scored[0]
+        for more in scored[1:]:
+            every = every.unionByName(more)
+        parts.append(calibration(every, "calibrated", label).agg(F.lit(name).alias("calibrator"), F.round(F.sum(F.col("n") * F.col("gap")) / F.sum("n"), 6).alias("ece")))
+    both = parts[0].unionByName(parts[1])
+    return attach(both, both.agg(F.min(F.struct("ece", "calibrator")).alias("_best")), []).select("calibrator", "ece", (F.col("calibrator") == F.col("_best.calibrator")).alias("chosen"))
+
+
+def calibrated_by(train: DataFrame, rows: DataFrame, p: str, label: str, group: str, least: int = 500) -> DataFrame:
+    """ML-5: calibration per group with `least` rows or more of two classes, else over all. Groups are a bounded list (brands)."""
+    counts = train.groupBy(group).agg(F.count("*").alias("n"), F.countDistinct(label).alias("k"))
+    own = [r[0] for r in counts.where((F.col("n") >= least) & (F.col("k") == 2)).orderBy(group).collect()]
+    others = ~F.col(group).isin(own) if own else F.lit(True)
+    found = isotonic(train, rows.where(others | F.col(group).isNull()), p, label)
+    for g in own:
+        found = found.unionByName(isotonic(train.where(F.col(group) == g), rows.where(F.col(group) == g), p, label))
+    return found
+
+
+def correlated(rows: DataFrame, features: list[str], label: str, limit: float = 0.95) -> DataFrame:
+    """ML-12: pairs of features with their correlation and, over the limit, the one of lower AUC (distance from a half), which is dropped."""
+    cast = rows.select(label, *[F.col(c).cast("double").alias(c) for c in features]).na.drop()
+    pairs = [(a, b) for i, a in enumerate(features) for b in features[i + 1 :]]
+    wide = cast.agg(*[F.corr(a, b).alias(f"{a}__{b}") for a, b in pairs])
+    long = wide.select(F.explode(F.array(*[F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), F.col(f"{a}__{b}").alias("r")) for a, b in pairs])).alias("p")).select("p.*")
+    power = auc(cast.unpivot([label], features, "feature", "x"), "x", label, ["feature"]).select("feature", F.abs(F.col("auc") - 0.5).alias("power"))
+    both = attach(attach(long, power.select(F.col("feature").alias("a"), F.col("power").alias("pa")), ["a"]), power.select(F.col("feature").alias("b"), F.col("power").alias("pb")), ["b"])
+    return both.select("a", "b", F.round("r", 6).alias("r"), F.when(F.abs("r") > limit, F.when(F.col("pa") < F.col("pb"), F.col("a")).otherwise(F.col("b"))).alias("dropped"))
+
+
+def _tree(x: np.ndarray, rng: np.random.Generator, depth: int) -> list:
+    if depth == 0 or len(x) <= 1 or (np.ptp(x, axis=0) == 0).all():
+        return [len(x)]
+    wide = np.flatnonzero(np.ptp(x, axis=0) > 0)
+    f = int(rng.choice(wide))
+    cut = float(rng.uniform(x[:, f].min(), x[:, f].max()))
+    left = x[:, f] < cut
+    return [f, cut, _tree(x[left], rng, depth - 1), _tree(x[~left], rng, depth - 1)]
+
+
+def _mean_depth(n: int) -> float:
+    """Mean depth of a failed search among n values."""
+    return 0.0 if n <= 1 else 1.0 if n == 2 else 2 * (math.log(n - 1) + 0.5772156649) - 2 * (n - 1) / n
+
+
+def _depths(tree: list, x: np.ndarray, at: float = 0.0) -> np.ndarray:
+    if len(tree) == 1:
+        return np.full(len(x), at + _mean_depth(tree[0]))
+    f, cut, low, high = tree
+    out, left = np.empty(len(x)), x[:, f] < cut
+    out[left], out[~left] = _depths(low, x[left], at + 1), _depths(high, x[~left], at + 1)
+    return out
+
+
+def isolation_forest(rows: DataFrame, features: list[str], key: list[str], trees: int = 200, sample: int = 256, share: float = 0.005) -> DataFrame:
+    """ANOM-3: rows with an anomaly score and whether it is among the highest share, on signed logs of the features.
+
+    A tree learns from about `sample` rows that a hash takes for it, so trees are small groups; their nodes are a bounded list for the
+    driver. Null features count as 0.
+    """
+    signed = [(F.signum(F.coalesce(F.col(c).cast("double"), F.lit(0.0))) * F.log1p(F.abs(F.coalesce(F.col(c).cast("double"), F.lit(0.0))))).alias(f"_{i}") for i, c in enumerate(features)]
+    logged = rows.select("*", *signed)
+    names = [f"_{i}" for i in range(len(features))]
+    n = rows.count()
+    if not n:
+        return rows.withColumn("score", F.lit(0.0)).withColumn("outlier", F.lit(False))
+    rate = min(1.0, sample / n)
+    picks = F.filter(F.sequence(F.lit(0), F.lit(trees - 1)), lambda t: F.pmod(F.xxhash64(*key, t), F.lit(1_000_003)) < F.lit(rate * 1_000_003))
+    drawn = logged.select(*key, *names, F.explode(picks).alias("tree"))
+
+    def grow(group: pd.DataFrame) -> pd.DataFrame:
+        group = group.sort_values(key)
+        t = int(group["tree"].iloc[0])
+        return pd.DataFrame({"tree": [t], "nodes": [json.dumps(_tree(group[names].to_numpy(float), np.random.default_rng(t), max(1, math.ceil(math.log2(sample)))))]})
+
+    forest = [json.loads(r.nodes) for r in drawn.groupBy("tree").applyInPandas(grow, "tree int, nodes string").orderBy("tree").collect()]
+    usual = _mean_depth(min(sample, n))
+
+    def score(batches):
+        for batch in batches:
+            x = np.stack([batch.column(c).to_numpy(zero_copy_only=False) for c in names], axis=1)
+            depth = np.mean([_depths(t, x) for t in forest], axis=0) if forest else np.zeros(len(x))
+            yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in key], pa.array(2.0 ** (-depth / max(usual, 1e-9)))], names=[*key, "score"])
+
+    kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema.fields if f.name in key)
+    scored = rows.join(logged.select(*key, *names).mapInArrow(score, f"{kinds}, score double"), key)
+    cut = quantiles(scored, "score", [], [1 - share]).select(F.col("q")[0].alias("_cut"))
+    return attach(scored, cut, []).withColumn("outlier", F.col("score") > F.col("_cut")).drop("_cut")

@@ -69,3 +69,26 @@ def loss_chasing(ggr: str, wagered: str) -> Column:
 def band(score: Column) -> Column:
     """SIG-19"""
     return F.when(score < 25, "low").when(score < 50, "medium").when(score < 75, "high").otherwise("critical")
+
+
+#: Weights of loss chasing, deposit velocity (a third of it), night share, stake escalation and net-loss velocity in the risk score.
+RISK = (0.25, 0.2, 0.2, 0.2, 0.15)
+
+
+def risk(days: DataFrame, weights: tuple[float, ...] = RISK) -> DataFrame:
+    """SIG-12, SIG-14 from player-days of 30 days before each cutoff (stake_c, payout_c, plays, n, night, deposit_c)."""
+    age = F.datediff("cutoff", "day")
+    total = lambda e, w=None: F.coalesce(F.sum(e if w is None else F.when(w, e)), F.lit(0)).cast("long")
+    won = F.col("stake_c") - F.col("payout_c")
+    r = days.groupBy("cutoff", "player_id").agg(
+        total(won, age == 0).alias("today"), total(won).alias("g30"), total(F.col("stake_c")).alias("w30"), total(F.col("stake_c"), age < 7).alias("w7"), total(F.col("plays")).alias("p30"), total(F.col("plays"), age < 7).alias("p7"),
+        (F.sum("night") / F.sum("n")).alias("night"), total(F.col("deposit_c")).alias("d30"), total(F.col("deposit_c"), age < 7).alias("d7"),
+    )
+    c = F.col
+    velocity = F.when(c("d30") > 0, c("d7") / (F.when(c("d30") > 0, c("d30")) / F.lit(30.0) * 7)).otherwise(0.0)
+    base = c("w30") / F.when(c("p30") > 0, c("p30"))
+    rise = F.when((c("p30") > 0) & (c("p7") > 0) & (c("w30") > 0), (c("w7") / F.when(c("p7") > 0, c("p7")) - base) / F.when(base > 0, base)).otherwise(0.0)
+    loss = F.greatest(F.lit(0), -c("today")) / (c("d30") / F.lit(30.0) + 1)
+    parts = (loss_chasing("g30", "w30"), F.least(F.lit(1.0), velocity / 3), c("night"), clamp(rise, 0.0, 1.0), F.least(F.lit(1.0), loss))
+    score = sum((w * p for w, p in zip(weights, parts)), F.lit(0.0))
+    return r.select("cutoff", "player_id", F.round(loss, 6).alias("net_loss_velocity"), F.round(clamp(100 * score), 4).alias("risk_score"))

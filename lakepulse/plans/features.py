@@ -100,3 +100,18 @@ def feat_big_win(spark, d):
         F.sum(F.when(view, c)).alias("stake_c"), F.sum(F.when(view, F.when(F.col("event_id") % 20 == 0, 12 * c).otherwise(0))).alias("payout_c"), F.count_if(F.col("event_type") == "click").alias("withdrawals")
     )
     return payments.big_wins(plays, weeks(spark, d))
+
+
+@query("sig_risk", with_("payments") + f""", {WEEKS}, {PLAYS}, np AS (SELECT user_id AS player_id, CAST(ts AS DATE) AS day, count(*) FILTER (event_type = 'view') AS plays, count(*) AS n, count(*) FILTER (hour(ts) < 6) AS night FROM events GROUP BY ALL),
+r AS (SELECT cutoff, player_id, CAST(coalesce(sum(stake_c - payout_c) FILTER (day = cutoff), 0) AS BIGINT) AS today, CAST(coalesce(sum(stake_c - payout_c), 0) AS BIGINT) AS g30, CAST(coalesce(sum(stake_c), 0) AS BIGINT) AS w30, CAST(coalesce(sum(stake_c) FILTER (cutoff - day < 7), 0) AS BIGINT) AS w7,
+CAST(sum(plays) AS BIGINT) AS p30, CAST(coalesce(sum(plays) FILTER (cutoff - day < 7), 0) AS BIGINT) AS p7, sum(night) / sum(n) AS night, CAST(sum(deposit_c) AS BIGINT) AS d30, CAST(coalesce(sum(deposit_c) FILTER (cutoff - day < 7), 0) AS BIGINT) AS d7 FROM c JOIN pd ON day > cutoff - 30 AND day <= cutoff JOIN np USING (player_id, day) JOIN payments USING (player_id, day) GROUP BY cutoff, player_id),
+s AS (SELECT cutoff, player_id, CASE WHEN g30 < 0 AND w30 > 0 THEN least(1.0, -g30 / w30) ELSE 0 END AS chasing, CASE WHEN d30 > 0 THEN d7 / (d30 / 30.0::DOUBLE * 7) ELSE 0 END AS velocity, night, CASE WHEN p30 > 0 AND p7 > 0 AND w30 > 0 THEN (w7 / p7 - w30 / p30) / (w30 / p30) ELSE 0 END AS rise, greatest(0, -today) / (d30 / 30.0::DOUBLE + 1) AS loss FROM r)
+SELECT cutoff, player_id, round(loss, 6) AS net_loss_velocity, round(greatest(0, least(100, 100 * (0.25::DOUBLE * chasing + 0.2::DOUBLE * least(1, velocity / 3) + 0.2::DOUBLE * night + 0.2::DOUBLE * greatest(0, least(1, rise)) + 0.15::DOUBLE * least(1, loss)))), 4) AS risk_score FROM s""")
+def sig_risk(spark, d):
+    """SIG-12, SIG-14: net-loss velocity, and the weighted risk score with its band limits of 0 and 100."""
+    c, view = lens.cents("value"), F.col("event_type") == "view"
+    days = lens.table(spark, d, "events").groupBy(F.col("user_id").alias("player_id"), F.to_date("ts").alias("day")).agg(
+        F.sum(F.when(view, c)).alias("stake_c"), F.sum(F.when(view, F.when(F.col("event_id") % 20 == 0, 12 * c).otherwise(0))).alias("payout_c"), F.count_if(view).alias("plays"), F.count("*").alias("n"), F.count_if(F.hour("ts") < 6).alias("night")
+    )
+    both = days.join(lens.payments(spark, d).select("player_id", "day", "deposit_c"), ["player_id", "day"])
+    return signals.risk(payments.dealt(both, weeks(spark, d), 30))

@@ -11,6 +11,7 @@ from lakepulse.operators import evaluate as ev
 from lakepulse.operators import labels, survival
 from lakepulse.operators.ranks import quantiles
 from lakepulse.sources import lens
+from lakepulse.sources.lake import kept
 from lakepulse.sources.lens import with_
 
 from . import players as pl
@@ -103,22 +104,17 @@ SIGNALS = ("days_since_last_bet", "active_days_l90d", "bets_l180d", "ggr_c_l90d"
 
 
 def standardised(spark, d):
-    """Rows of labels and features with signals of mean 0 and deviation 1, by one aggregate."""
-    rows = pl.slice_(spark, d).where("days_since_last_bet is not null and duration_days > 0")
+    """Rows of labels and features with signals of mean 0 and deviation 1, by one aggregate. Newton steps read them many times, so they are written once."""
+    rows = kept(pl.slice_(spark, d).where("days_since_last_bet is not null and duration_days > 0"), "lives")
     moments = rows.agg(*[f(c).alias(f"{c}_{k}") for c in SIGNALS for k, f in (("m", F.avg), ("s", F.stddev_samp))])
     z = [((F.col(c) - F.col(f"{c}_m")) / F.when(F.col(f"{c}_s") > 0, F.col(f"{c}_s"))).alias(c) for c in SIGNALS]
     return rows.join(F.broadcast(moments)).select("brand", "cutoff", "player_id", "duration_days", "event_observed", *[F.coalesce(c, F.lit(0.0)).alias(n) for c, n in zip(z, SIGNALS)])
 
 
-def _saved(rows):
-    """Newton steps read the same rows again: they are checkpointed where the session names a folder."""
-    return rows.checkpoint() if rows.sparkSession.sparkContext.getCheckpointDir() else rows
-
-
 @query("ml_17_cox")
 def ml_17(spark, d):
     """ML-17: coefficients of a Cox regression stratified by brand, with hazard ratios and survival at 30 days for mean features."""
-    rows = _saved(standardised(spark, d))
+    rows = standardised(spark, d)
     beta, cov = survival.cox(rows, "duration_days", "event_observed", list(SIGNALS), ["brand"])
     found = [(c, float(b), float(math.sqrt(v)), float(math.exp(b))) for c, b, v in zip(SIGNALS, beta, cov.diagonal())]
     return spark.createDataFrame(found, "signal string, beta double, se double, hazard_ratio double")
@@ -127,7 +123,7 @@ def ml_17(spark, d):
 @query("ml_18_hazard_ratios")
 def ml_18(spark, d):
     """ML-18: hazard ratio per deviation of each signal alone, with its 95% interval."""
-    rows, found = _saved(standardised(spark, d)), []
+    rows, found = standardised(spark, d), []
     for c in SIGNALS:
         beta, cov = survival.cox(rows, "duration_days", "event_observed", [c], ["brand"])
         b, se = float(beta[0]), float(math.sqrt(cov[0, 0]))
@@ -138,7 +134,7 @@ def ml_18(spark, d):
 @query("ml_20_proportional_hazards")
 def ml_20(spark, d):
     """ML-20: mean residuals per month of follow-up; a trend speaks against proportional hazards."""
-    rows = _saved(standardised(spark, d))
+    rows = standardised(spark, d)
     beta, _ = survival.cox(rows, "duration_days", "event_observed", list(SIGNALS), ["brand"])
     return survival.schoenfeld(rows, "duration_days", "event_observed", list(SIGNALS), ["brand"], beta)
 

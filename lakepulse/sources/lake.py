@@ -18,6 +18,13 @@ def work_folder(spark: SparkSession, name: str) -> str:
     return f"{top.rstrip('/')}/lake/{name}-{uuid.uuid4().hex}"
 
 
+def kept(rows: DataFrame, name: str) -> DataFrame:
+    """rows written to the shared folder and read again, for steps that read them many times."""
+    path = work_folder(rows.sparkSession, name)
+    rows.write.parquet(path)
+    return rows.sparkSession.read.schema(rows.schema).parquet(path)
+
+
 def path_day(path: Column) -> Column:
     """SCAN-3: the day a file's folder stands for; null without one."""
     part = lambda i: F.regexp_extract(path, DAY_IN_PATH, i)
