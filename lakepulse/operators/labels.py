@@ -8,15 +8,16 @@ from pyspark.sql import functions as F
 from .activity import _windowed, population
 
 
-def churn_labels(days: DataFrame, cutoff: DataFrame, horizon: int = 60, look_back: int = 30) -> DataFrame:
+def churn_labels(days: DataFrame, cutoff: DataFrame, data_end: str | None = None, horizon: int = 60, look_back: int = 30) -> DataFrame:
     """LAB-2..6: event, duration_days, event_observed and churn within 7/14/30 days for each (cutoff, player).
 
-    Days strictly after the cutoff count. A label whose window passes the last day of the data is null, not 0. Cutoffs and active days
+    Days strictly after the cutoff count. A label whose window passes data_end (None: the last day of the data) is null, not 0. Cutoffs and active days
     of a player lie in one window, latest first: each cutoff sees the next active day and the next one that a silence follows.
     """
     people = population(days, cutoff, look_back)
     active = days.where("active").select("player_id", "day").distinct()
-    last = days.agg(F.max("day").alias("end"))
+    last = days.agg((F.max("day") if data_end is None else F.max(F.lit(data_end).cast("date"))).alias("end"))
+    active = active if data_end is None else active.where(F.col("day") <= F.lit(data_end).cast("date"))
     order = Window.partitionBy("player_id").orderBy("day")
     gaps = active.withColumn("next", F.lead("day").over(order)).join(F.broadcast(last))
     silent = (F.col("next").isNull() | (F.datediff("next", "day") > horizon)) & (F.date_add("day", horizon) <= F.col("end"))
@@ -41,6 +42,7 @@ def churn_labels(days: DataFrame, cutoff: DataFrame, horizon: int = 60, look_bac
 def rfm_features(days: DataFrame, cutoff: DataFrame, windows: tuple[int, ...] = (7, 30, 90, 180)) -> DataFrame:
     """F01, F03..F07, F12..F16, F19..F23, F25, F31, F33, F45, F48, F49 in one pass over the longest window: look-backs (c - n, c] and prior ones (c - 2n, c - n]."""
     longest = 2 * max(windows)
+    days = days if "bonus_c" in days.columns else days.withColumn("bonus_c", F.lit(0))
     rows = _windowed(days, cutoff, longest).withColumn("age", F.datediff("cutoff", "day"))
     within = lambda n, m=0: (F.col("age") < n) & (F.col("age") >= m)
     total = lambda e, w: F.coalesce(F.sum(F.when(w, e)), F.lit(0)).cast("long")

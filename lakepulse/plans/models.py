@@ -209,5 +209,5 @@ def rpt_4(spark, d):
     days = lens.activity(spark, d)
     cuts = pl.cut(spark, d).withColumn("cutoff", F.explode(F.array(*[F.date_add("cutoff", k) for k in (0, 7, 14, 21)])))
     recency = labels._windowed(days.where("active"), cuts, 180).groupBy("cutoff", "player_id").agg(F.min(F.datediff("cutoff", "day")).alias("s"))
-    rows = labels.churn_labels(days, cuts, 60, 180).where("event_60d is not null").join(recency, ["cutoff", "player_id"])
+    rows = labels.churn_labels(days, cuts, None, 60, 180).where("event_60d is not null").join(recency, ["cutoff", "player_id"])
     return ev.auc(rows.withColumn("day", F.dayofmonth("cutoff")), "s", "event_60d", ["day"])

@@ -72,7 +72,7 @@ labels AS (SELECT cutoff, player_id, brand, CASE WHEN known >= 60 THEN CAST(firs
 
 @query("lab_2_5_churn_labels", with_("activity") + f", {CUT}, {ACTIVE}, {POP}, {LABELS} SELECT * FROM labels")
 def lab(spark, d):
-    return labels.churn_labels(lens.activity(spark, d), cut(spark, d), 60, 180)
+    return labels.churn_labels(lens.activity(spark, d), cut(spark, d), None, 60, 180)
 
 
 def _features_sql() -> str:
