@@ -275,3 +275,27 @@ def test_pipeline_stages(spark, sf):
             assert deduped[i].text == (text if gone else kept[i].text) and deduped[i].n_chars == len(deduped[i].text)
     rows = cp.packing(spark, tables[4], sf).collect()
     assert check_packing(rows, 2048) <= -(-sum(r.length for r in rows) // 2048) + 1
+
+
+def test_pipeline_stages_on_odd_rows(spark, sf):
+    """Nulls in any column, empty and repeated rows, one id with several texts, an empty table: every stage runs and keeps what it should."""
+    import corpus_pipeline as cp
+    from tests.llm.test_text_operators import passage
+
+    schema = spark.read.parquet(f"{sf}/documents.parquet").schema
+    make = lambda i, t, lang="en", source="s", n=0: tuple({"doc_id": i, "text": t, "lang": lang, "source": source, "n_chars": n}[f.name] for f in schema.fields)
+    a, b, long = passage(1, 60), passage(2, 60), passage(3, 4000)
+    rows = [make(1, a), make(1, a), make(1, b), make(2, a), make(3, None), make(4, ""), make(None, a), make(None, None, None, None, None), make(5, long, None, None, None), make(6, b + " end", source=None)]
+    docs = spark.createDataFrame(rows, schema)
+    near = cp.near_duplicates(spark, docs, sf)
+    assert near.columns == docs.columns
+    assert sorted(((r.doc_id, r.text) for r in near.collect() if r.doc_id), key=str) == sorted([(1, a), (1, b), (3, None), (4, ""), (5, long)], key=str)
+    assert near.where("doc_id is null").count() == 2
+    for stage in (cp.repeated_passages, cp.source_mix):
+        out = stage(spark, docs, sf)
+        assert out.columns == docs.columns and out.count() > 0
+        assert stage(spark, docs.limit(0), sf).count() == 0
+    check_packing(cp.packing(spark, docs, sf).collect(), 2048)
+    assert cp.packing(spark, docs.limit(0), sf).count() == 0 and cp.near_duplicates(spark, docs.limit(0), sf).count() == 0
+    kept = cp.quality(spark, docs, sf)
+    assert kept.columns == docs.columns and cp.quality(spark, docs.limit(0), sf).count() == 0
