@@ -14,6 +14,7 @@ import zlib
 from bisect import bisect_right
 from collections import Counter, deque
 from collections.abc import Iterator
+from functools import cache
 from hashlib import blake2b
 from itertools import islice
 from pathlib import Path
@@ -32,8 +33,9 @@ CAPACITY, END = 2048, 0
 NODES, STEPS = 20_000, 200_000
 
 
+@cache
 def encoder(vocabulary: str):
-    """Byte-level BPE from a rank file: the ids of the tokenizers file of the same vocabulary, several times faster.
+    """Byte-level BPE from a rank file, built once per process: the ids of the tokenizers file of the same vocabulary, several times faster.
 
     encode(text, allowed_special="all") finds the added tokens inside texts, too, as tokenizers does; encode_ordinary does not.
     """
