@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from .fill_middle import op13_fill_in_middle
 from .fingerprints import op8_document_fingerprints
 from .lm_scoring import op10_lm_scoring
 from .media import op6_media_columns
@@ -15,7 +16,7 @@ from .warc import op1_warc
 
 
 def queries() -> dict:
-    every = (op1_warc, op2_substring_dedup, op3_url_filters, op4_best_fit_packing, op5_quality_classifier, op6_media_columns, op7_ngram_jaccard_join, op8_document_fingerprints, op9_mix_sources, op10_lm_scoring)
+    every = (op1_warc, op2_substring_dedup, op3_url_filters, op4_best_fit_packing, op5_quality_classifier, op6_media_columns, op7_ngram_jaccard_join, op8_document_fingerprints, op9_mix_sources, op10_lm_scoring, op13_fill_in_middle)
     return {f.__name__: f for f in every}
 
 
@@ -53,6 +54,18 @@ SELECT d.doc_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_shingles, min(r.m) AS com
 FROM d LEFT JOIN n USING (doc_id) JOIN r USING (doc_id) GROUP BY ALL
 """
 
+#: DuckDB cuts whole texts by a regular expression; rebuilt texts must equal the given ones.
+FILL_MIDDLE = r"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t, sha256('1:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h FROM documents),
+w AS (SELECT *, regexp_extract_all(t, '[A-Za-z]+|[^A-Za-z]') AS ws, [CAST('0x' || substr(h, k, 8) AS UBIGINT) FOR k IN [1, 9, 17, 25]] AS r FROM d),
+c AS (SELECT *, least(r[1] % (len(ws) + 1), r[2] % (len(ws) + 1)) AS a, greatest(r[1] % (len(ws) + 1), r[2] % (len(ws) + 1)) AS b,
+        CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR r[3] % 100 >= 90 THEN 'plain' WHEN r[4] % 100 < 20 THEN 'spm' ELSE 'psm' END AS form FROM w),
+p AS (SELECT *, coalesce(array_to_string(ws[1:a], ''), '') AS prefix, coalesce(array_to_string(ws[a + 1:b], ''), '') AS middle, coalesce(array_to_string(ws[b + 1:], ''), '') AS suffix FROM c)
+SELECT doc_id, CAST(len(ws) AS BIGINT) AS n, form, CASE WHEN form <> 'plain' THEN CAST(length(prefix) AS BIGINT) END AS prefix_chars, CASE WHEN form <> 'plain' THEN CAST(length(middle) AS BIGINT) END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256, sha256(t) AS restored_sha256
+FROM p
+"""
+
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_warc": WARC, "op2_substring_dedup": SUBSTRINGS, "op7_ngram_jaccard_join": LINKS}
+    return {"op1_warc": WARC, "op2_substring_dedup": SUBSTRINGS, "op7_ngram_jaccard_join": LINKS, "op13_fill_in_middle": FILL_MIDDLE}
