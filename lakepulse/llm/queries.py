@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from .conversation_trie import op12_conversation_trie
 from .fill_middle import op13_fill_in_middle
 from .fingerprints import op8_document_fingerprints
 from .lm_scoring import op10_lm_scoring
@@ -16,7 +17,7 @@ from .warc import op1_warc
 
 
 def queries() -> dict:
-    every = (op1_warc, op2_substring_dedup, op3_url_filters, op4_best_fit_packing, op5_quality_classifier, op6_media_columns, op7_ngram_jaccard_join, op8_document_fingerprints, op9_mix_sources, op10_lm_scoring, op13_fill_in_middle)
+    every = (op1_warc, op2_substring_dedup, op3_url_filters, op4_best_fit_packing, op5_quality_classifier, op6_media_columns, op7_ngram_jaccard_join, op8_document_fingerprints, op9_mix_sources, op10_lm_scoring, op12_conversation_trie, op13_fill_in_middle)
     return {f.__name__: f for f in every}
 
 
@@ -66,6 +67,20 @@ SELECT doc_id, CAST(len(ws) AS BIGINT) AS n, form, CASE WHEN form <> 'plain' THE
 FROM p
 """
 
+#: DuckDB groups whole lists of turns; CRC-32 is reduced bit by bit.
+TRIE = """
+WITH t AS (SELECT conv_id, list({'r': coalesce(role, ''), 't': coalesce(text, '')} ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS ts FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id),
+bits AS (SELECT *, list_prepend(4294967295::UBIGINT, flatten([[ascii(c)::UBIGINT, 0, 0, 0, 0, 0, 0, 0] FOR c IN string_split(CAST(conv_id AS VARCHAR), '')])) AS l FROM t),
+own AS (SELECT conv_id, ts, xor(list_reduce(l, lambda a, x: xor(xor(a, x) >> 1, (xor(a, x) & 1) * 3988292384::UBIGINT)), 4294967295::UBIGINT) % 6 AS h FROM bits),
+r AS (SELECT o.conv_id, list_concat(coalesce(b.ts[1:h], []), o.ts[h + 1:]) AS s FROM own o LEFT JOIN t b ON b.conv_id = o.conv_id - o.conv_id % 100),
+p AS (SELECT conv_id, d, s[1:d] AS k, len(s) AS n FROM (SELECT conv_id, s, unnest(range(len(s) + 1)) AS d FROM r)),
+n AS (SELECT k, d, min(conv_id) AS conv_id, count(*) AS n_convs, max(n) AS longest, (count(*) - 1) * coalesce(length(k[d].t), 0) AS own, string_agg(conv_id, ',' ORDER BY conv_id) FILTER (WHERE n = d) AS ends FROM p GROUP BY k, d),
+sub AS (SELECT k[1:e] AS k, e AS d, sum(own) AS saved, count(*) FILTER (WHERE d = longest) AS leaves FROM (SELECT *, unnest(range(d + 1)) AS e FROM n) GROUP BY ALL),
+up AS (SELECT k[1:d - 1] AS k, d - 1 AS d, count(*) AS children FROM n WHERE d > 0 GROUP BY ALL)
+SELECT n.conv_id, CAST(n.d AS BIGINT) AS depth, parent.conv_id AS parent_conv_id, n.n_convs, CAST(coalesce(children, 0) AS BIGINT) AS n_children, CAST(leaves AS BIGINT) AS n_leaves, CAST(saved AS BIGINT) AS saved_tokens, sha256(coalesce(n.ends, '')) AS ends_sha256
+FROM n JOIN sub USING (k, d) LEFT JOIN up USING (k, d) LEFT JOIN n parent ON parent.d = n.d - 1 AND parent.k = n.k[1:n.d - 1]
+"""
+
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_warc": WARC, "op2_substring_dedup": SUBSTRINGS, "op7_ngram_jaccard_join": LINKS, "op13_fill_in_middle": FILL_MIDDLE}
+    return {"op1_warc": WARC, "op2_substring_dedup": SUBSTRINGS, "op7_ngram_jaccard_join": LINKS, "op12_conversation_trie": TRIE, "op13_fill_in_middle": FILL_MIDDLE}
