@@ -14,7 +14,7 @@ import zlib
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import text as tx
@@ -33,6 +33,8 @@ BROADCAST_IDS = 400_000
 SKETCH_BITS = 1024
 #: Members of one group, and tokens of their sets, that a block has of each side.
 BLOCK_ROWS, BLOCK_TOKENS = 1024, 1 << 19
+#: Members of a group of several blocks that each of these blocks has.
+LEADERS = 32
 
 
 def _chunks(batches):
@@ -339,27 +341,54 @@ def _shared_bits(sets: list[np.ndarray]) -> np.ndarray:
     return bits
 
 
-def _compare(groups: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Links (a, b), verified on whole sets, that join the components of all linked members of groups (first, second, doc_id, n, component).
-
-    In each group all members but those of the largest component are queries: a pair without a query is in one component. Queries and
-    members are cut into parts of bounded rows and tokens, and each two of these meet in a block of its own. A block first finds by
-    sketches which members can link at all; the sets of each cluster of these then meet, and give links that join components.
-    """
-    spark = groups.sparkSession
+def _shapes(groups: DataFrame) -> DataFrame:
+    """Per group (first, second) of several components: members m, tokens t, and its largest component with its members and tokens."""
     of_component = groups.groupBy("first", "second", "component").agg(F.count("*").alias("m"), F.sum("n").alias("t"))
     main = F.max(F.struct("m", "t", "component"))
-    shape = of_component.groupBy("first", "second").agg(F.count("*").alias("components"), F.sum("m").alias("m"), F.sum("t").alias("t"), main.alias("main")).where("components > 1")
-    cut = lambda m, t: F.ceil(F.greatest(m / BLOCK_ROWS, t / BLOCK_TOKENS)).cast("int")
+    return of_component.groupBy("first", "second").agg(F.count("*").alias("components"), F.sum("m").alias("m"), F.sum("t").alias("t"), main.alias("main")).where("components > 1")
+
+
+def _parts(m: Column, t: Column) -> Column:
+    """In how many parts of bounded rows and tokens so many members with so many tokens are cut."""
+    return F.ceil(F.greatest(m / BLOCK_ROWS, t / BLOCK_TOKENS)).cast("int")
+
+
+def _with_leaders(groups: DataFrame) -> DataFrame:
+    """Blocks (block, doc_id, n, component, query) that each have one part of a group and its leaders, about LEADERS members chosen by a hash
+    of their ids. Their rows grow with the members; a group of one part is a block of its own, in which all pairs meet."""
+    shape = _shapes(groups).select("first", "second", "m", _parts(F.col("m"), F.col("t")).alias("parts"))
+    rows = groups.join(shape, ["first", "second"]).withColumn("p", F.pmod(F.xxhash64("doc_id"), F.col("parts")).cast("int"))
+    leads = (F.col("parts") > 1) & (F.pmod(F.xxhash64("doc_id", F.lit(2)), F.col("m")) < LEADERS)
+    elsewhere = rows.where(leads).withColumn("to", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).where("to <> p").withColumn("p", F.col("to"))
+    columns = [F.xxhash64("first", "second", "p").alias("block"), "doc_id", "n", "component", F.lit(True).alias("query")]
+    return rows.select(columns).union(elsewhere.select(columns))
+
+
+def _all_pairs(groups: DataFrame) -> DataFrame:
+    """Blocks (block, doc_id, n, component, query) in which all members that aren't of their group's largest component meet all others.
+
+    They are the queries: a pair without a query is in one component. Queries and members are cut into parts, each two of which meet
+    in a block of its own.
+    """
     m, t = F.col("m"), F.col("t")
-    shape = shape.select("first", "second", F.col("main.component").alias("main"), cut(m, t).alias("parts"), cut(m - F.col("main.m"), t - F.col("main.t")).alias("queries"))
+    shape = _shapes(groups).select("first", "second", F.col("main.component").alias("main"), _parts(m, t).alias("parts"), _parts(m - F.col("main.m"), t - F.col("main.t")).alias("queries"))
     rows = groups.join(shape, ["first", "second"])
     rows = rows.withColumn("query", F.col("component") != F.col("main")).withColumn("whole", (F.col("parts") == 1) & (F.col("queries") == 1))
     part, asked = F.pmod(F.xxhash64("doc_id"), F.col("parts")).cast("int"), F.pmod(F.xxhash64("doc_id", F.lit(1)), F.col("queries")).cast("int")
     members = rows.withColumn("p", part).withColumn("q", F.explode(F.sequence(F.lit(0), F.col("queries") - 1))).withColumn("query", F.col("query") & F.col("whole"))
     asking = rows.where("query and not whole").withColumn("q", asked).withColumn("p", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
     columns = [F.xxhash64("first", "second", "p", "q").alias("block"), "doc_id", "n", "component", "query"]
-    blocks = save(members.select(columns).union(asking.select(columns)), "blocks")
+    return members.select(columns).union(asking.select(columns))
+
+
+def _compare(blocks: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b), verified on whole sets, that join components of all linked members of a block: (block, doc_id, n, component, query).
+
+    A block first finds by sketches which members can link at all; the sets of each cluster of these then meet, and give links that
+    join components.
+    """
+    spark = blocks.sparkSession
+    blocks = save(blocks, "blocks")
 
     def meeting(rows: DataFrame, a_bucket: int, weight: str):
         total = rows.agg(F.coalesce(F.sum(F.expr(weight)), F.lit(0))).first()[0]
@@ -433,10 +462,19 @@ def link_documents(docs: DataFrame, n: int = 4, percent: int = 85, lower: bool =
     frequent = _frequent(census, frequent_df + 4 * total / (1 << CELL_BITS))
     linked = docs.where("doc_id is not null")
     groups = _groups(linked, n, lower, percent, frequent, max(n_partitions(docs.sparkSession), buckets_for(total // 4)))
-    ids = save(groups.select("doc_id").distinct(), "ids")
     known = save(known, "known")
     discard(census)
+    return join_groups(docs, known, groups, n, percent, lower)
 
+
+def join_groups(docs: DataFrame, known: DataFrame, groups: DataFrame, n: int, percent: int, lower: bool) -> DataFrame:
+    """(doc_id, n_shingles, component_id) per row of known (doc_id, n, a, b): the sizes and digests of the sets of docs.
+
+    groups (first, second, doc_id, n) are named by two leaders; each link between different sets must be within one of them, between
+    the least doc_ids of each set. Both tables are saved ones; groups is deleted.
+    """
+    linked = docs.where("doc_id is not null")
+    ids = save(groups.select("doc_id").distinct(), "ids")
     # Rows of one doc_id with different sets are joined by its id.
     different = known.where("doc_id is not null and n > 0").distinct()
     repeated = save(different.groupBy("doc_id").agg(F.count("*").alias("sets")).where("sets > 1").select("doc_id"), "repeated")
@@ -446,13 +484,14 @@ def link_documents(docs: DataFrame, n: int = 4, percent: int = 85, lower: bool =
         sets = sets.dropDuplicates(["doc_id", "n", "tokens"])
     sets = save(sets, "sets")
 
-    # First each document in its largest group, then whatever is still in several components of a group.
+    # First each document in its largest group, in parts with leaders, then whatever is still in several components of a group.
     size = groups.groupBy("first", "second").agg(F.count("*").alias("m"))
     largest = groups.join(size, ["first", "second"]).groupBy("doc_id", "n").agg(F.max(F.struct("m", "first", "second")).alias("g"))
-    links = _compare(largest.select("g.first", "g.second", "doc_id", "n", F.col("doc_id").alias("component")), sets, percent)
-    found = components(links, rounds=2)
+    alone = largest.select("g.first", "g.second", "doc_id", "n", F.col("doc_id").alias("component"))
+    links = _compare(_with_leaders(alone), sets, percent)
+    found = components(links, rounds=4)
     mixed = groups.join(found.groupBy(F.col("node").alias("doc_id")).agg(F.min("component").alias("component")), "doc_id", "left").withColumn("component", F.coalesce("component", "doc_id"))
-    more = _compare(mixed, sets, percent)
+    more = _compare(_all_pairs(mixed), sets, percent)
     discard(groups, ids, sets, links)
 
     classes = known.where("doc_id is not null and n > 0").groupBy("n", "a", "b").agg(F.min("doc_id").alias("node"), F.count("*").alias("m"))

@@ -7,6 +7,7 @@ from .fill_middle import op13_fill_in_middle
 from .fingerprints import op8_document_fingerprints
 from .lm_scoring import op10_lm_scoring
 from .media import op6_media_columns
+from .minmax import op11_minmax_near_dedup
 from .mixing import op9_mix_sources
 from .ngram_join import op7_ngram_jaccard_join
 from .packing import op4_best_fit_packing
@@ -17,7 +18,7 @@ from .warc import op1_warc
 
 
 def queries() -> dict:
-    every = (op1_warc, op2_substring_dedup, op3_url_filters, op4_best_fit_packing, op5_quality_classifier, op6_media_columns, op7_ngram_jaccard_join, op8_document_fingerprints, op9_mix_sources, op10_lm_scoring, op12_conversation_trie, op13_fill_in_middle)
+    every = (op1_warc, op2_substring_dedup, op3_url_filters, op4_best_fit_packing, op5_quality_classifier, op6_media_columns, op7_ngram_jaccard_join, op8_document_fingerprints, op9_mix_sources, op10_lm_scoring, op11_minmax_near_dedup, op12_conversation_trie, op13_fill_in_middle)
     return {f.__name__: f for f in every}
 
 
@@ -43,10 +44,11 @@ SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(len(ws) - coalesce(n, 0)
 FROM d LEFT JOIN kept USING (doc_id)
 """
 
+#: Links of sets of {n} words, all pairs that share one.
 LINKS = r"""
 WITH RECURSIVE d AS (
   SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS ws FROM documents),
-g AS (SELECT DISTINCT doc_id, array_to_string(ws[s:s + 3], ' ') AS k FROM (SELECT doc_id, ws, unnest(range(1, greatest(len(ws) - 2, 2))) AS s FROM d WHERE len(ws) > 0)),
+g AS (SELECT DISTINCT doc_id, array_to_string(ws[s:s + {n} - 1], ' ') AS k FROM (SELECT doc_id, ws, unnest(range(1, greatest(len(ws) - {n} + 2, 2))) AS s FROM d WHERE len(ws) > 0)),
 n AS (SELECT doc_id, count(*) AS n FROM g GROUP BY doc_id),
 p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM g a JOIN g b ON a.k = b.k AND a.doc_id <> b.doc_id GROUP BY ALL),
 e AS (SELECT a, b FROM p JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * c >= 85 * (x.n + y.n - c)),
@@ -82,5 +84,9 @@ FROM n JOIN sub USING (k, d) LEFT JOIN up USING (k, d) LEFT JOIN n parent ON par
 """
 
 
+def links(n: int) -> str:
+    return LINKS.replace("{n}", str(n))
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op1_warc": WARC, "op2_substring_dedup": SUBSTRINGS, "op7_ngram_jaccard_join": LINKS, "op12_conversation_trie": TRIE, "op13_fill_in_middle": FILL_MIDDLE}
+    return {"op1_warc": WARC, "op2_substring_dedup": SUBSTRINGS, "op7_ngram_jaccard_join": links(4), "op11_minmax_near_dedup": f"SELECT *, doc_id = component_id AS kept FROM ({links(3)})", "op12_conversation_trie": TRIE, "op13_fill_in_middle": FILL_MIDDLE}
