@@ -52,6 +52,30 @@ def gaming(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lines, orders = table(spark, sf_dir, "lineitem"), table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
+    return lines.join(orders, lines["l_orderkey"] == orders["o_orderkey"]).select(F.col("o_custkey").alias("player_id"), F.to_date("l_shipdate").alias("day"), F.col("l_orderkey").alias("order_id"), F.col("l_partkey").alias("game_id"),
+        F.col("l_linenumber").alias("line"), F.col("l_quantity").cast("long").alias("quantity"), F.col("l_returnflag").alias("flag"), cents("l_extendedprice").alias("c"))
+
+
+def cash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Payment player-days over the days of lines (player_id, day, deposits, failed, withdrawals, deposit_c, withdraw_c, granted_c): flag A is a
+    deposit, R a withdrawal, N a failed deposit; a hundredth of each is granted as bonus."""
+    of = lambda flag: F.count_if(F.col("flag") == flag)
+    amount = lambda flag: F.coalesce(F.sum(F.when(F.col("flag") == flag, F.col("c"))), F.lit(0)).cast("long")
+    return _lines(spark, sf_dir).groupBy("player_id", "day").agg(of("A").alias("deposits"), of("N").alias("failed"), of("R").alias("withdrawals"), amount("A").alias("deposit_c"), amount("R").alias("withdraw_c"), F.sum(F.floor(F.col("c") / 100)).cast("long").alias("granted_c"))
+
+
+def play_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Play player-days over the days of lines (player_id, day, sessions, seconds, plays, night): an order is a session, a quantity a minute, every fourth line at night."""
+    return _lines(spark, sf_dir).groupBy("player_id", "day").agg(F.count_distinct("order_id").alias("sessions"), (F.sum("quantity") * 60).alias("seconds"), F.count("*").alias("plays"), F.count_if(F.col("line") % 4 == 0).alias("night"))
+
+
+def game_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(player_id, game_id, day), a row per line."""
+    return _lines(spark, sf_dir).select("player_id", "game_id", "day")
+
+
 #: The same objects as DuckDB common table expressions, for the oracles.
 SQL = {
     "players": "players AS (SELECT c_custkey AS player_id, c_mktsegment AS brand, n_name AS tenant FROM customer JOIN nation ON n_nationkey = c_nationkey)",
@@ -66,8 +90,13 @@ SQL = {
     "gaming": """gaming AS (SELECT o_custkey AS player_id, l_partkey AS game_id, l_suppkey AS provider, CAST(l_shipdate AS DATE) AS day, CAST(floor(l_extendedprice * 100 + 0.5) AS BIGINT) AS stake_c,
         CAST(floor(l_extendedprice * (1 - l_discount) * 100 + 0.5) AS BIGINT) AS payout_c, CAST(l_quantity AS BIGINT) AS quantity, l_linenumber AS line, l_orderkey AS order_id
         FROM lineitem JOIN orders ON o_orderkey = l_orderkey)""",
+    "lines": """lines AS (SELECT o_custkey AS player_id, CAST(l_shipdate AS DATE) AS day, l_orderkey AS order_id, l_partkey AS game_id, l_linenumber AS line, CAST(l_quantity AS BIGINT) AS quantity, l_returnflag AS flag, CAST(floor(l_extendedprice * 100 + 0.5) AS BIGINT) AS c
+        FROM lineitem JOIN orders ON o_orderkey = l_orderkey)""",
+    "cash": """cash AS (SELECT player_id, day, count(*) FILTER (flag = 'A') AS deposits, count(*) FILTER (flag = 'N') AS failed, count(*) FILTER (flag = 'R') AS withdrawals, CAST(coalesce(sum(c) FILTER (flag = 'A'), 0) AS BIGINT) AS deposit_c,
+        CAST(coalesce(sum(c) FILTER (flag = 'R'), 0) AS BIGINT) AS withdraw_c, CAST(sum(floor(c / 100)) AS BIGINT) AS granted_c FROM lines GROUP BY ALL)""",
+    "play_days": "play_days AS (SELECT player_id, day, count(DISTINCT order_id) AS sessions, CAST(sum(quantity) * 60 AS BIGINT) AS seconds, count(*) AS plays, count(*) FILTER (line % 4 = 0) AS night FROM lines GROUP BY ALL)",
 }
-NEEDS = {"activity": ["players", "stakes"]}
+NEEDS = {"activity": ["players", "stakes"], "cash": ["lines"], "play_days": ["lines"]}
 
 
 def with_(*names: str, recursive: bool = False) -> str:
