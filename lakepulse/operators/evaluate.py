@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .ranks import placed, quantiles, running
+from .ranks import attach, bin_of, inner_edges, placed, quantiles, running
 
 
 def _by_score(rows: DataFrame, score: str, label: str, by: list[str]) -> DataFrame:
@@ -50,9 +50,16 @@ def calibration(rows: DataFrame, p: str, label: str, bins: int = 10) -> DataFram
     return found.groupBy("bin").agg(F.count("*").alias("n"), F.round(F.avg(p), 6).alias("mean_p"), F.round(F.avg(label), 6).alias("rate"), F.round(F.abs(F.avg(p) - F.avg(label)), 6).alias("gap"))
 
 
+def calibration_error(rows: DataFrame, p: str, label: str, by: list[str], bins: int = 10) -> DataFrame:
+    """EVAL-3: (by, ece): the mean gap of rate and mean prediction over bins between the distinct quantiles of p in each group."""
+    binned = attach(rows, inner_edges(rows, p, by, bins), by).withColumn("_bin", bin_of(F.col(p)))
+    per = binned.groupBy(*by, "_bin").agg(F.count("*").alias("_n"), F.abs(F.avg(p) - F.avg(label)).alias("_gap"))
+    return per.groupBy(*by).agg((F.sum(F.col("_n") * F.col("_gap")) / F.sum("_n")).alias("ece"))
+
+
 def top_share(rows: DataFrame, score: str, label: str, key: str, by: list[str], share: float = 0.1) -> DataFrame:
     """EVAL-4, TOPK-2: precision, recall and lift of the max(1, round(n*share)) highest scores."""
-    ranked = placed(rows, by, score, [F.col(key)])
+    ranked = placed(rows, by, score, key)
     top = F.col("place") <= F.greatest(F.lit(1), F.floor(F.col("size") * share + 0.5))
     sums = ranked.groupBy(*by).agg(F.count_if(top).alias("k"), F.sum(F.when(top, F.col(label)).otherwise(0)).alias("hits"), F.sum(label).alias("pos"), F.count("*").alias("n"))
     return sums.select(*by, "k", "n", F.round(F.col("hits") / F.col("k"), 6).alias("precision"), F.round(F.col("hits") / F.when(F.col("pos") > 0, F.col("pos")), 6).alias("recall"), F.round(F.col("hits") / F.col("k") / F.when(F.col("pos") > 0, F.col("pos") / F.col("n")), 6).alias("lift"))
@@ -60,7 +67,7 @@ def top_share(rows: DataFrame, score: str, label: str, key: str, by: list[str],
 
 def deciles(rows: DataFrame, score: str, key: str, by: list[str]) -> DataFrame:
     """WIN-13: ceil(position / size * 10) with a full tie-break."""
-    found = placed(rows, by, score, [F.col(key)])
+    found = placed(rows, by, score, key)
     return found.withColumn("decile", F.ceil(F.col("place") * 10 / F.col("size")).cast("int")).drop("place", "size")
 
 

@@ -37,6 +37,20 @@ def isotonic(train: DataFrame, rows: DataFrame, p: str, label: str, least: float
     return fitted.transform(rows).withColumn("calibrated", F.greatest(F.lit(least), F.least(F.lit(1 - least), F.col("_c")))).drop("_c")
 
 
+def horizon_calibrated(valid: DataFrame, rows: DataFrame, t: str, event: str, horizons: tuple[int, ...], prefix: str = "cox_p", least: float = 0.005) -> DataFrame:
+    """ML-19: rows with p<h>, the chance of each horizon by an isotonic fit on the rows of valid whose label at h is known: an event by
+    day h, or a duration beyond it. Chances don't fall with the horizon. Fits see counts per chance of three digits, not rows."""
+    out, so_far = rows, []
+    for h in horizons:
+        churned = (F.col(event) == 1) & (F.col(t) <= h)
+        known = valid.where(churned | (F.col(t) > h)).groupBy(F.round(f"{prefix}{h}", 3).alias("_p")).agg(F.avg(churned.cast("double")).alias("_y"), F.count("*").cast("double").alias("_w"))
+        fitted = IsotonicRegression(featuresCol="_p", labelCol="_y", weightCol="_w", predictionCol="_c").fit(known)
+        own = F.greatest(F.lit(least), F.least(F.lit(1 - least), F.col("_c")))
+        out = fitted.transform(out.withColumn("_p", F.col(f"{prefix}{h}"))).withColumn(f"p{h}", F.greatest(own, *so_far) if so_far else own).drop("_p", "_c")
+        so_far.append(F.col(f"p{h}"))
+    return out
+
+
 def segments(rows: DataFrame, features: list[str], ks: tuple[int, ...] = (3, 4, 5), seed: int = 7) -> DataFrame:
     """ML-10: k-means on standardised features, k by silhouette, segments numbered by size, the largest first."""
     prepared = Pipeline(stages=[VectorAssembler(inputCols=features, outputCol="_raw"), StandardScaler(inputCol="_raw", outputCol="_x", withMean=True)]).fit(rows).transform(rows).drop("_raw").cache()
@@ -100,8 +114,8 @@ def contribution_summary(found: DataFrame, features: list[str]) -> DataFrame:
 def permuted(rows: DataFrame, feature: str, key: list[str], seed: int = 1) -> DataFrame:
     """rows whose values of a feature come from the next row of a random order, the last one's from the first. Places are found without
     ordering all rows in one task."""
-    hashed = rows.withColumn("_h", F.xxhash64(*key, F.lit(seed)))
-    order = placed(hashed, [], "_h", [F.col(k) for k in key], descending=False)
+    hashed = rows.withColumn("_h", F.xxhash64(*key, F.lit(seed))).withColumn("_k", F.xxhash64(*key, F.lit(seed + 1)))
+    order = placed(hashed, [], "_h", "_k", descending=False)
     moved = order.select((F.col("place") % F.col("size") + 1).alias("place"), F.col(feature).alias("_moved"))
     return order.join(moved, "place").withColumn(feature, F.col("_moved")).select(rows.columns)
 

@@ -8,6 +8,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from lakepulse.sources.lake import kept
+
 
 def attach(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
     """left with the columns of right, a row per key at most; null keys meet each other. Without keys right is one row."""
@@ -20,32 +22,54 @@ def attach(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
     return left.join(renamed, on).drop(*[f"_key{i}" for i in range(len(keys))])
 
 
-def in_ranges(rows: DataFrame, by: list[str], x: str, parts: int = 32) -> DataFrame:
-    """rows with _range: which of about equal ranges of its group's values x lies in. Equal values share a range."""
-    edges = rows.groupBy(*by).agg(F.array_distinct(F.percentile_approx(x, [k / parts for k in range(1, parts)], 2000)).alias("_edges"))
+#: Rows to a range of a group, and ranges of a group at the most.
+RANGE_ROWS, MOST_RANGES = 50_000, 2_000
+
+
+def in_ranges(rows: DataFrame, by: list[str], x: str, parts: int) -> DataFrame:
+    """rows with _range: which of about `parts` equal ranges of its group's values x lies in. Equal values share a range."""
+    if parts == 1:
+        return rows.withColumn("_range", F.lit(0))
+    edges = rows.groupBy(*by).agg(F.array_distinct(F.percentile_approx(x, [k / parts for k in range(1, parts)], max(2000, 10 * parts))).alias("_edges"))
     return attach(rows, edges, by).withColumn("_range", F.size(F.filter("_edges", lambda e: e < F.col(x)))).drop("_edges")
 
 
-def running(rows: DataFrame, by: list[str], x: str, sums: dict[str, Column], order: list[Column] | None = None, descending: bool = False, parts: int = 32) -> DataFrame:
+def running(rows: DataFrame, by: list[str], x: str, sums: dict[str, Column], order: list[Column] | None = None, descending: bool = False) -> DataFrame:
     """rows with sums of columns over all rows of the group before this one (by x, then by order), and over the group as `<name>_all`.
 
-    Without order, rows of a group have different x."""
+    Without order, rows of a group have different x. rows are written once; the number of ranges of a group grows with them, and a
+    table of few rows has one range."""
+    rows = kept(rows)
+    parts = min(MOST_RANGES, max(1, rows.count() // RANGE_ROWS))
     ranged = in_ranges(rows, by, x, parts)
-    per = ranged.groupBy(*by, "_range").agg(*[F.sum(c).alias(f"_in_{n}") for n, c in sums.items()])
     turn = F.desc if descending else F.asc
-    before = Window.partitionBy(*by).orderBy(turn("_range")).rowsBetween(Window.unboundedPreceding, -1)
-    every = Window.partitionBy(*by)
     zero = lambda c: F.coalesce(c, F.lit(0))
-    per = per.select(*by, "_range", *[zero(F.sum(f"_in_{n}").over(before)).alias(f"_to_{n}") for n in sums], *[F.sum(f"_in_{n}").over(every).alias(f"{n}_all") for n in sums])
     inside = Window.partitionBy(*by, "_range").orderBy(turn(x), *(order or [])).rowsBetween(Window.unboundedPreceding, -1)
+    every = Window.partitionBy(*by)
+    if parts == 1:
+        inside = Window.partitionBy(*by).orderBy(turn(x), *(order or [])).rowsBetween(Window.unboundedPreceding, -1)
+        return rows.select(*rows.columns, *[zero(F.sum(c).over(inside)).alias(n) for n, c in sums.items()], *[F.sum(c).over(every).alias(f"{n}_all") for n, c in sums.items()])
+    per = ranged.groupBy(*by, "_range").agg(*[F.sum(c).alias(f"_in_{n}") for n, c in sums.items()])
+    before = every.orderBy(turn("_range")).rowsBetween(Window.unboundedPreceding, -1)
+    per = per.select(*by, "_range", *[zero(F.sum(f"_in_{n}").over(before)).alias(f"_to_{n}") for n in sums], *[F.sum(f"_in_{n}").over(every).alias(f"{n}_all") for n in sums])
     found = attach(ranged, per, [*by, "_range"])
     return found.select(*rows.columns, *[(F.col(f"_to_{n}") + zero(F.sum(c).over(inside))).alias(n) for n, c in sums.items()], *[f"{n}_all" for n in sums])
 
 
-def placed(rows: DataFrame, by: list[str], x: str, order: list[Column], descending: bool = True) -> DataFrame:
-    """rows with place (from 1, by x and then by order, which must be total) and size of the group."""
-    found = running(rows, by, x, {"_p": F.lit(1)}, order, descending)
-    return found.withColumn("place", F.col("_p") + 1).withColumnRenamed("_p_all", "size").drop("_p")
+def placed(rows: DataFrame, by: list[str], x: str, key: str, descending: bool = True) -> DataFrame:
+    """rows with place (from 1, by x and then by the numeric key, which must be unique in a group; null x last) and size of the group.
+
+    Rows before a value come from counts per value, places among equal values from ranges of the key: neither needs a value or a
+    group in one task."""
+    rows = kept(rows)
+    counts = rows.groupBy(*by, F.col(x).alias("_x")).agg(F.count("*").alias("_n"))
+    known = running(counts.where("_x is not null"), by, "_x", {"_p": F.col("_n")}, descending=descending)
+    nulls = counts.where("_x is null").groupBy(*by).agg(F.sum("_n").alias("_nulls"))
+    total = counts.groupBy(*by).agg(F.sum("_n").alias("size"))
+    before = known.select(*by, F.col("_x").alias(x), "_p").unionByName(attach(total, nulls, by).where("_nulls > 0").select(*by, F.lit(None).cast(counts.schema["_x"].dataType).alias(x), (F.col("size") - F.col("_nulls")).alias("_p")))
+    among = running(rows, [*by, x], key, {"_i": F.lit(1)}).drop("_i_all")
+    found = attach(attach(among, before, [*by, x]), total, by)
+    return found.withColumn("place", F.col("_p") + F.col("_i") + 1).select(*rows.columns, "place", "size")
 
 
 def quantiles(rows: DataFrame, x: str, by: list[str], shares: list[float]) -> DataFrame:
@@ -58,3 +82,23 @@ def quantiles(rows: DataFrame, x: str, by: list[str], shares: list[float]) -> Da
         held = lambda i: F.max(F.when((F.col("_c") <= i) & (i < F.col("_c") + F.col("_n")), F.col("_x")))
         value.append((held(F.floor(at)), held(F.ceil(at)), F.max(at - F.floor(at))))
     return cum.groupBy(*by).agg(F.array(*[low + (high - low) * part for low, high, part in value]).alias("q"))
+
+
+def average_rank(rows: DataFrame, by: list[str], x: str, name: str) -> DataFrame:
+    """rows with the rank of x in its group, from 1; equal values share the mean of their places, nulls have none. From counts per value."""
+    counts = rows.where(F.col(x).isNotNull()).groupBy(*by, F.col(x).alias("_x")).agg(F.count("*").alias("_n"))
+    found = running(counts, by, "_x", {"_c": F.col("_n")})
+    ranks = found.select(*by, F.col("_x").alias(x), (F.col("_c") + (F.col("_n") + 1) / 2.0).alias(name))
+    return attach(rows.where(F.col(x).isNotNull()), ranks, [*by, x]).unionByName(rows.where(F.col(x).isNull()).withColumn(name, F.lit(None).cast("double")))
+
+
+def inner_edges(rows: DataFrame, x: str, by: list[str], bins: int) -> DataFrame:
+    """(by, edges): distinct quantiles of x that part its bins; the least and the greatest value are no edges."""
+    q = quantiles(rows, x, by, [k / bins for k in range(bins + 1)])
+    edges = F.array_distinct("q")
+    return q.select(*by, F.when(F.size(edges) > 2, F.slice(edges, F.lit(2), F.size(edges) - 2)).otherwise(F.array().cast("array<double>")).alias("edges"))
+
+
+def bin_of(x: Column, edges: str = "edges") -> Column:
+    """The bin of x between edges; a value on an edge belongs to the bin below."""
+    return F.size(F.filter(edges, lambda e: e < x))

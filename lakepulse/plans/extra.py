@@ -147,7 +147,7 @@ def win_4(spark, d):
 def win_14(spark, d):
     """WIN-14: quartiles with a seeded random order of equal values. Places come from ranges of values, so no task orders a brand."""
     p = lens.stakes(spark, d).join(lens.players(spark, d), "player_id").groupBy("brand", "player_id").agg(F.expr("sum(stake_c) div 10000000").alias("v"))
-    found = placed(p, ["brand"], "v", [F.expr("(player_id * 7919 + 17) % 10007"), F.col("player_id")], descending=False)
+    found = placed(p.withColumn("k", F.expr("(player_id * 7919 + 17) % 10007 * 1000000000000 + player_id")), ["brand"], "v", "k", descending=False)
     return found.select("brand", "player_id", F.concat(F.lit("Q"), F.ceil(F.col("place") * 4 / F.col("size")).cast("int")).alias("quartile"))
 
 

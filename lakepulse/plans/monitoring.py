@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from lakepulse.operators import evaluate as ev
 from lakepulse.operators import labels, monitor, profiles
+from lakepulse.operators.ranks import placed
 from lakepulse.sources import lens
 from lakepulse.sources.lens import with_
 
@@ -201,8 +202,8 @@ def bt_2(spark, d):
 SELECT ra.cutoff, count(*) FILTER (ra.r <= 100 AND rb.r <= 100) AS shared, round(corr(ra.r, rb.r), 6) AS spearman FROM ra JOIN rb USING (cutoff, player_id) GROUP BY ra.cutoff""")
 def sets_4(spark, d):
     """SETS-4, BT-5"""
-    w = Window.partitionBy("cutoff")
-    rows = pl.scored(spark, d).select("cutoff", F.row_number().over(w.orderBy(F.desc("s"), "player_id")).alias("a"), F.row_number().over(w.orderBy(F.desc("v"), "player_id")).alias("b"))
+    rows = placed(pl.scored(spark, d).select("cutoff", "player_id", "s", "v"), ["cutoff"], "s", "player_id").withColumnRenamed("place", "a").drop("size")
+    rows = placed(rows, ["cutoff"], "v", "player_id").withColumnRenamed("place", "b")
     return rows.groupBy("cutoff").agg(F.count_if((F.col("a") <= 100) & (F.col("b") <= 100)).alias("shared"), F.round(F.corr("a", "b"), 6).alias("spearman"))
 
 

@@ -24,7 +24,7 @@ def _km(name: str, source: str, t: str, e: str, by: str) -> str:
 {name}_a AS (SELECT *, exp(sum(CASE WHEN d < at_risk THEN ln(1 - d / at_risk) ELSE -1e9 END) OVER (PARTITION BY {by} ORDER BY t)) AS after FROM {name}_r), {name} AS (SELECT {by}, t, coalesce(lag(after) OVER (PARTITION BY {by} ORDER BY t), 1.0) AS before, after FROM {name}_a)"""
 
 
-SURVIVAL = f"{pl.SCORED}, sv AS (SELECT *, 1 - event_observed AS censored FROM sc), {_km('km', 'sv', 'duration_days', 'event_observed', 'brand')}, {_km('cg', 'sv', 'duration_days', 'censored', 'brand')}, wt AS (SELECT sv.*, greatest(before, 1e-3) AS g_before, greatest(after, 1e-3) AS g_after FROM sv JOIN cg ON cg.brand = sv.brand AND cg.t = sv.duration_days)"
+SURVIVAL = f"{pl.SCORED}, sv AS (SELECT *, 1 - event_observed AS censored FROM sc), {_km('km', 'sv', 'duration_days', 'event_observed', 'brand')}, {_km('cg', 'sv', 'duration_days', 'censored', 'brand')}, wt AS (SELECT sv.*, greatest(before, 1e-6) AS g_before FROM sv JOIN cg ON cg.brand = sv.brand AND cg.t = sv.duration_days)"
 
 
 @query("eval_12_median_lifetime", with_("activity") + f", {SURVIVAL} SELECT brand, CAST(min(t) FILTER (after <= 0.5) AS INT) AS median_days, round(min(after), 6) AS last_survival FROM km GROUP BY brand")
@@ -49,7 +49,7 @@ def eval_7(spark, d):
 
 
 GRID = [30, 60, 90, 120, 150, 180]
-BRIER = f"b AS (SELECT brand, p, duration_days, event_observed, g_before, g_after, unnest({GRID}) AS day FROM wt), bs AS (SELECT *, power(1 - greatest(0.01, least(0.99, p)), day / 60.0::DOUBLE) AS sp FROM b), bc AS (SELECT brand, day, avg(CASE WHEN duration_days <= day AND event_observed = 1 THEN sp * sp / g_before WHEN duration_days > day THEN (1 - sp) * (1 - sp) / g_after ELSE 0 END) AS brier FROM bs GROUP BY ALL)"
+BRIER = f"b AS (SELECT brand, p, duration_days, event_observed, g_before, unnest({GRID}) AS day FROM wt), gd AS (SELECT k.brand, d.day, greatest(coalesce(min(after) FILTER (t <= d.day), 1), 1e-6) AS g_day FROM cg k, (SELECT unnest({GRID}) AS day) d GROUP BY ALL), bs AS (SELECT *, power(1 - greatest(0.01, least(0.99, p)), day / 60.0::DOUBLE) AS sp FROM b), bc AS (SELECT brand, day, avg(CASE WHEN duration_days <= day AND event_observed = 1 THEN sp * sp / g_before WHEN duration_days > day THEN (1 - sp) * (1 - sp) / g_day ELSE 0 END) AS brier FROM bs JOIN gd USING (brand, day) GROUP BY ALL)"
 
 
 def _brier(spark, d):
@@ -68,35 +68,50 @@ def eval_9_integrated(spark, d):
     return survival.integrated(_brier(spark, d), ["brand"])
 
 
-@query("eval_8_one_calibration", with_("activity") + f""", {pl.SCORED}, sg AS (SELECT *, least(5, CAST(floor(s / 30) AS INT)) AS g FROM sc), {_km('km', 'sg', 'duration_days', 'event_observed', 'g')}, k AS (SELECT g, min(after) AS s FROM km WHERE t <= 60 GROUP BY g), m AS (SELECT g, count(*) AS n, avg(p) AS predicted FROM sg GROUP BY g),
-j AS (SELECT g, n, predicted, 1 - coalesce(s, 1) AS observed FROM m LEFT JOIN k USING (g)) SELECT g, n, round(predicted, 6) AS predicted, round(observed, 6) AS observed, round(n * (observed - predicted) * (observed - predicted) / nullif(predicted * (1 - predicted), 0), 6) AS statistic FROM j""")
+#: Groups of p between its distinct quantiles, the least and greatest of which are no edges.
+GROUPS = "eg AS (SELECT brand, list_distinct(quantile_cont(p, [0, 0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9, 1])) AS q FROM sc GROUP BY brand), gr AS (SELECT sc.*, len(list_filter(list_sort(q)[2:len(q) - 1], lambda x: x < p)) AS g FROM sc JOIN eg USING (brand))"
+
+
+@query("eval_8_one_calibration", with_("activity") + f""", {pl.SCORED}, {GROUPS}, {_km('km', 'gr', 'duration_days', 'event_observed', 'brand, g')}, k AS (SELECT brand, g, min(after) AS s FROM km WHERE t <= 60 GROUP BY ALL), m AS (SELECT brand, g, count(*) AS n, avg(p) AS e FROM gr GROUP BY ALL),
+j AS (SELECT brand, n, e, 1 - coalesce(s, 1) AS o FROM m LEFT JOIN k USING (brand, g)), t AS (SELECT brand, count(*) AS groups, sum(n * (o - e) * (o - e) / greatest(e * (1 - e), 1e-12)) AS statistic, sum(n * abs(o - e)) / sum(n) AS gap FROM j GROUP BY brand),
+z AS (SELECT *, greatest(groups - 1, 1) / 2.0::DOUBLE AS a, least(statistic, 400) / 2 AS z FROM t)
+SELECT brand, groups, round(statistic, 4) AS statistic, round(CASE WHEN statistic > 400 THEN 0 ELSE greatest(0, 1 - list_sum(list_transform(range(0, 600), lambda k: exp((a + k) * ln(z) - z - lgamma(a + 1 + k))))) END, 6) AS p_value, round(gap, 6) AS mean_abs_gap FROM z""")
 def eval_8(spark, d):
-    """EVAL-8: groups of predicted risk against Kaplan-Meier at 60 days."""
-    rows = pl.scored(spark, d).withColumn("g", F.least(F.lit(5), F.floor(F.col("s") / 30)).cast("int"))
-    found = survival.one_calibration(rows, "duration_days", "event_observed", "p", "g", 60)
-    return found
+    """EVAL-8: predicted risk in ten groups against Kaplan-Meier at 60 days: statistic, p-value and mean gap per brand."""
+    found = survival.one_calibration(pl.scored(spark, d), "duration_days", "event_observed", "p", 60, ["brand"])
+    return found.select("brand", "groups", F.round("statistic", 4).alias("statistic"), F.round("p_value", 6).alias("p_value"), F.round("mean_abs_gap", 6).alias("mean_abs_gap"))
 
 
 POISSON = " + ".join(f"CAST(u >= {c} AS INT)" for c in survival.POISSON)
 
 
-@query("eval_10_bootstrap", with_("activity") + f""", {pl.SCORED}, k AS (SELECT y, player_id * 131 + (cutoff - DATE '1995-01-01') AS k FROM sc), l AS (SELECT y, k, unnest(range(1, 21)) AS replica FROM k),
+@query("eval_10_bootstrap", with_("activity") + f""", {pl.SCORED}, k AS (SELECT y, player_id * 131 + (cutoff - DATE '1995-01-01') AS k FROM sc), l AS (SELECT y, k, unnest(range(1, 201)) AS replica FROM k),
 u AS (SELECT *, ((k * 7919 + replica * 104729 + (k * replica) % 9973 * 31) % 10007) / 10007.0::DOUBLE AS u FROM l), w AS (SELECT *, {POISSON} AS w FROM u)
 SELECT CAST(replica AS INT) AS replica, CAST(sum(w) AS BIGINT) AS n, round(sum(w * y) / sum(w), 6) AS mean FROM w GROUP BY replica""")
 def eval_10(spark, d):
-    """EVAL-10: 20 replicas of the churn rate; their quantiles are the interval."""
+    """EVAL-10: 200 replicas of the churn rate; their quantiles are the interval."""
     rows = pl.scored(spark, d)
     key = F.col("player_id") * 131 + F.datediff("cutoff", F.lit("1995-01-01").cast("date"))
-    return survival.bootstrap_mean(rows, "y", key, 20).select("replica", F.col("n").cast("long").alias("n"), F.round("mean", 6).alias("mean"))
+    return survival.bootstrap_mean(rows, "y", key, 200).select("replica", F.col("n").cast("long").alias("n"), F.round("mean", 6).alias("mean"))
+
+
+STATISTICS = ["auc", "average_precision", "top_precision"]
+
+
+@query("eval_10_rank_intervals")
+def eval_10_ranks(spark, d):
+    """EVAL-10: AUC, average precision and top-decile precision of recency per brand, with the 95% interval of 200 resamples of its rows."""
+    found = survival.bootstrap_ranks(pl.scored(spark, d), "s", "y", ["brand"], 200)
+    return survival.intervals(found, ["brand"], STATISTICS).select("brand", "statistic", *[F.round(c, 6).alias(c) for c in ("value", "low", "high")])
 
 
-@query("eval_11_block_bootstrap", with_("activity") + f""", {pl.SCORED}, v AS (SELECT cutoff, avg(y) AS x, row_number() OVER (ORDER BY cutoff) - 1 AS i FROM sc GROUP BY cutoff), n AS (SELECT count(*) AS n FROM v), l AS (SELECT replica, k, n FROM n, range(1, 201) a(replica), range(0, 200) b(k) WHERE k < n),
+@query("eval_11_block_bootstrap", with_("activity") + f""", {pl.SCORED}, v AS (SELECT cutoff, avg(y) AS x, row_number() OVER (ORDER BY cutoff) - 1 AS i FROM sc GROUP BY cutoff), n AS (SELECT count(*) AS n FROM v), l AS (SELECT replica, k, n FROM n, range(1, 2001) a(replica), range(0, 200) b(k) WHERE k < n),
 s AS (SELECT replica, (replica * 7919 + k // 3 * 104729 + (replica * (k // 3)) % 9973 * 31) % n AS s, k, n FROM l), m AS (SELECT replica, avg(x) AS mean FROM s JOIN v ON i = (s + k % 3) % n GROUP BY replica)
 SELECT round(avg(mean), 6) AS mean, round(quantile_cont(mean, 0.025), 6) AS low, round(quantile_cont(mean, 0.975), 6) AS high, count(*) AS replicas FROM m""")
 def eval_11(spark, d):
     """EVAL-11: the interval of the mean churn rate over cutoffs, by blocks of three."""
     per = pl.scored(spark, d).groupBy("cutoff").agg(F.avg("y").alias("x"))
-    m = survival.block_bootstrap(per, "x", "cutoff", 3, 200)
+    m = survival.block_bootstrap(per, "x", "cutoff", 3, 2000)
     return m.agg(F.round(F.avg("mean"), 6).alias("mean"), F.round(F.percentile("mean", 0.025), 6).alias("low"), F.round(F.percentile("mean", 0.975), 6).alias("high"), F.count("*").alias("replicas"))
 
 
@@ -104,22 +119,61 @@ SIGNALS = ("days_since_last_bet", "active_days_l90d", "bets_l180d", "ggr_c_l90d"
 
 
 def standardised(spark, d):
-    """Rows of labels and features with signals of mean 0 and deviation 1, by one aggregate. Newton steps read them many times, so they are written once."""
-    rows = kept(pl.slice_(spark, d).where("days_since_last_bet is not null and duration_days > 0"), "lives")
+    """Rows of labels and features with signals of mean 0 and deviation 1, by one aggregate. Newton steps read them many times, so they are
+    written once. Durations of 0, churn that starts on the cutoff itself, stay in."""
+    rows = kept(pl.slice_(spark, d).where("days_since_last_bet is not null"))
     moments = rows.agg(*[f(c).alias(f"{c}_{k}") for c in SIGNALS for k, f in (("m", F.avg), ("s", F.stddev_samp))])
     z = [((F.col(c) - F.col(f"{c}_m")) / F.when(F.col(f"{c}_s") > 0, F.col(f"{c}_s"))).alias(c) for c in SIGNALS]
     return rows.join(F.broadcast(moments)).select("brand", "cutoff", "player_id", "duration_days", "event_observed", *[F.coalesce(c, F.lit(0.0)).alias(n) for c, n in zip(z, SIGNALS)])
 
 
+#: Penalties that the validation cutoffs choose from.
+PENALTIES = (0.0, 0.001, 0.01, 0.1)
+HORIZONS = (7, 14, 30, 60)
+
+
+def split_by_time(rows):
+    """(train, valid, test) by the order of the cutoffs that there are: the first 70%, then 15%, then the rest. There is a row per cutoff."""
+    from pyspark.sql import Window
+
+    order = rows.select("cutoff").distinct().withColumn("_at", F.row_number().over(Window.orderBy("cutoff"))).withColumn("_n", F.count("*").over(Window.partitionBy()))
+    part = F.when(F.col("_at") <= F.ceil(F.col("_n") * 0.7), "train").when(F.col("_at") <= F.ceil(F.col("_n") * 0.85), "valid").otherwise("test")
+    marked = kept(rows.join(F.broadcast(order.select("cutoff", part.alias("_part"))), "cutoff"))
+    return tuple(marked.where(F.col("_part") == p).drop("_part") for p in ("train", "valid", "test"))
+
+
+def fitted_cox(spark, d):
+    """(train, valid, test, path, penalty, beta, baseline) of the stratified Cox model whose penalty does best on the validation cutoffs."""
+    train, valid, test = split_by_time(standardised(spark, d))
+    path, penalty, beta = survival.penalty_path(train, valid, "duration_days", "event_observed", list(SIGNALS), ["brand"], PENALTIES)
+    return train, valid, test, path, penalty, beta, survival.baseline(train, "duration_days", "event_observed", list(SIGNALS), ["brand"], beta)
+
+
 @query("ml_17_cox")
 def ml_17(spark, d):
-    """ML-17: coefficients of a Cox regression stratified by brand, with hazard ratios and survival at 30 days for mean features."""
+    """ML-17: coefficients of a Cox regression stratified by brand, on all cutoffs, with hazard ratios."""
     rows = standardised(spark, d)
     beta, cov = survival.cox(rows, "duration_days", "event_observed", list(SIGNALS), ["brand"])
     found = [(c, float(b), float(math.sqrt(v)), float(math.exp(b))) for c, b, v in zip(SIGNALS, beta, cov.diagonal())]
     return spark.createDataFrame(found, "signal string, beta double, se double, hazard_ratio double")
 
 
+@query("ml_17_penalties")
+def ml_17_penalties(spark, d):
+    """ML-17: the c-index on the validation cutoffs of each penalty, and which one is chosen. A row per penalty."""
+    _, _, _, path, best, _, _ = fitted_cox(spark, d)
+    return spark.createDataFrame([(float(p), float(c), p == best) for p, c in path], "penalty double, valid_c_index double, chosen boolean")
+
+
+@query("ml_17_survival")
+def ml_17_survival(spark, d):
+    """ML-17: survival of the test rows at 7, 14, 30 and 60 days by the fitted model and its baseline, and their median survival."""
+    *_, test, _, _, beta, hazard = fitted_cox(spark, d)
+    rows = survival.horizon_risks(test, hazard, list(SIGNALS), ["brand"], beta, HORIZONS)
+    rows = survival.median_survival(rows, hazard, list(SIGNALS), ["brand"], beta)
+    return rows.select("cutoff", "brand", "player_id", *[F.round(1 - F.col(f"cox_p{h}"), 6).alias(f"survival_{h}") for h in HORIZONS], "median_days")
+
+
 @query("ml_18_hazard_ratios")
 def ml_18(spark, d):
     """ML-18: hazard ratio per deviation of each signal alone, with its 95% interval."""
@@ -133,10 +187,10 @@ def ml_18(spark, d):
 
 @query("ml_20_proportional_hazards")
 def ml_20(spark, d):
-    """ML-20: mean residuals per month of follow-up; a trend speaks against proportional hazards."""
+    """ML-20: beta(t) by window of days from scaled residuals, their rank correlation with the day, and a verdict per signal."""
     rows = standardised(spark, d)
-    beta, _ = survival.cox(rows, "duration_days", "event_observed", list(SIGNALS), ["brand"])
-    return survival.schoenfeld(rows, "duration_days", "event_observed", list(SIGNALS), ["brand"], beta)
+    beta, cov = survival.cox(rows, "duration_days", "event_observed", list(SIGNALS), ["brand"])
+    return survival.proportional_hazards(rows, "duration_days", "event_observed", list(SIGNALS), ["brand"], beta, cov)
 
 
 @query("spell_3_return_rates", with_("activity") + f", {pl.SPELL}, k AS (SELECT unnest([14, 30, 60]) AS k) SELECT k, count(*) AS spells, round(count(*) FILTER (closed) / count(*), 6) AS raw, count(*) FILTER (follow >= k + 60) AS followed, round(count(*) FILTER (closed AND length <= k + 60 AND follow >= k + 60) / nullif(count(*) FILTER (follow >= k + 60), 0), 6) AS fair FROM sp, k WHERE length >= k GROUP BY k")
@@ -211,33 +265,42 @@ def bt_8(spark, d):
     return m.agg(F.count("*").alias("months"), F.round(F.median("recency"), 6).alias("recency"), F.round(F.median("inactivity"), 6).alias("inactivity"), F.min("inactivity").alias("worst"), F.min_by("cutoff", "inactivity").alias("worst_month"), F.count_if(F.col("inactivity") > F.col("recency")).alias("wins"))
 
 
-@query("bt_9_conditions", with_("activity") + f", {pl.SCORED}, {MONTHLY}, e AS (SELECT abs(avg(p) - avg(y)) AS gap FROM sc) SELECT avg(inactivity) >= 1.10::DOUBLE * avg(recency) AS beats_recency, avg(inactivity) >= 0.70 AS ranks, any_value(gap) <= 0.08 AS calibrated, avg(inactivity) >= 1.10::DOUBLE * avg(recency) AND avg(inactivity) >= 0.70 AND any_value(gap) <= 0.08 AS passes FROM am, e")
+ECE = "eq AS (SELECT cutoff, list_distinct(quantile_cont(p, [0, 0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9, 1])) AS q FROM sc GROUP BY cutoff), eb AS (SELECT sc.*, len(list_filter(list_sort(q)[2:len(q) - 1], lambda x: x < p)) AS g FROM sc JOIN eq USING (cutoff)), ee AS (SELECT cutoff, sum(n * abs(y - p)) / sum(n) AS ece FROM (SELECT cutoff, g, count(*) AS n, avg(y) AS y, avg(p) AS p FROM eb GROUP BY ALL) GROUP BY cutoff)"
+TOPS = "tp AS (SELECT cutoff, y, row_number() OVER (PARTITION BY cutoff ORDER BY -ad DESC, player_id) AS ri, row_number() OVER (PARTITION BY cutoff ORDER BY s DESC, player_id) AS rs, greatest(1, floor(count(*) OVER (PARTITION BY cutoff) * 0.1::DOUBLE + 0.5)) AS k FROM sc), tt AS (SELECT cutoff, round(sum(y) FILTER (ri <= k) / count(*) FILTER (ri <= k), 6) AS model, round(sum(y) FILTER (rs <= k) / count(*) FILTER (rs <= k), 6) AS recency FROM tp GROUP BY cutoff)"
+
+
+@query("bt_9_conditions", with_("activity") + f""", {pl.SCORED}, {MONTHLY}, {ECE}, {TOPS}, j AS (SELECT (SELECT avg(tt.model) / avg(tt.recency) FROM tt JOIN am USING (cutoff)) AS ratio, (SELECT min(inactivity) FROM am) AS auc, (SELECT max(ece) FROM ee JOIN am USING (cutoff)) AS ece)
+SELECT round(ratio, 6) AS top_decile_ratio, auc AS least_auc, round(ece, 6) AS greatest_ece, ratio >= 1.10::DOUBLE AS beats_recency, auc >= 0.70::DOUBLE AS ranks, ece <= 0.08::DOUBLE AS calibrated, ratio >= 1.10::DOUBLE AND auc >= 0.70::DOUBLE AND ece <= 0.08::DOUBLE AS passes FROM j""")
 def bt_9(spark, d):
-    """BT-9: a tenth better than recency, AUC of 0.70, calibration within 0.08."""
-    a = _monthly(spark, d).agg(F.avg("inactivity").alias("a"), F.avg("recency").alias("r"))
-    g = pl.scored(spark, d).agg(F.abs(F.avg("p") - F.avg("y")).alias("gap"))
-    one = a.unionByName(g, True)
-    one = one.agg(*[F.max(c).alias(c) for c in ("a", "r", "gap")])
-    beats, ranks, fits = F.col("a") >= 1.10 * F.col("r"), F.col("a") >= 0.70, F.col("gap") <= 0.08
-    return one.select(beats.alias("beats_recency"), ranks.alias("ranks"), fits.alias("calibrated"), (beats & ranks & fits).alias("passes"))
-
-
-@query("bt_6_nowcast", with_("activity") + f""", {pl.CUT}, {pl.ACTIVE}, {pl.POP}, n AS (SELECT cutoff, pop.player_id, min(day - cutoff) AS nx FROM pop LEFT JOIN (SELECT DISTINCT player_id, day FROM a) x ON x.player_id = pop.player_id AND day > cutoff AND day <= cutoff + 60 GROUP BY ALL),
-k AS (SELECT cutoff, k, count(*) AS n, avg(CAST(nx IS NULL OR nx > k AS INT)) AS silent, avg(CAST(nx IS NULL AS INT)) AS realised, count(*) FILTER (nx IS NULL) / nullif(count(*) FILTER (nx IS NULL OR nx > k), 0) AS stays FROM n, (SELECT unnest([14, 21, 30, 45]) AS k) WHERE cutoff + 60 <= {pl.END_DAY} GROUP BY ALL),
-l AS (SELECT *, lag(stays, 2) OVER (PARTITION BY k ORDER BY cutoff) AS last FROM k) SELECT cutoff, k, n, round(silent * last, 6) AS nowcast, round(realised, 6) AS realised FROM l WHERE last IS NOT NULL""")
+    """BT-9: the score's mean top-decile precision over that of recency (1.10), its least AUC (0.70) and its greatest ECE (0.08) over the
+    cutoffs with both classes. Months are a row each."""
+    rows = kept(pl.scored(spark, d).withColumn("i", -F.col("ad")))
+    tops = [ev.top_share(rows, c, "y", "player_id", ["cutoff"]).select("cutoff", F.col("precision").alias(name)) for c, name in (("i", "model"), ("s", "recency_top"))]
+    months = ev.auc(rows, "i", "y", ["cutoff"]).where("auc is not null").join(tops[0], "cutoff").join(tops[1], "cutoff").join(ev.calibration_error(rows, "p", "y", ["cutoff"]), "cutoff")
+    one = months.agg((F.avg("model") / F.avg("recency_top")).alias("ratio"), F.min("auc").alias("auc"), F.max("ece").alias("ece"))
+    beats, ranks, fits = F.col("ratio") >= 1.10, F.col("auc") >= 0.70, F.col("ece") <= 0.08
+    return one.select(F.round("ratio", 6).alias("top_decile_ratio"), F.col("auc").alias("least_auc"), F.round("ece", 6).alias("greatest_ece"), beats.alias("beats_recency"), ranks.alias("ranks"), fits.alias("calibrated"), (beats & ranks & fits).alias("passes"))
+
+
+@query("bt_6_nowcast", with_("activity") + f""", {pl.CUT}, {pl.ACTIVE}, {pl.POP}, n AS (SELECT cutoff, pop.brand, pop.player_id, min(day - cutoff) AS nx FROM pop LEFT JOIN (SELECT DISTINCT player_id, day FROM a) x ON x.player_id = pop.player_id AND day > cutoff AND day <= cutoff + 60 GROUP BY ALL),
+k AS (SELECT brand, cutoff, k, count(*) AS n, avg(CAST(nx IS NULL OR nx > k AS INT)) AS silent, avg(CAST(nx IS NULL AS INT)) AS realised, count(*) FILTER (nx IS NULL) / greatest(count(*) FILTER (nx IS NULL OR nx > k), 1) AS stays FROM n, (SELECT unnest([14, 21, 30, 45]) AS k) WHERE cutoff + 60 <= {pl.END_DAY} GROUP BY ALL),
+m AS (SELECT k.brand, k.cutoff, k.k, max(r.cutoff) AS ref FROM k JOIN k r ON r.brand = k.brand AND r.k = k.k AND r.cutoff + 60 <= k.cutoff + k.k GROUP BY ALL)
+SELECT k.brand, k.cutoff, k.k, k.n, round(k.silent * r.stays, 6) AS nowcast, round(k.realised, 6) AS realised, round(r.realised, 6) AS last_complete FROM m JOIN k ON k.brand = m.brand AND k.cutoff = m.cutoff AND k.k = m.k JOIN k r ON r.brand = m.brand AND r.cutoff = m.ref AND r.k = m.k""")
 def bt_6(spark, d):
-    """BT-6: churn estimated 14..45 days after a cutoff, from the share silent so far and how that ended two cutoffs before."""
+    """BT-6: churn estimated k days after a cutoff: the share silent so far, times how often those of the last cohort complete on that day
+    (60 days after its cutoff by then) who were silent after k days stayed so. A brand has a row per cutoff and k."""
     days, cuts = lens.activity(spark, d), pl.cut(spark, d)
     later = labels._windowed(days.where("active").select("player_id", "day"), cuts, 0, 60).groupBy("cutoff", "player_id").agg(F.min(F.datediff("day", "cutoff")).alias("nx"))
     rows = act.population(days, cuts, 180).join(later, ["cutoff", "player_id"], "left").join(F.broadcast(days.agg(F.max("day").alias("end")))).where(F.date_add("cutoff", 60) <= F.col("end"))
     never = F.col("nx").isNull()
-    per = rows.withColumn("k", F.explode(F.array(*[F.lit(k) for k in (14, 21, 30, 45)]))).groupBy("cutoff", "k").agg(
-        F.count("*").alias("n"), F.avg((never | (F.col("nx") > F.col("k"))).cast("int")).alias("silent"), F.avg(never.cast("int")).alias("realised"), F.try_divide(F.count_if(never).cast("double"), F.count_if(never | (F.col("nx") > F.col("k")))).alias("stays")
+    silent = never | (F.col("nx") > F.col("k"))
+    per = rows.withColumn("k", F.explode(F.array(*[F.lit(k) for k in (14, 21, 30, 45)]))).groupBy("brand", "cutoff", "k").agg(
+        F.count("*").alias("n"), F.avg(silent.cast("int")).alias("silent"), F.avg(never.cast("int")).alias("realised"), (F.count_if(never) / F.greatest(F.count_if(silent), F.lit(1))).alias("stays")
     )
-    from pyspark.sql import Window
-
-    found = per.withColumn("last", F.lag("stays", 2).over(Window.partitionBy("k").orderBy("cutoff"))).where("last is not null")
-    return found.select("cutoff", "k", "n", F.round(F.col("silent") * F.col("last"), 6).alias("nowcast"), F.round("realised", 6).alias("realised"))
+    per = kept(per)
+    ref = per.select("brand", "k", F.col("cutoff").alias("_ref"), F.col("stays").alias("_stays"), F.col("realised").alias("_realised"))
+    last = per.join(ref, ["brand", "k"]).where(F.date_add("_ref", 60) <= F.date_add("cutoff", F.col("k"))).groupBy("brand", "cutoff", "k").agg(F.max(F.struct("_ref", "_stays", "_realised")).alias("r"))
+    return per.join(last, ["brand", "cutoff", "k"]).select("brand", "cutoff", "k", "n", F.round(F.col("silent") * F.col("r._stays"), 6).alias("nowcast"), F.round("realised", 6).alias("realised"), F.round("r._realised", 6).alias("last_complete"))
 
 
 @query("eval_16_decisions", with_("activity") + f""", {pl.SCORED}, q AS (SELECT 'long silence' AS signal, s > 90 AS x, y FROM sc UNION ALL SELECT 'few days', ad < 2, y FROM sc UNION ALL SELECT 'loss', v < 0, y FROM sc),
@@ -291,17 +354,23 @@ def rpt_6(spark, d):
     return m.join(before, "cutoff", "left").select("cutoff", F.round("rate", 6).alias("rate"), "same_month_before", F.round(pooled, 6).alias("pooled"))
 
 
-@query("ml_21_scores", with_("activity") + f""", {pl.SCORED}, hz AS (SELECT *, least(1.0, p * 0.5) AS p7, least(1.0, p * 0.4 + 0.1) AS p14, p AS p60 FROM sc), r AS (SELECT cutoff, brand, player_id, v / 90.0::DOUBLE * 30 AS expected_ggr_30d, greatest(v, 0) * p60 AS value_at_risk, p7, greatest(p7, p14) AS p14, greatest(p7, p14, p60) AS p60 FROM hz)
-SELECT cutoff, brand, player_id, round(expected_ggr_30d, 4) AS expected_ggr_30d, round(value_at_risk, 4) AS value_at_risk, round(p7, 6) AS p7, round(p14, 6) AS p14, round(p60, 6) AS p60, CASE WHEN p60 < 0.25 THEN 'low' WHEN p60 < 0.5 THEN 'medium' WHEN p60 < 0.75 THEN 'high' ELSE 'critical' END AS band FROM r""")
+@query("ml_21_scores")
 def ml_21(spark, d):
-    """ML-21, WIN-22: expected value, value at risk, horizons that don't fall, risk band."""
-    p = F.col("p")
-    p7, p14 = F.least(F.lit(1.0), p * 0.5), F.least(F.lit(1.0), p * 0.4 + 0.1)
-    p60 = F.greatest(p7, p14, p)
-    band = F.when(p60 < 0.25, "low").when(p60 < 0.5, "medium").when(p60 < 0.75, "high").otherwise("critical")
-    return pl.scored(spark, d).select(
+    """ML-21, WIN-22: scores of the latest test cutoff: calibrated chances of churn within 7, 14, 30 and 60 days, which don't fall with the
+    horizon, median survival, expected value, value at risk and risk band. Calibrators are fitted per horizon on the validation cutoffs."""
+    from lakepulse.operators.models import horizon_calibrated
+
+    train, valid, test, _, _, beta, hazard = fitted_cox(spark, d)
+    risks = lambda rows: survival.horizon_risks(rows, hazard, list(SIGNALS), ["brand"], beta, HORIZONS)
+    last = test.agg(F.max("cutoff").alias("cutoff"))
+    rows = survival.median_survival(risks(test.join(F.broadcast(last), "cutoff", "left_semi")), hazard, list(SIGNALS), ["brand"], beta)
+    rows = horizon_calibrated(risks(valid), rows, "duration_days", "event_observed", HORIZONS)
+    value = pl.feat(spark, d).select("cutoff", "player_id", "brand", F.col("ggr_c_l90d").alias("v"))
+    p = F.col("p60")
+    band = F.when(p < 0.25, "low").when(p < 0.5, "medium").when(p < 0.75, "high").otherwise("critical")
+    return rows.join(value, ["cutoff", "player_id", "brand"]).select(
         "cutoff", "brand", "player_id", F.round(F.col("v") / F.lit(90.0) * 30, 4).alias("expected_ggr_30d"), F.round(F.greatest("v", F.lit(0)) * p, 4).alias("value_at_risk"),
-        F.round(p7, 6).alias("p7"), F.round(F.greatest(p7, p14), 6).alias("p14"), F.round(p60, 6).alias("p60"), band.alias("band"),
+        *[F.round(f"p{h}", 6).alias(f"p{h}") for h in HORIZONS], "median_days", band.alias("band"),
     )
 
 

@@ -13,16 +13,22 @@ DAY_IN_PATH = r"/(?:\w+=)?(\d{4})[-/](\d{2})[-/](\d{2})/[^/]*$"
 
 
 def work_folder(spark: SparkSession, name: str) -> str:
-    """A new folder that all executors share: below spark.checkpoint.dir, or a temporary one where that is unset (tests)."""
-    top = spark.conf.get("spark.checkpoint.dir", None) or f"file://{tempfile.gettempdir()}/spark-lake"
+    """A new folder that all executors share: below spark.checkpoint.dir. Only a local master may do without that setting (tests)."""
+    top = spark.conf.get("spark.checkpoint.dir", None)
+    if not top:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+        top = f"file://{tempfile.gettempdir()}/spark-lake"
     return f"{top.rstrip('/')}/lake/{name}-{uuid.uuid4().hex}"
 
 
-def kept(rows: DataFrame, name: str) -> DataFrame:
-    """rows written to the shared folder and read again, for steps that read them many times."""
-    path = work_folder(rows.sparkSession, name)
-    rows.write.parquet(path)
-    return rows.sparkSession.read.schema(rows.schema).parquet(path)
+def kept(rows: DataFrame) -> DataFrame:
+    """rows written once, for steps that read them many times: a reliable checkpoint, which Spark's cleaner deletes when nothing refers to it
+    any more (spark.cleaner.referenceTracking.cleanCheckpoints)."""
+    context = rows.sparkSession.sparkContext
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(work_folder(rows.sparkSession, "kept"))
+    return rows.checkpoint()
 
 
 def path_day(path: Column) -> Column:

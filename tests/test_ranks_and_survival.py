@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from lakepulse.operators import checks, evaluate, ranks, shapes, survival
+from lakepulse.operators import checks, evaluate, models, ranks, shapes, survival
 
 
 @pytest.fixture(scope="module")
@@ -24,9 +24,12 @@ def groups(data):
     return out
 
 
-def test_places(rows):
+@pytest.mark.parametrize("range_rows", [50, 50_000])
+def test_places(rows, monkeypatch, range_rows):
+    """In one range and in many: equal values are parted by the key."""
+    monkeypatch.setattr(ranks, "RANGE_ROWS", range_rows)
     data, frame = rows
-    found = {r.i: (r.place, r.size) for r in ranks.placed(frame, ["g"], "x", [F.col("i")]).collect()}
+    found = {r.i: (r.place, r.size) for r in ranks.placed(frame, ["g"], "x", "i").collect()}
     for own in groups(data).values():
         for place, (_, i) in enumerate(sorted(own, key=lambda v: (-v[0], v[1])), 1):
             assert found[i] == (place, len(own))
@@ -119,7 +122,7 @@ def test_curves_weights_and_auc(lives):
         good = total = 0.0
         for a in own:
             if a[1] <= row.horizon and a[2]:
-                w = 1 / max(1e-3, censor[row.g][a[1]][0])
+                w = 1 / max(1e-6, censor[row.g][a[1]][0])
                 for b in own:
                     if b[1] > row.horizon:
                         total += w
@@ -127,14 +130,20 @@ def test_curves_weights_and_auc(lives):
         assert row.auc == pytest.approx(good / total, abs=1e-5)
 
 
+def at_day(curve, day):
+    """The last value of a survival curve by a day."""
+    return min([after for t, (_, after) in curve.items() if t <= day], default=1.0)
+
+
 def test_brier_and_calibration(lives):
+    """Those who last beyond the day of the grid are weighted by the censoring curve at that day, not at their own."""
     data, frame = lives
     censor = {g: brute_km([(t, 1 - e) for k, t, e, *_ in data if k == g]) for g in "rs"}
     found = survival.brier(frame, "t", "e", lambda day: F.exp(-day / 50.0), ["g"], [10, 30, 50])
     for row in found.collect():
         s = math.exp(-row.day / 50)
-        own = [x for x in data if x[0] == row.g]
-        each = [s * s / max(1e-3, censor[row.g][t][0]) if t <= row.day and e else (1 - s) ** 2 / max(1e-3, censor[row.g][t][1]) if t > row.day else 0.0 for _, t, e, *_ in own]
+        own, c = [x for x in data if x[0] == row.g], censor[row.g]
+        each = [s * s / max(1e-6, c[t][0]) if t <= row.day and e else (1 - s) ** 2 / max(1e-6, at_day(c, row.day)) if t > row.day else 0.0 for _, t, e, *_ in own]
         assert row.brier == pytest.approx(mean(each), abs=1e-9)
     curve = {(r.g, r.day): r.brier for r in found.collect()}
     for row in survival.integrated(found, ["g"]).collect():
@@ -170,3 +179,132 @@ def test_normal_cdf_and_peaks(spark):
     n = (1000 * np.exp(-((x - 15) ** 2) / 18) + 400 * np.exp(-((x - 42) ** 2) / 18) + 5).astype(int)
     frame = spark.createDataFrame([("m", int(b), int(v)) for b, v in zip(x, n)], "g string, bin int, n long")
     assert sorted(r.bin for r in shapes.peaks(frame, ["g"]).collect()) == [15, 42]
+
+
+def test_average_ranks(rows):
+    data, frame = rows
+    got = {r.i: r.rank for r in ranks.average_rank(frame, ["g"], "x", "rank").collect()}
+    for own in groups(data).values():
+        for x, i in own:
+            assert got[i] == sum(v < x for v, _ in own) + (sum(v == x for v, _ in own) + 1) / 2
+
+
+def test_baseline_survival_and_median(lives):
+    """S(h) = exp(-H(h) exp(bx)), H being summed over the days with events; the median is the first day at a half or less."""
+    data, frame = lives
+    beta = np.array([0.4, -0.2])
+    hazard = survival.baseline(frame, "t", "e", ["z", "w"], ["g"], beta)
+    found = survival.median_survival(survival.horizon_risks(frame, hazard, ["z", "w"], ["g"], beta, (0, 7, 30)), hazard, ["z", "w"], ["g"], beta).collect()
+    steps = {}
+    for g in "rs":
+        own, total = [x for x in data if x[0] == g], 0.0
+        steps[g] = {}
+        for t in sorted({x[1] for x in own if x[2]}):
+            total += sum(x[1] == t and x[2] for x in own) / sum(math.exp(np.dot(beta, x[3:5])) for x in own if x[1] >= t)
+            steps[g][t] = total
+    assert len(found) == len(data)
+    for r in found:
+        risk = math.exp(0.4 * r.z - 0.2 * r.w)
+        for h in (0, 7, 30):
+            last = max([v for t, v in steps[r.g].items() if t <= h], default=0.0)
+            assert r[f"cox_p{h}"] == pytest.approx(1 - math.exp(-last * risk))
+        assert r.median_days == min([t for t, v in steps[r.g].items() if math.exp(-v * risk) <= 0.5], default=None)
+
+
+def test_penalties_shrink_and_the_best_is_chosen(lives):
+    _, frame = lives
+    path, best, beta = survival.penalty_path(frame, frame, "t", "e", ["z", "w"], ["g"], (0.0, 5.0))
+    free, _ = survival.cox(frame, "t", "e", ["z", "w"], ["g"])
+    bound, _ = survival.cox(frame, "t", "e", ["z", "w"], ["g"], 5.0)
+    assert np.abs(bound).sum() < np.abs(free).sum() and [p for p, _ in path] == [0.0, 5.0]
+    assert best == max(path, key=lambda x: x[1])[0] and np.allclose(beta, free if best == 0 else bound)
+
+
+def test_proportional_hazards(lives):
+    """Scaled residuals, their means by window and rank correlation, event by event."""
+    data, frame = lives
+    beta, cov = survival.cox(frame, "t", "e", ["z", "w"], ["g"])
+    residuals, days = [], []
+    for g, t, e, z, w, _ in data:
+        if e:
+            at_risk = np.array([(x[3], x[4]) for x in data if x[0] == g and x[1] >= t])
+            p = np.exp(at_risk @ beta)
+            residuals.append(np.array([z, w]) - p @ at_risk / p.sum())
+            days.append(t)
+    scaled, days = len(days) * np.array(residuals) @ cov, np.array(days)
+    rank = lambda x: np.array([(x < v).sum() + ((x == v).sum() + 1) / 2 for v in x])
+    for r in survival.proportional_hazards(frame, "t", "e", ["z", "w"], ["g"], beta, cov).collect():
+        j = ["z", "w"].index(r.feature)
+        assert r.events == len(days)
+        seen = []
+        for low, high, name in survival.PH_WINDOWS:
+            own = scaled[(days > low) & (days <= high), j]
+            assert r[name] == pytest.approx(own.mean() + beta[j], abs=1e-5) if len(own) else r[name] is None
+            seen += [own.mean() + beta[j]] if len(own) else []
+        assert r.rho == pytest.approx(np.corrcoef(rank(np.round(scaled[:, j], 9)), rank(days))[0, 1], abs=1e-3)
+        big = [abs(b) for b in seen if abs(b) >= 0.05]
+        want = "negligible" if not big else "sign changes" if max(seen) > 0.05 and min(seen) < -0.05 else "changes size" if max(big) / min(big) > 1.5 else "stable"
+        assert r.verdict == want
+
+
+def test_one_calibration(lives):
+    data, frame = lives
+    frame = frame.withColumn("p", 1 / (1 + F.exp(-F.col("z"))))
+    row = survival.one_calibration(frame.withColumn("all", F.lit(1)), "t", "e", "p", 30, ["all"], 5).first()
+    p = np.array([1 / (1 + math.exp(-x[3])) for x in data])
+    edges = np.unique(np.quantile(p, np.linspace(0, 1, 6)))[1:-1]
+    group = (p[:, None] > edges).sum(axis=1)
+    statistic = gap = 0.0
+    for k in range(5):
+        own = [data[i] for i in np.flatnonzero(group == k)]
+        observed, expected = 1 - at_day(brute_km([(x[1], x[2]) for x in own]), 30), p[group == k].mean()
+        statistic += len(own) * (observed - expected) ** 2 / (expected * (1 - expected))
+        gap += len(own) * abs(observed - expected) / len(data)
+    assert (row.groups, row.statistic, row.mean_abs_gap) == (5, pytest.approx(statistic), pytest.approx(gap))
+
+
+def test_chi_square_tail(spark):
+    """Known points of the distribution."""
+    points = [(3.841459, 1, 0.05), (5.991465, 2, 0.05), (16.918978, 9, 0.05), (21.665994, 9, 0.01), (18.307038, 10, 0.05), (0.0, 4, 1.0), (900.0, 9, 0.0)]
+    got = [r.p for r in spark.createDataFrame(points, "x double, df int, want double").select(survival.chi2_tail(F.col("x"), F.col("df")).alias("p")).collect()]
+    assert got == pytest.approx([w for *_, w in points], abs=1e-6)
+
+
+def test_intervals_of_rank_statistics(spark):
+    """Replica 0 is the rows themselves; the interval is that of resampling rows one by one."""
+    rng = np.random.default_rng(11)
+    score, label = rng.integers(0, 25, 600), None
+    label = (rng.random(600) < 0.2 + score / 50).astype(int)
+
+    def stats(s, y):
+        order = np.argsort(-s, kind="stable")
+        pos, neg = s[y == 1], s[y == 0]
+        auc = ((pos[:, None] > neg).sum() + 0.5 * (pos[:, None] == neg).sum()) / (len(pos) * len(neg))
+        values, ap, above, tp = np.unique(s)[::-1], 0.0, 0, 0
+        for v in values:
+            hits = y[s == v].sum()
+            above, tp = above + (s == v).sum(), tp + hits
+            ap += hits * tp / above
+        return auc, ap / y.sum(), y[order[: len(y) // 10]].mean()
+
+    frame = spark.createDataFrame([("a", int(s), int(y)) for s, y in zip(score, label)], "g string, s int, y int")
+    found = survival.bootstrap_ranks(frame, "s", "y", ["g"], 300)
+    got = {r.statistic: r for r in survival.intervals(found, ["g"], ["auc", "average_precision", "top_precision"]).collect()}
+    auc, ap, _ = stats(score, label)
+    assert got["auc"].value == pytest.approx(auc) and got["average_precision"].value == pytest.approx(ap)
+    draws = np.array([stats(score[i], label[i]) for i in rng.integers(0, 600, (400, 600))])
+    for k, name in enumerate(("auc", "average_precision")):
+        low, high = np.quantile(draws[:, k], [0.025, 0.975])
+        assert got[name].low == pytest.approx(low, abs=0.012) and got[name].high == pytest.approx(high, abs=0.012)
+    assert got["top_precision"].low < got["top_precision"].value < got["top_precision"].high
+
+
+def test_horizon_chances_are_calibrated_and_do_not_fall(spark):
+    rng = np.random.default_rng(12)
+    p = rng.random(4000)
+    rows = [(float(v), float(min(1, v * 1.1)), int(t), 1) for v, t in zip(p, np.where(rng.random(4000) < p**2, 3, 40))]
+    frame = spark.createDataFrame(rows, "cox_p7 double, cox_p30 double, t int, e int")
+    got = models.horizon_calibrated(frame, frame, "t", "e", (7, 30)).collect()
+    assert all(r.p7 <= r.p30 for r in got)
+    assert mean(r.p7 for r in got) == pytest.approx(mean(t <= 7 for *_, t, _ in rows), abs=0.01)
+    assert max(abs(r.p7 - r.cox_p7**2) for r in got if 0.1 < r.cox_p7 < 0.9) < 0.12
