@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .ranks import attach, inner_edges
+
 #: Severities, the worst first.
 ORDER = ("critical", "warn", "info", "ok")
 
@@ -20,14 +22,15 @@ def _median(x: Column) -> Column:
 
 
 def mad_band(daily: DataFrame, by: list[str], x: str, days: int = 28, least: int = 14, warn: float = 3.0, critical: float = 6.0) -> DataFrame:
-    """ALRT-3, WIN-11: x against the median of the `days` rows before, in scaled median deviations inside that window. A window holds
-    `days` values, whatever the table's size."""
-    w = Window.partitionBy(*by).orderBy("day").rowsBetween(-days, -1)
+    """ALRT-3, WIN-11: x against the median of the `days` calendar days before, in scaled median deviations inside that window; any change
+    from a constant is critical. Days without a row don't count, and with fewer than `least` of them nothing is said (info). A window
+    holds `days` values at the most, whatever the table's size."""
+    w = Window.partitionBy(*by).orderBy(F.datediff("day", F.lit("1970-01-01").cast("date"))).rangeBetween(-days, -1)
     rows = daily.withColumn("_before", F.collect_list(F.col(x).cast("double")).over(w)).withColumn("median", _median(F.col("_before")))
     rows = rows.withColumn("mad", 1.4826 * _median(F.transform("_before", lambda v: F.abs(v - F.col("median")))))
     off = F.abs(F.col(x) - F.col("median"))
-    known = (F.size("_before") >= least) & (F.col("mad") > 0)
-    severity = F.when(~known, "info").when(off > critical * F.col("mad"), "critical").when(off > warn * F.col("mad"), "warn").otherwise("ok")
+    known = F.size("_before") >= least
+    severity = F.when(~known, "info").when((F.col("mad") == 0) & (off > 0), "critical").when(off > critical * F.col("mad"), "critical").when(off > warn * F.col("mad"), "warn").otherwise("ok")
     return rows.select(*by, "day", x, F.round("median", 6).alias("median"), F.round("mad", 6).alias("mad"), severity.alias("severity"))
 
 
@@ -41,13 +44,32 @@ def null_shares(per: DataFrame, at: str, n: str, nulls: str, before: int = 6, le
 
 
 def drift(long: DataFrame, by: list[str], x: str, reference: Column, edges: DataFrame) -> DataFrame:
-    """ALRT-5: population stability of x per group between the reference rows and the others, over bins between the group's edges."""
-    binned = long.join(edges, by).withColumn("bin", F.size(F.filter("edges", lambda e: e < F.col(x))))
+    """ALRT-5: population stability of x per group between the reference rows and the others, over the bins of the group's edges
+    (see drift_edges). A group without reference rows has no stability and is critical, with the reason."""
+    bin_ = F.when(F.col("single"), F.col(x)).otherwise(F.size(F.filter("edges", lambda e: e <= F.col(x))).cast("double"))
+    binned = long.join(edges, by).withColumn("bin", bin_)
+    new = long.join(edges, by, "left_anti").select(*by).distinct().select(*by, F.lit(None).cast("double").alias("psi"), F.lit("critical").alias("severity"), F.lit("not in the reference").alias("reason"))
     per = binned.groupBy(*by, "bin").agg(F.count_if(reference).alias("e"), F.count_if(~reference).alias("a"))
     every = Window.partitionBy(*by)
     share = lambda c: F.greatest(F.lit(1e-4), F.col(c) / F.sum(c).over(every))
     found = per.select(*by, share("e").alias("e"), share("a").alias("a")).groupBy(*by).agg(F.round(F.sum((F.col("a") - F.col("e")) * F.log(F.col("a") / F.col("e"))), 6).alias("psi"))
-    return found.withColumn("severity", F.when(F.col("psi") > 0.25, "critical").when(F.col("psi") > 0.10, "warn").otherwise("ok"))
+    found = found.withColumn("severity", F.when(F.col("psi") > 0.25, "critical").when(F.col("psi") > 0.10, "warn").otherwise("ok"))
+    return found.withColumn("reason", F.when(F.col("severity") != "ok", "drift")).unionByName(new)
+
+
+def drift_edges(reference: DataFrame, by: list[str], x: str, bins: int = 10) -> DataFrame:
+    """ALRT-4: (by, edges, single): what parts the bins of x: quantiles of the reference without the least and greatest one, a value on an
+    edge belonging to the bin above; where it has at most `bins` different values, each is a bin of its own (single)."""
+    few = reference.select(*by, x).distinct().groupBy(*by).agg((F.count("*") <= bins).alias("single"))
+    return attach(inner_edges(reference, x, by, bins), few, by)
+
+
+def player_counts(snapshot: DataFrame, reference: DataFrame, by: list[str], at: str, warn: float = 0.2, critical: float = 0.5) -> DataFrame:
+    """ALRT-5: rows of each group against its mean number of rows per reference cutoff: relative change, and how bad it is."""
+    per = reference.groupBy(*by).agg((F.count("*") / F.count_distinct(at)).alias("expected"))
+    found = attach(snapshot.groupBy(*by).agg(F.count("*").alias("n")), per, by, "left").withColumn("change", F.col("n") / F.col("expected") - 1)
+    severity = F.when(F.col("expected").isNull(), "critical").when(F.abs("change") > critical, "critical").when(F.abs("change") > warn, "warn").otherwise("ok")
+    return found.select(*by, "n", F.round("expected", 6).alias("expected"), F.round("change", 6).alias("change"), severity.alias("severity"))
 
 
 def acknowledged(alerts: DataFrame, entries: DataFrame, value: str) -> DataFrame:

@@ -7,7 +7,9 @@ from functools import reduce
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .ranks import running
+from lakepulse.sources.lake import kept
+
+from .ranks import average_rank, running
 
 
 def metrics(rows: DataFrame, definitions: dict[str, dict[str, str]]) -> DataFrame:
@@ -56,3 +58,29 @@ def rank_correlations(rows: DataFrame, x: str, others: list[str]) -> DataFrame:
     for c in [x, *others]:
         rows = rows.join(_mean_ranks(rows, c), c)
     return rows.agg(*[F.corr(f"_rank_{x}", f"_rank_{c}").alias(c) for c in others])
+
+
+def day_profile(rows: DataFrame, on: DataFrame, columns: list[str]) -> DataFrame:
+    """LEAK-4: (cutoff, column, offset, active, correlation): Spearman's correlation of each column of rows (cutoff, player_id, columns) with
+    whether a player is in on (cutoff, player_id, offset), per cutoff and offset.
+
+    All columns and offsets take one pass: ranks, ties at their mean, come from counts per value; a flag's correlation needs only how many
+    have it and the sum of their ranks. Columns of one value, and days on which all are active, have none."""
+    long = rows.unpivot(["cutoff", "player_id"], [F.col(c).cast("double").alias(c) for c in columns], "column", "x").where("x is not null")
+    ranked = kept(average_rank(long, ["cutoff", "column"], "x", "r"))
+    totals = ranked.groupBy("cutoff", "column").agg(F.count("*").alias("n"), F.sum("r").alias("sr"), F.sum(F.col("r") * F.col("r")).alias("srr"), F.min("x").alias("_a"), F.max("x").alias("_b")).where("_a < _b")
+    per = ranked.join(on, ["cutoff", "player_id"]).groupBy("cutoff", "column", "offset").agg(F.count("*").alias("active"), F.sum("r").alias("rm")).join(totals, ["cutoff", "column"])
+    n, m, sr = F.col("n").cast("double"), F.col("active").cast("double"), F.col("sr")
+    r = (n * F.col("rm") - sr * m) / F.sqrt((n * F.col("srr") - sr * sr) * (n * m - m * m))
+    return per.select("cutoff", "column", "offset", "active", F.when(m < n, r).alias("correlation"))
+
+
+def window_ends(profile: DataFrame, around: int = 7, slack: int = 3) -> DataFrame:
+    """LEAK-4, LEAK-5: (column, window_end, fall, holds): the offset after which the mean profile over the cutoffs falls the most, from the mean
+    of `around` days to that of the next ones; a column has a row per offset."""
+    mean = profile.groupBy("column", "offset").agg(F.avg("correlation").alias("c"))
+    w = Window.partitionBy("column").orderBy("offset")
+    fall = F.avg("c").over(w.rowsBetween(1 - around, 0)) - F.avg("c").over(w.rowsBetween(1, around))
+    enough = (F.count("*").over(w.rowsBetween(1 - around, 0)) == around) & (F.count("*").over(w.rowsBetween(1, around)) == around)
+    found = mean.withColumn("fall", F.when(enough, fall)).where("fall is not null").groupBy("column").agg(F.max(F.struct("fall", (-F.col("offset")).alias("early"))).alias("f"))
+    return found.select("column", (-F.col("f.early")).alias("window_end"), F.round("f.fall", 6).alias("fall"), (-F.col("f.early") <= slack).alias("holds"))

@@ -131,10 +131,8 @@ def replay(rows: DataFrame, rankings: dict[str, str], key: str, label: str, valu
 
 
 def psi(expected: DataFrame, actual: DataFrame, x: str, bins: int = 10) -> DataFrame:
-    """ALRT-4: population stability over quantile bins of the expected sample, shares at least 1e-4."""
-    edges = F.broadcast(quantiles(expected, x, [], [k / bins for k in range(1, bins)]).select(F.array_distinct("q").alias("edges")))
-    count = lambda d, name: d.join(edges).groupBy(F.size(F.filter("edges", lambda e: e < F.col(x))).alias("bin")).agg(F.count("*").alias(name))
-    both = count(expected, "e").join(count(actual, "a"), "bin", "full").select(F.coalesce("e", F.lit(0)).alias("e"), F.coalesce("a", F.lit(0)).alias("a"))
-    every = Window.partitionBy()
-    share = lambda c: F.greatest(F.lit(1e-4), F.col(c) / F.sum(c).over(every))
-    return both.select(share("e").alias("e"), share("a").alias("a")).agg(F.round(F.sum((F.col("a") - F.col("e")) * F.log(F.col("a") / F.col("e"))), 6).alias("psi"))
+    """ALRT-4: population stability of two samples over quantile bins of the expected one, shares at least 1e-4; see alerts.drift_edges."""
+    from .alerts import drift, drift_edges
+
+    long = expected.select(F.lit(0).alias("_g"), F.col(x).cast("double").alias(x), F.lit(True).alias("_ref")).union(actual.select(F.lit(0), F.col(x).cast("double"), F.lit(False))).where(F.col(x).isNotNull())
+    return drift(long, ["_g"], x, F.col("_ref"), drift_edges(long.where("_ref"), ["_g"], x, bins)).select("psi")

@@ -91,12 +91,13 @@ def return_curve(spell: DataFrame, longest: int = 120, window: int = 60) -> Data
 
 
 def dormancy(days: DataFrame, cutoff: DataFrame, silent: tuple[int, ...] = (14, 30), look_back: int = 180) -> DataFrame:
-    """returns after so many days without activity, and days since the last of them (look_back + 1 if none)."""
+    """returns within look_back days after so many days without activity, whenever the silence began, and days since the last of
+    them (look_back + 1 if none)."""
     order = Window.partitionBy("player_id").orderBy("day")
     returns = days.where("active").select("player_id", "brand", "day").distinct().withColumn("gap", F.datediff("day", F.lag("day").over(order)))
     rows = _windowed(returns, cutoff, look_back)
     measures = []
     for k in silent:
-        back = F.coalesce(F.col("gap") > k, F.lit(False)) & (F.datediff("cutoff", "day") + F.col("gap") < look_back)
+        back = F.coalesce(F.col("gap") > k, F.lit(False))
         measures += [F.count_if(back).alias(f"prior_dormancy_spells_{k}d"), F.coalesce(F.min(F.when(back, F.datediff("cutoff", "day"))), F.lit(look_back + 1)).alias(f"days_since_last_return_{k}d")]
     return rows.groupBy("cutoff", "player_id").agg(*measures)

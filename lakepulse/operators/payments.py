@@ -35,7 +35,7 @@ def deposit_features(days: DataFrame, cutoffs: DataFrame) -> DataFrame:
     measures = []
     for name, (near, far) in SPANS.items():
         w = (age >= near) & (age < far)
-        measures += [F.count_if(paid & w).alias(f"days_{name}"), total(F.col("deposits"), w).alias(f"n_{name}"), total(F.col("deposit_c"), w).alias(f"sum_{name}")]
+        measures += [F.count_if(paid & w).alias(f"days_{name}"), total(F.col("deposits"), w).alias(f"n_{name}"), total(F.col("deposit_c"), w).alias(f"sum_{name}"), F.avg(F.when(paid & w, F.col("deposit_c") / F.col("deposits"))).alias(f"mean_{name}")]
     found = dealt(days, cutoffs, 180).groupBy("cutoff", "player_id").agg(
         *measures, F.max(F.when(paid, F.col("day"))).alias("last_deposit"), F.max(F.when((F.col("withdrawals") > 0) & (age < 14), F.col("day"))).alias("last_withdrawal"),
         total(F.col("failed"), age < 14).alias("failed_deposits_14d"), total(F.col("withdraw_c"), age < 30).alias("withdraw_30"),
@@ -46,12 +46,12 @@ def deposit_features(days: DataFrame, cutoffs: DataFrame) -> DataFrame:
     within = lambda n: F.coalesce(since < n, F.lit(False)).cast("int").alias(f"deposited_within_{n}d")
     change = (c("n_7") / F.lit(7.0)) / F.when(c("n_30") > 0, c("n_30") / F.lit(30.0)) - 1
     frequency = F.when(c("n_30") == 0, 0.0).otherwise(F.greatest(F.lit(0.0), F.least(F.lit(100.0), 50 + 50 * F.greatest(F.lit(-1.0), F.least(F.lit(1.0), change)))))
-    trend = F.when((c("n_30") > 0) & (c("sum_30_120") > 0), over("sum_30", "n_30") / over("sum_30_120", "n_30_120"))
+    trend = F.round(over("mean_30", "mean_30_120"), 6)  # means of daily means
     return found.select(
         "cutoff", "player_id", F.least(F.coalesce(since, F.lit(31)), F.lit(31)).alias("days_since_last_deposit"), c("days_7").alias("n_deposit_days_7d"), c("days_30").alias("n_deposit_days_30d"), c("sum_30").alias("deposits_c_l30d"),
         over("withdraw_30", "sum_30").alias("withdrawals_30d_share"), over("sum_30", "sum_prior30").alias("deposits_30_vs_prior30"), within(3), within(7), within(14), frequency.alias("deposit_frequency_score"), "failed_deposits_14d",
         ((c("days_30") + 1) / (c("days_prior30") + 1)).alias("deposit_days_ratio_30_vs_prior30"), trend.alias("deposit_size_trend"),
-        F.coalesce(c("last_withdrawal") > F.coalesce("last_deposit", F.lit("1900-01-01").cast("date")), F.lit(False)).cast("int").alias("withdrawal_no_redeposit"),
+        F.coalesce(c("last_withdrawal") >= F.coalesce("last_deposit", F.lit("1900-01-01").cast("date")), F.lit(False)).cast("int").alias("withdrawal_no_redeposit"),
         F.when(c("sum_30") > 0, c("sum_7") / (F.when(c("sum_30") > 0, c("sum_30")) / F.lit(30.0) * 7)).otherwise(0.0).alias("deposit_velocity"),
     )
 

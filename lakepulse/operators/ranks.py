@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from lakepulse.sources.lake import kept
 
 
-def attach(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
+def attach(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
     """left with the columns of right, a row per key at most; null keys meet each other. Without keys right is one row."""
     if not keys:
         return left.join(F.broadcast(right))
@@ -19,7 +19,7 @@ def attach(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
     on = F.lit(True)
     for i, k in enumerate(keys):
         on = on & F.col(k).eqNullSafe(F.col(f"_key{i}"))
-    return left.join(renamed, on).drop(*[f"_key{i}" for i in range(len(keys))])
+    return left.join(renamed, on, how).drop(*[f"_key{i}" for i in range(len(keys))])
 
 
 #: Rows to a range of a group, and ranges of a group at the most.

@@ -235,7 +235,7 @@ def horizon_risks(rows: DataFrame, hazard: DataFrame, features: list[str], by: l
     A stratum without baseline has null; before its first event the hazard is 0."""
     at = hazard.groupBy(*by).agg(*[F.coalesce(F.max(F.when(F.col("t") <= h, F.col("hazard"))), F.lit(0.0)).alias(f"_h{h}") for h in horizons], F.max("hazard").alias("_last"))
     keys = F.exp(linear(features, beta))
-    known = attach(rows, at, by) if by else rows.join(F.broadcast(at))
+    known = attach(rows, at, by, "left") if by else rows.join(F.broadcast(at))
     return known.select(*rows.columns, *[(1 - F.exp(-F.col(f"_h{h}") * keys)).alias(f"cox_p{h}") for h in horizons])
 
 
@@ -244,7 +244,7 @@ def median_survival(rows: DataFrame, hazard: DataFrame, features: list[str], by:
     value per day, so it is a bounded array."""
     steps = hazard.groupBy(*by).agg(F.sort_array(F.collect_list(F.struct("t", "hazard"))).alias("_steps"))
     need = F.log(F.lit(2.0)) / F.exp(linear(features, beta))
-    found = attach(rows, steps, by) if by else rows.join(F.broadcast(steps))
+    found = attach(rows, steps, by, "left") if by else rows.join(F.broadcast(steps))
     return found.withColumn("median_days", F.get(F.filter("_steps", lambda s: s["hazard"] >= need), F.lit(0))["t"]).drop("_steps")
 
 

@@ -5,16 +5,15 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from lakepulse.operators import alerts, quality
-from lakepulse.operators.ranks import quantiles
 from lakepulse.sources import lens
 from lakepulse.sources.lens import with_
 
 from . import players as pl
 from .registry import query
 
-BANDS = """day_ AS (SELECT brand, day, count(*) AS n FROM activity GROUP BY ALL), w_ AS (SELECT *, list(n::DOUBLE) OVER (PARTITION BY brand ORDER BY day ROWS BETWEEN 28 PRECEDING AND 1 PRECEDING) AS b FROM day_),
+BANDS = """day_ AS (SELECT brand, day, count(*) AS n FROM activity GROUP BY ALL), w_ AS (SELECT *, list(n::DOUBLE) OVER (PARTITION BY brand ORDER BY day RANGE BETWEEN INTERVAL 28 DAYS PRECEDING AND INTERVAL 1 DAY PRECEDING) AS b FROM day_),
 m_ AS (SELECT *, list_aggregate(b, 'median') AS med FROM w_), d_ AS (SELECT *, 1.4826::DOUBLE * list_aggregate(list_transform(b, lambda x: abs(x - med)), 'median') AS mad FROM m_),
-band AS (SELECT 'daily_total' AS "check", brand, day, n, med, mad, CASE WHEN coalesce(len(b), 0) < 14 OR mad IS NULL OR mad <= 0 THEN 'info' WHEN abs(n - med) > 6 * mad THEN 'critical' WHEN abs(n - med) > 3 * mad THEN 'warn' ELSE 'ok' END AS severity FROM d_)"""
+band AS (SELECT 'daily_total' AS "check", brand, day, n, med, mad, CASE WHEN coalesce(len(b), 0) < 14 THEN 'info' WHEN mad = 0 AND n <> med THEN 'critical' WHEN abs(n - med) > 6 * mad THEN 'critical' WHEN abs(n - med) > 3 * mad THEN 'warn' ELSE 'ok' END AS severity FROM d_)"""
 
 
 @query("alrt_3_mad_band", with_("activity") + f", {BANDS} SELECT brand, day, n, round(med, 6) AS median, round(mad, 6) AS mad, severity FROM band")
@@ -32,27 +31,34 @@ def alrt_2(spark, d):
 
 
 DRIFTING = ("days_since_last_bet", "active_days_l90d", "bets_l180d", "wagered_c_l90d", "ggr_c_l180d", "days_since_first_bet")
-TENTHS = [k / 10 for k in range(1, 10)]
-DRIFT = f"""l_ AS ({" UNION ALL ".join(f"SELECT brand, cutoff, '{c}' AS feature, CAST({c} AS DOUBLE) AS x FROM features" for c in DRIFTING)}), v_ AS (SELECT * FROM l_ WHERE x IS NOT NULL),
-e_ AS (SELECT brand, feature, list_distinct(quantile_cont(x, [0.1,0.2,0.3,0.4,0.5,0.6,0.7,0.8,0.9])) AS edges FROM v_ WHERE cutoff < DATE '1999-01-01' GROUP BY ALL),
-b_ AS (SELECT brand, feature, len(list_filter(edges, lambda q: q < x)) AS bin, count(*) FILTER (cutoff < DATE '1999-01-01') AS e, count(*) FILTER (cutoff >= DATE '1999-01-01') AS a FROM v_ JOIN e_ USING (brand, feature) GROUP BY ALL),
+DRIFT = f"""{pl.MIDDLE}, l_ AS ({" UNION ALL ".join(f"SELECT brand, cutoff, '{c}' AS feature, CAST({c} AS DOUBLE) AS x FROM features" for c in DRIFTING)}), v_ AS (SELECT * FROM l_ WHERE x IS NOT NULL),
+e_ AS (SELECT brand, feature, list_distinct(quantile_cont(x, [0, 0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9, 1])) AS q, count(DISTINCT x) <= 10 AS single FROM v_, mid WHERE cutoff < m GROUP BY ALL),
+b_ AS (SELECT brand, feature, CASE WHEN single THEN x ELSE len(list_filter(list_sort(q)[2:len(q) - 1], lambda z: z <= x)) END AS bin, count(*) FILTER (cutoff < m) AS e, count(*) FILTER (cutoff >= m) AS a FROM v_ JOIN e_ USING (brand, feature), mid GROUP BY ALL),
 s_ AS (SELECT brand, feature, greatest(1e-4, e / sum(e) OVER w) AS e, greatest(1e-4, a / sum(a) OVER w) AS a FROM b_ WINDOW w AS (PARTITION BY brand, feature)),
-drift AS (SELECT *, CASE WHEN psi > 0.25 THEN 'critical' WHEN psi > 0.10 THEN 'warn' ELSE 'ok' END AS severity FROM (SELECT brand, feature, round(sum((a - e) * ln(a / e)), 6) AS psi FROM s_ GROUP BY ALL))"""
+drift AS (SELECT *, CASE WHEN severity <> 'ok' THEN 'drift' END AS reason FROM (SELECT *, CASE WHEN psi > 0.25 THEN 'critical' WHEN psi > 0.10 THEN 'warn' ELSE 'ok' END AS severity FROM (SELECT brand, feature, round(sum((a - e) * ln(a / e)), 6) AS psi FROM s_ GROUP BY ALL))
+  UNION ALL SELECT DISTINCT brand, feature, NULL, 'critical', 'not in the reference' FROM v_ WHERE (brand, feature) NOT IN (SELECT (brand, feature) FROM e_))"""
 
 
 @query("alrt_5_feature_drift", with_("activity") + f", {pl.CUT}, {pl.FEATURES}, {DRIFT} SELECT * FROM drift")
 def alrt_5(spark, d):
-    """ALRT-5: features before and after a date, per brand."""
-    long = pl.feat(spark, d).unpivot(["brand", "cutoff"], [F.col(c).cast("double").alias(c) for c in DRIFTING], "feature", "x").where("x is not null")
-    edges = quantiles(long.where("cutoff < date'1999-01-01'"), "x", ["brand", "feature"], TENTHS).select("brand", "feature", F.array_distinct("q").alias("edges"))
-    return alerts.drift(long, ["brand", "feature"], "x", F.col("cutoff") < F.lit("1999-01-01").cast("date"), edges)
+    """ALRT-5: features of the later cutoffs against the earlier ones, per brand; a brand that these lack is critical."""
+    rows = pl.feat(spark, d).join(F.broadcast(pl.middle(pl.cut(spark, d))))
+    long = rows.unpivot(["brand", "cutoff", "middle"], [F.col(c).cast("double").alias(c) for c in DRIFTING], "feature", "x").where("x is not null")
+    edges = alerts.drift_edges(long.where("cutoff < middle"), ["brand", "feature"], "x")
+    return alerts.drift(long, ["brand", "feature"], "x", F.col("cutoff") < F.col("middle"), edges)
 
 
-@query("alrt_5_brands", with_("activity") + f", {pl.CUT}, {pl.FEATURES}, {DRIFT} SELECT brand, count(*) FILTER (severity <> 'ok') AS drifting, CASE WHEN count(*) FILTER (severity <> 'ok') >= 5 THEN 'critical' WHEN count(*) FILTER (severity <> 'ok') > 0 THEN 'warn' ELSE 'ok' END AS severity FROM drift GROUP BY brand")
+@query("alrt_5_brands", with_("activity") + f""", {pl.CUT}, {pl.FEATURES}, {DRIFT}, f_ AS (SELECT brand, count(*) FILTER (severity <> 'ok') AS drifting FROM drift GROUP BY brand), n_ AS (SELECT brand, count(*) FILTER (cutoff = (SELECT max(cutoff) FROM features)) AS n, count(*) FILTER (cutoff < m) / nullif(count(DISTINCT cutoff) FILTER (cutoff < m), 0) AS expected FROM features, mid GROUP BY brand)
+SELECT brand, drifting, n, round(expected, 6) AS expected, CASE WHEN drifting >= 5 OR expected IS NULL OR abs(n / expected - 1) > 0.5 THEN 'critical' WHEN drifting > 0 OR abs(n / expected - 1) > 0.2 THEN 'warn' ELSE 'ok' END AS severity FROM f_ JOIN n_ USING (brand) WHERE n > 0""")
 def alrt_5_brands(spark, d):
-    """ALRT-5: five drifting features or more are critical for a brand."""
-    n = F.count_if(F.col("severity") != "ok")
-    return alrt_5(spark, d).groupBy("brand").agg(n.alias("drifting")).withColumn("severity", F.when(F.col("drifting") >= 5, "critical").when(F.col("drifting") > 0, "warn").otherwise("ok"))
+    """ALRT-5: five drifting features or more are critical for a brand, and so are players of the latest cutoff far from their usual number."""
+    f = pl.feat(spark, d).select("brand", "cutoff").join(F.broadcast(pl.middle(pl.cut(spark, d))))
+    last = f.agg(F.max("cutoff").alias("cutoff"))
+    counts = alerts.player_counts(f.join(F.broadcast(last), "cutoff", "left_semi"), f.where("cutoff < middle"), ["brand"], "cutoff").withColumnRenamed("severity", "of_count")
+    drifting = alrt_5(spark, d).groupBy("brand").agg(F.count_if(F.col("severity") != "ok").alias("drifting"))
+    of_drift = F.when(F.col("drifting") >= 5, "critical").when(F.col("drifting") > 0, "warn").otherwise("ok")
+    worst = F.when(of_drift.eqNullSafe("critical") | F.col("of_count").eqNullSafe("critical"), "critical").when((of_drift == "warn") | (F.col("of_count") == "warn"), "warn").otherwise("ok")
+    return drifting.join(counts, "brand").select("brand", "drifting", "n", "expected", worst.alias("severity"))
 
 
 ENTRIES = "entry AS (SELECT * FROM (VALUES ('daily_total', 'BUILDING', DATE '1996-01-01', DATE '1998-12-31', 1000000, 'known campaign'), ('daily_total', NULL, DATE '2000-01-01', DATE '2001-12-31', 1000000, 'end of data')) t(c, b, first, last, most, reason))"

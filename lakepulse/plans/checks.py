@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from lakepulse.operators import activity as act
 from lakepulse.operators import checks, labels
 from lakepulse.operators.ranks import quantiles
 from lakepulse.sources import lens
@@ -122,18 +123,38 @@ def leak_1(spark, d):
     return both.groupBy("cutoff").agg(F.count("*").alias("n"), F.round(own, 6).alias("own_match"), F.round(later, 6).alias("later_match"), F.count_if(v > F.col("own")).alias("higher"), F.count_if(v < F.col("own")).alias("lower"), (later > own + 0.05).alias("leaks"))
 
 
-@query("leak_4_day_profile", with_("activity") + f""", {pl.CUT}, {pl.FEATURES}, o AS (SELECT DISTINCT cutoff, player_id, day - cutoff AS k FROM cut JOIN activity ON active AND day >= cutoff - 29 AND day <= cutoff + 14),
-g AS (SELECT unnest(generate_series(-29, 14)) AS k), s AS (SELECT count(*) AS n, sum(bets_l30d) AS sx, sum(bets_l30d * bets_l30d) AS sxx FROM features), y AS (SELECT o.k, count(*) AS sy, sum(bets_l30d) AS sxy FROM o JOIN features USING (cutoff, player_id) GROUP BY o.k)
-SELECT CAST(k AS INT) AS k, sy AS active, round((n * sxy - sx * sy) / sqrt((n * sxx - sx * sx)::DOUBLE * (n * sy - sy * sy)), 6) AS correlation FROM g JOIN y USING (k), s""")
+#: Columns of short and long look-backs whose daily profile is drawn, by their days.
+PROFILED = {"bets_l7d": 7, "wagered_c_l7d": 7, "bets_l30d": 30, "active_days_l90d": 90}
+PROFILE = f"""p_ AS (SELECT DISTINCT cutoff, player_id FROM cut JOIN a ON day > cutoff - 30 AND day <= cutoff WHERE cutoff + 14 <= {pl.END_DAY}), l_ AS ({" UNION ALL ".join(f"SELECT cutoff, player_id, '{c}' AS \"column\", {c} AS x FROM features" for c in PROFILED)}), q_ AS (SELECT l_.* FROM l_ SEMI JOIN p_ USING (cutoff, player_id)),
+r_ AS (SELECT *, rank() OVER (PARTITION BY cutoff, "column" ORDER BY x) + (count(*) OVER (PARTITION BY cutoff, "column", x) - 1) / 2.0::DOUBLE AS r FROM q_), t_ AS (SELECT cutoff, "column", count(*) AS n, sum(r) AS sr, sum(r * r) AS srr, count(DISTINCT x) AS k FROM r_ GROUP BY ALL),
+o_ AS (SELECT DISTINCT cutoff, player_id, CAST(day - cutoff AS INT) AS k FROM cut JOIN a ON day >= cutoff - 29 AND day <= cutoff + 14), y_ AS (SELECT cutoff, "column", o_.k, count(*) AS m, sum(r) AS rm FROM r_ JOIN o_ USING (cutoff, player_id) GROUP BY ALL),
+profile AS (SELECT cutoff, "column", y_.k AS "offset", m AS active, CASE WHEN m < n AND n * srr > sr * sr THEN (n * rm - sr * m) / sqrt((n * srr - sr * sr) * (CAST(n AS DOUBLE) * m - CAST(m AS DOUBLE) * m)) END AS correlation FROM y_ JOIN t_ USING (cutoff, "column") WHERE t_.k > 1)"""
+
+
+def profile_rows(spark, d):
+    """(cutoff, player_id, columns), and (cutoff, player_id, offset) of their active days from 29 before to 14 after, of the cutoffs that have 14 days after them."""
+    days, cuts = lens.activity(spark, d).where("active"), pl.cut(spark, d)
+    end = days.agg(F.max("day").alias("_end"))
+    people = act.population(lens.activity(spark, d), cuts, 30).join(F.broadcast(end)).where(F.date_add("cutoff", 14) <= F.col("_end"))
+    rows = pl.feat(spark, d).select("cutoff", "player_id", *PROFILED).join(people.select("cutoff", "player_id"), ["cutoff", "player_id"], "left_semi")
+    on = labels._windowed(days, cuts, 30, 14).select("cutoff", "player_id", F.datediff("day", "cutoff").alias("offset")).distinct()
+    return rows, on
+
+
+@query("leak_4_day_profile", with_("activity") + f', {pl.CUT}, {pl.ACTIVE}, {pl.FEATURES}, {PROFILE} SELECT cutoff, "column", "offset", active, round(correlation, 6) AS correlation FROM profile')
 def leak_4(spark, d):
-    """LEAK-4: correlation of a look-back with activity on the day k days off, for k = -29..14; sums only, no row per day without activity."""
-    rows = labels._windowed(lens.activity(spark, d).where("active"), pl.cut(spark, d), 30, 14)
-    on = rows.select("cutoff", "player_id", F.datediff("day", "cutoff").alias("k")).distinct()
-    f = pl.feat(spark, d).select("cutoff", "player_id", F.col("bets_l30d").alias("x"))
-    all_ = f.agg(F.count("*").alias("n"), F.sum("x").alias("sx"), F.sum(F.col("x") * F.col("x")).alias("sxx"))
-    y = on.join(f, ["cutoff", "player_id"]).groupBy("k").agg(F.count("*").alias("active"), F.sum("x").alias("sxy")).join(F.broadcast(all_))
-    c = lambda name: F.col(name).cast("double")
-    return y.select("k", "active", F.round((c("n") * c("sxy") - c("sx") * c("active")) / F.sqrt((c("n") * c("sxx") - c("sx") * c("sx")) * (c("n") * c("active") - c("active") * c("active"))), 6).alias("correlation"))
+    """LEAK-4: per snapshot and column, the rank correlation with activity on each day around the snapshot: it drops where the window ends."""
+    rows, on = profile_rows(spark, d)
+    return checks.day_profile(rows, on, list(PROFILED)).withColumn("correlation", F.round("correlation", 6))
+
+
+@query("leak_4_window_ends", with_("activity") + f""", {pl.CUT}, {pl.ACTIVE}, {pl.FEATURES}, {PROFILE}, m_ AS (SELECT "column", "offset", avg(correlation) AS c FROM profile GROUP BY ALL),
+d_ AS (SELECT "column", "offset", avg(c) OVER (PARTITION BY "column" ORDER BY "offset" ROWS BETWEEN 6 PRECEDING AND CURRENT ROW) - avg(c) OVER (PARTITION BY "column" ORDER BY "offset" ROWS BETWEEN 1 FOLLOWING AND 7 FOLLOWING) AS fall FROM m_)
+SELECT "column", arg_max("offset", fall) AS window_end, round(max(fall), 6) AS fall, arg_max("offset", fall) <= 3 AS holds FROM d_ WHERE "offset" BETWEEN -23 AND 7 GROUP BY "column" """)
+def leak_4_ends(spark, d):
+    """LEAK-4, LEAK-5: the day after which a column's mean profile falls the most; a window must not end more than three days after the snapshot."""
+    rows, on = profile_rows(spark, d)
+    return checks.window_ends(checks.day_profile(rows, on, list(PROFILED)))
 
 
 @query("leak_5_windows", with_("activity") + f""", {pl.CUT}, {pl.FEATURES}, o AS (SELECT cutoff, player_id, count(*) FILTER (day <= cutoff) AS own, count(*) FILTER (day > cutoff - 23) AS later FROM cut JOIN activity ON active AND day > cutoff - 30 AND day <= cutoff + 7 GROUP BY ALL),

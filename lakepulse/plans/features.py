@@ -22,7 +22,7 @@ def _sums(windows: dict[str, tuple[int, int]]) -> str:
     out = []
     for name, (near, far) in windows.items():
         w = f"cutoff - day >= {near} AND cutoff - day < {far}"
-        out += [f"count(*) FILTER (deposits > 0 AND {w}) AS days_{name}", f"CAST(coalesce(sum(deposits) FILTER ({w}), 0) AS BIGINT) AS n_{name}", f"CAST(coalesce(sum(deposit_c) FILTER ({w}), 0) AS BIGINT) AS sum_{name}"]
+        out += [f"count(*) FILTER (deposits > 0 AND {w}) AS days_{name}", f"CAST(coalesce(sum(deposits) FILTER ({w}), 0) AS BIGINT) AS n_{name}", f"CAST(coalesce(sum(deposit_c) FILTER ({w}), 0) AS BIGINT) AS sum_{name}", f"avg(deposit_c / deposits) FILTER (deposits > 0 AND {w}) AS mean_{name}"]
     return ", ".join(out)
 
 
@@ -31,7 +31,7 @@ CAST(coalesce(sum(withdraw_c) FILTER (cutoff - day < 30), 0) AS BIGINT) AS withd
 paid AS (SELECT cutoff, player_id, CAST(least(coalesce(cutoff - last_deposit, 31), 31) AS INT) AS days_since_last_deposit, days_7 AS n_deposit_days_7d, days_30 AS n_deposit_days_30d, sum_30 AS deposits_c_l30d, CASE WHEN sum_30 > 0 THEN withdraw_30 / sum_30 END AS withdrawals_30d_share,
 CASE WHEN sum_prior30 > 0 THEN sum_30 / sum_prior30 END AS deposits_30_vs_prior30, CAST(coalesce(cutoff - last_deposit < 3, false) AS INT) AS deposited_within_3d, CAST(coalesce(cutoff - last_deposit < 7, false) AS INT) AS deposited_within_7d, CAST(coalesce(cutoff - last_deposit < 14, false) AS INT) AS deposited_within_14d,
 CASE WHEN n_30 = 0 THEN 0 ELSE greatest(0, least(100, 50 + 50 * greatest(-1, least(1, (n_7 / 7.0::DOUBLE) / (n_30 / 30.0::DOUBLE) - 1)))) END AS deposit_frequency_score, failed_deposits_14d, (days_30 + 1) / (days_prior30 + 1) AS deposit_days_ratio_30_vs_prior30,
-CASE WHEN n_30 > 0 AND n_30_120 > 0 AND sum_30_120 > 0 THEN (sum_30 / n_30) / (sum_30_120 / n_30_120) END AS deposit_size_trend, CAST(coalesce(last_withdrawal > coalesce(last_deposit, DATE '1900-01-01'), false) AS INT) AS withdrawal_no_redeposit,
+CASE WHEN mean_30_120 > 0 THEN round(mean_30 / mean_30_120, 6) END AS deposit_size_trend, CAST(coalesce(last_withdrawal >= coalesce(last_deposit, DATE '1900-01-01'), false) AS INT) AS withdrawal_no_redeposit,
 CASE WHEN sum_30 > 0 THEN sum_7 / (sum_30 / 30.0::DOUBLE * 7) ELSE 0 END AS deposit_velocity FROM s)"""
 
 

@@ -5,8 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from lakepulse.operators import activity as act
 from lakepulse.operators import evaluate as ev
+from lakepulse.operators import frame
 from lakepulse.sources import lens
+from lakepulse.sources.lake import kept
 from lakepulse.sources.lens import with_
 
 from . import players as pl
@@ -26,14 +29,35 @@ def join_2(spark, d):
     return labels._windowed(lens.activity(spark, d).where("active"), pl.cut(spark, d), 30, 30).select("cutoff", "player_id").distinct()
 
 
-@query("join_8_star", with_("activity") + f""", {pl.CUT}, {pl.FEATURES} SELECT f.cutoff, f.player_id, f.bets_l90d, coalesce(p.bets_l90d, 0) AS bets_l90d_p, (f.bets_l90d + 1) / (coalesce(p.bets_l90d, 0) + 1) AS ratio
-FROM features f LEFT JOIN features p ON p.player_id = f.player_id AND p.cutoff = CAST(f.cutoff - INTERVAL 3 MONTH AS DATE)""")
+#: Daily snapshots at each cutoff, and 7 and 30 days before it, of those active in the 30 days before the cutoff.
+SNAPSHOTS = f"""ask AS MATERIALIZED (SELECT DISTINCT CAST(cutoff - lag AS DATE) AS d, player_id FROM (SELECT cutoff, a.player_id FROM cut JOIN a ON day > cutoff - 30 AND day <= cutoff), (SELECT unnest([0, 7, 30]) AS lag)),
+s1 AS (SELECT d, player_id, CAST(sum(sessions) AS BIGINT) AS s7, CAST(sum(seconds) AS BIGINT) AS t7 FROM ask JOIN play_days USING (player_id) WHERE day > d - 7 AND day <= d GROUP BY ALL), s2 AS (SELECT d, player_id, count(DISTINCT game_id) AS g30 FROM ask JOIN lines USING (player_id) WHERE day > d - 30 AND day <= d GROUP BY ALL),
+s3 AS (SELECT d, player_id, count(*) FILTER (day > d - 30) AS a30, count(*) FILTER (day <= d - 30) AS p30 FROM ask JOIN a USING (player_id) WHERE day > d - 60 AND day <= d GROUP BY ALL),
+snap AS MATERIALIZED (SELECT d, player_id, coalesce(s7, 0) AS s7, coalesce(t7, 0) AS t7, coalesce(g30, 0) AS g30, coalesce(a30, 0) AS a30, coalesce(p30, 0) AS p30 FROM ask LEFT JOIN s1 USING (d, player_id) LEFT JOIN s2 USING (d, player_id) LEFT JOIN s3 USING (d, player_id))"""
+
+
+def daily_snapshots(spark, d):
+    days, cuts = lens.activity(spark, d), pl.cut(spark, d)
+    people = act.population(days, cuts, 30)
+    lags = F.explode(F.array(F.lit(0), F.lit(7), F.lit(30))).alias("lag")
+    asked = people.select("cutoff", "player_id", "brand", lags).select(F.date_sub("cutoff", F.col("lag")).alias("cutoff"), "player_id", "brand").distinct()
+    return kept(frame.snapshots(days, lens.cash(spark, d), lens.play_days(spark, d), lens.game_days(spark, d), asked)), people.select("cutoff", "player_id")
+
+
+@query("join_8_star", with_("activity", "play_days") + f""", {pl.CUT}, {pl.ACTIVE}, {SNAPSHOTS}, now AS (SELECT DISTINCT cutoff, a.player_id FROM cut JOIN a ON day > cutoff - 30 AND day <= cutoff)
+SELECT cutoff, player_id, n.s7 AS sessions_l7d, (n.s7 + 1) / (coalesce(p.s7, 0) + 1) AS session_ratio_7_vs_prior7, CASE WHEN n.s7 > 0 AND p.s7 > 0 AND p.t7 > 0 THEN (n.t7 / n.s7) / (p.t7 / p.s7) END AS session_length_ratio, n.g30 AS games_breadth_30d, (n.g30 + 1) / (coalesce(q.g30, 0) + 1) AS games_breadth_ratio
+FROM now JOIN snap n ON n.d = cutoff AND n.player_id = now.player_id LEFT JOIN snap p ON p.d = cutoff - 7 AND p.player_id = now.player_id LEFT JOIN snap q ON q.d = cutoff - 30 AND q.player_id = now.player_id""".replace("SELECT cutoff, player_id, n.s7", "SELECT cutoff, now.player_id, n.s7"))
 def join_8(spark, d):
-    """JOIN-8, F30, F46: a snapshot and the one before; none counts 0."""
-    now = pl.feat(spark, d).select("cutoff", "player_id", "bets_l90d")
-    before = now.select(F.add_months("cutoff", 3).alias("cutoff"), "player_id", F.col("bets_l90d").alias("bets_l90d_p"))
-    both = now.join(before, ["cutoff", "player_id"], "left").withColumn("bets_l90d_p", F.coalesce("bets_l90d_p", F.lit(0)))
-    return both.withColumn("ratio", (F.col("bets_l90d") + 1) / (F.col("bets_l90d_p") + 1))
+    """JOIN-8, F30, F46, F47: the snapshot of a cutoff with those of 7 and 30 days before; none counts 0."""
+    snaps, people = daily_snapshots(spark, d)
+    rows = frame.star(snaps, (7, 30), ["sessions_l7d", "play_secs_l7d", "games_breadth_l30d"]).join(people, ["cutoff", "player_id"], "left_semi")
+    c, zero = F.col, lambda x: F.coalesce(x, F.lit(0))
+    per = lambda t, n: F.when((c(n) > 0) & (c(t) > 0), c(t) / F.when(c(n) > 0, c(n)))
+    now = F.when(c("sessions_l7d") > 0, c("play_secs_l7d") / F.when(c("sessions_l7d") > 0, c("sessions_l7d")))
+    return rows.select(
+        "cutoff", "player_id", "sessions_l7d", ((c("sessions_l7d") + 1) / (zero(c("sessions_l7d_p7")) + 1)).alias("session_ratio_7_vs_prior7"), (now / per("play_secs_l7d_p7", "sessions_l7d_p7")).alias("session_length_ratio"),
+        c("games_breadth_l30d").alias("games_breadth_30d"), ((c("games_breadth_l30d") + 1) / (zero(c("games_breadth_l30d_p30")) + 1)).alias("games_breadth_ratio"),
+    )
 
 
 @query("join_9_outer_merge", "WITH a AS (SELECT user_id, CAST(ts AS DATE) AS day, count(*) AS views FROM events WHERE event_type = 'view' GROUP BY ALL), b AS (SELECT user_id, CAST(ts AS DATE) AS day, count(*) AS clicks FROM events WHERE event_type = 'click' GROUP BY ALL) SELECT user_id, day, coalesce(views, 0) AS views, coalesce(clicks, 0) AS clicks FROM a FULL JOIN b USING (user_id, day)")
@@ -42,14 +66,14 @@ def join_9(spark, d):
     return per("view", "views").join(per("click", "clicks"), ["user_id", "day"], "full").na.fill(0, ["views", "clicks"])
 
 
-@query("join_14_lag", with_("activity") + f""", {pl.CUT}, {pl.FEATURES} SELECT f.cutoff, count(*) AS n, count(*) FILTER (f.prior_active_days_l90d = p.active_days_l90d) AS equal, count(*) FILTER (f.prior_active_days_l90d > p.active_days_l90d) AS higher
-FROM features f JOIN features p ON p.player_id = f.player_id AND p.cutoff = CAST(f.cutoff - INTERVAL 3 MONTH AS DATE) GROUP BY f.cutoff""")
+@query("join_14_lag", with_("activity", "play_days") + f""", {pl.CUT}, {pl.ACTIVE}, {SNAPSHOTS}, now AS (SELECT DISTINCT cutoff, a.player_id FROM cut JOIN a ON day > cutoff - 30 AND day <= cutoff)
+SELECT cutoff, count(*) AS n, count(*) FILTER (n.p30 = q.a30) AS equal, count(*) FILTER (n.p30 > q.a30) AS higher FROM now JOIN snap n ON n.d = cutoff AND n.player_id = now.player_id JOIN snap q ON q.d = cutoff - 30 AND q.player_id = now.player_id GROUP BY cutoff""")
 def join_14(spark, d):
-    """JOIN-14, CHK-4: the prior window against the window of the snapshot before."""
-    now = pl.feat(spark, d).select("cutoff", "player_id", "prior_active_days_l90d", "active_days_l90d")
-    before = now.select(F.add_months("cutoff", 3).alias("cutoff"), "player_id", F.col("active_days_l90d").alias("was"))
-    c = F.col("prior_active_days_l90d")
-    return now.join(before, ["cutoff", "player_id"]).groupBy("cutoff").agg(F.count("*").alias("n"), F.count_if(c == F.col("was")).alias("equal"), F.count_if(c > F.col("was")).alias("higher"))
+    """JOIN-14, CHK-4: the prior window of a snapshot against the window of the daily snapshot exactly 30 days before: all are equal."""
+    snaps, people = daily_snapshots(spark, d)
+    rows = frame.star(snaps, (30,), ["active_days_l30d"]).join(people, ["cutoff", "player_id"], "left_semi").where("active_days_l30d_p30 is not null")
+    prior, was = F.col("prior_active_days_l30d"), F.col("active_days_l30d_p30")
+    return rows.groupBy("cutoff").agg(F.count("*").alias("n"), F.count_if(prior == was).alias("equal"), F.count_if(prior > was).alias("higher"))
 
 
 @query("join_16_brand_fill", with_("players") + ", e AS (SELECT user_id, CASE WHEN event_id % 3 = 0 THEN NULL ELSE 'STATED' END AS stated FROM events) SELECT coalesce(stated, brand, 'none') AS brand, stated IS NULL AS brand_filled, count(*) AS n FROM e LEFT JOIN players ON player_id = user_id GROUP BY ALL")

@@ -104,7 +104,7 @@ def slice_(spark, d):
 
 
 def _dormancy_sql(k: int) -> str:
-    back = f"gap > {k} AND cutoff - day + gap < 180"
+    back = f"gap > {k}"
     return f"count(*) FILTER ({back}) AS prior_dormancy_spells_{k}d, CAST(coalesce(min(cutoff - day) FILTER ({back}), 181) AS INT) AS days_since_last_return_{k}d"
 
 
@@ -285,9 +285,19 @@ def bt_3(spark, d):
     return ev.replay(rows, {"recency": "s", "value": "pv"}, "player_id", "y", "v", 100, ["cutoff"])
 
 
-@query("alrt_4_psi", with_("activity") + f""", {SCORED}, e AS (SELECT list_distinct(quantile_cont(ad, [0.1,0.2,0.3,0.4,0.5,0.6,0.7,0.8,0.9])) AS edges FROM sc WHERE cutoff < DATE '1999-01-01'),
-b AS (SELECT len(list_filter(edges, lambda x: x < ad)) AS bin, count(*) FILTER (cutoff < DATE '1999-01-01') AS e, count(*) FILTER (cutoff >= DATE '1999-01-01') AS a FROM sc, e GROUP BY bin),
+#: Cutoffs before the middle of those there are make the reference.
+MIDDLE = "mid AS (SELECT min(cutoff) + CAST((max(cutoff) - min(cutoff)) // 2 AS INT) AS m FROM cut)"
+
+
+def middle(rows):
+    ends = rows.agg(F.min("cutoff").alias("_a"), F.max("cutoff").alias("_b"))
+    return ends.select(F.date_add("_a", F.floor(F.datediff("_b", "_a") / 2).cast("int")).alias("middle"))
+
+
+@query("alrt_4_psi", with_("activity") + f""", {SCORED}, {MIDDLE}, e AS (SELECT list_distinct(quantile_cont(ad, [0, 0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9, 1])) AS q, count(DISTINCT ad) <= 10 AS single FROM sc, mid WHERE cutoff < m),
+b AS (SELECT CASE WHEN single THEN ad ELSE len(list_filter(list_sort(q)[2:len(q) - 1], lambda x: x <= ad)) END AS bin, count(*) FILTER (cutoff < m) AS e, count(*) FILTER (cutoff >= m) AS a FROM sc, e, mid GROUP BY bin),
 s AS (SELECT greatest(1e-4, e / sum(e) OVER ()) AS e, greatest(1e-4, a / sum(a) OVER ()) AS a FROM b) SELECT round(sum((a - e) * ln(a / e)), 6) AS psi FROM s""")
 def alrt_4(spark, d):
-    rows = scored(spark, d)
-    return ev.psi(rows.where("cutoff < date'1999-01-01'"), rows.where("cutoff >= date'1999-01-01'"), "ad")
+    """ALRT-4: stability of the active days of the later cutoffs against the earlier ones."""
+    rows = scored(spark, d).join(F.broadcast(middle(cut(spark, d))))
+    return ev.psi(rows.where("cutoff < middle"), rows.where("cutoff >= middle"), "ad")
