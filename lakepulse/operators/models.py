@@ -18,6 +18,8 @@ from pyspark.ml.regression import IsotonicRegression
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from lakepulse.sources.lake import kept
+
 from .evaluate import auc, calibration
 from .ranks import attach, placed, quantiles
 
@@ -72,6 +74,48 @@ def screen(rows: DataFrame, features: list[str], missing: float = 0.4, mode: flo
     return found.select("feature", F.round(F.col("nulls") / F.col("n"), 6).alias("missing"), F.round(F.coalesce("top", F.lit(0)) / F.col("n"), 6).alias("mode_share"), ((F.col("nulls") / F.col("n") <= missing) & (F.coalesce("top", F.lit(0)) / F.col("n") <= mode)).alias("stays"))
 
 
+def dependent(rows: DataFrame, features: list[str], label: str, most: int = 50) -> dict[str, str]:
+    """ML-11: features that are a function of another discrete one (at most `most` values), and of which: each value of the other goes with a
+    single value. Of two that carry the same the one of less power alone goes. One pass counts the distinct partners of each value for
+    all pairs; what the driver sees is a flag per pair.
+    """
+    counted = rows.agg(*[F.approx_count_distinct(c).alias(c) for c in features]).first()
+    likely = [c for c in features if counted[c] <= 2 * most]
+    if not likely:
+        return {}
+    tuples = kept(rows.groupBy(*likely).agg(F.count("*").alias("_n")))
+    exact = tuples.agg(*[F.count_distinct(c).alias(c) for c in likely]).first()
+    discrete = [c for c in likely if exact[c] <= most]
+    if len(discrete) < 2:
+        return {}
+    cells = F.explode(F.array(*[F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), F.col(a).cast("double").alias("x"), F.col(b).cast("double").alias("y")) for a in discrete for b in discrete if a != b]))
+    pairs = tuples.select(cells.alias("c")).select("c.*").where("x is not null and y is not null").distinct()
+    partners = pairs.groupBy("a", "b", "y").agg(F.count("*").alias("k")).groupBy("a", "b").agg(F.max("k").alias("k"))
+    function = {(r["a"], r["b"]) for r in partners.where("k = 1").collect()}
+    long = rows.select(label, F.explode(F.array(*[F.struct(F.lit(c).alias("feature"), F.col(c).cast("double").alias("x")) for c in discrete])).alias("c")).select(label, "c.*")
+    power = {r["feature"]: abs((r["auc"] or 0.5) - 0.5) for r in auc(long, "x", label, ["feature"]).collect()}
+    gone: dict[str, str] = {}
+    for a in discrete:
+        for b in discrete:
+            if a == b or a in gone or b in gone or (a, b) not in function or ((b, a) in function and power.get(a, 0) > power.get(b, 0)):
+                continue
+            gone[a] = b
+    return gone
+
+
+def prune(ranked: list[str], score, tolerance: float) -> tuple[list[str], float, list[tuple[int, float]]]:
+    """ML-14: the smallest number of first features of a ranking whose score is within `tolerance` of that of all, its score, and what was tried.
+
+    score fits and scores a list of features, as Spark jobs; nested sets are tried from one feature on until one is good enough."""
+    full, tried = score(ranked), []
+    for k in range(1, len(ranked)):
+        own = score(ranked[:k])
+        tried.append((k, own))
+        if own >= full - tolerance:
+            return ranked[:k], own, tried
+    return list(ranked), full, tried
+
+
 def level_shift(rows: DataFrame, p: str, by: list[str], rate: str, steps: int = 40) -> DataFrame:
     """ML-7: the log-odds shift (within 2) that makes the mean probability of each group its rate, by bisection.
 

@@ -56,6 +56,26 @@ def ml_11(spark, d):
     return models.screen(pl.feat(spark, d), ["bets_l30d", "heavy_loss_multiple", "days_since_last_bet"])
 
 
+@query("ml_11_dependence")
+def ml_11_dependence(spark, d):
+    """ML-11: features that are a function of another one, of frequencies, flags and parts of the date: the month gives the quarter, and a
+    recency in weeks comes from none of them. A row per feature that goes."""
+    f = pl.slice_(spark, d).where("event_60d is not null").withColumn("month", F.month("cutoff")).withColumn("quarter", F.quarter("cutoff")).withColumn("weeks", F.expr("days_since_last_bet div 7"))
+    names = ["month", "quarter", "weeks", "active_days_l30d", "active_days_l90d", "heavy_loss_flag"]
+    return spark.createDataFrame(sorted(models.dependent(f, names, "event_60d").items()), "feature string, function_of string")
+
+
+@query("ml_14_pruning")
+def ml_14_pruning(spark, d):
+    """ML-14: features by permutation importance, and the smallest number of first ones whose logistic model is within 0.005 of the AUC of all."""
+    train, test = split_(spark, d)
+    ranked = models.permutation_importance(train, test, FOUR, "y", ["cutoff", "player_id"]).orderBy(F.desc("fall"), "feature").collect()
+    names = [r["feature"] for r in ranked]
+    score = lambda own: ev.auc(models.logistic(train, test, own, "y").withColumn("p", F.round("p", 6)).withColumn("all", F.lit(1)), "p", "y", ["all"]).first()["auc"]
+    kept_, auc, _ = models.prune(names, score, 0.005)
+    return spark.createDataFrame([(i, r["feature"], float(r["fall"]), r["feature"] in kept_, float(auc)) for i, r in enumerate(ranked, 1)], "place int, feature string, fall double, kept boolean, auc double")
+
+
 @query("ml_7_level_shift")
 def ml_7(spark, d):
     """ML-7: per brand, the shift that brings mean recency scores to the observed churn rate."""

@@ -275,16 +275,6 @@ def win_13(spark, d):
     return ev.deciles(scored(spark, d), "p", "player_id", ["cutoff", "brand"]).select("cutoff", "brand", "player_id", "decile")
 
 
-@query("bt_3_replay", with_("activity") + f""", {SCORED}, q AS (SELECT *, y * greatest(v, 0) AS yv, p * greatest(v, 0) AS pv FROM sc),
-r AS (SELECT *, row_number() OVER (PARTITION BY cutoff ORDER BY s DESC, player_id) AS rs, row_number() OVER (PARTITION BY cutoff ORDER BY pv DESC, player_id) AS rv FROM q),
-t AS (SELECT 'recency' AS ranking, * FROM r WHERE rs <= 100 UNION ALL SELECT 'value', * FROM r WHERE rv <= 100), w AS (SELECT cutoff, sum(y) AS ye, sum(yv) AS yve FROM q GROUP BY cutoff)
-SELECT cutoff, ranking, count(*) AS contacts, CAST(sum(y) AS BIGINT) AS events, CAST(sum(yv) AS BIGINT) AS value, round(sum(y) / nullif(any_value(ye), 0), 6) AS event_share, round(sum(yv) / nullif(any_value(yve), 0), 6) AS value_share FROM t JOIN w USING (cutoff) GROUP BY cutoff, ranking""")
-def bt_3(spark, d):
-    """BT-3, TOPK-3: the 100 first contacts of each cutoff by two rankings."""
-    rows = scored(spark, d).withColumn("pv", F.col("p") * F.greatest(F.col("v"), F.lit(0)))
-    return ev.replay(rows, {"recency": "s", "value": "pv"}, "player_id", "y", "v", 100, ["cutoff"])
-
-
 #: Cutoffs before the middle of those there are make the reference.
 MIDDLE = "mid AS (SELECT min(cutoff) + CAST((max(cutoff) - min(cutoff)) // 2 AS INT) AS m FROM cut)"
 
