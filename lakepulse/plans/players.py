@@ -9,6 +9,7 @@ from lakepulse.operators import evaluate as ev
 from lakepulse.operators import labels, sessions, signals
 from lakepulse.operators.ranks import attach, quantiles
 from lakepulse.sources import lens
+from lakepulse.sources.lake import kept
 from lakepulse.sources.lens import with_
 
 from .registry import query
@@ -99,8 +100,9 @@ def feat(spark, d):
 
 @query("slice_churn_rfm", with_("activity") + f", {CUT}, {ACTIVE}, {POP}, {LABELS}, {FEATURES} SELECT * FROM labels JOIN features USING (cutoff, player_id, brand)")
 def slice_(spark, d):
-    """The flagship: churn labels and recency, frequency and value features at monthly cutoffs."""
-    return lab(spark, d).join(feat(spark, d), ["cutoff", "player_id", "brand"])
+    """The flagship: churn labels and recency, frequency and value features at monthly cutoffs. Player-days are built once for both."""
+    days, cuts = kept(lens.activity(spark, d)), cut(spark, d)
+    return labels.churn_labels(days, cuts, None, 60, 180).join(labels.rfm_features(days, cuts, WINDOWS), ["cutoff", "player_id", "brand"])
 
 
 def _dormancy_sql(k: int) -> str:
