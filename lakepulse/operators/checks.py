@@ -84,3 +84,40 @@ def window_ends(profile: DataFrame, around: int = 7, slack: int = 3) -> DataFram
     enough = (F.count("*").over(w.rowsBetween(1 - around, 0)) == around) & (F.count("*").over(w.rowsBetween(1, around)) == around)
     found = mean.withColumn("fall", F.when(enough, fall)).where("fall is not null").groupBy("column").agg(F.max(F.struct("fall", (-F.col("offset")).alias("early"))).alias("f"))
     return found.select("column", (-F.col("f.early")).alias("window_end"), F.round("f.fall", 6).alias("fall"), (-F.col("f.early") <= slack).alias("holds"))
+
+
+def recomputation(stored: DataFrame, own: DataFrame, later: DataFrame, columns: list[str], rtol: float = 0.02, atol: float = 0.5) -> DataFrame:
+    """LEAK-1: (cutoff, column, players, table_zero, match, table_higher, table_lower, match_ahead) of stored (cutoff, player_id, columns) against
+    the same computed again as of its day (own), and some days later (later, null where the data don't reach). What isn't there counts 0;
+    rows without a stored value don't count. All columns take one pass."""
+    side = lambda d, p: d.select("cutoff", "player_id", *[F.col(c).cast("double").alias(f"{p}{c}") for c in columns])
+    rows = side(stored, "t_").join(side(own, "m_"), ["cutoff", "player_id"], "left").join(side(later, "a_").withColumn("_ahead", F.lit(True)), ["cutoff", "player_id"], "left")
+    known = rows.groupBy("cutoff").agg(F.coalesce(F.bool_or("_ahead"), F.lit(False)).alias("_ahead_known"))
+    measures = []
+    for c in columns:
+        t, m, a = F.col(f"t_{c}"), F.coalesce(f"m_{c}", F.lit(0.0)), F.coalesce(f"a_{c}", F.lit(0.0))
+        close = lambda x, t=t: F.abs(t - x) <= atol + rtol * F.abs(x)
+        share = lambda e, t=t: F.avg(F.when(t.isNotNull(), e.cast("int")))
+        measures += [share(t == 0).alias(f"z_{c}"), share(close(m)).alias(f"o_{c}"), share((t > m) & ~close(m)).alias(f"h_{c}"), share((t < m) & ~close(m)).alias(f"l_{c}"), share(close(a)).alias(f"p_{c}")]
+    wide = rows.groupBy("cutoff").agg(F.count("*").alias("players"), *measures).join(known, "cutoff")
+    cell = lambda c: F.struct(F.lit(c).alias("column"), F.col(f"z_{c}").alias("table_zero"), F.col(f"o_{c}").alias("match"), F.col(f"h_{c}").alias("table_higher"), F.col(f"l_{c}").alias("table_lower"), F.when(F.col("_ahead_known"), F.col(f"p_{c}")).alias("match_ahead"))
+    return wide.select("cutoff", "players", F.explode(F.array(*[cell(c) for c in columns])).alias("c")).select("cutoff", "players", "c.*")
+
+
+def leak_verdicts(per: DataFrame, least: float = 0.95, gain: float = 0.05) -> DataFrame:
+    """LEAK-1: (column, days, median_match, worst_match, leak_days, verdict, status) from recomputation(): a column leaks if on any day it matches
+    the later days better by `gain`; else it is OK, BROKEN or mostly OK by how many days match. status lists runs of days, a day that can't be
+    told having that of the day before. A column has a row per snapshot."""
+    leaks = F.coalesce(F.col("match_ahead") > F.col("match") + gain, F.lit(False))
+    ok = F.col("match") >= least
+    w = Window.partitionBy("column").orderBy("cutoff").rowsBetween(Window.unboundedPreceding, 0)
+    told = F.when(ok, "OK").when(leaks, "leak").when(F.col("match_ahead").isNotNull(), "mismatch")
+    rows = per.withColumn("_told", told).withColumn("status", F.coalesce(F.last("_told", ignorenulls=True).over(w), F.lit("mismatch")))
+    changed = F.coalesce((F.col("status") != F.lag("status").over(Window.partitionBy("column").orderBy("cutoff"))).cast("int"), F.lit(1))
+    runs = rows.withColumn("_new", changed).withColumn("_run", F.sum("_new").over(w)).groupBy("column", "_run", "status").agg(F.min("cutoff").alias("a"), F.max("cutoff").alias("b"))
+    month = lambda c: F.date_format(c, "yyyy-MM")
+    text = F.concat("status", F.lit(" "), month("a"), F.when(F.col("b") > F.col("a"), F.concat(F.lit(" to "), month("b"))).otherwise(""))
+    listed = runs.groupBy("column").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("_run", text.alias("t")))), lambda e: e["t"]), "; ").alias("status"))
+    n, good, leak_days = F.count("*"), F.count_if(ok), F.count_if(leaks)
+    verdict = F.when(leak_days > 0, "LEAK").when(good == n, "OK").when(good == 0, "BROKEN").otherwise(F.concat(F.lit("MOSTLY OK ("), good, F.lit("/"), n, F.lit(")")))
+    return per.groupBy("column").agg(n.alias("days"), F.round(F.median("match"), 6).alias("median_match"), F.round(F.min("match"), 6).alias("worst_match"), leak_days.alias("leak_days"), verdict.alias("verdict")).join(listed, "column")

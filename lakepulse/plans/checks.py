@@ -6,9 +6,10 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from lakepulse.operators import activity as act
-from lakepulse.operators import checks, labels
+from lakepulse.operators import checks, frame, labels
 from lakepulse.operators.ranks import quantiles
 from lakepulse.sources import lens
+from lakepulse.sources.lake import kept
 from lakepulse.sources.lens import with_
 
 from . import players as pl
@@ -141,6 +142,52 @@ def profile_rows(spark, d):
     return rows, on
 
 
+RECHECKED = ["days_since_last_bet", "avg_bet_c_l30d", *frame.RECOMPUTED]
+#: One column of the stored table is as of seven days later from the middle of the cutoffs on, another is always one too high, as a test of the checks.
+AHEAD, HIGH = "ggr_c_l7d", "prior_bets_l30d"
+
+
+def _again(name: str, k: int) -> str:
+    age = f"(cutoff + {k} - day)"
+    of = {"active": "CAST(active AS INT)", "bets": "bets", "turnover_c": "turnover_c", "ggr_c": "ggr_c"}
+    sums = ", ".join(f"CAST(coalesce(sum({of[x]}) FILTER ({age} >= {a} AND {age} < {b}), 0) AS DOUBLE) AS {c}" for c, (x, a, b) in frame.RECOMPUTED.items())
+    return f"{name} AS (SELECT pp.cutoff, pp.player_id, CAST(min({age}) FILTER (active) AS DOUBLE) AS days_since_last_bet, sum(turnover_c) FILTER ({age} < 30) / nullif(sum(bets) FILTER ({age} < 30), 0) AS avg_bet_c_l30d, {sums} FROM pp JOIN activity USING (player_id) WHERE day <= cutoff + {k} GROUP BY ALL)"
+
+
+RECHECK = f"""pp AS (SELECT DISTINCT cutoff, player_id FROM cut JOIN a ON day > cutoff - 30 AND day <= cutoff), {pl.MIDDLE}, {_again("own_", 0)}, {_again("later_", 7)},
+stored_ AS (SELECT own_.* REPLACE (CASE WHEN own_.cutoff >= m THEN later_.{AHEAD} ELSE own_.{AHEAD} END AS {AHEAD}, own_.{HIGH} + 1 AS {HIGH}) FROM own_ JOIN later_ USING (cutoff, player_id), mid),
+x_ AS ({" UNION ALL ".join(f"SELECT o.cutoff, '{c}' AS \"column\", s.{c} AS t, coalesce(o.{c}, 0) AS m, CASE WHEN o.cutoff + 7 <= {pl.END_DAY} THEN coalesce(l.{c}, 0) END AS a FROM stored_ s JOIN own_ o USING (cutoff, player_id) JOIN later_ l USING (cutoff, player_id)" for c in RECHECKED)}),
+per_ AS (SELECT cutoff, "column", count(*) AS players, avg(CAST(t = 0 AS INT)) FILTER (t IS NOT NULL) AS table_zero, avg(CAST(abs(t - m) <= 0.5 + 0.02 * abs(m) AS INT)) FILTER (t IS NOT NULL) AS "match", avg(CAST(t > m AND abs(t - m) > 0.5 + 0.02 * abs(m) AS INT)) FILTER (t IS NOT NULL) AS table_higher,
+ avg(CAST(t < m AND abs(t - m) > 0.5 + 0.02 * abs(m) AS INT)) FILTER (t IS NOT NULL) AS table_lower, avg(CAST(abs(t - a) <= 0.5 + 0.02 * abs(a) AS INT)) FILTER (t IS NOT NULL) AS match_ahead FROM x_ GROUP BY ALL)"""
+
+
+def rechecked(spark, d):
+    days, cuts = kept(lens.activity(spark, d)), pl.cut(spark, d)
+    asked = act.population(days, cuts, 30)
+    own, later = (kept(frame.recomputed(days, asked, k)) for k in (0, 7))
+    mid, end = pl.middle(cuts), days.agg(F.max("day").alias("_end"))
+    ahead = later.select("cutoff", "player_id", F.col(AHEAD).alias("_ahead"))
+    stored = own.join(ahead, ["cutoff", "player_id"]).join(F.broadcast(mid)).withColumn(AHEAD, F.when(F.col("cutoff") >= F.col("middle"), F.col("_ahead")).otherwise(F.col(AHEAD))).withColumn(HIGH, F.col(HIGH) + 1)
+    known = later.join(F.broadcast(end)).where(F.date_add("cutoff", 7) <= F.col("_end"))
+    return checks.recomputation(stored, own, known, RECHECKED)
+
+
+@query("leak_1_columns", with_("activity") + f", {pl.CUT}, {pl.ACTIVE}, {RECHECK} SELECT cutoff, \"column\", players, round(table_zero, 6) AS table_zero, round(\"match\", 6) AS \"match\", round(table_higher, 6) AS table_higher, round(table_lower, 6) AS table_lower, round(match_ahead, 6) AS match_ahead FROM per_")
+def leak_1_columns(spark, d):
+    """LEAK-1: each stored look-back against the same computed again as of its day and of seven days later, per snapshot."""
+    found = rechecked(spark, d)
+    return found.select("cutoff", "column", "players", *[F.round(c, 6).alias(c) for c in ("table_zero", "match", "table_higher", "table_lower", "match_ahead")])
+
+
+@query("leak_1_verdicts", with_("activity") + f""", {pl.CUT}, {pl.ACTIVE}, {RECHECK}, st_ AS (SELECT *, "match" >= 0.95::DOUBLE AS ok, coalesce(match_ahead > "match" + 0.05::DOUBLE, false) AS leaks FROM per_), sv_ AS (SELECT *, coalesce(last_value(CASE WHEN ok THEN 'OK' WHEN leaks THEN 'leak' WHEN match_ahead IS NOT NULL THEN 'mismatch' END IGNORE NULLS) OVER (PARTITION BY "column" ORDER BY cutoff), 'mismatch') AS s FROM st_),
+sr_ AS (SELECT *, sum(CAST(s IS DISTINCT FROM p AS INT)) OVER (PARTITION BY "column" ORDER BY cutoff) AS run FROM (SELECT *, lag(s) OVER (PARTITION BY "column" ORDER BY cutoff) AS p FROM sv_)), su_ AS (SELECT "column", run, s || ' ' || strftime(min(cutoff), '%Y-%m') || CASE WHEN max(cutoff) > min(cutoff) THEN ' to ' || strftime(max(cutoff), '%Y-%m') ELSE '' END AS t FROM sr_ GROUP BY "column", run, s),
+sl_ AS (SELECT "column", string_agg(t, '; ' ORDER BY run) AS status FROM su_ GROUP BY "column")
+SELECT "column", count(*) AS days, round(median("match"), 6) AS median_match, round(min("match"), 6) AS worst_match, count(*) FILTER (leaks) AS leak_days, CASE WHEN count(*) FILTER (leaks) > 0 THEN 'LEAK' WHEN count(*) FILTER (ok) = count(*) THEN 'OK' WHEN count(*) FILTER (ok) = 0 THEN 'BROKEN' ELSE 'MOSTLY OK (' || count(*) FILTER (ok) || '/' || count(*) || ')' END AS verdict, any_value(status) AS status FROM st_ JOIN sl_ USING ("column") GROUP BY "column" """)
+def leak_1_verdicts(spark, d):
+    """LEAK-1: a verdict per column, and from when to when it holds: one column leaks from the middle on, one is broken, the others are right."""
+    return checks.leak_verdicts(kept(rechecked(spark, d)))
+
+
 @query("leak_4_day_profile", with_("activity") + f', {pl.CUT}, {pl.ACTIVE}, {pl.FEATURES}, {PROFILE} SELECT cutoff, "column", "offset", active, round(correlation, 6) AS correlation FROM profile')
 def leak_4(spark, d):
     """LEAK-4: per snapshot and column, the rank correlation with activity on each day around the snapshot: it drops where the window ends."""
