@@ -50,14 +50,13 @@ def window_check(snapshots: DataFrame, daily: DataFrame, key: str, value: str, s
 def shift_sweep(stored: DataFrame, days: DataFrame, key: str, at: str, value: str, shifts: tuple[int, int]) -> DataFrame:
     """LEAK-2, LEAK-3: how often a stored recency equals the one recomputed as of the day plus s, for each shift s.
 
-    The days of a player meet the player's rows once; every shift is an expression over that.
+    Each row asks for its shifts in one order of a player's days: the last day so far is a running maximum, whatever the history's length.
     """
-    rows = stored.join(days.select(key, "day").distinct(), key).where(F.col("day") <= F.date_add(at, shifts[1]))
-    every = range(shifts[0], shifts[1] + 1)
-    last = rows.groupBy(key, at, value).agg(*[F.max(F.when(F.col("day") <= F.date_add(at, s), F.col("day"))).alias(f"s{s - shifts[0]}") for s in every])
-    match = [F.struct(F.lit(s).alias("shift"), F.datediff(F.date_add(at, s), F.col(f"s{s - shifts[0]}")).alias("days")) for s in every]
-    long = last.select(value, F.explode(F.array(*match)).alias("m")).select(value, "m.*")
-    return long.groupBy("shift").agg(F.count("days").alias("n"), F.count_if(F.col("days") == F.col(value)).alias("matches"), F.round(F.count_if(F.col("days") == F.col(value)) / F.count("*"), 6).alias("share"))
+    asked = stored.select(key, at, value, F.explode(F.sequence(F.lit(shifts[0]), F.lit(shifts[1]))).alias("shift")).withColumn("_t", F.date_add(at, F.col("shift")))
+    rows = days.select(key, F.col("day").alias("_t"), F.col("day").alias("_day")).distinct().withColumn("_kind", F.lit(0)).unionByName(asked.withColumn("_kind", F.lit(1)), allowMissingColumns=True)
+    so_far = Window.partitionBy(key).orderBy("_t", "_kind").rowsBetween(Window.unboundedPreceding, 0)
+    found = rows.withColumn("_last", F.max("_day").over(so_far)).where("_kind = 1").select("shift", value, F.datediff("_t", "_last").alias("days"))
+    return found.groupBy("shift").agg(F.count("days").alias("n"), F.count_if(F.col("days") == F.col(value)).alias("matches"), F.round(F.count_if(F.col("days") == F.col(value)) / F.count("*"), 6).alias("share"))
 
 
 def monotone(columns: list[str]) -> Column:

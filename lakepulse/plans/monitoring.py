@@ -6,8 +6,9 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from lakepulse.operators import evaluate as ev
+from lakepulse.operators import activity as act
 from lakepulse.operators import labels, monitor, profiles
-from lakepulse.operators.ranks import placed
+from lakepulse.operators.ranks import attach, placed, quantiles
 from lakepulse.sources import lens
 from lakepulse.sources.lens import with_
 
@@ -149,8 +150,10 @@ def dist_2(spark, d):
     """DIST-1, DIST-2, DIST-4"""
     v = F.col("value")
     stats = lens.table(spark, d, "events").groupBy("event_type").agg(
-        F.count(v).alias("n"), F.countDistinct(v).alias("distinct"), F.count_if(v == 0).alias("zeros"), F.count_if(v < 0).alias("negatives"), profiles.sample_skewness("value").alias("skewness"), F.max(F.abs(v)).alias("largest"), F.percentile(F.when(v != 0, F.abs(v)), 0.99).alias("p99")
+        F.count(v).alias("n"), F.countDistinct(v).alias("distinct"), F.count_if(v == 0).alias("zeros"), F.count_if(v < 0).alias("negatives"), profiles.sample_skewness("value").alias("skewness"), F.max(F.abs(v)).alias("largest")
     )
+    sizes = lens.table(spark, d, "events").where(v != 0).select("event_type", F.abs(v).alias("size"))
+    stats = attach(stats, quantiles(sizes, "size", ["event_type"], [0.99]).select("event_type", F.col("q")[0].alias("p99")), ["event_type"], "left")
     return profiles.kind(stats).select("event_type", "n", "kind", "extreme")
 
 
@@ -176,11 +179,10 @@ def ml_1(spark, d):
 x AS (SELECT pop.cutoff, t FROM pop LEFT JOIN n USING (cutoff, player_id)) SELECT cutoff, CAST(k AS INT) AS k, count(*) AS n, count(*) FILTER (coalesce(t, 99999) > k) AS silent_k, count(*) FILTER (coalesce(t, 99999) > 60) AS silent_60 FROM x, (VALUES (14), (21), (30), (45)) v(k) GROUP BY ALL""")
 def ml_8(spark, d):
     """ML-8, BT-6: players silent k days after a cutoff and after 60."""
-    found = pl.lab(spark, d)
-    a = lens.activity(spark, d).where("active").select("player_id", "day").distinct()
-    later = found.select("cutoff", "player_id").join(a, "player_id").where("day > cutoff").groupBy("cutoff", "player_id").agg(F.datediff(F.min("day"), F.col("cutoff")).alias("t"))
+    days, cuts = lens.activity(spark, d), pl.cut(spark, d)
+    later = labels._windowed(days.where("active").select("player_id", "day"), cuts, 0, 60).groupBy("cutoff", "player_id").agg(F.min(F.datediff("day", "cutoff")).alias("t"))
     t = F.coalesce("t", F.lit(99999))
-    rows = found.select("cutoff", "player_id").join(later, ["cutoff", "player_id"], "left").withColumn("k", F.explode(F.array(*[F.lit(k) for k in (14, 21, 30, 45)])))
+    rows = act.population(days, cuts, 180).select("cutoff", "player_id").join(later, ["cutoff", "player_id"], "left").withColumn("k", F.explode(F.array(*[F.lit(k) for k in (14, 21, 30, 45)])))
     return rows.groupBy("cutoff", "k").agg(F.count("*").alias("n"), F.count_if(t > F.col("k")).alias("silent_k"), F.count_if(t > 60).alias("silent_60"))
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from lakepulse.operators import activity as act
 from lakepulse.operators import evaluate as ev
 from lakepulse.operators import frame
+from lakepulse.operators.ranks import attach, quantiles
 from lakepulse.sources import lens
 from lakepulse.sources.lake import kept
 from lakepulse.sources.lens import with_
@@ -109,8 +110,10 @@ FROM stakes JOIN players USING (player_id) GROUP BY GROUPING SETS ((brand), ())"
 def agg_20(spark, d):
     rows = lens.stakes(spark, d).join(lens.players(spark, d), "player_id")
     c = F.col("stake_c")
-    found = rows.rollup("brand").agg(F.count("*").alias("n"), F.round(F.count_if(c < 1000000) / F.count("*"), 6).alias("below"), F.round(F.count_if(c > 40000000) / F.count("*"), 6).alias("above"), F.round(F.percentile(c, 0.5), 4).alias("median"), F.round(F.percentile(c, 0.99), 4).alias("p99"))
-    return found.withColumn("brand", F.coalesce("brand", F.lit("all")))
+    rows = kept(rows.select("stake_c", F.explode(F.array("brand", F.lit("all"))).alias("brand")))
+    found = rows.groupBy("brand").agg(F.count("*").alias("n"), F.round(F.count_if(c < 1000000) / F.count("*"), 6).alias("below"), F.round(F.count_if(c > 40000000) / F.count("*"), 6).alias("above"))
+    q = quantiles(rows, "stake_c", ["brand"], [0.5, 0.99]).select("brand", F.round(F.col("q")[0], 4).alias("median"), F.round(F.col("q")[1], 4).alias("p99"))
+    return attach(found, q, ["brand"])
 
 
 @query("agg_21_session_checks", f"WITH {pl.SESSIONS} SELECT minutes, count(*) AS n, count(*) FILTER (seconds > 86400) AS over_a_day, count(*) FILTER (events = 1 AND seconds > 0) AS single_with_length, count(*) FILTER (events > 1 AND seconds = 0) AS many_without_length, round(count(*) FILTER (events = 1) / count(*), 6) AS single_share FROM x GROUP BY minutes")
