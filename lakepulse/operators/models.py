@@ -55,7 +55,8 @@ def horizon_calibrated(valid: DataFrame, rows: DataFrame, t: str, event: str, ho
 
 def segments(rows: DataFrame, features: list[str], ks: tuple[int, ...] = (3, 4, 5), seed: int = 7) -> DataFrame:
     """ML-10: k-means on standardised features, k by silhouette, segments numbered by size, the largest first."""
-    prepared = Pipeline(stages=[VectorAssembler(inputCols=features, outputCol="_raw"), StandardScaler(inputCol="_raw", outputCol="_x", withMean=True)]).fit(rows).transform(rows).drop("_raw").cache()
+    prepared = Pipeline(stages=[VectorAssembler(inputCols=features, outputCol="_raw"), StandardScaler(inputCol="_raw", outputCol="_x", withMean=True)]).fit(rows).transform(rows).drop("_raw")
+    prepared = kept(prepared)
     best = None
     for k in ks:
         found = KMeans(k=k, seed=seed, featuresCol="_x", predictionCol="_k").fit(prepared).transform(prepared)
