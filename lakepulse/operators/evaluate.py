@@ -31,10 +31,11 @@ def average_precision(rows: DataFrame, score: str, label: str, by: list[str]) ->
     return found.groupBy(*by).agg(F.round(F.sum(F.col("pos") * precision) / F.sum("pos"), 6).alias("average_precision"))
 
 
-def roc(rows: DataFrame, score: str, label: str) -> DataFrame:
-    """EVAL-17: points of the ROC curve, one for each distinct score."""
-    found = running(_by_score(rows, score, label, []), [], "s", {"tp": F.col("pos"), "fp": F.col("neg")}, descending=True)
-    return found.select("s", F.round((F.col("tp") + F.col("pos")) / F.col("tp_all"), 6).alias("tpr"), F.round((F.col("fp") + F.col("neg")) / F.col("fp_all"), 6).alias("fpr"))
+def roc(rows: DataFrame, score: str, label: str, by: list[str] | None = None) -> DataFrame:
+    """EVAL-17: points of the ROC curve of each group, one for each distinct score."""
+    by = by or []
+    found = running(_by_score(rows, score, label, by), by, "s", {"tp": F.col("pos"), "fp": F.col("neg")}, descending=True)
+    return found.select(*by, "s", F.round((F.col("tp") + F.col("pos")) / F.col("tp_all"), 6).alias("tpr"), F.round((F.col("fp") + F.col("neg")) / F.col("fp_all"), 6).alias("fpr"))
 
 
 def losses(rows: DataFrame, p: str, label: str, by: list[str], clip: float = 1e-6) -> DataFrame:
@@ -57,11 +58,16 @@ def calibration_error(rows: DataFrame, p: str, label: str, by: list[str], bins:
     return per.groupBy(*by).agg((F.sum(F.col("_n") * F.col("_gap")) / F.sum("_n")).alias("ece"))
 
 
-def top_share(rows: DataFrame, score: str, label: str, key: str, by: list[str], share: float = 0.1) -> DataFrame:
-    """EVAL-4, TOPK-2: precision, recall and lift of the max(1, round(n*share)) highest scores."""
+def top_counts(rows: DataFrame, score: str, label: str, key: str, by: list[str], share: float = 0.1) -> DataFrame:
+    """(by, k, hits, pos, n): events among the k = max(1, round(n*share)) highest scores, ties by the key, and among all."""
     ranked = placed(rows, by, score, key)
     top = F.col("place") <= F.greatest(F.lit(1), F.floor(F.col("size") * share + 0.5))
-    sums = ranked.groupBy(*by).agg(F.count_if(top).alias("k"), F.sum(F.when(top, F.col(label)).otherwise(0)).alias("hits"), F.sum(label).alias("pos"), F.count("*").alias("n"))
+    return ranked.groupBy(*by).agg(F.count_if(top).alias("k"), F.sum(F.when(top, F.col(label)).otherwise(0)).alias("hits"), F.sum(label).alias("pos"), F.count("*").alias("n"))
+
+
+def top_share(rows: DataFrame, score: str, label: str, key: str, by: list[str], share: float = 0.1) -> DataFrame:
+    """EVAL-4, TOPK-2: precision, recall and lift of the max(1, round(n*share)) highest scores."""
+    sums = top_counts(rows, score, label, key, by, share)
     return sums.select(*by, "k", "n", F.round(F.col("hits") / F.col("k"), 6).alias("precision"), F.round(F.col("hits") / F.when(F.col("pos") > 0, F.col("pos")), 6).alias("recall"), F.round(F.col("hits") / F.col("k") / F.when(F.col("pos") > 0, F.col("pos") / F.col("n")), 6).alias("lift"))
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import functions as F
 
 from lakepulse.operators import alerts, quality
@@ -152,15 +154,24 @@ def rec_1(spark, d):
     return quality.messages(m, "folder", "day", ["user_id", "event_type", "k"], "k")
 
 
-@query("rec_5_period_totals", with_("gaming", "stakes") + """, x AS (SELECT player_id, sum(stake_c) AS a FROM gaming WHERE day BETWEEN DATE '1996-01-01' AND DATE '1998-12-31' GROUP BY ALL), y AS (SELECT player_id, sum(stake_c) AS b FROM stakes WHERE day BETWEEN DATE '1995-12-01' AND DATE '1998-12-31' GROUP BY ALL),
+@query("rec_5_period_totals", with_("gaming", "stakes") + """, e AS (SELECT min(day) + CAST((max(day) - min(day)) // 4 AS INT) AS a, min(day) + CAST((max(day) - min(day)) * 3 // 4 AS INT) AS b FROM stakes), x AS (SELECT player_id, sum(stake_c) AS a FROM gaming, e WHERE day BETWEEN e.a AND e.b GROUP BY ALL), y AS (SELECT player_id, sum(stake_c) AS b FROM stakes, e WHERE day BETWEEN e.a - 30 AND e.b GROUP BY ALL),
 j AS (SELECT coalesce(a, 0) AS a, coalesce(b, 0) AS b FROM x FULL JOIN y USING (player_id))
 SELECT count(*) AS n_keys, count(*) FILTER (abs(a - b) > 0.01 AND abs(a - b) > 0.001::DOUBLE * greatest(abs(a), abs(b))) AS problems_stake_c, CAST(sum(a) AS BIGINT) AS stake_c_left, CAST(sum(b) AS BIGINT) AS stake_c_right FROM j""")
 def rec_5(spark, d):
-    """REC-5: totals of a period by either side's own dating, the second with a month of late folders."""
+    """REC-5: totals of the middle half of the data's days by either side's own dating, the second with 30 days of late folders. The first is
+    read from day folders of the lake, of which only those of the period are listed and read."""
     from lakepulse.operators.keys import compare_totals
-
-    left = lens.gaming(spark, d).where("day between date'1996-01-01' and date'1998-12-31'")
-    right = lens.stakes(spark, d).where("day between date'1995-12-01' and date'1998-12-31'")
+    from lakepulse.sources import lake
+
+    stakes = lens.stakes(spark, d)
+    ends = stakes.agg(F.min("day").alias("lo"), F.datediff(F.max("day"), F.min("day")).alias("span")).first()
+    at = lambda share: ends["lo"] + dt.timedelta(days=ends["span"] * share // 4)
+    path = lake.work_folder(spark, "lines")
+    months = lens.gaming(spark, d).select("player_id", "stake_c", "day").withColumn("folder", F.trunc("day", "month"))
+    months.repartition("folder").write.partitionBy("folder").parquet(path)
+    first_folder = at(1).replace(day=1)
+    left = lake.read_days(spark, path, str(first_folder), str(at(3))).where(F.col("day").between(F.lit(at(1)), F.lit(at(3))))
+    right = stakes.where(F.col("day").between(F.date_sub(F.lit(at(1)), 30), F.lit(at(3))))
     return compare_totals(left.select("player_id", "stake_c"), right.select("player_id", "stake_c"), ["player_id"], ["stake_c"])
 
 

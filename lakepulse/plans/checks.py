@@ -34,45 +34,67 @@ def udf_1(spark, d):
 
 
 FORMULAS = {
-    "payout = stake * (1 - discount)": ("payout_c", "stake_c * 0.95", "identity"), "payout <= stake": ("payout_c", "least(payout_c, stake_c)", "bound"),
-    "ggr = stake - payout": ("stake_c - payout_c", "stake_c - payout_c", "identity"), "payout = 0.9 stake": ("payout_c", "stake_c * 0.9", "rtp"), "payout about stake": ("payout_c / 100", "stake_c / 100 - 0.05 * stake_c / 100", "rtp"),
+    "trend of the stake": ("wagered_trend_7", "(wagered_c_l7d + 1) / (prior_wagered_c_l7d + 1)", "wagered_trend_7"),
+    "trend without the one": ("wagered_trend_7", "wagered_c_l7d / nullif(prior_wagered_c_l7d, 0)", "wagered_trend_7"),
+    "trend of days": ("active_days_7_vs_prior7", "(active_days_l7d + 1) / (prior_active_days_l7d + 1)", "active_days_7_vs_prior7"),
+    "mean bet of 30 days": ("avg_bet_c_l30d", "wagered_c_l30d / nullif(bets_l30d, 0)", "avg_bet_c_l30d"),
+    "mean bet of 90 days": ("avg_bet_c_l30d", "wagered_c_l90d / nullif(bets_l90d, 0)", "avg_bet_c_l30d"),
+    "loss is won money": ("net_loss_7d", "ggr_c_l7d", "net_loss_7d"),
+    "loss is lost money": ("net_loss_7d", "-ggr_c_l7d", "net_loss_7d"),
+    "multiple of the month": ("heavy_loss_multiple", "ggr_c_l7d / nullif(ggr_c_l30d / 30 * 7, 0)", "heavy_loss_multiple"),
+    "flag of multiples over 2": ("heavy_loss_flag", "CASE WHEN net_loss_7d > 0 AND heavy_loss_multiple > 2 THEN 1 ELSE 0 END", "heavy_loss_flag"),
+    "share of bonus": ("bonus_stake_share_30d", "bonus_c_l30d / nullif(wagered_c_l30d, 0)", "bonus_stake_share_30d"),
+    "tenure covers recency": ("greatest(days_since_first_bet, least(days_since_last_bet, 150))", "days_since_first_bet", "days_since_first_bet"),
+    "half of the days": ("prior_active_days_l30d", "active_days_l30d", "prior_active_days_l30d"),
+    "nothing to compare": ("nullif(bets_l7d, bets_l7d)", "bets_l7d", "bets_l7d"),
 }
+#: Columns that a column is made of, if these are columns of the table.
+NEEDS = (("heavy_loss_flag", "heavy_loss_multiple"), ("heavy_loss_flag", "net_loss_7d"), ("wagered_trend_7", "net_loss_7d"), ("active_days_7_vs_prior7", "prior_active_days_l7d"))
+ATOL, RTOL = 1e-6, 1e-3
 
 
 def _formula_sql(name: str, f: tuple[str, str, str]) -> str:
-    return f"SELECT '{name}' AS \"check\", '{f[2]}' AS \"group\", count(*) FILTER (t IS NOT NULL AND e IS NOT NULL) AS n, count(*) FILTER (abs(t - e) <= 1 + 0.05::DOUBLE * abs(e)) AS ok FROM (SELECT CAST({f[0]} AS DOUBLE) AS t, CAST({f[1]} AS DOUBLE) AS e FROM gaming)"
+    return f"SELECT '{name}' AS \"check\", '{f[2]}' AS \"group\", count(*) FILTER (t IS NOT NULL AND e IS NOT NULL) AS n, count(*) FILTER (abs(t - e) <= {ATOL}::DOUBLE + {RTOL}::DOUBLE * abs(e)) AS ok FROM (SELECT CAST({f[0]} AS DOUBLE) AS t, CAST({f[1]} AS DOUBLE) AS e FROM features)"
 
 
 VERDICTS = f"""r AS ({" UNION ALL ".join(_formula_sql(k, f) for k, f in FORMULAS.items())}), v AS (SELECT *, CASE WHEN n = 0 THEN 'no data' WHEN ok / n >= 0.99 THEN 'passes' WHEN ok / n >= 0.95 THEN 'almost' ELSE 'fails' END AS verdict FROM r),
 g AS (SELECT *, CASE WHEN verdict = 'fails' OR verdict = 'almost' AND bool_or(verdict = 'passes') OVER (PARTITION BY "group") THEN 'rejected' WHEN verdict = 'no data' THEN 'unchecked' ELSE 'kept' END AS decision FROM v)"""
 
 
-@query("chk_7_groups", with_("gaming") + f", {VERDICTS} SELECT * FROM g")
+@query("chk_7_groups", with_("activity") + f", {pl.CUT}, {pl.FEATURES}, {VERDICTS} SELECT * FROM g")
 def chk_7(spark, d):
-    """CHK-1, CHK-2, CHK-6, CHK-7, UDF-2: checks given as text, and what is rejected in each hypothesis group."""
-    return checks.verdicts(lens.gaming(spark, d), FORMULAS)
+    """CHK-1, CHK-2, CHK-6, CHK-7, UDF-2: formulas of stored features, given as text: verdicts, and what is rejected in each group of hypotheses."""
+    return checks.verdicts(pl.feat(spark, d), FORMULAS, ATOL, RTOL)
 
 
-@query("chk_8_column_status", with_("gaming") + f""", {VERDICTS}, c AS (SELECT "group" AS "column", count(*) FILTER (decision = 'rejected') AS rejected, count(*) FILTER (decision = 'kept') AS kept FROM g GROUP BY ALL),
-a AS (SELECT * FROM (VALUES ('identity', 'rtp'), ('rtp', 'bound'), ('none', 'bound')) t("column", needs))
+@query("chk_8_column_status", with_("activity") + f""", {pl.CUT}, {pl.FEATURES}, {VERDICTS}, c AS (SELECT "group" AS "column", count(*) FILTER (decision = 'rejected') AS rejected, count(*) FILTER (decision = 'kept') AS kept FROM g GROUP BY ALL),
+n_ AS (SELECT * FROM (VALUES {", ".join(map(str, NEEDS))}) t("column", needs))
 SELECT c."column", CASE WHEN rejected > 0 AND kept = 0 THEN 'wrong' WHEN bool_or(coalesce(w, false)) THEN 'affected' WHEN rejected > 0 THEN 'unconfirmed' WHEN kept > 0 THEN 'correct' ELSE 'unchecked' END AS status
-FROM c LEFT JOIN a ON a."column" = c."column" LEFT JOIN (SELECT "column" AS needs, rejected > kept AS w FROM c) x USING (needs) GROUP BY c."column", rejected, kept""")
+FROM c LEFT JOIN n_ ON n_."column" = c."column" LEFT JOIN (SELECT "column" AS needs, rejected > kept AS w FROM c) x USING (needs) GROUP BY c."column", rejected, kept""")
 def chk_8(spark, d):
     """CHK-8: wrong, affected by an input that is wrong, unconfirmed, correct or unchecked."""
     per = chk_7(spark, d).groupBy(F.col("group").alias("column")).agg(F.count_if(F.col("decision") == "rejected").alias("rejected"), F.count_if(F.col("decision") == "kept").alias("kept"))
-    needs = spark.sql("SELECT * FROM VALUES ('identity', 'rtp'), ('rtp', 'bound'), ('none', 'bound') AS t(column, needs)")
-    return checks.column_status(per, needs)
+    return checks.column_status(per, spark.createDataFrame(list(NEEDS), "column string, needs string"))
 
 
-@query("chk_10_verdict_points", with_("gaming", "stakes") + """, f AS (SELECT (SELECT count(*) FROM gaming) AS rows_g, (SELECT count(*) FROM stakes) AS rows_s, (SELECT sum(stake_c) FROM gaming) AS sum_g, (SELECT sum(stake_c) FROM stakes) AS sum_s)
-SELECT 'rows' AS point, rows_g < rows_s AS fails FROM f UNION ALL SELECT 'totals', abs(sum_g - sum_s) > 0.001::DOUBLE * sum_s FROM f UNION ALL SELECT 'no_rows', rows_g = 0 OR rows_s = 0 FROM f""")
+#: Rules on facts of two tables, g and s, by name; text that both engines read.
+POINTS = {
+    "rows": "n_g < n_s", "totals": "abs(sum_g - sum_s) > 0.001 * sum_s", "no_rows": "n_g = 0 OR n_s = 0", "players_lost": "players_g < 0.99 * players_s", "first_day": "first_g > first_s", "last_day": "last_g < last_s",
+    "days_missing": "days_g < 0.95 * days_s", "negative": "low_g < 0 OR low_s < 0", "orders_lost": "orders_g < orders_s",
+}
+FACTS = {"n": "count(*)", "sum": "sum(stake_c)", "players": "count(DISTINCT player_id)", "orders": "count(DISTINCT order_id)", "first": "min(day)", "last": "max(day)", "days": "count(DISTINCT day)", "low": "min(stake_c)"}
+
+
+def _facts(table: str, side: str) -> str:
+    return f"SELECT {', '.join(f'{e} AS {k}_{side}' for k, e in FACTS.items())} FROM {table}"
+
+
+@query("chk_10_verdict_points", with_("gaming", "stakes") + f", f AS (SELECT * FROM ({_facts('gaming', 'g')}), ({_facts('stakes', 's')})) " + " UNION ALL ".join(f"SELECT '{k}' AS point, {e} AS fails FROM f" for k, e in POINTS.items()))
 def chk_10(spark, d):
-    """CHK-10, UDF-4: rules on named facts, of one row."""
-    g = lens.gaming(spark, d).agg(F.count("*").alias("rows_g"), F.sum("stake_c").alias("sum_g"))
-    s = lens.stakes(spark, d).agg(F.count("*").alias("rows_s"), F.sum("stake_c").alias("sum_s"))
-    facts = g.unionByName(s, True)
-    facts = facts.agg(*[F.max(c).alias(c) for c in facts.columns])
-    return checks.points(facts, {"rows": "rows_g < rows_s", "totals": "abs(sum_g - sum_s) > 0.001 * sum_s", "no_rows": "rows_g = 0 OR rows_s = 0"})
+    """CHK-10, UDF-4: rules on named facts of two sources, each one row."""
+    side = lambda rows, s: rows.agg(*[F.expr(e).alias(f"{k}_{s}") for k, e in FACTS.items()])
+    facts = side(lens.gaming(spark, d), "g").join(F.broadcast(side(lens.stakes(spark, d), "s")))
+    return checks.points(facts, POINTS)
 
 
 @query("chk_11_plausible", with_("activity") + f", {pl.CUT}, {pl.FEATURES} SELECT cutoff, count(*) AS n, round(avg(CAST(bets_l30d >= active_days_l30d AS INT)), 6) AS bets_cover_days, round(avg(CAST(active_days_l7d BETWEEN 0 AND 7 AS INT)), 6) AS days_in_range, round(avg(CAST(days_since_first_bet >= days_since_last_bet AS INT)), 6) AS tenure_covers_recency, round(avg(CAST(wagered_c_l90d >= wagered_c_l30d AS INT)), 6) AS windows_grow FROM features GROUP BY cutoff")

@@ -13,21 +13,22 @@ from lakepulse.sources.lens import with_
 
 from . import players as pl
 from .registry import query
+from .survival import with_part
 
-#: Cutoffs before this learn, the others test.
-SPLIT = "date'1999-10-01'"
+#: The first 70% of the cutoffs learn, the others test; see survival.with_part.
+EARLY, LATER = "part = 'train'", "part <> 'train'"
 FOUR = ["days_since_last_bet", "active_days_l30d", "active_days_l90d", "bets_l180d"]
 
 
 def rows_(spark, d):
-    return pl.slice_(spark, d).where("event_60d is not null").select("cutoff", "player_id", "brand", F.col("event_60d").alias("y"), *FOUR, "ggr_c_l90d")
+    return pl.slice_(spark, d).where("event_60d is not null").select("cutoff", "player_id", "brand", F.col("event_60d").alias("y"), *FOUR, "ggr_c_l90d").transform(with_part)
 
 
 @query("ml_4_logistic_auc")
 def ml_4(spark, d):
-    """ML-4, EVAL-1: a logistic baseline on four features, trained before 1999-10, its AUC per later cutoff."""
+    """ML-4, EVAL-1: a logistic baseline on four features, trained on the first 70% of the cutoffs, its AUC per later cutoff."""
     rows = rows_(spark, d)
-    scored = models.logistic(rows.where("cutoff < date'1999-10-01'"), rows.where("cutoff >= date'1999-10-01'"), FOUR, "y")
+    scored = models.logistic(rows.where(EARLY), rows.where(LATER), FOUR, "y")
     return ev.auc(scored, "p", "y", ["cutoff"])
 
 
@@ -35,16 +36,16 @@ def ml_4(spark, d):
 def ml_5(spark, d):
     """ML-5, EVAL-3: calibrated probabilities in ten groups."""
     rows = rows_(spark, d)
-    train = rows.where("cutoff < date'1999-10-01'")
+    train = rows.where(EARLY)
     scored = models.logistic(train, rows, FOUR, "y")
-    later = models.isotonic(scored.where("cutoff < date'1999-10-01'"), scored.where("cutoff >= date'1999-10-01'"), "p", "y")
+    later = models.isotonic(scored.where(EARLY), scored.where(LATER), "p", "y")
     return ev.calibration(later, "calibrated", "y")
 
 
 @query("ml_10_segments")
 def ml_10(spark, d):
     """ML-10, RPT-8: segments of players with their size, share, churn and median per split. There are few segments."""
-    rows = rows_(spark, d).withColumn("part", F.when(F.expr(f"cutoff < {SPLIT}"), "train").otherwise("test"))
+    rows = rows_(spark, d).withColumn("part", F.when(F.expr(EARLY), "train").otherwise("test"))
     found = models.segments(rows, ["days_since_last_bet", "active_days_l90d", "bets_l180d"])
     per = found.groupBy("segment", "part").agg(F.count("*").alias("n"), F.round(F.avg("y"), 4).alias("churn"))
     middle = quantiles(found, "bets_l180d", ["segment", "part"], [0.5]).select("segment", "part", F.col("q")[0].alias("bets"))
@@ -86,16 +87,16 @@ def ml_7(spark, d):
 
 def split_(spark, d):
     """Rows that learn and rows that test, features as doubles; fits read them many times, so they are written once."""
-    rows = kept(rows_(spark, d).select("cutoff", "player_id", "brand", "y", *[F.col(c).cast("double").alias(c) for c in (*FOUR, "ggr_c_l90d")]))
-    return rows.where(f"cutoff < {SPLIT}"), rows.where(f"cutoff >= {SPLIT}")
+    rows = kept(rows_(spark, d).select("cutoff", "player_id", "brand", "y", "part", *[F.col(c).cast("double").alias(c) for c in (*FOUR, "ggr_c_l90d")]))
+    return rows.where(EARLY), rows.where(LATER)
 
 
 @query("ml_3_boosted_trees")
 def ml_3(spark, d):
-    """ML-3, BT-2: boosted trees stopped early on the last learning cutoffs; AUC per test cutoff."""
-    train, test = split_(spark, d)
-    train = train.withColumn("late", F.col("cutoff") >= F.lit("1999-06-01").cast("date"))
-    scored = models.boosted(train, test, FOUR, "y", "late")
+    """ML-3, BT-2: boosted trees stopped early on the validation cutoffs; AUC per test cutoff."""
+    train, later = split_(spark, d)
+    learn = train.unionByName(later.where("part = 'valid'")).withColumn("late", F.col("part") == "valid")
+    scored = models.boosted(learn, later.where("part = 'test'"), FOUR, "y", "late")
     return ev.auc(scored.withColumn("p", F.round("p", 6)), "p", "y", ["cutoff"])
 
 
@@ -110,19 +111,19 @@ def ml_6(spark, d):
 def ml_5_brand(spark, d):
     """ML-5: calibration per brand where it has rows enough, in ten groups."""
     train, test = split_(spark, d)
-    scored = models.logistic(train, train.unionByName(test), FOUR, "y").select("cutoff", "brand", "y", "p")
-    return ev.calibration(models.calibrated_by(scored.where(f"cutoff < {SPLIT}"), scored.where(f"cutoff >= {SPLIT}"), "p", "y", "brand"), "calibrated", "y")
+    scored = models.logistic(train, train.unionByName(test), FOUR, "y").select("cutoff", "part", "brand", "y", "p")
+    return ev.calibration(models.calibrated_by(scored.where(EARLY), scored.where(LATER), "p", "y", "brand"), "calibrated", "y")
 
 
 @query("ml_19_horizons")
 def ml_19(spark, d):
     """ML-19: a calibrator for each of 7, 14 and 30 days: mean calibrated probability and rate of the test cutoffs."""
-    rows = pl.slice_(spark, d).where("churn_within_30d is not null").select("cutoff", "days_since_last_bet", "churn_within_7d", "churn_within_14d", "churn_within_30d")
+    rows = with_part(pl.slice_(spark, d).where("churn_within_30d is not null").select("cutoff", "days_since_last_bet", "churn_within_7d", "churn_within_14d", "churn_within_30d"))
     rows = rows.withColumn("p", F.least(F.lit(1.0), F.coalesce("days_since_last_bet", F.lit(180)) / F.lit(180.0)))
     parts = []
     for h in (7, 14, 30):
-        own = rows.select("cutoff", "p", F.col(f"churn_within_{h}d").alias("y"))
-        found = models.isotonic(own.where(f"cutoff < {SPLIT}"), own.where(f"cutoff >= {SPLIT}"), "p", "y")
+        own = rows.select("cutoff", "part", "p", F.col(f"churn_within_{h}d").alias("y"))
+        found = models.isotonic(own.where(EARLY), own.where(LATER), "p", "y")
         parts.append(found.agg(F.lit(h).alias("horizon"), F.count("*").alias("n"), F.round(F.avg("calibrated"), 6).alias("mean_p"), F.round(F.avg("y"), 6).alias("rate")))
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
@@ -138,7 +139,7 @@ def ml_12(spark, d):
 @query("ml_13_adversarial")
 def ml_13(spark, d):
     """ML-13: how well the features tell learning from test cutoffs: an AUC near a half says that they are alike."""
-    rows = rows_(spark, d).withColumn("late", F.expr(f"cast(cutoff >= {SPLIT} as int)"))
+    rows = rows_(spark, d).withColumn("late", F.expr(f"cast({LATER} as int)"))
     even = F.pmod(F.xxhash64("player_id"), F.lit(2)) == 0
     scored = models.logistic(rows.where(even), rows.where(~even), FOUR, "late")
     return ev.auc(scored.withColumn("p", F.round("p", 6)), "p", "late", [])
@@ -211,9 +212,10 @@ def rpt_5(spark, d):
     """RPT-5: the test AUC over learning windows and seeds."""
     train, test = split_(spark, d)
     parts = []
-    for first in ("1995-01-01", "1998-01-01"):
+    train = kept(train.join(F.broadcast(pl.middle(train.select("cutoff").distinct()))))
+    for first, window in (("all", F.lit(True)), ("later half", F.col("cutoff") >= F.col("middle"))):
         for seed in (1, 2):
-            own = train.where(F.col("cutoff") >= F.lit(first).cast("date")).where(F.pmod(F.xxhash64("cutoff", "player_id", F.lit(seed)), F.lit(10)) < 8)
+            own = train.where(window).where(F.pmod(F.xxhash64("cutoff", "player_id", F.lit(seed)), F.lit(10)) < 8)
             parts.append(models.logistic(own, test, FOUR, "y").select(F.round("p", 6).alias("p"), "y", F.lit(first).alias("first"), F.lit(seed).alias("seed")))
     every = parts[0]
     for more in parts[1:]:

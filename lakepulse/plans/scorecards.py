@@ -59,6 +59,20 @@ def bt_2_by_cutoff(spark, d):
     return _rounded(sc.metrics_by(_compared(spark, d), "s", "y", "player_id", ["cutoff", "comparator"]), "rate", "mean_score", "ece")
 
 
+@query("eval_17_compared", with_("activity") + f""", {pl.SCORED}, src AS ({LONG}), b_ AS (SELECT comparator, s, sum(y) AS pos, count(*) - sum(y) AS neg FROM src WHERE y IS NOT NULL GROUP BY ALL), w_ AS (SELECT comparator, sum(pos) OVER x AS tp, sum(neg) OVER x AS fp, sum(pos) OVER (PARTITION BY comparator) AS p, sum(neg) OVER (PARTITION BY comparator) AS n FROM b_ WINDOW x AS (PARTITION BY comparator ORDER BY s DESC)),
+k_ AS (SELECT comparator, y, row_number() OVER (PARTITION BY comparator ORDER BY s DESC, id) AS place, greatest(1, floor(count(*) OVER (PARTITION BY comparator) * 0.1::DOUBLE + 0.5)) AS top FROM (SELECT *, player_id * 100000 + (cutoff - DATE '1990-01-01') AS id FROM src))
+SELECT comparator, 'curve' AS point, round(fp / n, 6) AS fpr, round(tp / p, 6) AS tpr FROM w_ UNION ALL SELECT comparator, 'top 10%', round(count(*) FILTER (place <= top AND y = 0) / count(*) FILTER (y = 0), 6), round(sum(y) FILTER (place <= top) / sum(y), 6) FROM k_ GROUP BY comparator""")
+def eval_17_compared(spark, d):
+    """EVAL-17: points of the ROC curves of a probability and its baselines, and where their top 10% lie."""
+    from lakepulse.operators import evaluate as ev
+
+    rows = kept(_compared(spark, d).withColumn("id", F.col("player_id") * 100000 + F.datediff("cutoff", F.lit("1990-01-01").cast("date"))))
+    curve = ev.roc(rows, "s", "y", ["comparator"]).select("comparator", F.lit("curve").alias("point"), "fpr", "tpr")
+    top = ev.top_counts(rows, "s", "y", "id", ["comparator"])
+    some = lambda c: F.when(c > 0, c)
+    return curve.unionByName(top.select("comparator", F.lit("top 10%").alias("point"), F.round((F.col("k") - F.col("hits")) / some(F.col("n") - F.col("pos")), 6).alias("fpr"), F.round(F.col("hits") / some(F.col("pos")), 6).alias("tpr")))
+
+
 SUMMED = ["auc", "top_precision", "top_recall", "log_loss", "brier", "ece"]
 
 

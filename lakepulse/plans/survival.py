@@ -132,14 +132,19 @@ PENALTIES = (0.0, 0.001, 0.01, 0.1)
 HORIZONS = (7, 14, 30, 60)
 
 
-def split_by_time(rows):
-    """(train, valid, test) by the order of the cutoffs that there are: the first 70%, then 15%, then the rest. There is a row per cutoff."""
+def with_part(rows):
+    """rows with part, by the order of the cutoffs that there are: the first 70% train, then 15% valid, the rest test. There is a row per cutoff."""
     from pyspark.sql import Window
 
     order = rows.select("cutoff").distinct().withColumn("_at", F.row_number().over(Window.orderBy("cutoff"))).withColumn("_n", F.count("*").over(Window.partitionBy()))
     part = F.when(F.col("_at") <= F.ceil(F.col("_n") * 0.7), "train").when(F.col("_at") <= F.ceil(F.col("_n") * 0.85), "valid").otherwise("test")
-    marked = kept(rows.join(F.broadcast(order.select("cutoff", part.alias("_part"))), "cutoff"))
-    return tuple(marked.where(F.col("_part") == p).drop("_part") for p in ("train", "valid", "test"))
+    return rows.join(F.broadcast(order.select("cutoff", part.alias("part"))), "cutoff")
+
+
+def split_by_time(rows):
+    """(train, valid, test) of rows, which are written once; see with_part."""
+    marked = kept(with_part(rows))
+    return tuple(marked.where(F.col("part") == p).drop("part") for p in ("train", "valid", "test"))
 
 
 def fitted_cox(spark, d):
