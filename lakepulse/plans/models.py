@@ -79,16 +79,14 @@ def ml_14_pruning(spark, d):
 
 @query("ml_7_level_shift")
 def ml_7(spark, d):
-    """ML-7: per brand, the shift that brings mean recency scores to the observed churn rate."""
+    """ML-7: per brand, the shift that brings mean recency scores to the observed churn rate: the median of the shifts that its last six months
+    need, and the least and greatest of them. There is a row per cutoff."""
     rows = pl.scored(spark, d).withColumn("p", F.greatest(F.lit(0.01), F.least(F.lit(0.99), F.col("p"))))
-    rates = rows.groupBy("brand").agg(F.avg("y").alias("rate"))
-    return models.level_shift(rows.join(F.broadcast(rates), "brand"), "p", ["brand"], "rate")
-
-
-def split_(spark, d):
-    """Rows that learn and rows that test, features as doubles; fits read them many times, so they are written once."""
-    rows = kept(rows_(spark, d).select("cutoff", "player_id", "brand", "y", "part", *[F.col(c).cast("double").alias(c) for c in (*FOUR, "ggr_c_l90d")]))
-    return rows.where(EARLY), rows.where(LATER)
+    last = rows.select("cutoff").distinct().withColumn("_place", F.row_number().over(Window.orderBy(F.desc("cutoff")))).where("_place <= 6").select("cutoff")
+    rows = kept(rows.join(F.broadcast(last), "cutoff", "left_semi").select("brand", "cutoff", "p", "y"))
+    rates = rows.groupBy("brand", "cutoff").agg(F.avg("y").alias("rate"))
+    shifts = models.level_shift(rows.join(rates, ["brand", "cutoff"]), "p", ["brand", "cutoff"], "rate")
+    return shifts.groupBy("brand").agg(F.count("*").alias("months"), F.round(F.median("shift"), 4).alias("shift"), F.min("shift").alias("least"), F.max("shift").alias("most"))
 
 
 @query("ml_3_boosted_trees")
