@@ -102,3 +102,9 @@ def inner_edges(rows: DataFrame, x: str, by: list[str], bins: int) -> DataFrame:
 def bin_of(x: Column, edges: str = "edges") -> Column:
     """The bin of x between edges; a value on an edge belongs to the bin below."""
     return F.size(F.filter(edges, lambda e: e < x))
+
+
+def correlation(a: str, b: str) -> Column:
+    """Pearson's correlation as an aggregate; null where either column has one value only."""
+    spread = F.stddev_pop(a) * F.stddev_pop(b)
+    return F.covar_pop(a, b) / F.when(spread > 0, spread)

@@ -9,7 +9,7 @@ from lakepulse.sources.lake import kept
 
 from . import evaluate as ev
 from . import shapes
-from .ranks import attach, average_rank, placed, quantiles
+from .ranks import attach, average_rank, correlation, placed, quantiles
 
 PROBABILITY = ("log_loss", "brier", "ece")
 RANKING = ("auc", "top_precision", "top_recall")
@@ -69,7 +69,7 @@ def overlaps(rows: DataFrame, a: str, b: str, key: str, by: list[str], share: fl
     r = placed(placed(rows.select(*by, key, a, b), by, a, key).withColumnRenamed("place", "_a").drop("size"), by, b, key).withColumnRenamed("place", "_b")
     ranked = average_rank(average_rank(r, by, a, "_ra"), by, b, "_rb")
     top = F.greatest(F.lit(1), F.floor(F.col("size") * share + 0.5))
-    return ranked.groupBy(*by).agg(F.count("*").alias("n"), F.corr("_ra", "_rb").alias("spearman"), (F.count_if((F.col("_a") <= top) & (F.col("_b") <= top)) / F.max(top)).alias("top_overlap"))
+    return ranked.groupBy(*by).agg(F.count("*").alias("n"), correlation("_ra", "_rb").alias("spearman"), (F.count_if((F.col("_a") <= top) & (F.col("_b") <= top)) / F.max(top)).alias("top_overlap"))
 
 
 def bin_expr(x: Column, scale: str, width: float) -> Column:

@@ -11,7 +11,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .ranks import attach, average_rank, bin_of, inner_edges, running
+from .ranks import attach, average_rank, bin_of, correlation, inner_edges, running
 from .shapes import normal_quantile
 
 
@@ -285,7 +285,7 @@ def proportional_hazards(rows: DataFrame, t: str, event: str, features: list[str
     within = lambda low, high: (F.col("day") > low) & (F.col("day") <= high)
     windows = long.groupBy("feature", "beta").agg(F.count("*").alias("events"), *[(F.avg(F.when(within(a, b), F.col("residual"))) + F.first("beta")).alias(name) for a, b, name in PH_WINDOWS])
     ranked = average_rank(average_rank(long, ["feature"], "residual", "rank_r"), ["feature"], "day", "rank_t")
-    rho = ranked.groupBy("feature").agg(F.corr("rank_r", "rank_t").alias("rho"))
+    rho = ranked.groupBy("feature").agg(correlation("rank_r", "rank_t").alias("rho"))
     values = F.array_compact(F.array(*[F.col(name) for _, _, name in PH_WINDOWS]))
     big = F.transform(F.filter(values, lambda b: F.abs(b) >= least), lambda b: F.abs(b))
     verdict = F.when(F.forall(values, lambda b: F.abs(b) < least), "negligible").when(F.exists(values, lambda b: b > least) & F.exists(values, lambda b: b < -least), "sign changes")

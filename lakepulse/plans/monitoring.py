@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from lakepulse.operators import evaluate as ev
 from lakepulse.operators import activity as act
 from lakepulse.operators import labels, monitor, profiles
-from lakepulse.operators.ranks import attach, placed, quantiles
+from lakepulse.operators.ranks import attach, correlation, placed, quantiles
 from lakepulse.sources import lens
 from lakepulse.sources.lens import with_
 
@@ -206,7 +206,7 @@ def sets_4(spark, d):
     """SETS-4, BT-5"""
     rows = placed(pl.scored(spark, d).select("cutoff", "player_id", "s", "v"), ["cutoff"], "s", "player_id").withColumnRenamed("place", "a").drop("size")
     rows = placed(rows, ["cutoff"], "v", "player_id").withColumnRenamed("place", "b")
-    return rows.groupBy("cutoff").agg(F.count_if((F.col("a") <= 100) & (F.col("b") <= 100)).alias("shared"), F.round(F.corr("a", "b"), 6).alias("spearman"))
+    return rows.groupBy("cutoff").agg(F.count_if((F.col("a") <= 100) & (F.col("b") <= 100)).alias("shared"), F.round(correlation("a", "b"), 6).alias("spearman"))
 
 
 @query("strm_2_late_events", "SELECT CAST(ts AS DATE) AS day, CAST(ts + INTERVAL 2 HOUR AS DATE) AS folder, count(*) AS n FROM events GROUP BY ALL")

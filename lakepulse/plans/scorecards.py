@@ -20,13 +20,14 @@ def _metrics_sql(source: str, by: str, key: str = "player_id") -> str:
     """Metrics of (by, key, s, y) as DuckDB expressions, the last one `mt`; each from its definition."""
     return f"""k_ AS (SELECT *, rank() OVER (PARTITION BY {by} ORDER BY s) + (count(*) OVER (PARTITION BY {by}, s) - 1) / 2.0::DOUBLE AS r, row_number() OVER (PARTITION BY {by} ORDER BY s DESC, {key}) AS place, greatest(1, floor(count(*) OVER (PARTITION BY {by}) * 0.1::DOUBLE + 0.5)) AS top FROM {source} WHERE y IS NOT NULL),
 q_ AS (SELECT {by}, list_sort(list_distinct(quantile_cont(s, {DECILES}))) AS q FROM k_ GROUP BY ALL), b_ AS (SELECT k_.*, len(list_filter(q[2:len(q) - 1], lambda x: x < s)) AS g FROM k_ JOIN q_ USING ({by})), e_ AS (SELECT {by}, sum(n * abs(a - b)) / sum(n) AS ece FROM (SELECT {by}, g, count(*) AS n, avg(y) AS a, avg(s) AS b FROM b_ GROUP BY ALL) GROUP BY ALL),
-m_ AS (SELECT {by}, count(*) AS n, round(avg(y), 6) AS rate, round(avg(s), 6) AS mean_score, round((sum(r) FILTER (y = 1) - sum(y) * (sum(y) + 1) / 2) / nullif(sum(y) * count(*) FILTER (y = 0), 0), 6) AS auc, round(sum(y) FILTER (place <= top) / count(*) FILTER (place <= top), 6) AS top_precision,
+m_ AS (SELECT {by}, count(*) AS n, round(avg(y) + 1e-9, 6) AS rate, round(avg(s) + 1e-9, 6) AS mean_score, round((sum(r) FILTER (y = 1) - sum(y) * (sum(y) + 1) / 2) / nullif(sum(y) * count(*) FILTER (y = 0), 0), 6) AS auc, round(sum(y) FILTER (place <= top) / count(*) FILTER (place <= top), 6) AS top_precision,
   round(sum(y) FILTER (place <= top) / nullif(sum(y), 0), 6) AS top_recall, round(-avg(CASE WHEN y = 1 THEN ln(greatest(1e-6, least(1 - 1e-6, s))) ELSE ln(1 - greatest(1e-6, least(1 - 1e-6, s))) END), 6) AS log_loss, round(avg((s - y) * (s - y)), 6) AS brier FROM k_ GROUP BY ALL),
-mt AS (SELECT m_.*, round(ece, 6) AS ece FROM m_ JOIN e_ USING ({by}))"""
+mt AS (SELECT m_.*, round(ece + 1e-9, 6) AS ece FROM m_ JOIN e_ USING ({by}))"""
 
 
 def _rounded(found, *columns):
-    return found.select(*[F.round(c, 6).alias(c) if c in columns else c for c in found.columns])
+    # A value halfway between two of six digits is rounded up whatever the order of its sum.
+    return found.select(*[F.round(F.col(c) + 1e-9, 6).alias(c) if c in columns else c for c in found.columns])
 
 
 PARTS = "pt AS (SELECT cutoff, CASE WHEN row_number() OVER (ORDER BY cutoff) <= ceil(count(*) OVER () * 0.7::DOUBLE) THEN 'train' WHEN row_number() OVER (ORDER BY cutoff) <= ceil(count(*) OVER () * 0.85::DOUBLE) THEN 'valid' ELSE 'test' END AS part FROM (SELECT DISTINCT cutoff FROM sc))"
@@ -124,7 +125,7 @@ def rpt_3_matrix(spark, d):
 
 @query("rpt_3_overlap", with_("activity") + f""", {BOTH.replace('sc.*,', 'sc.* EXCLUDE (y),')}, o AS (SELECT *, row_number() OVER (PARTITION BY cutoff ORDER BY s DESC, player_id) AS a, row_number() OVER (PARTITION BY cutoff ORDER BY i DESC, player_id) AS b, greatest(1, floor(count(*) OVER (PARTITION BY cutoff) * 0.1::DOUBLE + 0.5)) AS top,
   rank() OVER (PARTITION BY cutoff ORDER BY s) + (count(*) OVER (PARTITION BY cutoff, s) - 1) / 2.0::DOUBLE AS ra, rank() OVER (PARTITION BY cutoff ORDER BY i) + (count(*) OVER (PARTITION BY cutoff, i) - 1) / 2.0::DOUBLE AS rb FROM bo)
-SELECT cutoff, count(*) AS n, round(corr(ra, rb), 6) AS spearman, round(count(*) FILTER (a <= top AND b <= top) / max(top), 6) AS top_overlap, round(1 - avg(y90) FILTER (y60 = 1), 6) AS back_61_90 FROM o GROUP BY cutoff""")
+SELECT cutoff, count(*) AS n, round(corr(ra, rb) + 1e-9, 6) AS spearman, round(count(*) FILTER (a <= top AND b <= top) / max(top) + 1e-9, 6) AS top_overlap, round(1 - avg(y90) FILTER (y60 = 1), 6) AS back_61_90 FROM o GROUP BY cutoff""")
 def rpt_3_overlap(spark, d):
     """RPT-3: how far two scores agree on whom to pick, and the share of those churned by 60 days who are back before 90."""
     rows = both_labels(spark, d)
@@ -146,8 +147,8 @@ def segmented(spark, d):
     return kept(sc.histograms(lens.gaming(spark, d).withColumn("segment", F.col("provider") % 3), METRICS, "segment"))
 
 
-@query("shape_4_scorecard", with_("gaming") + f""", {SEGMENTED} SELECT metric, segment, count(*) AS n_rows, round(count(*) FILTER (x IS NULL) / count(*), 6) AS null_share, round(max(x), 6) AS most, round(count(*) FILTER (x < lo) / greatest(count(x), 1), 6) AS below, round(count(*) FILTER (x > hi) / greatest(count(x), 1), 6) AS above,
-round(quantile_cont(x, 0.01), 6) AS p1, round(quantile_cont(x, 0.5), 6) AS median, round(quantile_cont(x, 0.99), 6) AS p99 FROM lg GROUP BY ALL""")
+@query("shape_4_scorecard", with_("gaming") + f""", {SEGMENTED} SELECT metric, segment, count(*) AS n_rows, round(count(*) FILTER (x IS NULL) / count(*) + 1e-9, 6) AS null_share, round(max(x) + 1e-9, 6) AS most, round(count(*) FILTER (x < lo) / greatest(count(x), 1) + 1e-9, 6) AS below, round(count(*) FILTER (x > hi) / greatest(count(x), 1) + 1e-9, 6) AS above,
+round(quantile_cont(x, 0.01) + 1e-9, 6) AS p1, round(quantile_cont(x, 0.5) + 1e-9, 6) AS median, round(quantile_cont(x, 0.99) + 1e-9, 6) AS p99 FROM lg GROUP BY ALL""")
 def shape_4(spark, d):
     """SHAPE-4: a line per metric and segment, all metrics and segments at once."""
     return _rounded(sc.scorecard(segmented(spark, d)), "null_share", "most", "below", "above", "p1", "median", "p99")
@@ -160,7 +161,7 @@ def shape_4_peaks(spark, d):
 
 
 @query("shape_4_point_masses", with_("gaming") + f""", {SEGMENTED}, n_ AS (SELECT metric, segment, x AS value, count(*) AS n FROM lg WHERE x IS NOT NULL GROUP BY ALL), t_ AS (SELECT metric, segment, count(x) AS t FROM lg GROUP BY ALL)
-SELECT a.metric, a.segment, a.value, round(a.n / t, 6) AS share, a.n > 3 * (coalesce(b.n, 0) + coalesce(c.n, 0)) / 2 AS mass FROM n_ a JOIN t_ USING (metric, segment) LEFT JOIN n_ b ON b.metric = a.metric AND b.segment = a.segment AND b.value = a.value - 1 LEFT JOIN n_ c ON c.metric = a.metric AND c.segment = a.segment AND c.value = a.value + 1 WHERE a.value IN (0, 1, 2, 3, 4, 5, 10)""")
+SELECT a.metric, a.segment, a.value, round(a.n / t + 1e-9, 6) AS share, a.n > 3 * (coalesce(b.n, 0) + coalesce(c.n, 0)) / 2 AS mass FROM n_ a JOIN t_ USING (metric, segment) LEFT JOIN n_ b ON b.metric = a.metric AND b.segment = a.segment AND b.value = a.value - 1 LEFT JOIN n_ c ON c.metric = a.metric AND c.segment = a.segment AND c.value = a.value + 1 WHERE a.value IN (0, 1, 2, 3, 4, 5, 10)""")
 def shape_4_masses(spark, d):
     """SHAPE-4: single values that many rows have."""
     return _rounded(sc.point_masses(segmented(spark, d)), "share")
