@@ -330,3 +330,54 @@ def test_fingerprints_of_rows_without_ids(spark, texts):
     order = sorted(t or "" for t in texts)
     want = [hashlib.sha256(edited(t, o).encode()).hexdigest() for t, o in zip(order, order[1:] + order[:1])]
     assert sorted(r.edited_sha256 for r in compare_with_edits(docs).collect()) == sorted(want)
+
+
+def test_every_training_window_is_learned_from(spark, monkeypatch):
+    """Without a rate all windows of all training texts are in the steps: the tokens they predict are all training tokens, each once a pass."""
+    texts = [None, "", "one Word", *(passage(i, n) for i, n in enumerate([3, 31, 32, 33, 200, 333] * 4))]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    learn, found = lm_scoring.train, {}
+
+    def counted(texts, classes, network, **more):
+        rows = texts.collect()
+        for rounds in (1, 2):
+            n = 0
+            for r in range(rounds):
+                for row in rows:
+                    tokens = lm_scoring.Tokens.unpacked(row.data)
+                    trained = np.array([not lm_scoring.held_out_id(i) for i in row.doc_ids])
+                    places = lm_scoring.Windows.places(tokens, trained)[r::rounds]
+                    *_, valid, _ = lm_scoring.Windows.of_tokens(tokens, places).arrays(*classes.words(tokens.ids, tokens.size))
+                    n += int(valid[:, -lm_scoring.STRIDE :].sum())
+            found[rounds] = n
+        found["more"] = more
+        return learn(texts, classes, network, **more)
+
+    monkeypatch.setattr(lm_scoring, "train", counted)
+    scored = lm_scoring.score_documents(docs).collect()
+    want = sum(len(lowered(t)) + 1 for i, t in enumerate(texts) if not lm_scoring.held_out_id(i))
+    assert found == {1: want, 2: want, "more": {"rate": 1}} and scored[0].train_tokens == want
+
+
+def test_gradient_of_the_last_positions():
+    """Context positions are inputs only: their targets don't count, and the gradient is that of the loss of the others."""
+    rng = np.random.default_rng(1)
+    net = lm_scoring.Network.new(rng.uniform(0.1, 1, lm_scoring.CLASSES))
+    net.p = {k: v.astype(np.float64) for k, v in net.p.items()}
+    n, own = lm_scoring.LENGTH, lm_scoring.STRIDE
+    kind, target = rng.integers(0, lm_scoring.CLASSES, (2, 2, n))
+    vector, valid, begins = rng.standard_normal((2, n, lm_scoring.VECTOR)), np.ones((2, n), bool), np.zeros((2, n), bool)
+    loss, grad = net.gradient(kind, vector, begins, valid, target, own)
+    other = target.copy()
+    other[:, : n - own] = 0
+    assert net.gradient(kind, vector, begins, valid, other, own)[0] == loss
+    for name in ("kind", "place", "k", "q", "w2", "vector"):
+        p = net.p[name]
+        at = np.unravel_index(np.abs(grad[name]).argmax(), p.shape)
+        before = p[at]
+        p[at] = before + 1e-5
+        up = net.gradient(kind, vector, begins, valid, target, own)[0]
+        p[at] = before - 1e-5
+        down = net.gradient(kind, vector, begins, valid, target, own)[0]
+        p[at] = before
+        assert grad[name][at] == pytest.approx((up - down) / 2e-5, abs=1e-6), name
