@@ -2,9 +2,11 @@
 
 import numpy as np
 import pytest
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from lakepulse.operators import models
+from lakepulse.plans import catalog
 
 
 @pytest.fixture(scope="module")
@@ -68,3 +70,31 @@ def test_isolation_forest_finds_planted_rows(spark):
     again = models.isolation_forest(frame.repartition(7), ["a", "b"], ["i"], trees=60, share=0.01)
     assert {r.i for r in again.where("outlier").collect()} == flagged
     assert models.isolation_forest(frame.limit(0), ["a", "b"], ["i"]).count() == 0
+
+
+@pytest.fixture
+def observed(spark):
+    """A session that has observed metrics, as lake writes do; it can't be sent to tasks any more."""
+    seen = Observation()
+    spark.range(3).observe(seen, F.count("*").alias("n")).collect()
+    assert seen.get == {"n": 3}
+    return spark
+
+
+def test_logistic_equals_the_model(rows):
+    from pyspark.ml.classification import LogisticRegression
+    from pyspark.ml.feature import StandardScaler, VectorAssembler
+
+    got = {r.i: r.p for r in models.logistic(rows, rows, ["x", "noise"], "y").select("i", "p").collect()}
+    raw = VectorAssembler(inputCols=["x", "noise"], outputCol="raw").transform(rows)
+    scaled = StandardScaler(inputCol="raw", outputCol="v", withMean=True).fit(raw).transform(raw).select("i", "y", "v")
+    model = LogisticRegression(featuresCol="v", labelCol="y", maxIter=50, regParam=1e-4).fit(scaled)
+    b = model.coefficients.toArray()
+    for r in scaled.collect():
+        assert got[r.i] == pytest.approx(1 / (1 + np.exp(-(r.v.toArray() @ b + model.intercept))), abs=1e-9)
+        if r.i < 20:
+            assert got[r.i] == pytest.approx(model.predictProbability(r.v)[1], abs=1e-9)
+
+
+def test_isotonic_query_after_observed_metrics(observed, sf):
+    assert catalog.QUERIES["ml_5_isotonic"](observed, sf).count() > 0
