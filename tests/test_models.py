@@ -98,3 +98,7 @@ def test_logistic_equals_the_model(rows):
 
 def test_isotonic_query_after_observed_metrics(observed, sf):
     assert catalog.QUERIES["ml_5_isotonic"](observed, sf).count() > 0
+
+
+def test_pruning_query_after_observed_metrics(observed, sf):
+    assert catalog.QUERIES["ml_14_pruning"](observed, sf).count() == 4
