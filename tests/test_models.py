@@ -106,3 +106,7 @@ def test_pruning_query_after_observed_metrics(observed, sf):
 
 def test_calibrator_choice_query_after_observed_metrics(observed, sf):
     assert sorted(r.calibrator for r in catalog.QUERIES["ml_6_calibrator_choice"](observed, sf).collect()) == ["isotonic", "platt"]
+
+
+def test_importance_query_after_observed_metrics(observed, sf):
+    assert catalog.QUERIES["ml_14_importance"](observed, sf).count() == 4
