@@ -110,3 +110,7 @@ def test_calibrator_choice_query_after_observed_metrics(observed, sf):
 
 def test_importance_query_after_observed_metrics(observed, sf):
     assert catalog.QUERIES["ml_14_importance"](observed, sf).count() == 4
+
+
+def test_ablation_query_after_observed_metrics(observed, sf):
+    assert catalog.QUERIES["ml_15_ablation"](observed, sf).count() == 4
