@@ -114,3 +114,7 @@ def test_importance_query_after_observed_metrics(observed, sf):
 
 def test_ablation_query_after_observed_metrics(observed, sf):
     assert catalog.QUERIES["ml_15_ablation"](observed, sf).count() == 4
+
+
+def test_robustness_query_after_observed_metrics(observed, sf):
+    assert catalog.QUERIES["rpt_5_robustness"](observed, sf).count() == 4
