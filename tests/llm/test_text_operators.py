@@ -381,3 +381,55 @@ def test_gradient_of_the_last_positions():
         down = net.gradient(kind, vector, begins, valid, target, own)[0]
         p[at] = before
         assert grad[name][at] == pytest.approx((up - down) / 2e-5, abs=1e-6), name
+
+
+def test_words_are_encoded_together(monkeypatch):
+    """The ids of many words are those of each word alone, also where spaces that don't part words would run on; one call encodes a block."""
+    vocabulary = lm_scoring.default_vocabulary()
+    encode = lm_scoring.encoder(vocabulary).encode_ordinary
+    plain = ["a", "it's", "'s", "'", "1234567", "x1y", "<|endoftext|>", "---", "中文", "é", "\U0001f642", "\x00", "́x", "don't", "ab" * 300, *passage(4, 80).split()]
+    odd = [" x", "x ", "　", "y  ", "\x85z", "a b", " ", "\x1c", "\x1dq"]
+    lm_scoring.subwords([b"a"], vocabulary)
+    calls, (found, leads) = [], lm_scoring._encoder
+
+    class Counted:
+        def __getattr__(self, name):
+            calls.append(name)
+            return getattr(found, name)
+
+    monkeypatch.setattr(lm_scoring, "_encoder", (Counted(), leads))
+    mixed = [w for pair in zip(odd, plain) for w in pair] + plain[len(odd) :] + odd[::-1]
+    for words, most in ((plain, 1), (mixed, 1 + len(mixed)), (odd, len(odd)), ([], 0)):
+        calls.clear()
+        ids, size = lm_scoring.subwords([w.encode() for w in words], vocabulary)
+        want = [encode(" " + w) for w in words]
+        assert size.tolist() == [len(w) for w in want] and ids.tolist() == [i for w in want for i in w] and len(calls) <= most
+
+
+def test_steps_of_many_windows_are_large():
+    """A task takes LEAST_STEPS steps, however few its windows are; once it has, steps are of LARGE_BATCH windows."""
+    rng, sizes = np.random.default_rng(0), []
+
+    class Steps:
+        steps = 0
+        network = None
+
+        def step(self, grad):
+            self.steps += 1
+
+    adam = Steps()
+    adam.network = type("Counted", (), {"gradient": lambda self, *x: sizes.append(len(x[0])) or (0.0, {})})()
+    n = lm_scoring.HELD
+    for _ in range(3):
+        assert lm_scoring._learn([(np.arange(n),) * 5], adam, rng) == n
+    first, more = -(-n // (n // lm_scoring.LEAST_STEPS)), n // lm_scoring.LARGE_BATCH
+    assert lm_scoring.LEAST_STEPS <= first == len(sizes) - 2 * more and sum(sizes) == 3 * n
+    assert sizes[first:] == [lm_scoring.LARGE_BATCH] * (2 * more)
+
+
+def test_rows_that_would_vanish_have_their_own_shift():
+    z = np.array([[0.0, -1.0, -2.0], [300.0, 299.0, -1e4], [-500.0, -501.0, -500.0]], np.float32)
+    want = [[math.exp(x - max(r)) / sum(math.exp(y - max(r)) for y in r) for x in r] for r in z.tolist()]
+    out, whole, shift = lm_scoring._powers(z.copy())
+    assert out / whole[:, None] == pytest.approx(np.array(want), rel=1e-5)
+    assert shift + np.log(whole) == pytest.approx(np.array([0.40760596, 300.3132617, -499.1380]), rel=1e-5)
