@@ -9,7 +9,7 @@ from lakepulse.sources.lake import kept
 
 from . import evaluate as ev
 from . import shapes
-from .ranks import attach, average_rank, correlation, placed, quantiles
+from .ranks import attach, average_rank, correlation, in_top, quantiles, top_ends
 
 PROBABILITY = ("log_loss", "brier", "ece")
 RANKING = ("auc", "top_precision", "top_recall")
@@ -17,14 +17,17 @@ RANKING = ("auc", "top_precision", "top_recall")
 
 def metrics_by(rows: DataFrame, score: str, label: str, key: str, by: list[str], probability: bool = True) -> DataFrame:
     """EVAL-13, BT-2: (by, n, rate, mean_score, auc, top_precision, top_recall, and log_loss, brier, ece of probabilities) per group: a good
-    value of all can hide a bad group. key is numeric and unique in a group; a group without both classes has no AUC."""
-    rows = kept(rows.where(F.col(score).isNotNull() & F.col(label).isNotNull()))
-    out = rows.groupBy(*by).agg(F.count("*").alias("n"), F.avg(label).alias("rate"), F.avg(score).alias("mean_score"))
-    out = attach(out, ev.auc(rows, score, label, by).select(*by, "auc"), by)
+    value of all can hide a bad group. key is numeric and unique in a group; a group without both classes has no AUC. All but the top shares comes from
+    counts per score and label; rows are read four times, so they should be cheap to read."""
+    rows = rows.where(F.col(score).isNotNull() & F.col(label).isNotNull())
+    counts = kept(rows.groupBy(*by, score, label).agg(F.count("*").alias("_n")))
+    n, mean = ev.counted("_n")
+    out = counts.groupBy(*by).agg(n.alias("n"), mean(F.col(label)).alias("rate"), mean(F.col(score)).alias("mean_score"))
+    out = attach(out, ev.auc(counts, score, label, by, "_n").select(*by, "auc"), by)
     out = attach(out, ev.top_share(rows, score, label, key, by).select(*by, F.col("precision").alias("top_precision"), F.col("recall").alias("top_recall")), by)
     if probability:
-        out = attach(out, ev.losses(rows, score, label, by).drop("n"), by)
-        out = attach(out, ev.calibration_error(rows, score, label, by), by)
+        out = attach(out, ev.losses(counts, score, label, by, weight="_n").drop("n"), by)
+        out = attach(out, ev.calibration_error(counts, score, label, by, weight="_n"), by)
     return out
 
 
@@ -65,11 +68,16 @@ def label_matrix(rows: DataFrame, labels: list[str], scores: list[str], key: str
 
 def overlaps(rows: DataFrame, a: str, b: str, key: str, by: list[str], share: float = 0.1) -> DataFrame:
     """RPT-3, BT-5: (by, n, spearman, top_overlap) of two scores: their rank correlation, ties at their mean, and how much of the top share
-    by one the other has in its own."""
-    r = placed(placed(rows.select(*by, key, a, b), by, a, key).withColumnRenamed("place", "_a").drop("size"), by, b, key).withColumnRenamed("place", "_b")
-    ranked = average_rank(average_rank(r, by, a, "_ra"), by, b, "_rb")
-    top = F.greatest(F.lit(1), F.floor(F.col("size") * share + 0.5))
-    return ranked.groupBy(*by).agg(F.count("*").alias("n"), correlation("_ra", "_rb").alias("spearman"), (F.count_if((F.col("_a") <= top) & (F.col("_b") <= top)) / F.max(top)).alias("top_overlap"))
+    by one the other has in its own. Rows that lack a score have no rank in either. rows are read five times, so they should be cheap to read."""
+    rows = rows.select(*by, key, a, b)
+    pairs = kept(rows.groupBy(*by, a, b).agg(F.count("*").alias("_n")))
+    both = pairs.where(F.col(a).isNotNull() & F.col(b).isNotNull())
+    ranked = average_rank(average_rank(both, by, a, "_ra", "_n"), by, b, "_rb", "_n")
+    found = attach(pairs.groupBy(*by).agg(F.sum("_n").alias("n")), ranked.groupBy(*by).agg(correlation("_ra", "_rb", "_n").alias("spearman")), by, "left")
+    told = attach(rows, F.broadcast(kept(top_ends(rows, by, a, key, share))), by).withColumn("_in_a", in_top(F.col(a), F.col(key))).drop("size", "k", "edge", "last")
+    told = attach(told, F.broadcast(kept(top_ends(rows, by, b, key, share))), by)
+    top = told.groupBy(*by).agg((F.count_if(F.col("_in_a") & in_top(F.col(b), F.col(key))) / F.max("k")).alias("top_overlap"))
+    return attach(found, top, by)
 
 
 def bin_expr(x: Column, scale: str, width: float) -> Column:
@@ -88,13 +96,13 @@ def histograms(rows: DataFrame, metrics: dict[str, dict], segment: str) -> DataF
 
 
 def scorecard(long: DataFrame) -> DataFrame:
-    """SHAPE-4: per metric and segment of histograms(): rows, share of nulls, 1%, 50% and 99% points, maximum, share outside the range a value
+    """SHAPE-4: per metric and segment of histograms(), whose rows should be cheap to read: rows, share of nulls, 1%, 50% and 99% points, maximum, share outside the range a value
     can have in life."""
     by = ["metric", "segment"]
     x = F.col("x")
     share = lambda c: c / F.greatest(F.count("x"), F.lit(1))
     found = long.groupBy(*by).agg(F.count("*").alias("n_rows"), (F.count_if(x.isNull()) / F.count("*")).alias("null_share"), F.max("x").alias("most"), share(F.count_if(x < F.col("low"))).alias("below"), share(F.count_if(x > F.col("high"))).alias("above"))
-    q = quantiles(long, "x", by, [0.01, 0.5, 0.99]).select(*by, *[F.col("q")[i].alias(n) for i, n in enumerate(("p1", "median", "p99"))])
+    q = quantiles(long, "x", by, [0.01, 0.5, 0.99], steady=True).select(*by, *[F.col("q")[i].alias(n) for i, n in enumerate(("p1", "median", "p99"))])
     return attach(found, q, by, "left")
 
 

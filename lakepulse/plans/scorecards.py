@@ -38,7 +38,7 @@ def eval_13(spark, d):
     """EVAL-13: all metrics of a probability per split of the cutoffs (the first 70%, then 15%) and brand."""
     from .survival import split_by_time
 
-    parts = [p.withColumn("part", F.lit(name)) for name, p in zip(("train", "valid", "test"), split_by_time(pl.scored(spark, d)))]
+    parts = [p.withColumn("part", F.lit(name)) for name, p in zip(("train", "valid", "test"), split_by_time(kept(pl.scored(spark, d))))]
     rows = parts[0].unionByName(parts[1]).unionByName(parts[2])
     rows = rows.withColumn("id", F.col("player_id") * 100000 + F.datediff("cutoff", F.lit("1990-01-01").cast("date")))
     return _rounded(sc.metrics_by(rows, "p", "y", "id", ["part", "brand"]), "rate", "mean_score", "ece")
@@ -51,7 +51,7 @@ LONG = " UNION ALL ".join(f"SELECT cutoff, '{k}' AS comparator, player_id, {e.re
 
 def _compared(spark, d):
     cells = F.explode(F.array(*[F.struct(F.lit(k).alias("comparator"), F.expr(e).alias("s")) for k, e in COMPARED.items()]))
-    return pl.scored(spark, d).select("cutoff", "player_id", "y", cells.alias("c")).select("cutoff", "player_id", "y", "c.*")
+    return kept(pl.scored(spark, d).select("cutoff", "player_id", "y", "s", "p", "ad")).select("cutoff", "player_id", "y", cells.alias("c")).select("cutoff", "player_id", "y", "c.*")
 
 
 @query("bt_2_by_cutoff", with_("activity") + f", {pl.SCORED}, src AS ({LONG}), {_metrics_sql('src', 'cutoff, comparator')} SELECT * FROM mt")
@@ -67,7 +67,7 @@ def eval_17_compared(spark, d):
     """EVAL-17: points of the ROC curves of a probability and its baselines, and where their top 10% lie."""
     from lakepulse.operators import evaluate as ev
 
-    rows = kept(_compared(spark, d).withColumn("id", F.col("player_id") * 100000 + F.datediff("cutoff", F.lit("1990-01-01").cast("date"))))
+    rows = _compared(spark, d).withColumn("id", F.col("player_id") * 100000 + F.datediff("cutoff", F.lit("1990-01-01").cast("date")))
     curve = ev.roc(rows, "s", "y", ["comparator"]).select("comparator", F.lit("curve").alias("point"), "fpr", "tpr")
     top = ev.top_counts(rows, "s", "y", "id", ["comparator"])
     some = lambda c: F.when(c > 0, c)
@@ -144,7 +144,8 @@ SEGMENTED = f"l0 AS ({METRICS_SQL}), lg AS (SELECT 'all' AS segment, metric, x,
 
 
 def segmented(spark, d):
-    return kept(sc.histograms(lens.gaming(spark, d).withColumn("segment", F.col("provider") % 3), METRICS, "segment"))
+    rows = kept(lens.gaming(spark, d).select("stake_c", "payout_c", "quantity", "line", (F.col("provider") % 3).alias("segment")))
+    return sc.histograms(rows, METRICS, "segment")
 
 
 @query("shape_4_scorecard", with_("gaming") + f""", {SEGMENTED} SELECT metric, segment, count(*) AS n_rows, round(count(*) FILTER (x IS NULL) / count(*) + 1e-9, 6) AS null_share, round(max(x) + 1e-9, 6) AS most, round(count(*) FILTER (x < lo) / greatest(count(x), 1) + 1e-9, 6) AS below, round(count(*) FILTER (x > hi) / greatest(count(x), 1) + 1e-9, 6) AS above,
