@@ -46,7 +46,7 @@ def ordered(monkeypatch):
     return found
 
 
-@pytest.mark.parametrize("name", ["bt_2_by_cutoff", "bt_2_summary", "bt_2_intervals"])
+@pytest.mark.parametrize("name", ["bt_2_by_cutoff", "bt_2_summary", "bt_2_intervals", "eval_17_compared"])
 def test_scores_that_are_compared_are_not_written_one_by_one(spark, sf, written, name):
     catalog.QUERIES[name](spark, sf).collect()
     assert 0 < max(written) < 3 * players.scored(spark, sf).count()  # three scores each
