@@ -52,6 +52,13 @@ def test_scores_that_are_compared_are_not_written_one_by_one(spark, sf, written,
     assert 0 < max(written) < 3 * players.scored(spark, sf).count()  # three scores each
 
 
+@pytest.mark.parametrize("name", ["rpt_3_matrix"])
+def test_two_labels_are_not_written_per_score(spark, sf, written, ordered, name):
+    catalog.QUERIES[name](spark, sf).collect()
+    assert max(written) < 4 * players.scored(spark, sf).count()  # six pairs of score and label each
+    assert all("player_id" not in by and len(by) <= 3 for by, _ in ordered)  # no order of its own for each value of a score
+
+
 def test_places_compare_no_row_with_all_ranges(spark, monkeypatch):
     monkeypatch.setattr(ranks, "RANGE_ROWS", 40)
     rows = spark.range(2000).select(F.lit("g").alias("g"), (F.col("id") % 7).cast("double").alias("x"), "id")
