@@ -59,6 +59,11 @@ def test_two_labels_are_not_written_per_score(spark, sf, written, ordered, name)
     assert all("player_id" not in by and len(by) <= 3 for by, _ in ordered)  # no order of its own for each value of a score
 
 
+def test_scorecard_writes_no_row_per_metric(spark, sf, written):
+    catalog.QUERIES["shape_4_scorecard"](spark, sf).collect()
+    assert max(written) < 8 * lens.gaming(spark, sf).count()  # four metrics, each for its segment and for all
+
+
 def test_places_compare_no_row_with_all_ranges(spark, monkeypatch):
     monkeypatch.setattr(ranks, "RANGE_ROWS", 40)
     rows = spark.range(2000).select(F.lit("g").alias("g"), (F.col("id") % 7).cast("double").alias("x"), "id")
