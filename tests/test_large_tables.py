@@ -52,7 +52,7 @@ def test_scores_that_are_compared_are_not_written_one_by_one(spark, sf, written,
     assert 0 < max(written) < 3 * players.scored(spark, sf).count()  # three scores each
 
 
-@pytest.mark.parametrize("name", ["rpt_3_matrix"])
+@pytest.mark.parametrize("name", ["rpt_3_matrix", "rpt_3_overlap"])
 def test_two_labels_are_not_written_per_score(spark, sf, written, ordered, name):
     catalog.QUERIES[name](spark, sf).collect()
     assert max(written) < 4 * players.scored(spark, sf).count()  # six pairs of score and label each
