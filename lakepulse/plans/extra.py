@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from lakepulse.operators import keys, profiles, sessions, shapes
 from lakepulse.operators.ranks import placed, quantiles
 from lakepulse.sources import lens
+from lakepulse.sources.lake import kept
 from lakepulse.sources.lens import with_
 
 from . import players as pl
@@ -69,10 +70,10 @@ SEVEN = [0.01, 0.05, 0.25, 0.5, 0.75, 0.95, 0.99]
 
 @query("agg_22_ratio_quantiles", with_("gaming", "players") + ", r AS (SELECT brand, payout_c / stake_c AS a, stake_c / quantity AS b FROM gaming JOIN players USING (player_id) WHERE stake_c > 0 AND quantity > 0) SELECT brand, " + ", ".join(f"round(quantile_cont({x}, {q}), 6) AS {x}_p{round(q * 100):02d}" for x in "ab" for q in SEVEN) + " FROM r GROUP BY brand")
 def agg_22(spark, d):
-    """AGG-22: seven exact quantiles of two ratios per brand, from counts per value."""
+    """AGG-22: seven exact quantiles of two ratios per brand, from the values near the approximate ones."""
     rows = lens.gaming(spark, d).join(lens.players(spark, d), "player_id").where("stake_c > 0 and quantity > 0")
-    rows = rows.select("brand", (F.col("payout_c") / F.col("stake_c")).alias("a"), (F.col("stake_c") / F.col("quantity")).alias("b"))
-    parts = [quantiles(rows, x, ["brand"], SEVEN).select("brand", *[F.round(F.col("q")[i], 6).alias(f"{x}_p{round(q * 100):02d}") for i, q in enumerate(SEVEN)]) for x in "ab"]
+    rows = kept(rows.select("brand", (F.col("payout_c") / F.col("stake_c")).alias("a"), (F.col("stake_c") / F.col("quantity")).alias("b")))
+    parts = [quantiles(rows, x, ["brand"], SEVEN, steady=True).select("brand", *[F.round(F.col("q")[i], 6).alias(f"{x}_p{round(q * 100):02d}") for i, q in enumerate(SEVEN)]) for x in "ab"]
     return parts[0].join(parts[1], "brand")
 
 

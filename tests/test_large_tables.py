@@ -64,6 +64,11 @@ def test_scorecard_writes_no_row_per_metric(spark, sf, written):
     assert max(written) < 8 * lens.gaming(spark, sf).count()  # four metrics, each for its segment and for all
 
 
+def test_ratio_quantiles_order_no_rows(spark, sf, ordered):
+    assert catalog.QUERIES["agg_22_ratio_quantiles"](spark, sf).count() == 5
+    assert not ordered
+
+
 def test_places_compare_no_row_with_all_ranges(spark, monkeypatch):
     monkeypatch.setattr(ranks, "RANGE_ROWS", 40)
     rows = spark.range(2000).select(F.lit("g").alias("g"), (F.col("id") % 7).cast("double").alias("x"), "id")
