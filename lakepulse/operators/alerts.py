@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from lakepulse.sources.lake import kept
+
 from .ranks import attach, inner_edges
 
 #: Severities, the worst first.
@@ -47,8 +49,9 @@ def drift(long: DataFrame, by: list[str], x: str, reference: Column, edges: Data
     """ALRT-5: population stability of x per group between the reference rows and the others, over the bins of the group's edges
     (see drift_edges). A group without reference rows has no stability and is critical, with the reason."""
     bin_ = F.when(F.col("single"), F.col(x)).otherwise(F.size(F.filter("edges", lambda e: e <= F.col(x))).cast("double"))
-    binned = long.join(edges, by).withColumn("bin", bin_)
-    new = long.join(edges, by, "left_anti").select(*by).distinct().select(*by, F.lit(None).cast("double").alias("psi"), F.lit("critical").alias("severity"), F.lit("not in the reference").alias("reason"))
+    edges = kept(edges)
+    binned = long.join(F.broadcast(edges), by).withColumn("bin", bin_)
+    new = long.select(*by).distinct().join(edges, by, "left_anti").select(*by).distinct().select(*by, F.lit(None).cast("double").alias("psi"), F.lit("critical").alias("severity"), F.lit("not in the reference").alias("reason"))
     per = binned.groupBy(*by, "bin").agg(F.count_if(reference).alias("e"), F.count_if(~reference).alias("a"))
     every = Window.partitionBy(*by)
     share = lambda c: F.greatest(F.lit(1e-4), F.col(c) / F.sum(c).over(every))
@@ -57,11 +60,17 @@ def drift(long: DataFrame, by: list[str], x: str, reference: Column, edges: Data
     return found.withColumn("reason", F.when(F.col("severity") != "ok", "drift")).unionByName(new)
 
 
-def drift_edges(reference: DataFrame, by: list[str], x: str, bins: int = 10) -> DataFrame:
+def drift_edges(reference: DataFrame, by: list[str], x: str, bins: int = 10, steady: bool = False) -> DataFrame:
     """ALRT-4: (by, edges, single): what parts the bins of x: quantiles of the reference without the least and greatest one, a value on an
-    edge belonging to the bin above; where it has at most `bins` different values, each is a bin of its own (single)."""
-    few = reference.select(*by, x).distinct().groupBy(*by).agg((F.count("*") <= bins).alias("single"))
-    return attach(inner_edges(reference, x, by, bins), few, by)
+    edge belonging to the bin above; where it has at most `bins` different values, each is a bin of its own (single). steady: see ranks.quantiles."""
+    probe = [k / (5 * bins) for k in range(5 * bins + 1)]
+    # Approximate quantiles are values of x: where more than `bins` differ, its values need no counting.
+    seen = reference.groupBy(*by).agg((F.size(F.array_distinct(F.percentile_approx(x, probe, 1000))) > bins).alias("_many"))
+    seen = kept(seen) if steady else seen
+    some = attach(reference.select(*by, x), F.broadcast(seen.where("not _many").drop("_many")), by)
+    few = some.distinct().groupBy(*by).agg((F.count("*") <= bins).alias("_few"))
+    single = attach(seen, few, by, "left").select(*by, (~F.col("_many") & F.coalesce("_few", F.lit(False))).alias("single"))
+    return attach(inner_edges(reference, x, by, bins, steady=steady), single, by)
 
 
 def player_counts(snapshot: DataFrame, reference: DataFrame, by: list[str], at: str, warn: float = 0.2, critical: float = 0.5) -> DataFrame:

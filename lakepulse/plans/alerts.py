@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from lakepulse.operators import alerts, quality
 from lakepulse.sources import lens
+from lakepulse.sources.lake import kept
 from lakepulse.sources.lens import with_
 
 from . import players as pl
@@ -44,9 +45,17 @@ drift AS (SELECT *, CASE WHEN severity <> 'ok' THEN 'drift' END AS reason FROM (
 @query("alrt_5_feature_drift", with_("activity") + f", {pl.CUT}, {pl.FEATURES}, {DRIFT} SELECT * FROM drift")
 def alrt_5(spark, d):
     """ALRT-5: features of the later cutoffs against the earlier ones, per brand; a brand that these lack is critical."""
-    rows = pl.feat(spark, d).join(F.broadcast(pl.middle(pl.cut(spark, d))))
+    return _drift(_drifting(spark, d))
+
+
+def _drifting(spark, d):
+    """(brand, cutoff, middle) and the features that can drift."""
+    return kept(pl.feat(spark, d).select("brand", "cutoff", *DRIFTING)).join(F.broadcast(kept(pl.middle(pl.cut(spark, d)))))
+
+
+def _drift(rows):
     long = rows.unpivot(["brand", "cutoff", "middle"], [F.col(c).cast("double").alias(c) for c in DRIFTING], "feature", "x").where("x is not null")
-    edges = alerts.drift_edges(long.where("cutoff < middle"), ["brand", "feature"], "x")
+    edges = alerts.drift_edges(long.where("cutoff < middle"), ["brand", "feature"], "x", steady=True)
     return alerts.drift(long, ["brand", "feature"], "x", F.col("cutoff") < F.col("middle"), edges)
 
 
@@ -54,10 +63,10 @@ def alrt_5(spark, d):
 SELECT brand, drifting, n, round(expected, 6) AS expected, CASE WHEN drifting >= 5 OR expected IS NULL OR abs(n / expected - 1) > 0.5 THEN 'critical' WHEN drifting > 0 OR abs(n / expected - 1) > 0.2 THEN 'warn' ELSE 'ok' END AS severity FROM f_ JOIN n_ USING (brand) WHERE n > 0""")
 def alrt_5_brands(spark, d):
     """ALRT-5: five drifting features or more are critical for a brand, and so are players of the latest cutoff far from their usual number."""
-    f = pl.feat(spark, d).select("brand", "cutoff").join(F.broadcast(pl.middle(pl.cut(spark, d))))
+    f = _drifting(spark, d)
     last = f.agg(F.max("cutoff").alias("cutoff"))
     counts = alerts.player_counts(f.join(F.broadcast(last), "cutoff", "left_semi"), f.where("cutoff < middle"), ["brand"], "cutoff").withColumnRenamed("severity", "of_count")
-    drifting = alrt_5(spark, d).groupBy("brand").agg(F.count_if(F.col("severity") != "ok").alias("drifting"))
+    drifting = _drift(f).groupBy("brand").agg(F.count_if(F.col("severity") != "ok").alias("drifting"))
     of_drift = F.when(F.col("drifting") >= 5, "critical").when(F.col("drifting") > 0, "warn").otherwise("ok")
     worst = F.when(of_drift.eqNullSafe("critical") | F.col("of_count").eqNullSafe("critical"), "critical").when((of_drift == "warn") | (F.col("of_count") == "warn"), "warn").otherwise("ok")
     return drifting.join(counts, "brand").select("brand", "drifting", "n", "expected", worst.alias("severity"))

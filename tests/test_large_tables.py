@@ -69,6 +69,13 @@ def test_ratio_quantiles_order_no_rows(spark, sf, ordered):
     assert not ordered
 
 
+def test_drifting_features_are_built_once(spark, sf, monkeypatch, ordered):
+    calls, feat = [], players.feat
+    monkeypatch.setattr(players, "feat", lambda *a: calls.append(a) or feat(*a))
+    catalog.QUERIES["alrt_5_brands"](spark, sf).collect()
+    assert len(calls) == 1 and not ordered
+
+
 def test_places_compare_no_row_with_all_ranges(spark, monkeypatch):
     monkeypatch.setattr(ranks, "RANGE_ROWS", 40)
     rows = spark.range(2000).select(F.lit("g").alias("g"), (F.col("id") % 7).cast("double").alias("x"), "id")
