@@ -119,3 +119,8 @@ def test_quantiles_near_the_approximate_ones(spark, monkeypatch, ordered, reach)
     ordered.clear()
     assert {r.g: r.q for r in ranks.quantiles(rows, "x", ["g"], shares, steady=True).collect()} == want
     assert len(ordered) == (reach == 0)
+
+
+def test_places_of_the_frame_are_shuffled_without_sums(spark, sf):
+    plan = catalog.QUERIES["feat_all"](spark, sf)._jdf.queryExecution().optimizedPlan().toString()
+    assert "RepartitionByExpression [player_id" in plan
