@@ -124,3 +124,11 @@ def test_quantiles_near_the_approximate_ones(spark, monkeypatch, ordered, reach)
 def test_places_of_the_frame_are_shuffled_without_sums(spark, sf):
     plan = catalog.QUERIES["feat_all"](spark, sf)._jdf.queryExecution().optimizedPlan().toString()
     assert "RepartitionByExpression [player_id" in plan
+
+
+@pytest.mark.parametrize("name", ["feat_fin"])
+def test_caps_write_and_order_no_row_per_feature(spark, sf, written, ordered, name):
+    rows = catalog.QUERIES["feat_all"](spark, sf).count()
+    catalog.QUERIES[name](spark, sf).collect()
+    assert written[0] == rows and not ordered
+    assert sum(n > rows for n in written) <= 1  # the values of groups as small as these are all counted
