@@ -126,7 +126,7 @@ def test_places_of_the_frame_are_shuffled_without_sums(spark, sf):
     assert "RepartitionByExpression [player_id" in plan
 
 
-@pytest.mark.parametrize("name", ["feat_fin"])
+@pytest.mark.parametrize("name", ["feat_fin", "wins_1_all_caps"])
 def test_caps_write_and_order_no_row_per_feature(spark, sf, written, ordered, name):
     rows = catalog.QUERIES["feat_all"](spark, sf).count()
     catalog.QUERIES[name](spark, sf).collect()
