@@ -132,3 +132,10 @@ def test_caps_write_and_order_no_row_per_feature(spark, sf, written, ordered, na
     catalog.QUERIES[name](spark, sf).collect()
     assert written[0] == rows and not ordered
     assert sum(n > rows for n in written) <= 1  # the values of groups as small as these are all counted
+
+
+def test_places_by_two_scores_compare_no_row_with_all_ranges(spark, sf, monkeypatch):
+    monkeypatch.setattr(ranks, "RANGE_ROWS", 200)
+    found = catalog.QUERIES["sets_4_overlap"](spark, sf)
+    assert "lambda" not in found._jdf.queryExecution().optimizedPlan().toString()
+    assert found.count() == players.scored(spark, sf).select("cutoff").distinct().count()
